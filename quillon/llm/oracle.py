@@ -21,4 +21,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
-ORACLE = {"op10_quality_rules": OP10}
+OP9 = r'''
+WITH l0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents),
+l1 AS (SELECT doc_id, line, t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM l0),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS k, sum(w) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM l1 WHERE w > 0),
+f AS (SELECT a.doc_id, a.k AS k, min(b.k) AS z FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.k < a.k + 50 AND b.upto - a.upto + a.w >= 50 GROUP BY 1, 2),
+r AS (SELECT a.doc_id, max(b.k) AS k, a.k AS z FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.k <= a.k AND b.k > a.k - 50 AND a.upto - b.upto + b.w >= 50 GROUP BY a.doc_id, a.k),
+u AS (SELECT * FROM f UNION SELECT * FROM r),
+g AS (SELECT u.doc_id, u.k, u.z, min(l.line) AS s, max(l.line) AS e, string_agg(l.t, chr(10) ORDER BY l.k) AS run FROM u JOIN l ON u.doc_id = l.doc_id AND l.k BETWEEN u.k AND u.z GROUP BY 1, 2, 3),
+n AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS i FROM g),
+d AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS line FROM n WHERE i > 1),
+m AS (SELECT l0.doc_id, l0.line, l0.t, d.line IS NOT NULL AS gone, d.line IS NOT NULL AND NOT coalesce(lag(d.line IS NOT NULL) OVER (PARTITION BY l0.doc_id ORDER BY l0.line), false) AS starts
+  FROM l0 LEFT JOIN d ON l0.doc_id = d.doc_id AND l0.line = d.line)
+SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_deleted, sum(starts::INT)::BIGINT AS n_runs,
+  sha256(coalesce(string_agg(t, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+'''
+
+ORACLE = {"op9_line_dedup": OP9, "op10_quality_rules": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import quality_rules
+from quillon.llm import line_dedup, quality_rules
 from quillon.llm.common import table
 
 
@@ -14,5 +14,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", *quality_rules.RESULT)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_dedup.dedup_lines(docs)
+    return done.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op10_quality_rules,)}
+    return {f.__name__: f for f in (op9_line_dedup, op10_quality_rules)}
