@@ -38,4 +38,30 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_deleted,
 FROM m GROUP BY doc_id
 '''
 
-ORACLE = {"op9_line_dedup": OP9, "op10_quality_rules": OP10}
+OP1 = r'''
+WITH RECURSIVE t AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens FROM documents),
+rows_ AS (SELECT doc_id, source, sum(tokens)::BIGINT AS tokens FROM t GROUP BY doc_id, source, text),
+src AS (SELECT source, sum(tokens)::BIGINT AS tokens, count(*) AS docs FROM rows_ GROUP BY source),
+tot AS (SELECT sum(tokens)::BIGINT AS total, max(tokens)::BIGINT AS top, list(tokens::DOUBLE) AS ts FROM src WHERE tokens > 0),
+bis AS (SELECT -1::BIGINT AS lo, (1::BIGINT << 30) AS hi UNION ALL
+  SELECT CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END FROM (SELECT lo, hi, mid,
+    list_max(list_transform(ts, lambda x: pow(x / total, mid / (1::BIGINT << 30)) / x)) * top / pow(top / total, mid / (1::BIGINT << 30)) <= 2.0 AS ok
+    FROM (SELECT *, (lo + hi) // 2 AS mid FROM bis WHERE hi - lo > 1), tot)),
+al AS (SELECT min(hi) / (1::BIGINT << 30) AS a FROM bis),
+z AS (SELECT a, sum(pow(tokens / total, a)) AS z, any_value(top * 1.0) AS top, any_value(total) AS total FROM src, tot, al WHERE tokens > 0 GROUP BY a),
+wt AS (SELECT source, tokens, docs, CASE WHEN tokens > 0 THEN round(pow(tokens / total, a) / z, 9) ELSE 0.0 END AS weight, top * z / pow(top / total, a) AS budget FROM src, z),
+du AS (SELECT *, CASE WHEN tokens > 0 THEN round(weight * budget)::BIGINT ELSE 0 END AS due FROM wt),
+s AS (SELECT source, weight, greatest(1, ceil(docs / 4096))::BIGINT AS n, CASE WHEN tokens > 0 THEN (due // tokens)::INT ELSE 1 END AS f, CASE WHEN tokens > 0 THEN due % tokens ELSE 0 END AS rest FROM du),
+pl AS (SELECT r.*, s.* EXCLUDE (source), ('0x' || substr(md5('1:block:' || doc_id), 1, 8))::BIGINT % n AS block FROM rows_ r JOIN s ON r.source IS NOT DISTINCT FROM s.source),
+bl AS (SELECT source, f, rest, block, sum(tokens) AS t FROM pl WHERE rest > 0 GROUP BY ALL),
+bb AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY source ORDER BY md5('1:rank:' || f || ':' || block), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM bl),
+la AS (SELECT pl.*, before + sum(tokens) OVER (PARTITION BY pl.source, pl.block ORDER BY md5('1:place:' || pl.f || ':' || doc_id), doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM pl JOIN bb ON pl.source IS NOT DISTINCT FROM bb.source AND pl.block = bb.block WHERE before < bb.rest),
+tk AS (SELECT doc_id, source, tokens, weight, block, unnest(range(0, f))::INT AS epoch FROM pl WHERE f > 0 UNION ALL SELECT doc_id, source, tokens, weight, block, f FROM la WHERE upto <= rest),
+rk AS (SELECT source, block, epoch, row_number() OVER (PARTITION BY source, epoch ORDER BY md5('1:rank:' || epoch || ':' || block), block)::INT AS block_rank
+  FROM (SELECT DISTINCT source, block, unnest(range(0, f + 1))::INT AS epoch FROM pl))
+SELECT doc_id, tk.source, tokens AS n_tokens, weight, tk.epoch, block_rank, row_number() OVER (PARTITION BY tk.source, tk.block, tk.epoch ORDER BY md5('1:place:' || tk.epoch || ':' || doc_id), doc_id)::INT AS place
+FROM tk JOIN rk ON tk.source IS NOT DISTINCT FROM rk.source AND tk.block = rk.block AND tk.epoch = rk.epoch
+'''
+
+ORACLE = {"op1_mixing": OP1, "op9_line_dedup": OP9, "op10_quality_rules": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import line_dedup, ngram_join, quality_rules
+from quillon.llm import line_dedup, mixing, ngram_join, quality_rules
 from quillon.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", *quality_rules.RESULT)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.plan(mixing.token_rows(docs), max_repetition=2.0).select("doc_id", "source", F.col("tokens").alias("n_tokens"), *mixing.PLAN)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.similar_groups(docs, n=3, pct=90)
@@ -26,4 +31,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_ngram_join, op9_line_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
