@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import line_dedup, mixing, ngram_join, pieces, quality_rules
+from quillon.llm import line_dedup, mixing, ngram_join, pieces, quality_rules, suffix_dedup
 from quillon.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(mixing.token_rows(docs), max_repetition=2.0).select("doc_id", "source", F.col("tokens").alias("n_tokens"), *mixing.PLAN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, length=400, keep_bytes=False, drop_text=True)
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = pieces.encode(docs, pieces.model_path(), nbest=4, with_ids=False, drop_text=True)
@@ -37,4 +42,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op3_pieces, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
