@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import line_dedup, mixing, ngram_join, pieces, quality_rules, suffix_dedup
+from quillon.llm import line_dedup, mixing, ngram_join, pieces, quality_rules, suffix_dedup, token_store
 from quillon.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_pieces", "ids_crc32", "score", F.size("scores").alias("n_best"), F.get("scores", F.lit(1)).alias("second_score"), F.get("scores", F.size("scores") - 1).alias("last_score"), "round_trip")
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_store.round_trip(docs, token_store.model_path(), end=1)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.similar_groups(docs, n=3, pct=90)
@@ -42,4 +47,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op6_token_store, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
