@@ -9,9 +9,9 @@ fragments, and sets are compared fragment by fragment:
   that overlap as far as similar sizes can differ.
 * Overlaps. A candidate pair's sets are cut into `PARTS` fragments; the overlap of each is counted by itself, and the counts are summed per pair.
 
-Equal sets form a class, and one member stands for it. In a bucket all members are first compared with the smallest; pairs inside one component are
-settled by then, and every pair of a bucket that is not in one component is compared in the second round. So no link between components is
-missed, and a group of copies costs as many comparisons as it has members.
+Equal sets form a class, and one member stands for it. In a bucket all members are first compared with the first document of the bucket, and pairs inside one component are
+settled by then. For all others, sets that may be similar must share n-grams in which they differ from that document; a second round compares those that do.
+So no link between components is missed, and a group of copies costs about as many comparisons as it has members.
 
 Defined cases: null and empty texts, or texts of white space, have empty sets, which link with nothing; texts shorter than n words have their whole
 sequence as the one n-gram; rows of one doc_id are one document; rows with a null doc_id are returned with a null component; an empty table gives an empty table; other columns
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.common import components, cut, drop_scratch
@@ -147,32 +147,14 @@ def _parts(n: int):
                     x = ngrams(t, n, hashes)
                     edges = np.searchsorted(x, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(61))
                     for g, own in enumerate(np.split(x, edges)):
-                        if len(own):
-                            docs.append(d)
-                            nums.append(g)
-                            sets.append(own)
+                        docs.append(d)
+                        nums.append(g)
+                        sets.append(own)
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(nums, pa.int32()), _list(sets)], ["doc", "g", "own"])
 
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Columns of sorted batches as arrays, cut where the first column changes; the rows of one key may span several."""
-    held: tuple[np.ndarray, ...] | None = None
-    for b in batches:
-        cols = tuple(c.to_numpy(zero_copy_only=False) for c in b.columns)
-        if held is not None:
-            cols = tuple(np.concatenate(x) for x in zip(held, cols, strict=True))
-        if not len(cols[0]):
-            continue
-        last = int(np.searchsorted(cols[0], cols[0][-1]))
-        if last:
-            yield tuple(c[:last] for c in cols)
-        held = tuple(c[last:] for c in cols)
-    if held is not None and len(held[0]):
-        yield held
-
-
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, lead, doc, n) of keys with two documents or more; only a key's first document is kept in mind."""
     key0 = lead0 = n0 = None
@@ -200,45 +182,60 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], ["key", "lead", "doc", "n"])
 
 
-def _across(pct: int):
-    """Pairs of different components under one key that aren't compared yet and whose sizes may be similar."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, comp, doc, n, lead in _runs(batches):
-            edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            a, b, held = [], [], 0
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                d, c, m = doc[lo:hi], comp[lo:hi], n[lo:hi]
-                for at in range(0, len(d), 256):
-                    own = slice(at, at + 256)
-                    ok = (c[own, None] != c[None, :]) & (d[own, None] < d[None, :]) & (d[own, None] != lead[lo])
-                    ok &= (100 * m[own, None] >= pct * m[None, :]) & (100 * m[None, :] >= pct * m[own, None])
-                    i, j = np.nonzero(ok)
-                    a.append(d[own][i])
-                    b.append(d[j])
-                    held += len(i)
-                    if held > 200_000:
-                        yield _pairs(a, b)
-                        a, b, held = [], [], 0
-            if held:
-                yield _pairs(a, b)
-
-    return run
-
-
-def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    both = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-
-def _verified(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, pct: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough: partial overlaps by fragment, summed."""
+def _met(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b) by fragment, with the fragment's n-grams of both."""
     left = parts.select(F.col("doc").alias("a"), "g", F.col("own").alias("x"))
     right = parts.select(F.col("doc").alias("b"), "g", F.col("own").alias("y"))
-    met = pairs.join(left, "a").join(right, ["b", "g"]).select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("o"))
-    met = met.groupBy("a", "b").agg(F.sum("o").alias("o"))
+    return pairs.join(left, "a").join(right, ["b", "g"])
+
+
+def _scored(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, pct: int) -> DataFrame:
+    """(a, b, o, na, nb, linked): partial overlaps by fragment, summed, and whether the pair is similar enough."""
+    met = _met(pairs, parts).groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("x", "y")).cast("long")).alias("o"))
     met = met.join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
-    return met.where(100 * F.col("o") >= pct * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+    return met.withColumn("linked", 100 * F.col("o") >= pct * (F.col("na") + F.col("nb") - F.col("o")))
+
+
+def _rest(scored: DataFrame, comp: DataFrame, parts: DataFrame, pct: int) -> DataFrame:
+    """(a, b): pairs of different components that one first document has both been compared with, and that may be similar.
+
+    A set's difference from the first document's set is small. Two sets that differ in at most D n-grams have differences that share all but
+    a few: with sizes d <= e, (d + e - D) / 2 at least. So the rarest n-grams of the smaller difference, as many as may be missing and one more, have one of the
+    rarest of the larger. A small difference may need no common n-gram; such sets meet those not linked to the first document under one key of its own.
+    """
+    of = comp.select(F.col("id").alias("_id"), "component")
+    placed = scored.join(of.withColumnsRenamed({"_id": "b", "component": "cb"}), "b", "left").join(of.withColumnsRenamed({"_id": "a", "component": "ca"}), "a", "left")
+    placed = placed.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
+    open_ = placed.groupBy("a").agg(F.min(F.least("ca", "cb")).alias("lo"), F.max(F.greatest("ca", "cb")).alias("hi"), F.count("*").alias("c")).where("lo < hi AND c > 1").select("a")
+    placed = placed.join(open_, "a", "left_semi").select("a", "b", "na", "nb", "linked", "cb", (F.col("na") + F.col("nb") - 2 * F.col("o")).alias("d"))
+    apart = _met(placed.select("a", "b"), parts).select("a", "b", F.explode(F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).alias("tok"))
+    apart = cut(apart, "apart")
+    often = apart.groupBy("a", "tok").agg(F.count("*").alias("c"))
+    sets = apart.join(often, ["a", "tok"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("c", "tok"))).alias("toks"))
+    sets = placed.join(sets, ["a", "b"], "left").withColumn("toks", F.coalesce("toks", F.array().cast("array<struct<c:bigint,tok:bigint>>")))
+    most = F.floor(F.col("nb") * (100 - pct) / pct)  # n-grams in which a similar set differs at most
+    least = F.floor(F.col("na") * (100 - pct) / 100) + 1  # size of the difference of a set that isn't linked to the first document
+    share = F.ceil((F.when(F.col("linked"), F.greatest("d", least)).otherwise(F.col("d")) + F.col("d") - most) / 2)
+    share_large = F.ceil((F.col("d") + F.greatest(F.col("d") - most, F.lit(0)) - most) / 2)
+    none = F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("long").alias("tok"))
+
+    def first(share) -> Column:
+        return F.slice("toks", F.lit(1), F.greatest(F.lit(0), F.least(F.col("d"), F.col("d") - F.greatest(share, F.lit(1)) + 1)).cast("int"))
+
+    empty = F.array().cast("array<struct<c:bigint,tok:bigint>>")
+    small = F.concat(first(share), F.when(F.col("linked") & (share <= 0), F.array(none)).otherwise(empty))
+    large = F.concat(first(share_large), F.when(~F.col("linked") & (F.col("d") <= most), F.array(none)).otherwise(empty))
+    sets = cut(sets.select("a", "b", "nb", "cb", "d", most.alias("most"), "linked", small.alias("small"), large.alias("large")), "differences")
+
+    def shown(what: str, mark: str) -> DataFrame:
+        rows = sets.select("a", F.explode(what).alias("t"), *[F.col(c).alias(f"{c}{mark}") for c in ("b", "nb", "cb", "d", "most", "linked")])
+        # n-grams that one set of the group has match nothing
+        return rows.where("t.tok IS NULL OR t.c > 1").withColumn("tok", F.coalesce("t.tok", F.lit(0))).withColumn("any", F.col("t.tok").isNull()).drop("t")
+
+    one, two = shown("small", "1"), shown("large", "2")
+    met = one.join(two, ["a", "tok", "any"]).where("cb1 <> cb2 AND NOT (linked1 AND linked2) AND (d1 < d2 OR d1 = d2 AND b1 < b2) AND d2 - d1 <= least(most1, most2)")
+    met = met.where(f"100 * nb1 >= {pct} * nb2 AND 100 * nb2 >= {pct} * nb1 AND (NOT any OR d1 + d2 <= least(most1, most2))")
+    return met.select(F.least("b1", "b2").alias("a"), F.greatest("b1", "b2").alias("b")).distinct()
 
 
 def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, pct: int = 80) -> DataFrame:
@@ -254,13 +251,11 @@ def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     sizes = cut(shared.select("doc", "n").distinct(), "sizes")
     first = cut(shared.where("lead <> doc").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     parts = cut(docs.join(sizes.select("doc").distinct(), "doc", "left_semi").mapInArrow(_parts(n), "doc long, g int, own array<long>").groupBy("doc", "g").agg(F.first("own").alias("own")), "parts")
-    links = cut(_verified(first, parts, sizes, pct), "links")
+    scored = cut(_scored(first, parts, sizes, pct), "scored")
+    links = scored.where("linked").select("a", "b")
     comp = cut(components(links), "comp")
-    placed = shared.join(comp.withColumnRenamed("id", "doc"), "doc", "left").select("key", "lead", "doc", "n", F.coalesce("component", "doc").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where("lo < hi AND c > 2").select("key")
-    rest = placed.join(mixed, "key", "left_semi").select("key", "comp", "doc", "n", "lead").repartition("key").sortWithinPartitions("key", "comp", "doc")
-    second = cut(rest.mapInArrow(_across(pct), "a long, b long").distinct(), "pairs")
-    links = cut(links.union(_verified(second, parts, sizes, pct)), "links")
+    second = cut(_rest(scored, comp, parts, pct), "pairs")
+    links = cut(links.union(_scored(second, parts, sizes, pct).where("linked").select("a", "b")), "links")
     comp = components(links.union(copies.select(F.col("rep").alias("a"), F.col("doc").alias("b")))).withColumnRenamed("id", "doc")
     drop_scratch(parts)
     return sets.join(comp, "doc", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
