@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import line_dedup, mixing, ngram_join, pieces, quality_rules, suffix_dedup, token_store, toxicity
+from quillon.llm import line_dedup, mixing, ngram_join, pieces, pii, quality_rules, suffix_dedup, token_store, toxicity
 from quillon.llm.common import table
 
 
@@ -30,6 +30,13 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_pieces", "ids_crc32", "score", F.size("scores").alias("n_best"), F.get("scores", F.lit(1)).alias("second_score"), F.get("scores", F.size("scores") - 1).alias("last_score"), "round_trip")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, drop_text=True)
+    counts = [F.expr(f"size(filter(all_spans, x -> x.k = {k}))").cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("all_spans").alias("spans"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -55,4 +62,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op5_toxicity, op6_token_store, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
