@@ -77,12 +77,13 @@ def host_rates(docs: DataFrame, host: str, failed: str) -> DataFrame:
     return per.withColumn("host_rate", F.round((F.col("n_failed") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength)), 6))
 
 
-def apply_rules(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = 0.5, max_repeat_pct: int = 50, min_words: int = 50) -> DataFrame:
+def apply_rules(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = 0.5, max_repeat_pct: int = 50, min_words: int = 50, drop_text: bool = False) -> DataFrame:
     """Every row of df with its measures, base_failed, host_rate and kept."""
     rest = [c for c in df.columns if c not in RESULT]
-    # one narrow table holds the measures, so that texts are looked through once
-    part = cut(measures(df.select(F.struct(*[c for c in rest if c != text]).alias("_row"), text), text, ("_row",)), "measures")
-    part = part.withColumn("base_failed", base_failed(min_words, max_repeat_pct))
+    carried = [c for c in rest if not (drop_text and c == text)]
+    # one table holds rows and measures, so that texts are looked through once
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    part = cut(measures(rows, "_text", ("_row",)), "measures").withColumn("base_failed", base_failed(min_words, max_repeat_pct))
     host_of = F.col(f"_row.`{host}`")
     rates = host_rates(part.select(host_of.alias("_h"), (F.col("base_failed") | soft_failed()).alias("_f")), "_h", "_f")
     both = part.join(rates.select("_host", "host_rate"), host_of.eqNullSafe(F.col("_host")), "left")
@@ -91,7 +92,4 @@ def apply_rules(df: DataFrame, text: str = "text", host: str = "source", max_hos
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: the documents that the rules keep, with their own columns."""
-    named = docs.withColumn("_uid", F.monotonically_increasing_id())
-    named = cut(named, "docs")
-    kept = apply_rules(named, "text", "source").where("kept").select(F.col("_uid"))
-    return named.join(kept, "_uid", "left_semi").select(docs.columns)
+    return apply_rules(docs.select(F.struct(*docs.columns).alias("doc"), "text", "source"), drop_text=True).where("kept").select("doc.*")

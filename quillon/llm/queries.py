@@ -11,7 +11,7 @@ from quillon.llm.common import table
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return quality_rules.apply_rules(docs).select("doc_id", *quality_rules.RESULT)
+    return quality_rules.apply_rules(docs, drop_text=True).select("doc_id", *quality_rules.RESULT)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
