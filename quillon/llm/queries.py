@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import line_dedup, mixing, ngram_join, pieces, pii, quality_rules, suffix_dedup, token_store, toxicity
-from quillon.llm.common import table
+from quillon.llm import line_dedup, media, mixing, ngram_join, pieces, pii, quality_rules, suffix_dedup, token_store, toxicity
+from quillon.llm.common import cut, table
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,16 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(docs, n=3, pct=90)
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as a melody: a member row gives its class; a match row two classes that align, the first of them with a query."""
+    sound = media.rendered(table(spark, sf_dir, "embeddings"))
+    found = cut(media.classes(cut(media.fingerprints(sound), "fingerprints")), "classes")
+    matches = media.align(found, F.col("id") % 50 == 0)
+    members = found.select(F.lit("member").alias("kind"), "id", "class_id", F.coalesce(F.size("fingerprint"), F.lit(0)).cast("long").alias("n_frames"), F.lit(None).cast("int").alias("offset"), F.lit(None).cast("double").alias("bit_errors"))
+    pairs = matches.select(F.lit("match"), "query_class", "class_id", (F.col("n_bits") / 32).cast("long"), "offset", F.round(F.col("n_errors") / F.col("n_bits"), 6))
+    return members.union(pairs)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = line_dedup.dedup_lines(docs)
@@ -62,4 +72,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op9_line_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op8_media, op9_line_dedup, op10_quality_rules)}
