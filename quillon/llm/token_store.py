@@ -17,12 +17,15 @@ no image and an empty table; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +35,9 @@ from quillon.llm.common import cut, drop_scratch, scratch_path
 MAGIC, VERSION = 0x534E5251, 1
 BITS, LANES, BLOCK = 18, 128, 1 << 15
 #: Ids in an image, about.
-IMAGE = 1 << 19
-#: Chunks between white space of which a task keeps the ids before it starts anew.
-CACHE = 600_000
+IMAGE = 1 << 20
+#: Chunks between spaces, and words, of which a worker keeps the ids; those that come later are encoded each time.
+CACHE, WORDS = 800_000, 400_000
 _HEAD = struct.Struct("<5I4Q2I")
 _LEAST = np.uint64(1 << 31)
 
@@ -66,59 +69,72 @@ class Table:
 
 
 def encode_blocks(ids: np.ndarray, table: Table, lanes: int = LANES, block: int = BLOCK) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
-    """Ids in each block, states (blocks, lanes) and words of each block. All blocks go through the coder side by side."""
-    n = len(ids)
-    k = max(1, -(-n // block)) if n else 0
-    if not k:
-        return [], np.empty((0, lanes), np.uint64), []
-    sizes = [min(block, n - i * block) for i in range(k)]
-    steps = -(-min(block, n) // lanes)
-    grid = np.full(k * steps * lanes, -1, np.int64)
-    for i, s in enumerate(sizes):
-        grid[i * steps * lanes : i * steps * lanes + s] = ids[i * block : i * block + s]
-    grid = grid.reshape(k, steps, lanes)
+    """Ids in each block, states (blocks, lanes) and words of each block. All full blocks go through the coder side by side, then the last one."""
+    full = len(ids) // block
+    sizes, states, words = [block] * full, [], []
+    if full:
+        x, w = _coded(ids[: full * block].reshape(full, block // lanes, lanes), block, table)
+        states.append(x)
+        words += w
+    if rest := len(ids) - full * block:
+        grid = np.zeros(-(-rest // lanes) * lanes, np.int64)
+        grid[:rest] = ids[full * block :]
+        x, w = _coded(grid.reshape(1, -1, lanes), rest, table)
+        states.append(x)
+        words += w
+        sizes.append(rest)
+    return sizes, np.concatenate(states) if states else np.empty((0, lanes), np.uint64), words
+
+
+def _coded(grid: np.ndarray, size: int, table: Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    k, steps, lanes = grid.shape
     x = np.full((k, lanes), _LEAST, np.uint64)
     words, owners = [], []
     bits, top, half = np.uint64(table.bits), np.uint64(63 - table.bits), np.uint64(32)
     for t in range(steps - 1, -1, -1):
-        s = grid[:, t]
-        live = s >= 0
-        own = np.where(live, s, 0)
-        f = np.where(live, table.freq[own], np.uint64(1))
-        out = live & (x >= f << top)
+        n = min(lanes, size - t * lanes)  # coders with an id in this step
+        own, y = grid[:, t, :n], x[:, :n]
+        f = table.freq[own]
+        out = y >= f << top
         i, j = np.nonzero(out[:, ::-1])
-        words.append((x[:, ::-1][i, j] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        words.append((y[:, ::-1][i, j] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         owners.append(i)
-        y = np.where(out, x >> half, x)
+        y = np.where(out, y >> half, y)
         q = y // f
-        x = np.where(live, (q << bits) + (y - q * f) + table.cum[own], x)
+        x[:, :n] = (q << bits) + (y - q * f) + table.cum[own]
     words, owners = np.concatenate(words)[::-1], np.concatenate(owners)[::-1]
     order = np.argsort(owners, kind="stable")
-    return sizes, x, np.split(words[order], np.cumsum(np.bincount(owners, minlength=k))[:-1])
+    return x, np.split(words[order], np.cumsum(np.bincount(owners, minlength=k))[:-1])
 
 
 def decode_blocks(sizes: np.ndarray, states: np.ndarray, first: np.ndarray, words: np.ndarray, table: Table) -> list[np.ndarray]:
     """The ids of each block; first: where each block's words start."""
+    out = {}
+    for size in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == size)
+        out |= zip(own.tolist(), _decoded(size, states[own], first[own], words, table), strict=True)
+    return [out[i] for i in range(len(sizes))]
+
+
+def _decoded(size: int, states: np.ndarray, first: np.ndarray, words: np.ndarray, table: Table) -> list[np.ndarray]:
     k, lanes = states.shape
-    steps = -(-int(sizes.max()) // lanes)
-    x, at = states.copy(), first.astype(np.int64).copy()
+    steps = -(-size // lanes)
+    x, at = states.copy(), first.astype(np.int64)
     out = np.zeros((k, steps, lanes), np.uint32)
     mask, bits, half = np.uint64((1 << table.bits) - 1), np.uint64(table.bits), np.uint64(32)
-    place = np.arange(lanes)
-    words = np.append(words, np.uint32(0))
     for t in range(steps):
-        live = t * lanes + place[None, :] < sizes[:, None]
-        slot = x & mask
+        n = min(lanes, size - t * lanes)
+        slot = x[:, :n] & mask
         s = table.symbol[slot]
-        out[:, t] = s
-        y = table.freq[s] * (x >> bits) + slot - table.cum[s]
-        need = live & (y < _LEAST)
-        n = np.cumsum(need, axis=1)
-        got = words[np.minimum(at[:, None] + n - 1, len(words) - 1)].astype(np.uint64)
-        y = np.where(need, (y << half) | got, y)
-        x = np.where(live, y, x)
-        at += n[:, -1]
-    return [out[i].ravel()[: sizes[i]] for i in range(k)]
+        out[:, t, :n] = s
+        y = table.freq[s] * (x[:, :n] >> bits) + slot - table.cum[s]
+        i, j = np.nonzero(y < _LEAST)
+        count = np.bincount(i, minlength=k)
+        place = np.arange(len(i)) + np.repeat(at - (np.cumsum(count) - count), count)
+        y[i, j] = (y[i, j] << half) | words[place].astype(np.uint64)
+        x[:, :n] = y
+        at = at + count
+    return [out[i].ravel()[:size] for i in range(k)]
 
 
 def write_image(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, table: Table) -> bytes:
@@ -160,53 +176,110 @@ def read_image(image: bytes, table: Table) -> tuple[list[int | None], np.ndarray
     return doc_ids, lengths, np.concatenate(own)
 
 
-def _tokens(path: str, end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        known: dict[str, bytes] = {}
-        last = np.array([end], "<u4").tobytes()
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                # this tokenizer drops white space and joins nothing across it, so texts are sequences of chunks between spaces
-                split = [(x or "").replace("\n", " ").split(" ") for x in part.column(1).to_pylist()]
-                if len(known) > CACHE:
-                    known.clear()
-                new = list({c for s in split for c in s if c not in known})
-                for c, e in zip(new, t.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
-                ids = [b"".join([*map(known.__getitem__, s), last]) for s in split]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n", "ids"])
+class Chunks:
+    """Ids of the chunks between spaces. The tokenizer drops white space and joins nothing across it, so a text's ids are those of its chunks.
 
-    return run
+    Chunks of letters, with a full stop or comma behind or not, are looked up by their lower-cased letters: these are one word to the tokenizer, whose
+    last piece is marked as a word's end, so many new words are encoded as one text and cut apart again.
+    """
 
+    def __init__(self, path: str, kind: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-def _narrow(wide: bool):
-    """Ids of two bytes each, where the vocabulary allows."""
-
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.kind = kind
+        vocabulary = self.tokenizer.get_vocab()
+        self.size = max(vocabulary.values()) + 1
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.tail = {x: self.one(x) for x in ".,"} | {"": b""}
+
+    def one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        simple, rest = [], []
+        for c in chunks:
+            if _SIMPLE(c):
+                simple.append((c, c[:-1].lower(), c[-1]) if c[-1] in ".," else (c, c.lower(), ""))
+            else:
+                rest.append(c)
+        new = list({w for _, w, _ in simple}.difference(self.words))
+        own = {}
+        for lo in range(0, len(new), 2000):
+            part = new[lo : lo + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            raw, cuts = ids.astype(self.kind).tobytes(), np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                edges = (cuts * np.dtype(self.kind).itemsize).tolist()
+                own.update(zip(part, map(raw.__getitem__, map(slice, [0, *edges[:-1]], edges)), strict=True))
+            else:  # a tokenizer that marks no ends
+                own.update((w, self.one(w)) for w in part)
+        if len(self.words) < WORDS:
+            self.words.update(own)
+        found = own | self.words if len(own) > len(self.words) else ChainMap(own, self.words)
+        out = {c: found[w] + self.tail[p] for c, w, p in simple}
+        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[c] = np.array(e.ids, self.kind).tobytes()
+        if len(self.known) < CACHE:
+            self.known.update(out)
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, where each text's ids end, and how often each id occurs."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        own = split.values.dictionary_encode()
+        at, chunks = own.indices.to_numpy(), own.dictionary.to_pylist()
+        got = list(map(self.known.get, chunks))
+        if new := {c for c, x in zip(chunks, got, strict=True) if x is None}:
+            more = self.learn(new)
+            got = [more[c] if x is None else x for c, x in zip(chunks, got, strict=True)]
+        size = np.fromiter(map(len, got), np.int64, len(got)) // np.dtype(self.kind).itemsize
+        flat = np.frombuffer(b"".join(got), self.kind)
+        each = size[at]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat((np.cumsum(size) - size)[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        often = np.bincount(flat, np.repeat(np.bincount(at, minlength=len(size)), size), self.size).astype(np.int64)
+        return ids, np.concatenate(([0], ends))[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()], often
+
+
+_SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?").fullmatch
+#: One table of chunks for each worker process; the tasks that it runs share it.
+_CHUNKS: dict[tuple[str, str], Chunks] = {}
+
+
+def _tokens(path: str, end: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (path, kind) not in _CHUNKS:
+            _CHUNKS[path, kind] = Chunks(path, kind)
+        chunks = _CHUNKS[path, kind]
+        last, width = np.array([end], kind).tobytes(), np.dtype(kind).itemsize
+        count = np.zeros(max(chunks.size, end + 1), np.int64)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x if wide else np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in b.column(2).to_pylist()], pa.binary())], ["doc_id", "n", "ids"])
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000)
+                flat, ends, often = chunks.encode(part.column(1))
+                raw, edges = flat.tobytes(), (ends * width).tolist()
+                ids = [raw[a:z] + last for a, z in zip([0, *edges[:-1]], edges, strict=True)]
+                count[: chunks.size] += often
+                count[end] += len(ids)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends, prepend=0) + 1), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], ["doc_id", "n", "ids", "counts"])
+        # the task's counts are a row of their own
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([count.tobytes()], pa.binary())], ["doc_id", "n", "ids", "counts"])
 
     return run
 
 
-def _count(kind: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for b in batches:
-            got = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind))
-            if len(got) > len(total):
-                total = np.concatenate((total, np.zeros(len(got) - len(total), np.int64)))
-            total[: len(got)] += got
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
-
-    return run
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for x in b.column(0):
+            total = np.frombuffer(x.as_py(), np.int64)
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
 
 def _images(kind: str, table: Table, size: int = IMAGE):
@@ -253,21 +326,20 @@ def _read(table: Table, starts: dict[int, int], with_ids: bool):
     return run
 
 
-def tokenize(df: DataFrame, path: str, end: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n, ids): each text's ids and the end id, as little-endian bytes of four a piece."""
-    return df.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(_tokens(path, end), "doc_id long, n long, ids binary")
+def tokenize(df: DataFrame, path: str, end: int, text: str = "text", doc_id: str = "doc_id", wide: bool = False) -> DataFrame:
+    """(doc_id, n, ids, counts): each text's ids and the end id, as little-endian bytes of two a piece (wide: four), and a row of counts from each task."""
+    return df.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(_tokens(path, end, "<u4" if wide else "<u2"), "doc_id long, n long, ids binary, counts binary")
 
 
 def write(tokens: DataFrame, path: str, wide: bool = False) -> Table:
-    """Writes tokenize()'s rows as images at path and returns the frequency table. wide: there are ids above 65535."""
-    kind = "<u4" if wide else "<u2"
-    rows = cut(tokens.mapInArrow(_narrow(wide), "doc_id long, n long, ids binary"), "tokens")
-    counted = rows.select("ids").mapInArrow(_count(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # as many rows as the vocabulary has ids
+    """Writes tokenize()'s rows as images at path and returns the frequency table. wide: as in tokenize(), for ids above 65535."""
+    rows = cut(tokens, "tokens")
+    counted = rows.select("counts").where("counts IS NOT NULL").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # as many rows as the vocabulary has ids
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
     counts[counted["id"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     table = Table(counts)
-    placed = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
-    placed.mapInArrow(_images(kind, table), "part int, start long, n long, image binary").write.option("compression", "uncompressed").parquet(path)
+    placed = rows.where("ids IS NOT NULL").select("doc_id", "n", "ids").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
+    placed.mapInArrow(_images("<u4" if wide else "<u2", table), "part int, start long, n long, image binary").write.option("compression", "uncompressed").parquet(path)
     drop_scratch(rows)
     return table
 
