@@ -17,10 +17,8 @@ no image and an empty table; other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +34,8 @@ MAGIC, VERSION = 0x534E5251, 1
 BITS, LANES, BLOCK = 18, 128, 1 << 15
 #: Ids in an image, about.
 IMAGE = 1 << 20
-#: Chunks between spaces, and words, of which a worker keeps the ids; those that come later are encoded each time.
-CACHE, WORDS = 800_000, 400_000
+#: Words, and other chunks between spaces, of which a worker keeps the ids; those that come later are encoded each time.
+WORDS, CACHE = 1_000_000, 200_000
 _HEAD = struct.Struct("<5I4Q2I")
 _LEAST = np.uint64(1 << 31)
 
@@ -196,19 +194,15 @@ class Chunks:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
-        self.tail = {x: self.one(x) for x in ".,"} | {"": b""}
+        self.tail = [b"", self.one("."), self.one(",")]
 
     def one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        simple, rest = [], []
-        for c in chunks:
-            if _SIMPLE(c):
-                simple.append((c, c[:-1].lower(), c[-1]) if c[-1] in ".," else (c, c.lower(), ""))
-            else:
-                rest.append(c)
-        new = list({w for _, w, _ in simple}.difference(self.words))
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, in lower case."""
+        got = list(map(self.words.get, words))
+        new = [w for w, x in zip(words, got, strict=True) if x is None]
         own = {}
         for lo in range(0, len(new), 2000):
             part = new[lo : lo + 2000]
@@ -216,38 +210,54 @@ class Chunks:
             raw, cuts = ids.astype(self.kind).tobytes(), np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 edges = (cuts * np.dtype(self.kind).itemsize).tolist()
-                own.update(zip(part, map(raw.__getitem__, map(slice, [0, *edges[:-1]], edges)), strict=True))
+                own.update(zip(part, [raw[a:z] for a, z in zip([0, *edges[:-1]], edges, strict=True)], strict=True))
             else:  # a tokenizer that marks no ends
                 own.update((w, self.one(w)) for w in part)
         if len(self.words) < WORDS:
             self.words.update(own)
-        found = own | self.words if len(own) > len(self.words) else ChainMap(own, self.words)
-        out = {c: found[w] + self.tail[p] for c, w, p in simple}
-        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            out[c] = np.array(e.ids, self.kind).tobytes()
+        return [own[w] if x is None else x for w, x in zip(words, got, strict=True)]
+
+    def _others(self, chunks: list[str]) -> list[bytes]:
+        got = list(map(self.known.get, chunks))
+        new = [c for c, x in zip(chunks, got, strict=True) if x is None]
+        own = {c: np.array(e.ids, self.kind).tobytes() for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
         if len(self.known) < CACHE:
-            self.known.update(out)
-        return out
+            self.known.update(own)
+        return [own[c] if x is None else x for c, x in zip(chunks, got, strict=True)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, where each text's ids end, and how often each id occurs."""
         split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         own = split.values.dictionary_encode()
-        at, chunks = own.indices.to_numpy(), own.dictionary.to_pylist()
-        got = list(map(self.known.get, chunks))
-        if new := {c for c, x in zip(chunks, got, strict=True) if x is None}:
-            more = self.learn(new)
-            got = [more[c] if x is None else x for c, x in zip(chunks, got, strict=True)]
-        size = np.fromiter(map(len, got), np.int64, len(got)) // np.dtype(self.kind).itemsize
-        flat = np.frombuffer(b"".join(got), self.kind)
-        each = size[at]
-        ends = np.cumsum(each)
-        ids = flat[np.repeat((np.cumsum(size) - size)[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        at, chunks = own.indices.to_numpy(), own.dictionary
+        simple = pc.match_substring_regex(chunks, _SIMPLE)
+        plain = chunks.filter(simple)
+        stems = pc.utf8_lower(pc.utf8_rtrim(plain, ".,")).dictionary_encode()
+        units = self._words(stems.dictionary.to_pylist())
+        n = len(units)
+        units += self._others(chunks.filter(pc.invert(simple)).to_pylist())
+        units += self.tail
+        # each chunk is a word or something else, and a tail, which may be empty
+        mask = simple.to_numpy(zero_copy_only=False)
+        pairs = np.full((len(mask), 2), len(units) - 3)
+        pairs[mask, 0], pairs[~mask, 0] = stems.indices.to_numpy(), np.arange(n, len(units) - 3)
+        pairs[mask, 1] += pc.ends_with(plain, ".").to_numpy(zero_copy_only=False) + 2 * pc.ends_with(plain, ",").to_numpy(zero_copy_only=False)
+        size = np.fromiter(map(len, units), np.int64, len(units)) // np.dtype(self.kind).itemsize
+        flat, ends = _gathered(np.frombuffer(b"".join(units), self.kind), size, pairs.ravel())
+        size = np.diff(ends[1::2], prepend=0)
         often = np.bincount(flat, np.repeat(np.bincount(at, minlength=len(size)), size), self.size).astype(np.int64)
+        ids, ends = _gathered(flat, size, at)
         return ids, np.concatenate(([0], ends))[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()], often
 
 
-_SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?").fullmatch
+def _gathered(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of flat with the given sizes in the order of at, joined, and where each ends."""
+    each = size[at]
+    ends = np.cumsum(each)
+    return flat[np.repeat((np.cumsum(size) - size)[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
+_SIMPLE = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
 #: One table of chunks for each worker process; the tasks that it runs share it.
 _CHUNKS: dict[tuple[str, str], Chunks] = {}
 
@@ -257,17 +267,18 @@ def _tokens(path: str, end: int, kind: str):
         if (path, kind) not in _CHUNKS:
             _CHUNKS[path, kind] = Chunks(path, kind)
         chunks = _CHUNKS[path, kind]
-        last, width = np.array([end], kind).tobytes(), np.dtype(kind).itemsize
+        width = np.dtype(kind).itemsize
         count = np.zeros(max(chunks.size, end + 1), np.int64)
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 part = b.slice(lo, 2000)
                 flat, ends, often = chunks.encode(part.column(1))
-                raw, edges = flat.tobytes(), (ends * width).tolist()
-                ids = [raw[a:z] + last for a, z in zip([0, *edges[:-1]], edges, strict=True)]
                 count[: chunks.size] += often
-                count[end] += len(ids)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends, prepend=0) + 1), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], ["doc_id", "n", "ids", "counts"])
+                count[end] += len(ends)
+                flat = np.insert(flat, ends, end)
+                ends = ends + np.arange(1, len(ends) + 1)
+                ids = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, ends * width).astype(np.int32)), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends, prepend=0)), ids, pa.nulls(len(ends), pa.binary())], ["doc_id", "n", "ids", "counts"])
         # the task's counts are a row of their own
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([count.tobytes()], pa.binary())], ["doc_id", "n", "ids", "counts"])
 
