@@ -1,0 +1,347 @@
+"""Variants: catalog, support, genotypes, indels, merged tables, matrices in long form."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from quillon.functions import columns as C
+
+ALLELE = ("feature", "pos_local_0based", "ref", "alt")
+SITE = ("feature", "pos_local_0based")
+#: Fixed values of the runs: supporting reads and share of a bulk call; callers of a site; genotype quality of confident calls.
+MIN_BULK_ALT, MIN_BULK_VAF, MIN_CALLERS, CONFIDENT_GQ = 20, 1e-4, 2, 30
+
+
+# catalog
+
+
+def discovery_floor(catalog: DataFrame, min_alt: int = MIN_BULK_ALT, min_vaf: float = MIN_BULK_VAF) -> DataFrame:
+    share = F.coalesce(F.try_divide(F.col("ad_alt").cast("double"), (F.col("ad_ref") + F.col("ad_alt")).cast("double")), F.lit(0.0))
+    return catalog.where(~((F.col("ad_alt") < min_alt) | (share < min_vaf)) & (F.col("alt") != "*"))
+
+
+def callers_per_allele(catalog: DataFrame) -> DataFrame:
+    names = F.sort_array(F.collect_set("caller"))
+    return catalog.groupBy(F.col("chrom").alias("feature"), (F.col("pos") - 1).alias("pos_local_0based"), "ref", "alt").agg(names.alias("callers"), F.count_distinct("caller").alias("n_callers"))
+
+
+def caller_sets(catalog: DataFrame) -> DataFrame:
+    """Sites by the set of callers that report them."""
+    site = catalog.groupBy("chrom", "pos").agg(F.array_join(F.sort_array(F.collect_set("caller")), "_").alias("callers"))
+    return site.groupBy("callers").agg(F.count("*").alias("sites"))
+
+
+def caller_booleans(catalog: DataFrame, callers: list[str]) -> DataFrame:
+    return catalog.groupBy("chrom", "pos").agg(*[F.bool_or(F.col("caller") == c).alias(c) for c in callers])
+
+
+def consensus(catalog: DataFrame) -> DataFrame:
+    site = catalog.groupBy("chrom", "pos").agg(F.count_distinct("caller").alias("n"))
+    out = site.agg(F.count("*").alias("sites"), F.count_if(F.col("n") >= MIN_CALLERS).alias("sites_multi"), F.count_if(F.col("n") == 1).alias("singletons"))
+    return out.withColumn("fraction_multi", F.round(C.ratio("sites_multi", "sites"), 6))
+
+
+def per_caller(catalog: DataFrame, het: tuple[float, float] = (0.05, 0.8)) -> DataFrame:
+    band = F.count_if((F.col("af") >= het[0]) & (F.col("af") < het[1])).alias("het_band")
+    return catalog.groupBy("caller").agg(F.count("*").alias("records"), F.round(F.avg("dp"), 6).alias("mean_dp"), F.round(F.median("dp"), 6).alias("median_dp"), F.round(F.avg("af"), 6).alias("mean_vaf"), F.round(F.median("af"), 6).alias("median_vaf"), band, F.count_if(F.col("af") >= het[1]).alias("hom_band"))
+
+
+def singletons(catalog: DataFrame) -> DataFrame:
+    """Sites of one caller, counted by caller."""
+    n = catalog.groupBy("chrom", "pos").agg(F.count_distinct("caller").alias("n"), F.min("caller").alias("caller"))
+    return n.where("n = 1").groupBy("caller").agg(F.count("*").alias("singleton_sites"))
+
+
+def merge_callers(catalog: DataFrame, callers: list[str]) -> DataFrame:
+    """One row an allele, with depth and share of each caller, and their summary; absent callers are null."""
+    by = [x for c in callers for x in (F.max(F.when(F.col("caller") == c, F.col("dp"))).alias(f"dp_{c}"), F.max(F.when(F.col("caller") == c, F.round("af", 6))).alias(f"af_{c}"))]
+    summary = [F.min("dp").alias("min_dp"), F.median("dp").cast("int").alias("median_dp"), F.max("dp").alias("max_dp"), F.round(F.min("af"), 6).alias("min_vaf"), F.round(F.max("af"), 6).alias("max_vaf"), F.count_if(F.col("dp") > 0).alias("n_with_depth")]
+    return catalog.groupBy("chrom", "pos", "ref", "alt").agg(*by, *summary)
+
+
+def jaccard(catalog: DataFrame) -> DataFrame:
+    """Shared and own alleles of each pair of callers. Alleles meet by key, and callers are few, so pairs stay few."""
+    own = catalog.select("caller", "chrom", "pos", "ref", "alt").distinct()
+    n = own.groupBy("caller").agg(F.count("*").alias("n"))
+    a, b = own.withColumnRenamed("caller", "a"), own.withColumnRenamed("caller", "b")
+    shared = a.join(b, ["chrom", "pos", "ref", "alt"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    pairs = n.select(F.col("caller").alias("a"), F.col("n").alias("na")).join(n.select(F.col("caller").alias("b"), F.col("n").alias("nb")), F.col("a") < F.col("b"))
+    both = pairs.join(shared, ["a", "b"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    union = F.col("na") + F.col("nb") - F.col("shared")
+    return both.select("a", "b", (F.col("na") - F.col("shared")).alias("only_a"), (F.col("nb") - F.col("shared")).alias("only_b"), "shared", F.round(F.try_divide(F.col("shared").cast("double"), union.cast("double")), 4).alias("jaccard"))
+
+
+def af_concordance(catalog: DataFrame) -> DataFrame:
+    own = catalog.select("caller", "chrom", "pos", "ref", "alt", "af")
+    pairs = own.withColumnsRenamed({"caller": "a", "af": "x"}).join(own.withColumnsRenamed({"caller": "b", "af": "y"}), ["chrom", "pos", "ref", "alt"]).where("a < b")
+    d = F.abs(F.col("x") - F.col("y"))
+    r = F.when((F.stddev_pop("x") > 1e-12) & (F.stddev_pop("y") > 1e-12), F.round(F.corr("x", "y"), 6))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.round(F.median(d), 6).alias("median_abs_daf"), F.round(F.max(d), 6).alias("max_abs_daf"), r.alias("pearson_r"))
+
+
+def common_core(catalog: DataFrame, n_callers: int) -> DataFrame:
+    """Alleles that all callers report, with the range of their shares."""
+    return catalog.groupBy("chrom", "pos", "ref", "alt").agg(F.count_distinct("caller").alias("n"), F.round(F.min("af"), 6).alias("min_af"), F.round(F.max("af"), 6).alias("max_af")).where(F.col("n") == n_callers).drop("n")
+
+
+def type_counts(catalog: DataFrame) -> DataFrame:
+    """Alleles by type and, for single bases, by substitution."""
+    kind = C.variant_type("ref", "alt")
+    own = catalog.select("chrom", "pos", "ref", "alt").distinct()
+    return own.groupBy(kind.alias("type"), F.when(kind == "SNV", F.concat_ws(">", "ref", "alt")).otherwise("").alias("substitution")).agg(F.count("*").alias("alleles"))
+
+
+# alleles of cells
+
+
+def snv_alleles(pileup: DataFrame) -> DataFrame:
+    """Reads and qualities of each base at each site of each cell, with the site's total."""
+    out = pileup.groupBy("barcode", "feature", "pos_local_0based", "ref", "alt").agg(F.count("*").alias("reads"), C.mean_phred("base_qual").alias("mean_bq"), F.avg("map_qual").alias("mean_mq"))
+    site = W.partitionBy("barcode", *SITE)
+    return out.withColumn("total_reads", F.sum("reads").over(site)).withColumn("ref_reads", F.sum(F.when(F.col("alt") == F.col("ref"), F.col("reads")).otherwise(0)).over(site))
+
+
+def support(alleles: DataFrame, min_dp: int = C.MIN_DP, min_vaf: float = C.MIN_VAF) -> DataFrame:
+    """Cells deep enough at each site, and those of them that carry each allele."""
+    deep = alleles.where(F.col("total_reads") >= min_dp)
+    site = deep.groupBy(*SITE).agg(F.count_distinct("barcode").alias("cells_total_at_site"))
+    held = deep.where((F.col("alt") != F.col("ref")) & (F.col("alt") != "N") & (F.col("reads") / F.col("total_reads") >= min_vaf))
+    return held.groupBy(*ALLELE).agg(F.count_distinct("barcode").alias("cells_supporting_alt")).join(site, list(SITE), "left")
+
+
+def support_summary(found: DataFrame) -> DataFrame:
+    """Of the best supported allele of each site: sites, median, in two cells or more, in one."""
+    site = found.groupBy(*SITE).agg(F.max("cells_supporting_alt").alias("n"))
+    out = site.agg(F.count("*").alias("sites"), F.round(F.median("n"), 6).alias("median_cells"), F.count_if(F.col("n") >= 2).alias("in_two"), F.count_if(F.col("n") == 1).alias("in_one"))
+    return out.withColumn("fraction_in_two", F.round(C.ratio("in_two", "sites"), 6))
+
+
+def wide(alleles: DataFrame, callers: DataFrame, supported: DataFrame, places: DataFrame) -> DataFrame:
+    """The raw table of non-reference alleles: share, filter, callers, support, place on the genome."""
+    out = alleles.where(F.col("alt") != F.col("ref")).withColumn("vaf", F.col("reads") / F.col("total_reads"))
+    out = out.withColumnRenamed("reads", "alt_reads").withColumn("filter", C.soft_filter("total_reads", "vaf", "mean_bq", "mean_mq")).withColumn("is_no_call", F.col("alt") == "N")
+    out = out.join(callers, list(ALLELE), "left").join(supported, list(ALLELE), "left")
+    return lift(out, places)
+
+
+def lift(df: DataFrame, places: DataFrame) -> DataFrame:
+    """df with chrom and pos of the genome; features without a place have nulls."""
+    return df.join(places.select("feature", "chrom", "_g0"), "feature", "left").withColumn("pos", F.col("_g0") + F.col("pos_local_0based")).drop("_g0")
+
+
+def choose_alt(alleles: DataFrame) -> DataFrame:
+    """The non-reference base with the largest share at each site of each cell; of several, the first base."""
+    w = W.partitionBy("barcode", *SITE).orderBy(F.desc("reads"), "alt")
+    return alleles.where((F.col("alt") != F.col("ref")) & (F.col("alt") != "N")).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def genotype(df: DataFrame, ref: str = "ref_reads", alt: str = "alt_reads", err: Column | None = None, eps: float = C.EPS, rho: float = C.RHO) -> DataFrame:
+    """df with pl_homref, pl_het, pl_homalt, gt, gq and outlier_lod. Likelihoods are computed once for each distinct triple of counts and error."""
+    df = df.withColumn("_e", F.coalesce(err, F.lit(0.0)) if err is not None else F.lit(0.0))
+    triples = df.select(F.col(ref).alias("_r"), F.col(alt).alias("_a"), F.col("_e").alias("_x")).distinct()
+    # a generator row keeps the optimiser from copying the array into each of its uses
+    triples = triples.select("*", F.inline(F.array(F.struct(F.transform(C.likelihood_arguments("_r", "_a", "_x", eps, rho), C.lgamma).alias("_g")))))
+    triples = triples.select("_r", "_a", "_x", F.inline(F.array(F.struct(*[c.alias(n) for n, c in C.likelihoods("_g", eps, rho).items()]))))
+    best = F.greatest("l_homref", "l_het", "l_homalt")
+    pls = {f"pl_{k}": -10 * (F.col(f"l_{k}") - best) for k in ("homref", "het", "homalt")}
+    n = F.col("_r").cast("double") + F.col("_a").cast("double")
+    triples = triples.withColumns(pls | {"outlier_lod": -F.log10(n + 1) - (F.col("l_choose") + best)})
+    # nothing read: all alike, and no evidence
+    triples = triples.withColumns({p: F.when(n == 0, 0.0).otherwise(F.round(p, 9)) for p in pls} | {"outlier_lod": F.when(n == 0, 0.0).otherwise(F.col("outlier_lod"))})
+    gt = F.when(F.col("pl_homref") == 0, "0/0").when(F.col("pl_het") == 0, "0/1").otherwise("1/1")
+    triples = triples.withColumn("gt", gt).withColumn("gq", F.least(F.lit(C.GQ_CAP), F.get(F.sort_array(F.array(*pls)), F.lit(1)))).drop("l_homref", "l_het", "l_homalt", "l_choose")
+    same = (F.col(ref) == F.col("_r")) & (F.col(alt) == F.col("_a")) & (F.col("_e") == F.col("_x"))
+    return df.join(triples, same).drop("_r", "_a", "_x", "_e")
+
+
+def genotype_snv(alleles: DataFrame) -> DataFrame:
+    """A call for every covered site of every cell, against its own best other base."""
+    site = alleles.groupBy("barcode", *SITE).agg(F.first("ref").alias("ref"), F.max("ref_reads").alias("ref_reads"), F.max("total_reads").alias("total_reads"))
+    best = choose_alt(alleles).select("barcode", *SITE, "alt", F.col("reads").alias("alt_reads"), "mean_bq", "mean_mq")
+    both = site.join(best, ["barcode", *SITE], "left").withColumn("alt_reads", F.coalesce("alt_reads", F.lit(0)))
+    out = genotype(both, err=C.error_of("mean_bq")).withColumn("vaf", F.col("alt_reads") / F.col("total_reads"))
+    return labelled(out)
+
+
+def labelled(called: DataFrame) -> DataFrame:
+    out = called.withColumn("filter", C.genotype_filter("gq"))
+    return out.withColumns({"zygosity": C.zygosity("gt", "filter"), "variant_name": C.variant_name("gt", "filter", "ref", "alt"), "gt_code": C.gt_code("gt")})
+
+
+def confident(called: DataFrame, min_gq: float = CONFIDENT_GQ) -> DataFrame:
+    return called.where(F.col("gt_code").isin(1, 2, 3) & (F.col("gq") >= min_gq))
+
+
+# indels
+
+
+def indel_signatures(pileup: DataFrame) -> DataFrame:
+    """Reads of each length and inserted sequence at each anchor of each cell; a deleted anchor has a null length, which is a group of its own."""
+    out = pileup.groupBy("barcode", *SITE, "indel_len", "inserted_seq").agg(F.count("*").alias("reads"), F.avg("map_qual").alias("mean_mq"))
+    return out.withColumn("total_reads", F.sum("reads").over(W.partitionBy("barcode", *SITE)))
+
+
+def indel_coverage(signatures: DataFrame) -> DataFrame:
+    return signatures.groupBy("barcode", *SITE).agg(F.first("total_reads").alias("total_reads"), F.coalesce(F.sum(F.when(F.col("indel_len") == 0, F.col("reads"))), F.lit(0)).alias("ref_reads"))
+
+
+def indel_called(catalog: DataFrame) -> DataFrame:
+    """Called insertions and deletions with the signature their reads have: signed length, and inserted bases (none for a deletion)."""
+    own = catalog.where(C.variant_type("ref", "alt").isin("INS", "DEL"))
+    size = (F.length("alt") - F.length("ref")).cast("long")
+    return callers_per_allele(own).withColumn("indel_len", size).withColumn("inserted_seq", F.when(size > 0, F.substring("alt", F.length("ref") + 1, F.length("alt"))).otherwise(""))
+
+
+def indel_alt_long(signatures: DataFrame, called: DataFrame) -> DataFrame:
+    """Each covered cell with each allele called at the anchor; reads of others' alleles count 0. Several alleles of an anchor give several rows."""
+    both = indel_coverage(signatures).join(called, list(SITE))
+    seen = signatures.where("indel_len IS NOT NULL").select("barcode", *SITE, "indel_len", "inserted_seq", F.col("reads").alias("alt_reads"), "mean_mq")
+    return both.join(seen, ["barcode", *SITE, "indel_len", "inserted_seq"], "left").withColumn("alt_reads", F.coalesce("alt_reads", F.lit(0)))
+
+
+def indel_support(long: DataFrame, min_dp: int = C.MIN_DP, min_vaf: float = C.MIN_VAF) -> DataFrame:
+    deep = F.col("total_reads") >= min_dp
+    held = deep & (F.col("alt_reads") / F.col("total_reads") >= min_vaf)
+    return long.groupBy(*ALLELE).agg(F.count_distinct(F.when(held, F.col("barcode"))).alias("cells_supporting_alt"), F.count_distinct(F.when(deep, F.col("barcode"))).alias("cells_total_at_site"))
+
+
+def indel_unattributed(called: DataFrame, long: DataFrame) -> DataFrame:
+    """Called alleles that no cell covers: rows without a barcode and with zero counts."""
+    left = called.join(long.select(*ALLELE).distinct(), list(ALLELE), "left_anti")
+    zero = F.lit(0).cast("long")
+    return left.select(F.lit(None).cast("string").alias("barcode"), *ALLELE, zero.alias("ref_reads"), zero.alias("alt_reads"), zero.alias("total_reads"), F.lit(None).cast("double").alias("vaf"), "n_callers")
+
+
+def indel_wide(long: DataFrame, called: DataFrame) -> DataFrame:
+    out = long.withColumn("vaf", F.col("alt_reads") / F.col("total_reads"))
+    rows = out.select("barcode", *ALLELE, "ref_reads", "alt_reads", "total_reads", "vaf", "n_callers").unionByName(indel_unattributed(called, long))
+    return rows.withColumn("filter", C.soft_filter("total_reads", "vaf"))
+
+
+def genotype_indel(long: DataFrame) -> DataFrame:
+    """Each allele called by itself, with the flat error; a carrier of another one counts as reference here."""
+    rows = long.select("barcode", *ALLELE, "ref_reads", "alt_reads", "total_reads").distinct()
+    return labelled(genotype(rows))
+
+
+def indel_event(alleles: DataFrame) -> DataFrame:
+    """Type, first and last base (from 1), bare sequences and a unique name of indel alleles at pos (from 1)."""
+    gone, new = F.length("ref") - 1, F.length("alt") - 1
+    deletion = F.length("ref") > F.length("alt")
+    ref, alt = F.when(deletion, F.substring("ref", F.length("alt") + 1, F.length("ref"))).otherwise("-"), F.when(deletion, F.lit("-")).otherwise(F.substring("alt", F.length("ref") + 1, F.length("alt")))
+    start, end = F.when(deletion, F.col("pos") + 1).otherwise(F.col("pos")), F.when(deletion, F.col("pos") + gone - new).otherwise(F.col("pos") + 1)
+    out = alleles.withColumns({"event_type": F.when(deletion, "DEL").otherwise("INS"), "event_start": start, "event_end": end, "event_ref": ref, "event_alt": alt})
+    name = F.concat_ws("_", "feature", "event_type", "event_start", "event_end", F.when(deletion, F.col("event_ref")).otherwise(F.col("event_alt")))
+    w = W.partitionBy("_n")
+    return out.withColumn("_n", name).withColumn("event_id", F.when(F.count("*").over(w) > 1, F.concat_ws("_", "_n", "ref", "alt")).otherwise(F.col("_n"))).drop("_n")
+
+
+# merged tables
+
+
+GENOTYPES = ("gt", "gq", "pl_homref", "pl_het", "pl_homalt", "outlier_lod", "zygosity", "variant_name")
+
+
+def merge_snv(raw: DataFrame, called: DataFrame | None) -> DataFrame:
+    """Raw rows with their genotypes. Rows of called alleles join by allele; sites without one join without it, and have no alternative."""
+    raw = raw.withColumnRenamed("filter", "read_filter")
+    if called is None:
+        return raw.withColumns({g: F.lit(None).cast("string" if g in ("gt", "zygosity", "variant_name") else "double") for g in (*GENOTYPES, "gt_filter")}).withColumn("row_type", F.lit("ALT"))
+    own = called.withColumnRenamed("filter", "gt_filter")
+    alt = raw.join(own.where("alt IS NOT NULL").select("barcode", *ALLELE, *GENOTYPES, "gt_filter"), ["barcode", *ALLELE], "left").withColumn("row_type", F.lit("ALT"))
+    ref = own.where("alt IS NULL").select("barcode", *SITE, "ref", "ref_reads", "total_reads", *GENOTYPES, "gt_filter").withColumn("row_type", F.lit("REF"))
+    return alt.unionByName(ref, allowMissingColumns=True)
+
+
+def reconcile(raw: DataFrame, called: DataFrame, merged: DataFrame) -> DataFrame:
+    """Counts that must agree: raw rows and rows of alleles, and sites called as reference and reference rows."""
+    a = raw.agg(F.count("*").alias("raw_rows"))
+    b = called.agg(F.count_if(F.col("alt").isNull()).alias("reference_calls"))
+    c = merged.agg(F.count_if(F.col("row_type") == "ALT").alias("alt_rows"), F.count_if(F.col("row_type") == "REF").alias("ref_rows"))
+    ok = (F.col("raw_rows") == F.col("alt_rows")) & (F.col("reference_calls") == F.col("ref_rows"))
+    return a.crossJoin(b).crossJoin(c).withColumn("status", F.when(ok, "OK").otherwise("INCONSISTENT_MERGE"))  # three single rows
+
+
+# matrices in long form
+
+
+def base_composition(alleles: DataFrame) -> DataFrame:
+    """Reads of A, C, G, T and others at each site of each cell; depth; share that isn't reference."""
+    alt = F.upper("alt")
+    each = [F.coalesce(F.sum(F.when(alt == b, F.col("reads"))), F.lit(0)).alias(f"AD_{b}") for b in "ACGT"]
+    out = alleles.groupBy("barcode", *SITE).agg(*each, F.coalesce(F.sum(F.when(~alt.isin(*"ACGT"), F.col("reads"))), F.lit(0)).alias("AD_N"), F.sum("reads").alias("DP"), F.coalesce(F.sum(F.when(alt != F.upper("ref"), F.col("reads"))), F.lit(0)).alias("nonref"))
+    return out.withColumn("X", F.round(C.ratio("nonref", "DP"), 6))
+
+
+def snv_site_evidence(catalog: DataFrame) -> DataFrame:
+    """Of each site: median depth, summed support of its alleles (each the median over callers), the best allele, callers."""
+    own = catalog.where(C.variant_type("ref", "alt") == "SNV")
+    allele = own.groupBy("chrom", "pos", "ref", "alt").agg(F.median("dp").alias("dp"), F.median("ad_alt").alias("ad"))
+    site = allele.groupBy("chrom", "pos").agg(F.median("dp").alias("site_dp"), F.sum("ad").alias("site_ad"), F.min_by("alt", F.struct(-F.col("ad"), F.col("alt"))).alias("top_alt"))
+    names = own.groupBy("chrom", "pos").agg(F.count_distinct("caller").alias("n_callers"))
+    return site.join(names, ["chrom", "pos"]).withColumn("pseudobulk_vaf", F.round(C.ratio("site_ad", "site_dp"), 6))
+
+
+def indel_site_evidence(catalog: DataFrame) -> DataFrame:
+    own = catalog.where(C.variant_type("ref", "alt").isin("INS", "DEL"))
+    out = own.groupBy("chrom", "pos", "ref", "alt").agg(F.median("dp").alias("dp"), F.median("ad_alt").alias("ad"))
+    return out.withColumn("vaf", F.when(F.col("dp") > 0, F.round(F.col("ad") / F.col("dp"), 6)))
+
+
+def indel_entries(long: DataFrame) -> DataFrame:
+    """Entries of the indel matrix: AD + REF_AD + OTHER_INDEL = DP."""
+    return long.select("barcode", *ALLELE, F.col("alt_reads").alias("AD"), F.col("ref_reads").alias("REF_AD"), (F.col("total_reads") - F.col("ref_reads") - F.col("alt_reads")).alias("OTHER_INDEL"), F.col("total_reads").alias("DP"), F.round(C.ratio("alt_reads", "total_reads"), 6).alias("X"))
+
+
+def cell_summary(entries: DataFrame, value: str = "DP", signal: str = "nonref") -> DataFrame:
+    """By cell, over entries that aren't zero: total, number, mean, median, and those with a signal."""
+    own = entries.where(F.col(value) > 0).groupBy("barcode").agg(F.sum(value).alias("total"), F.count("*").alias("covered"), F.round(F.avg(value), 6).alias("mean"), F.round(F.median(value), 6).alias("median"), F.count_if(F.col(signal) > 0).alias("n_signal"))
+    return own.withColumn("fraction_signal", F.round(C.ratio("n_signal", "covered"), 6))
+
+
+def feature_summary(entries: DataFrame, value: str = "DP", signal: str = "nonref") -> DataFrame:
+    return entries.groupBy(*SITE).agg(F.count_if(F.col(value) > 0).alias("cells_covered"), F.count_if(F.col(signal) > 0).alias("cells_with_signal"))
+
+
+def anchor_depth(signatures: DataFrame) -> DataFrame:
+    """Depth of each cell over distinct anchors, however many alleles these have."""
+    return indel_coverage(signatures).groupBy("barcode").agg(F.sum("total_reads").alias("anchor_depth"), F.count("*").alias("anchors"))
+
+
+def position_axis(sequences: DataFrame, targets: DataFrame) -> DataFrame:
+    """A row for each base of each sequence, with a dense index in the order of (feature, pos) and whether it is a target."""
+    from quillon.operators.counts import ranked
+
+    each = sequences.select("feature", F.posexplode(F.split("sequence", "")).alias("p", "ref_base")).where("ref_base <> ''").withColumn("pos", (F.col("p") + 1).cast("long")).drop("p")
+    marked = each.join(targets.select("feature", "pos").distinct().withColumn("is_target", F.lit(True)), ["feature", "pos"], "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
+    return ranked(marked, F.col("feature"), F.col("pos"), "_i").withColumn("column_index", F.col("_i") - 1).drop("_i")
+
+
+def measured(axis: DataFrame, alleles: DataFrame) -> DataFrame:
+    return axis.join(alleles.select("feature", (F.col("pos_local_0based") + 1).alias("pos")).distinct(), ["feature", "pos"], "left_semi")
+
+
+def pad_cells(obs: DataFrame, axis: DataFrame) -> DataFrame:
+    """obs for every barcode of the axis. Missing integers are 0, fractions 0.0, flags false, text na; of calls, gt is -1 and gq NaN."""
+    fill = {"bigint": F.lit(0), "int": F.lit(0), "double": F.lit(0.0), "boolean": F.lit(False), "string": F.lit("na")}
+    own = {"gt_code": F.lit(-1), "gq": F.lit(float("nan"))}
+    return axis.select("barcode").distinct().join(obs, "barcode", "left").select("barcode", *[F.coalesce(F.col(c), own.get(c, fill.get(t, F.lit(None))).cast(t)).alias(c) for c, t in obs.dtypes if c != "barcode"])
+
+
+def axis_union(*frames: DataFrame) -> DataFrame:
+    out = frames[0].select("barcode")
+    for f in frames[1:]:
+        out = out.union(f.select("barcode"))
+    return out.distinct()
+
+
+def measure_ado(called: DataFrame, min_reads: int = 20, band: tuple[float, float] = (0.35, 0.65), edge: float = 0.1, least: tuple[int, int] = (5, 100)) -> DataFrame:
+    """Share of deep cells that show one allele only, over sites that are half and half in the pool; null with too few sites or cells."""
+    pool = called.groupBy(*SITE).agg((F.sum("alt_reads") / F.sum(F.col("alt_reads") + F.col("ref_reads"))).alias("_v")).where(F.col("_v").between(*band))
+    seen = called.withColumn("_n", F.col("alt_reads") + F.col("ref_reads")).where(F.col("_n") >= min_reads).join(pool.select(*SITE), list(SITE), "left_semi")
+    v = F.col("alt_reads") / F.col("_n")
+    sites = pool.agg(F.count("*").alias("sites"))
+    out = seen.agg(F.count("*").alias("observations"), F.avg(((v <= edge) | (v >= 1 - edge)).cast("int")).alias("_r"))
+    return sites.crossJoin(out).select("sites", "observations", F.when((F.col("sites") >= least[0]) & (F.col("observations") >= least[1]), F.round("_r", 6)).alias("ado_rate"))
