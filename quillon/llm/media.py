@@ -3,10 +3,10 @@
 Audio is resampled to `RATE`, cut into overlapping frames, and each frame's spectrum is folded into twelve pitch classes. Over the image of pitch classes and frames an integral image
 gives the sums of rectangles. Each of 16 filters compares two areas at each frame; the log ratio falls into one of four ranges, coded by two Gray bits. So a frame has an integer of 32 bits.
 
-Recordings with one fingerprint form a class, and one member stands for it. Frames `APART` apart make the keys of the index, which has all frames of all classes. Keys that a query shares with a class vote for
+Recordings with one fingerprint form a class, and one member stands for it. The integers are the keys of the index, which has all classes. Those that a query shares with a class vote for
 an offset; where `VOTES` or more agree, bits that differ at the best offsets are counted over the frames that overlap, and a share of `ERRORS` or less is a match.
 
-Defined cases: null audio has a null fingerprint and matches nothing; audio shorter than a filter's frames has an empty one and matches nothing; silence has a fingerprint as other sound; rows of one id are one recording each;
+Defined cases: null audio has a null fingerprint and matches nothing; audio shorter than a filter's frames has an empty one and matches nothing; silence has a fingerprint as other sound, but doesn't vote; rows of one id are one recording each;
 an empty table gives an empty table; other columns pass through `fingerprints` unless they are named as its result.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 RATE, FRAME, HOP, SPAN = 4000, 1024, 256, 16
-APART, VOTES, ERRORS, OVERLAP, BEST = 6, 3, 0.2, 32, 3
+VOTES, ERRORS, OVERLAP, BEST = 2, 0.1, 32, 3
 #: Ranges of a filter's log ratio.
 EDGES = (-0.35, 0.0, 0.35)
 #: What a filter compares: lower and upper half of its pitch classes, first and second half of its frames, opposite quarters, middle and outer frames.
@@ -118,10 +118,15 @@ def classes(prints: DataFrame, key: str = "id") -> DataFrame:
     return both.select(F.col(key).alias("id"), F.coalesce("class_id", F.col(key)).alias("class_id"), "fingerprint")
 
 
+def silence() -> int:
+    """The integer of frames without sound."""
+    return int(packed(np.full((SPAN, 12), 1 / 12))[0])
+
+
 def _keys(df: DataFrame, name: str, place: str) -> DataFrame:
-    f = F.col("fingerprint")
-    pairs = F.zip_with(F.slice(f, F.lit(1), F.greatest(F.size(f) - APART, F.lit(0))), F.slice(f, F.lit(1 + APART), F.greatest(F.size(f) - APART, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return df.where(F.size("fingerprint") > APART).select(F.col("class_id").alias(name), F.posexplode(pairs).alias(place, "key"))
+    """The frames of each class by their integers: of a run of equal ones the first, and none of silence, which tells no recording from another."""
+    own = F.filter(F.transform("fingerprint", lambda x, i: F.struct(i.alias(place), x.alias("key"), F.get("fingerprint", i - 1).alias("before"))), lambda s: (s["key"] != silence()) & ((s[place] == 0) | (s["key"] != s["before"])))
+    return df.select(F.col("class_id").alias(name), F.explode(own).alias("s")).select(name, f"s.{place}", "s.key")
 
 
 def align(found: DataFrame, is_query: Column) -> DataFrame:
@@ -132,11 +137,13 @@ def align(found: DataFrame, is_query: Column) -> DataFrame:
     votes = _keys(queries, "query_class", "i").join(_keys(reps, "class_id", "j"), "key").where("query_class <> class_id")
     votes = votes.groupBy("query_class", "class_id", (F.col("i") - F.col("j")).alias("offset")).agg(F.count("*").alias("votes")).where(f"votes >= {VOTES}")
     best = W.partitionBy("query_class", "class_id").orderBy(F.desc("votes"), "offset")
-    few = votes.withColumn("_r", F.row_number().over(best)).where(f"_r <= {BEST}").drop("_r")
+    few = votes.withColumn("_r", F.row_number().over(best)).where(f"_r <= {BEST}")
+    # of two recordings apart by a part of a frame, neighbouring offsets are as good
+    few = few.select("query_class", "class_id", F.explode(F.array(*[F.col("offset") + d for d in (-1, 0, 1)])).alias("offset")).distinct()
     both = few.join(queries.select(F.col("class_id").alias("query_class"), F.col("fingerprint").alias("x")), "query_class").join(reps.select("class_id", F.col("fingerprint").alias("y")), "class_id")
     start, other = F.greatest(F.col("offset"), F.lit(0)), F.greatest(-F.col("offset"), F.lit(0))
     n = F.least(F.size("x") - start, F.size("y") - other)
-    wrong = F.aggregate(F.zip_with(F.slice("x", start + 1, n), F.slice("y", other + 1, n), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0).cast("long"), lambda s, v: s + v)
+    wrong = F.aggregate(F.zip_with(F.slice("x", start + 1, n), F.slice("y", other + 1, n), lambda a, b: F.bit_count(a.bitwiseXOR(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(0).cast("long"), lambda s, v: s + v)
     both = both.where(n >= OVERLAP).select("query_class", "class_id", "offset", (32 * n).cast("long").alias("n_bits"), wrong.alias("n_errors")).where(F.col("n_errors") <= ERRORS * F.col("n_bits"))
     least = W.partitionBy("query_class", "class_id").orderBy(F.col("n_errors") / F.col("n_bits"), "offset")
     return both.withColumn("_r", F.row_number().over(least)).where("_r = 1").drop("_r")
