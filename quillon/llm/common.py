@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,21 +34,40 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: Lists of the tables that cut() makes, for those who delete them together.
+_LISTS: list[list[str]] = []
+
+
+@contextmanager
+def listing() -> Iterator[list[str]]:
+    """The paths of the tables that cut() makes meanwhile."""
+    _LISTS.append([])
+    try:
+        yield _LISTS[-1]
+    finally:
+        _LISTS.pop()
+
+
 def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there and a lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, what)
+    for made in _LISTS:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files of a table made by cut() that no later result reads."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if path.startswith(shared_dir(spark).replace("file:///", "file:/")) or path.startswith(shared_dir(spark)):
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+    base = shared_dir(df.sparkSession).replace("file:///", "file:/")
+    delete(df.sparkSession, [p for p in {f.rpartition("/")[0] for f in df.inputFiles()} if p.replace("file:///", "file:/").startswith(base)])
 
 
 def keep(**columns: Column) -> Column:

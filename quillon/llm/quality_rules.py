@@ -86,7 +86,9 @@ def apply_rules(df: DataFrame, text: str = "text", host: str = "source", max_hos
     part = cut(measures(rows, "_text", ("_row",)), "measures").withColumn("base_failed", base_failed(min_words, max_repeat_pct))
     host_of = F.col(f"_row.`{host}`")
     rates = host_rates(part.select(host_of.alias("_h"), (F.col("base_failed") | soft_failed()).alias("_f")), "_h", "_f")
-    both = part.join(rates.select("_host", "host_rate"), host_of.eqNullSafe(F.col("_host")), "left")
+    # as a table its size is known: Spark broadcasts it only if it is small
+    rates = cut(rates.select("_host", "host_rate"), "hosts")
+    both = part.join(rates, host_of.eqNullSafe(F.col("_host")), "left")
     return both.select("_row.*", *RESULT[:6], "host_rate", (~F.col("base_failed") & (F.col("host_rate") <= max_host_rate)).alias("kept"))
 
 

@@ -167,7 +167,10 @@ def read_image(image: bytes, table: Table) -> tuple[list[int | None], np.ndarray
     kind = np.dtype([("first", "<u8"), ("words", "<u4"), ("ids", "<u4"), ("crc", "<u4"), ("states", "<u8", (lanes,))])
     index = np.frombuffer(image, kind, blocks, at)
     words = np.frombuffer(image, "<u4", offset=at + kind.itemsize * blocks)
-    own = decode_blocks(index["ids"].astype(np.int64), index["states"].astype(np.uint64), index["first"], words, table)
+    try:
+        own = decode_blocks(index["ids"].astype(np.int64), index["states"].astype(np.uint64), index["first"], words, table)
+    except IndexError as e:  # changed words can ask for more than there are
+        raise ValueError("wrong checksum of a block") from e
     for got, crc in zip(own, index["crc"].tolist(), strict=True):
         if zlib.crc32(got.astype("<u4").tobytes()) != crc:
             raise ValueError("wrong checksum of a block")

@@ -51,7 +51,7 @@ def fit(texts: list[str | None], labels: np.ndarray, l2: float = 10.0, rounds: i
     held = []
     count = np.ones((2, 1 << SLOTS))
     for t, k in zip(texts, labels.tolist(), strict=True):
-        own = np.unique(np.concatenate(list(slots(t))))
+        own = np.unique(np.concatenate([np.empty(0, np.int32), *slots(t)]))
         held.append(own)
         count[int(k)][own] += 1
     docs = np.array([(y == 0).sum(), (y == 1).sum()]) + 2.0
