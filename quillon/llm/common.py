@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -70,6 +71,12 @@ def drop_scratch(df: DataFrame) -> None:
     delete(df.sparkSession, [p for p in {f.rpartition("/")[0] for f in df.inputFiles()} if p.replace("file:///", "file:/").startswith(base)])
 
 
+def release(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of steps that no DataFrame refers to any more, which it does when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def keep(**columns: Column) -> Column:
     """Generator of one row with these columns; the optimiser can't merge it into later projections, so each is computed once."""
     return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))

@@ -4,14 +4,14 @@ A text's set holds the 64-bit hashes of its word n-grams, and their order is the
 fragments, and sets are compared fragment by fragment:
 
 * Candidates. Sets of at most M n-grams with a Jaccard similarity of t or more differ in at most D = 2M(1-t)/(1+t) n-grams, so
-  of more than D fragments at least one is the same in both. Fragments may be empty in both; E more fragments
-  pay for that, and a set with more than E empty ones also shows those. Equal fragments put sets in one bucket; sizes come in levels
+  of more than D fragments at least one is the same in both, of whatever n-grams they are made. The frequent n-grams, the last of the order, are left out of the fragments. Fragments may be empty in both; E more
+  fragments pay for that, and a set with more than E empty ones also shows fragments of all its n-grams. Equal fragments put sets in one bucket; sizes come in levels
   that overlap as far as similar sizes can differ.
 * Overlaps. A candidate pair's sets are cut into `PARTS` fragments; the overlap of each is counted by itself, and the counts are summed per pair.
 
 Equal sets form a class, and one member stands for it. In a bucket all members are first compared with the first document of the bucket, and pairs inside one component are
-settled by then. For all others, sets that may be similar must share n-grams in which they differ from that document; a second round compares those that do.
-So no link between components is missed, and a group of copies costs about as many comparisons as it has members.
+settled by then. Other pairs of small buckets are compared in a second round, a few of each document before the rest, but for those that signatures rule out. In wide buckets, sets that may be similar must share n-grams in which they
+differ from the first document; the second round compares those that do. So no link between components is missed, and a group of copies costs about as many comparisons as it has members.
 
 Defined cases: null and empty texts, or texts of white space, have empty sets, which link with nothing; texts shorter than n words have their whole
 sequence as the one n-gram; rows of one doc_id are one document; rows with a null doc_id are returned with a null component; an empty table gives an empty table; other columns
@@ -26,14 +26,23 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.llm.common import components, cut, drop_scratch
+from quillon.llm.common import components, cut, drop_scratch, release
 
 #: Fragments whose overlaps are counted separately.
 PARTS = 8
 #: Distinct words of which a task keeps the hashes before it starts anew.
-CACHE = 400_000
+CACHE = 200_000
+#: Members of a bucket up to which its pairs are looked at one by one.
+SMALL = 32
+#: Pairs of a document that the second round compares before the others.
+SOME = 2
+#: N-grams at the end of the order, at most, and documents that hold each, at least.
+FREQUENT, OFTEN = 200_000, 20
+#: N-grams of which a task sees at once which are frequent.
+PORTION = 4_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
@@ -97,41 +106,97 @@ class Levels:
             self.parts[i] = n, spare
         return self.parts[i]
 
-    def keys(self, x: np.ndarray) -> np.ndarray:
-        """Keys of the fragments that a set shows."""
-        out, mixed = [], mix(x + _ODD[1])
+    @staticmethod
+    def _fragments_of(x: np.ndarray, n: int, i: int, tag: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and numbers of the fragments of x that aren't empty."""
+        if not len(x):
+            return x, x
+        f = ((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+        starts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+        at = f[starts]
+        return mix(np.add.reduceat(mix(x + _ODD[1]), starts) + at * _ODD[2] + _times(2 * i + tag, _ODD[3])), at
+
+    def keys(self, x: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+        """Keys of the fragments that a set shows. frequent: sorted n-grams at the end of the order, of which fragments are left out as far as others suffice."""
+        out = []
+        rare = x[frequent[np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)] != x] if len(frequent) else x
         for i in self.level(len(x)):
             n, spare = self.fragments(i)
-            f = ((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-            starts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-            at = f[starts]
-            out.append(mix(np.add.reduceat(mixed, starts) + at * _ODD[2] + _times(i, _ODD[3])))
-            if n - len(at) > spare:
-                empty = np.setdiff1d(np.arange(n, dtype=np.uint64), at)
-                out.append(mix(empty * _ODD[4] + _times(i, _ODD[5])))
+            keys, at = self._fragments_of(rare, n, i, 0)
+            out.append(keys)
+            if n - len(at) > spare:  # two such sets may have none but empty fragments in common, so they show those of all n-grams too
+                keys, at = self._fragments_of(x, n, i, 1)
+                out.append(keys)
+                if n - len(at) > spare:
+                    out.append(mix(np.setdiff1d(np.arange(n, dtype=np.uint64), at) * _ODD[4] + _times(i, _ODD[5])))
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def signature(x: np.ndarray) -> np.ndarray:
+    """Parities of the n-grams by their last bits, two bits or more for each n-gram: two signatures differ in at most as many bits as the sets in n-grams."""
+    words = min(256, max(4, 1 << (max(1, len(x) - 1) // 32).bit_length()))
+    odd = np.bincount((x & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _list(parts: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
     flat = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _sets(n: int, pct: int):
+def _often(n: int):
+    """Rows (gram, n): n-grams that many texts of a task hold, and of how many it knows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, count = Hashes(), np.empty(0, np.uint64), np.empty(0, np.int64)
+
+        def add(own: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+            grams, c = np.unique(np.concatenate(own), return_counts=True)
+            new, back = np.unique(np.concatenate((held, grams[c > 2])), return_inverse=True)
+            total = np.bincount(back, np.concatenate((count, c[c > 2])), len(new)).astype(np.int64)
+            if len(new) > 2 * FREQUENT:
+                top = np.sort(np.argpartition(-total, FREQUENT)[:FREQUENT])
+                new, total = new[top], total[top]
+            return new, total
+
+        own, size = [], 0
+        for b in batches:
+            for t in b.column(0):
+                own.append(ngrams(t.as_py(), n, hashes))
+                size += len(own[-1])
+                if size > PORTION:
+                    held, count = add(own)
+                    own, size = [], 0
+        if own:
+            held, count = add(own)
+        yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(count)], ["gram", "n"])
+
+    return run
+
+
+def frequent(docs: DataFrame, n: int) -> np.ndarray:
+    """Sorted: at most FREQUENT n-grams that at least OFTEN documents hold, the most frequent first. They go to the end of the order; which they are changes no result."""
+    found = docs.select("text").mapInArrow(_often(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+    rows = found.orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toPandas()
+    return np.sort(rows["gram"].to_numpy(np.int64).view(np.uint64))
+
+
+def _sets(n: int, pct: int, often):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, levels = Hashes(), Levels(pct)
+        hashes, levels, last = Hashes(), Levels(pct), often.value
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                size, s1, s2, keys = [], [], [], []
+                size, s1, s2, keys, sigs = [], [], [], [], []
                 for t in part.column(1):
                     x = ngrams(t.as_py(), n, hashes)
                     size.append(len(x))
                     s1.append(int(mix(x ^ _ODD[6]).sum(dtype=np.uint64).view(np.int64)))
                     s2.append(int(np.bitwise_xor.reduce(mix(x ^ _ODD[7])).view(np.int64)) if len(x) else 0)
-                    keys.append(levels.keys(x) if len(x) else x)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), _list(keys)], ["doc", "n", "s1", "s2", "keys"])
+                    keys.append(levels.keys(x, last) if len(x) else x)
+                    sigs.append(signature(x))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), _list(keys), _list(sigs)], ["doc", "n", "s1", "s2", "keys", "sig"])
 
     return run
 
@@ -156,11 +221,11 @@ def _parts(n: int):
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, lead, doc, n) of keys with two documents or more; only a key's first document is kept in mind."""
-    key0 = lead0 = n0 = None
+    """Rows (key, lead, doc) of keys with two documents or more; only a key's first document is kept in mind."""
+    key0 = lead0 = None
     told = False
     for b in batches:
-        key, doc, n = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+        key, doc = (c.to_numpy(zero_copy_only=False) for c in b.columns)
         if not len(key):
             continue
         new = np.concatenate(([key0 is None or key[0] != key0], key[1:] != key[:-1]))
@@ -171,15 +236,28 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single = np.bincount(group + 1, minlength=len(starts) + 1)
         more = single[group + 1] > 1
         more |= group == -1
-        out = [key[more], lead[more], doc[more], n[more]]
+        out = [key[more], lead[more], doc[more]]
         if len(group) and group[0] == -1 and not told:
-            out = [np.concatenate(([v], o)) for v, o in zip((key0, lead0, lead0, n0), out, strict=True)]
+            out = [np.concatenate(([v], o)) for v, o in zip((key0, lead0, lead0), out, strict=True)]
             told = True
         if len(starts):
             i = starts[-1]
-            key0, lead0, n0, told = key[i], doc[i], n[i], bool(more[i])
+            key0, lead0, told = key[i], doc[i], bool(more[i])
         if len(out[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], ["key", "lead", "doc", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], ["key", "lead", "doc"])
+
+
+def _plausible(pairs: DataFrame, sigs: DataFrame, pct: int, *more: str) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow the similarity. A longer signature is folded to the length of the shorter."""
+    both = pairs.join(sigs.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sig").alias("x")), "a").join(sigs.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("y")), "b")
+    both = both.where(100 * F.least("na", "nb") >= pct * F.greatest("na", "nb"))
+
+    def folded(x: str, y: str) -> Column:
+        n = F.size(y)
+        return F.when(F.size(x) > n, F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(x))
+
+    apart = F.aggregate(F.zip_with(folded("x", "y"), folded("y", "x"), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    return both.where(apart * (100 + pct) <= (F.col("na") + F.col("nb")) * (100 - pct)).select("a", "b", *more)
 
 
 def _met(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -217,48 +295,83 @@ def _rest(scored: DataFrame, comp: DataFrame, parts: DataFrame, pct: int) -> Dat
     least = F.floor(F.col("na") * (100 - pct) / 100) + 1  # size of the difference of a set that isn't linked to the first document
     share = F.ceil((F.when(F.col("linked"), F.greatest("d", least)).otherwise(F.col("d")) + F.col("d") - most) / 2)
     share_large = F.ceil((F.col("d") + F.greatest(F.col("d") - most, F.lit(0)) - most) / 2)
-    none = F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("long").alias("tok"))
+    none = F.struct(F.lit(None).cast("long").alias("tok"), F.lit(0).alias("i"))
+    empty = F.array().cast("array<struct<tok:bigint,i:int>>")
 
-    def first(share) -> Column:
-        return F.slice("toks", F.lit(1), F.greatest(F.lit(0), F.least(F.col("d"), F.col("d") - F.greatest(share, F.lit(1)) + 1)).cast("int"))
+    def first(share: Column) -> Column:
+        """The rarest n-grams with their places; those that no other set of the group has match nothing."""
+        own = F.slice("toks", F.lit(1), F.greatest(F.lit(0), F.least(F.col("d"), F.col("d") - F.greatest(share, F.lit(1)) + 1)).cast("int"))
+        return F.transform(F.filter(F.transform(own, lambda t, i: F.struct(t["c"].alias("c"), t["tok"].alias("tok"), i.alias("i"))), lambda t: t["c"] > 1), lambda t: F.struct(t["tok"].alias("tok"), t["i"].alias("i")))
 
-    empty = F.array().cast("array<struct<c:bigint,tok:bigint>>")
     small = F.concat(first(share), F.when(F.col("linked") & (share <= 0), F.array(none)).otherwise(empty))
     large = F.concat(first(share_large), F.when(~F.col("linked") & (F.col("d") <= most), F.array(none)).otherwise(empty))
     sets = cut(sets.select("a", "b", "nb", "cb", "d", most.alias("most"), "linked", small.alias("small"), large.alias("large")), "differences")
 
     def shown(what: str, mark: str) -> DataFrame:
-        rows = sets.select("a", F.explode(what).alias("t"), *[F.col(c).alias(f"{c}{mark}") for c in ("b", "nb", "cb", "d", "most", "linked")])
-        # n-grams that one set of the group has match nothing
-        return rows.where("t.tok IS NULL OR t.c > 1").withColumn("tok", F.coalesce("t.tok", F.lit(0))).withColumn("any", F.col("t.tok").isNull()).drop("t")
+        rows = sets.where(F.size(what) > 0).select("a", F.explode(what).alias("t"), *[F.col(c).alias(f"{c}{mark}") for c in ("b", "nb", "cb", "d", "most", "linked")])
+        return rows.withColumns({"tok": F.coalesce("t.tok", F.lit(0)), "any": F.col("t.tok").isNull(), f"i{mark}": F.col("t.i")}).drop("t")
 
     one, two = shown("small", "1"), shown("large", "2")
     met = one.join(two, ["a", "tok", "any"]).where("cb1 <> cb2 AND NOT (linked1 AND linked2) AND (d1 < d2 OR d1 = d2 AND b1 < b2) AND d2 - d1 <= least(most1, most2)")
-    met = met.where(f"100 * nb1 >= {pct} * nb2 AND 100 * nb2 >= {pct} * nb1 AND (NOT any OR d1 + d2 <= least(most1, most2))")
+    # from the first n-gram that two sets share on, they must have enough left to share
+    met = met.where("any AND d1 + d2 <= least(most1, most2) OR NOT any AND 2 * least(d1 - i1, d2 - i2) >= d1 + d2 - least(most1, most2)")
+    met = met.where(f"100 * nb1 >= {pct} * nb2 AND 100 * nb2 >= {pct} * nb1")
     return met.select(F.least("b1", "b2").alias("a"), F.greatest("b1", "b2").alias("b")).distinct()
 
 
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    a, b = (comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    return pairs.join(a, "a", "left").join(b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+
+
 def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, pct: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: groups linked by Jaccard similarities of pct / 100 or more of word n-gram sets."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    sets = cut(docs.mapInArrow(_sets(n, pct), "doc long, n long, s1 long, s2 long, keys array<long>"), "sets")
+    often = df.sparkSession.sparkContext.broadcast(frequent(docs, n))  # at most 8 * FREQUENT bytes
+    sets = cut(docs.mapInArrow(_sets(n, pct, often), "doc long, n long, s1 long, s2 long, keys array<long>, sig array<long>"), "sets")
+    bare = cut(sets.select("doc", "n", "s1", "s2"), "sizes")
     known = sets.where("doc IS NOT NULL AND n > 0")
-    classes = cut(known.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("c")), "classes")
-    copies = known.select("doc", "n", "s1", "s2").join(classes.where("c > 1"), ["n", "s1", "s2"]).where("doc <> rep").select("doc", "rep")
-    shown = known.join(copies.select("doc"), "doc", "left_anti").select(F.explode("keys").alias("key"), "doc", "n")
+    classes = cut(bare.where("doc IS NOT NULL AND n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("c")), "classes")
+    copies = bare.where("doc IS NOT NULL AND n > 0").join(classes.where("c > 1"), ["n", "s1", "s2"]).where("doc <> rep").select("doc", "rep")
+    shown = known.join(copies.select("doc"), "doc", "left_anti").select(F.explode("keys").alias("key"), "doc")
     shown = shown.repartition("key").sortWithinPartitions("key", "doc")
-    shared = cut(shown.mapInArrow(_stars, "key long, lead long, doc long, n long"), "shared")
-    sizes = cut(shared.select("doc", "n").distinct(), "sizes")
-    first = cut(shared.where("lead <> doc").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    parts = cut(docs.join(sizes.select("doc").distinct(), "doc", "left_semi").mapInArrow(_parts(n), "doc long, g int, own array<long>").groupBy("doc", "g").agg(F.first("own").alias("own")), "parts")
+    shared = cut(shown.mapInArrow(_stars, "key long, lead long, doc long"), "shared")
+    del shown, known
+    release(df.sparkSession)
+    buckets = shared.groupBy("key").agg(F.count("*").alias("c"))
+    # of a wide bucket, the document that most wide buckets hold comes first: it is close to most of a group, and most of the group's buckets have it
+    rows = shared.join(buckets.where(F.col("c") > SMALL), "key", "left_semi").select("key", "doc")
+    held = rows.groupBy("doc").agg(F.count("*").alias("m"))
+    leads = rows.join(held, "doc").groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"))
+    wide = cut(rows.join(leads, "key").where("lead <> doc").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "wide")
+    few = shared.join(buckets.where(F.col("c") <= SMALL), "key", "left_semi").select("key", "lead", "doc")
+    pairs = few.select("key", F.col("doc").alias("a"), "lead").join(few.select("key", F.col("doc").alias("b")), "key").where("a < b").groupBy("a", "b").agg(F.max(F.col("lead") == F.col("a")).alias("first"))
+    sigs = cut(sets.select("doc", "n", "sig").join(shared.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "signatures")
+    drop_scratch(sets)
+    pairs = cut(_plausible(pairs, sigs, pct, "first"), "pairs")
+    sizes = sigs.select("doc", "n")
+    first = wide.union(pairs.where("first").select("a", "b")).distinct()
+    used = pairs.select(F.explode(F.array("a", "b")).alias("doc")).union(wide.select(F.explode(F.array("a", "b")))).distinct()
+    # a sort-merge join at every size: its shuffle by doc also serves the step that keeps one row of an id
+    met = docs.join(used.hint("merge"), "doc", "left_semi").dropDuplicates(["doc"])
+    parts = cut(met.mapInArrow(_parts(n), "doc long, g int, own array<long>"), "parts")
     scored = cut(_scored(first, parts, sizes, pct), "scored")
     links = scored.where("linked").select("a", "b")
     comp = cut(components(links), "comp")
-    second = cut(_rest(scored, comp, parts, pct), "pairs")
-    links = cut(links.union(_scored(second, parts, sizes, pct).where("linked").select("a", "b")), "links")
+    open_ = _apart(pairs.where("NOT first").select("a", "b"), comp)
+    rest = _rest(scored.join(wide, ["a", "b"], "left_semi"), comp, parts, pct)
+    second = cut(_plausible(rest, sigs, pct).union(open_).distinct(), "pairs")
+    # some pairs of each document first: those that link settle most of the others
+    nth = lambda c, o: F.row_number().over(W.partitionBy(c).orderBy(F.xxhash64(o)))
+    some = cut(second.withColumns({"i": nth("a", "b"), "j": nth("b", "a")}).where(F.least("i", "j") <= SOME).select("a", "b"), "pairs")
+    links = cut(links.union(_scored(some, parts, sizes, pct).where("linked").select("a", "b")), "links")
+    comp = cut(components(links), "comp")
+    last = cut(_apart(second.join(some, ["a", "b"], "left_anti"), comp), "pairs")
+    links = cut(links.union(_scored(last, parts, sizes, pct).where("linked").select("a", "b")), "links")
     comp = components(links.union(copies.select(F.col("rep").alias("a"), F.col("doc").alias("b")))).withColumnRenamed("id", "doc")
     drop_scratch(parts)
-    return sets.join(comp, "doc", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    return bare.join(comp, "doc", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
 
 
 def near_copy_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
