@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = getattr(spark.sparkContext, "_quillon_dir", None)
         if not found:
-            if not spark.sparkContext.master.startswith("local["):
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             holder = tempfile.TemporaryDirectory(prefix="quillon-")
             atexit.register(holder.cleanup)
