@@ -78,7 +78,9 @@ def plan(rows: DataFrame, max_repetition: float | None = 2.0, entropy: float | N
     z = real.agg(F.sum(p)).first()[0] or 1.0
     all_of = budget if budget is not None else (top * z / math.pow(top / total, alpha) if total else 0.0)
     weight = F.when(F.col("tokens") > 0, F.round(p / F.lit(z), 9)).otherwise(F.lit(0.0))
-    due = F.when(F.col("tokens") > 0, F.round(weight * F.lit(float(all_of))).cast("long")).otherwise(F.lit(0).cast("long"))
+    # from the share itself: the rounded weight is off by tokens at large budgets, and the budget that cuts no source would cut the largest
+    due = F.round(p / F.lit(z) * F.lit(float(all_of))).cast("long")
+    due = F.when(F.col("tokens") > 0, F.greatest(due, F.col("tokens")) if budget is None else due).otherwise(F.lit(0).cast("long"))
     sources = cut(sources.select(F.col("source").alias("_s"), weight.alias("weight"), F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK)).cast("long").alias("_n"),
                              F.when(F.col("tokens") > 0, F.floor(due / F.col("tokens"))).otherwise(F.lit(1)).cast("int").alias("_full"), F.when(F.col("tokens") > 0, due % F.col("tokens")).otherwise(F.lit(0)).cast("long").alias("_rest")), "sources")
     placed = rows.join(sources, F.col("source").eqNullSafe(F.col("_s")), "left")

@@ -91,3 +91,11 @@ def test_mixing_targets(spark):
     taken = mixing.plan(rows, max_repetition=None, entropy=0.69, budget=500.0)
     each = {r.source: r.n for r in taken.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     assert 200 <= each["a"] <= 300 and sum(each.values()) <= 500
+
+
+def test_mixing_keeps_all_of_many_tokens(spark):
+    """A budget over 1e9 tokens, where a weight of nine decimals is off by more than a token."""
+    sizes = {"a": 2_000_000_000, "b": 500_000_000, "c": 70_000_000}
+    rows = spark.createDataFrame([(10 * k + i, s, 0, n) for k, (s, n) in enumerate(sizes.items()) for i in range(10)], "doc_id long, source string, th long, tokens long")
+    n = Counter(r.doc_id for r in mixing.plan(rows, max_repetition=2.0).collect())
+    assert set(n) == {r.doc_id for r in rows.collect()} and max(n.values()) <= 2
