@@ -297,17 +297,27 @@ def saturation_depths(total: int, n_cells: int) -> list[int]:
     return [top, *range((top - 1) // 5000 * 5000, 5000, -5000), *[d for d in (2500, 1000, 500) if d < top]]
 
 
-def saturation_curve(reads: DataFrame, depths: list[int], n_cells: int, order: Column) -> DataFrame:
-    """Median molecules and genes a cell, and saturation, at each depth. Samples are the first reads of one order, so they are nested, of exact size, and all come from one pass."""
+def saturation_curve(reads: DataFrame, depths: list[int], n_cells: int, order: Column, total: int | None = None) -> DataFrame:
+    """Median molecules and genes a cell, and saturation, at each depth. Samples are the first reads of one order, so they are nested, of exact size, and all come from one pass.
+    With total, the number of reads, the first depth stands for all of them, also those that its product with n_cells leaves over."""
     at = ranked(reads, order, F.col("read_name"), "_rank")
-    deep = F.filter(F.array(*map(F.lit, depths)), lambda d: F.col("_rank") <= d * n_cells)
-    rows = at.withColumn("depth", F.explode(deep))
+    size = [d * n_cells for d in depths] if total is None else [total, *[d * n_cells for d in depths[1:]]]
+    deep = F.filter(F.array(*[F.struct(F.lit(d).alias("depth"), F.lit(n).alias("n")) for d, n in zip(depths, size, strict=True)]), lambda d: F.col("_rank") <= d["n"])
+    rows = at.withColumn("_d", F.explode(deep)).withColumn("depth", F.col("_d.depth")).drop("_d")
     cell = rows.groupBy("depth", "barcode").agg(F.count_distinct("GN", "UB").alias("umis"), F.count_distinct("GN").alias("genes"))
     cell = cell.groupBy("depth").agg(F.median("umis").alias("median_counts_per_cell"), F.median("genes").alias("median_genes_per_cell"))
     whole = rows.groupBy("depth").agg(F.count_distinct("barcode", "GN", "UB", "mapping_quality").alias("_d"), F.count("*").alias("_n"))
     return cell.join(whole, "depth").select("depth", "median_counts_per_cell", "median_genes_per_cell", F.round(1 - F.col("_d") / F.col("_n"), 6).alias("saturation"))
 
 
+def saturation_of(reads: DataFrame, cells: DataFrame, order: Column) -> DataFrame:
+    """saturation_curve of the cells' reads at saturation_depths of their number: a row of zeros, one of all reads, and the depths below. cells has each barcode once."""
+    own = reads.join(cells.select("barcode"), "barcode", "left_semi")
+    n_cells, total = cells.count(), own.count()
+    zeros = reads.sparkSession.range(1).select(F.lit(0).alias("depth"), *[F.lit(0.0).alias(c) for c in ("median_counts_per_cell", "median_genes_per_cell", "saturation")])
+    return zeros.union(saturation_curve(own, saturation_depths(total, n_cells), n_cells, order, total))
+
+
 def saturation_at(curve: DataFrame, depths: tuple[int, ...] = (10000, 20000)) -> DataFrame:
     return curve.agg(*[F.max(F.when(F.col("depth") == d, F.col("saturation"))).alias(f"saturation_{d}") for d in depths])
 

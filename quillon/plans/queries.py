@@ -407,6 +407,24 @@ def _(s):
     return K.saturation_at(K.saturation_curve(R.valid_rna(s.umis), [2, 5, 10, 20], 50, md5_order("read_name")), (5, 7))
 
 
+# the two above are held to the constants of their SQL; these see all reads of all cells
+
+
+def _saturation_of_all(s: Source) -> DataFrame:
+    reads = R.valid_rna(s.umis)
+    return K.saturation_of(reads, reads.select("barcode").distinct(), md5_order("read_name"))
+
+
+@query("saturation_curve_all")
+def _(s):
+    return _saturation_of_all(s)
+
+
+@query("saturation_at_depth_all")
+def _(s):
+    return K.saturation_at(_saturation_of_all(s))
+
+
 @query("exact_sample", "SELECT read_name, barcode FROM umis ORDER BY md5(concat(read_name, ':42')), read_name LIMIT 200")
 def _(s):
     return K.exact_sample(s.umis, 200, md5_order("read_name"), "read_name").select("read_name", "barcode")

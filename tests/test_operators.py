@@ -1,5 +1,9 @@
+import hashlib
 import itertools
 import math
+import os
+import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -7,6 +11,10 @@ from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
 from quillon.operators import barcodes, counts, metrics, power, reads, variants
+from quillon.plans.queries import QUERIES
+from quillon.plans.views import view
+
+SF = "/root/testdata/sf0.001"
 
 #: Reads of both alleles, error, call, quality, likelihoods, log odds: computed from the model with math.lgamma.
 GOLDEN = [
@@ -92,6 +100,39 @@ def test_saturation_depths():
     assert counts.saturation_depths(5000, 1) == [5000, 2500, 1000, 500] and counts.saturation_depths(5, 0) == [0]
 
 
+def saturation_by_force(rows, depths):
+    """rows (read_name, barcode, GN, UB) against the depths: depth to medians and saturation; the first depth has all rows."""
+    rows = sorted(rows, key=lambda r: (hashlib.md5(f"{r[0]}:42".encode()).hexdigest(), r[0]))
+    n_cells, out = len({r[1] for r in rows}), {0: (0.0, 0.0, 0.0)}
+    for d in depths:
+        own = rows if d == depths[0] else rows[: d * n_cells]
+        umis, genes = defaultdict(set), defaultdict(set)
+        for _, b, g, u in own:
+            umis[b].add((g, u))
+            genes[b].add(g)
+        out[d] = (float(np.median([*map(len, umis.values())])), float(np.median([*map(len, genes.values())])), round(1 - sum(map(len, umis.values())) / len(own), 6))
+    return out
+
+
+def test_saturation_of_all_reads(spark):
+    rng = random.Random(4)
+    rows = [(f"r{i}", f"c{rng.randint(0, 2)}", f"g{rng.randint(0, 40)}", f"u{rng.randint(0, 60)}") for i in range(31_001)]
+    df = spark.createDataFrame(rows, "read_name string, barcode string, GN string, UB string").withColumn("mapping_quality", F.lit(255))
+    other = df.limit(50).withColumn("barcode", F.lit("no cell"))
+    curve = counts.saturation_of(df.union(other), df.select("barcode").distinct(), F.md5(F.concat_ws(":", "read_name", F.lit("42"))))
+    got = {r[0]: tuple(r)[1:] for r in curve.collect()}
+    assert got == saturation_by_force(rows, [10333, 10000, 2500, 1000, 500])
+    assert counts.saturation_at(curve).first().asDict() == {"saturation_10000": got[10000][2], "saturation_20000": None}
+    assert [tuple(r) for r in counts.saturation_of(df.limit(0), df.limit(0).select("barcode"), F.col("read_name")).collect()] == [(0, 0.0, 0.0, 0.0)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_saturation_query_sees_all_reads(spark):
+    valid = reads.valid_rna(view(spark, SF, "umis")).select("read_name", "barcode", "GN", "UB").collect()
+    top = len(valid) // len({r.barcode for r in valid})
+    assert {r[0]: tuple(r)[1:] for r in QUERIES["saturation_curve_all"](spark, SF).collect()} == saturation_by_force(list(map(tuple, valid)), [top])
+
+
 def test_samples_are_nested(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("read_name"))
     few, many = ({r.read_name for r in counts.exact_sample(df, n, counts.seeded(1), "read_name").collect()} for n in (50, 200))
