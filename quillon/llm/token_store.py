@@ -189,7 +189,6 @@ class Chunks:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = kind
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1

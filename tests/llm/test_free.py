@@ -233,6 +233,20 @@ def test_chunks_are_the_tokenizers(tmp_path):
     assert often.tolist() == np.bincount(ids, minlength=chunks.size).tolist()
 
 
+def test_special_strings_as_the_tokenizer_has_them():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path, rng = token_store.model_path(), random.Random(6)
+    plain, chunks = Tokenizer.from_file(path), token_store.Chunks(path, "<u2")
+    letters = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "a", "é", "\u0301", ".", ",", " ", "\n", "\u3000", "1"]
+    texts = ["a <|endoftext|> b", *["".join(rng.choice(letters) for _ in range(rng.randint(0, 9))) for _ in range(1500)]]
+    ids, ends, _ = chunks.encode(pa.array(texts))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 321]
+    assert ids.tolist() == [i for w in want for i in w] and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+
+
 def test_token_round_trip(odd, none):
     path = token_store.model_path()
     got = token_store.round_trip(odd, path, end=1, with_ids=True).collect()
