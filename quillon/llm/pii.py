@@ -102,7 +102,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, t, th = [], [], []
         for x in b.column(0).to_pylist():
             x = x or ""
-            often.update(set(map(term, x.split())))
+            often.update(set(map(term, _WORD.findall(x))))
             if len(often) > MIND:  # counts stay lower bounds
                 often = Counter({k: v for k, v in often.items() if v > 1})
                 if len(often) > MIND // 2:
@@ -151,7 +151,7 @@ def _spans(at: int, rest: list[int], bits, names: list[str]):
                     x = x or ""
                     spans = base_spans(x)
                     own = []
-                    if any([maybe[w] for w in set(x.split())]):
+                    if any([maybe[w] for w in set(_WORD.findall(x))]):
                         for m in _WORD.finditer(x):
                             if t := maybe[m[0]]:
                                 s = m.start() + len(m[0]) - len(m[0].lstrip(_EDGE))

@@ -172,6 +172,16 @@ def test_disclosing_terms(spark):
     assert [tuple(x)[:3] for x in got[1].base] == naive(got[1].text)
 
 
+def test_terms_with_other_white_space(spark):
+    """Words end at ASCII white space only: a term may hold any other, and its parts are no terms."""
+    rows = [(i, f"the zebra\u00a0finch\u3000 and bird{' x' * (i % 3)} wrote from bob@mail.example.com the {i}") for i in range(6)]
+    rows += [(50, "only zebra\u00a0finch\u3000 here"), (51, "only bird here")]
+    rows += [(100 + i, f"the plain text number {i} and bird\u0085x of the rest") for i in range(200)]
+    got = {r.doc_id: [(r.text[x.s : x.e], x.k) for x in r.all_spans] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[50] == [("zebra\u00a0finch\u3000", 4)] and got[51] == [("bird", 4)] and got[150] == []
+    assert all(("bird", 4) in got[i] and ("zebra\u00a0finch\u3000", 4) in got[i] for i in range(6))
+
+
 def test_pii_on_odd_rows(odd, none):
     got = pii.find(odd.withColumn("base", F.lit("clash"))).collect()
     assert len(got) == odd.count()
