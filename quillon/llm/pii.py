@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,6 +37,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: Frequent terms of which a task tells the counts, terms it keeps in mind, and bits of the map of terms that may disclose.
 FREQUENT, MIND, BITS = 20_000, 600_000, 1 << 23
+#: Letters of a term that is kept as it is.
+LONG = 256
 _WORD = re.compile(WORD)
 _EDGE = ".,;:!?()[]{}\"'«»"
 
@@ -80,19 +83,23 @@ def entity(kind: int, value: str) -> int:
 
 
 def near(t: str, spans: list[tuple[int, int, int]]) -> set[tuple[int, str]]:
-    """(entity, term) of the terms around the spans."""
+    """(entity, term) of the `WINDOW` words on each side of the spans, however long they are; of a word that a span touches, the part outside."""
     out = set()
+    words = [m.span() for m in _WORD.finditer(t)]
+    starts, ends = [a for a, _ in words], [z for _, z in words]
     for s, k, e in spans:
         e_id = entity(k, t[s:e])
-        left, right, reach = t[max(0, s - 64 * WINDOW) : s], t[e : e + 64 * WINDOW], slice(-WINDOW, None)
-        for w in [*_WORD.findall(left)[reach], *_WORD.findall(right)[:WINDOW]]:
-            if (x := term(w)) and "@" not in x:
+        i, j = bisect_left(starts, s), bisect_right(ends, e)
+        for w in [*(t[a : min(z, s)] for a, z in words[max(0, i - WINDOW) : i]), *(t[max(a, e) : z] for a, z in words[j : j + WINDOW])]:
+            if "@" not in w and (x := term(w)):
                 out.add((e_id, x))
     return out
 
 
 def term(word: str) -> str:
-    return word.strip(_EDGE).lower()
+    """The word without edges in lower case; if it is long, a blank and its hash, so that counts of long words stay small."""
+    x = word.strip(_EDGE).lower()
+    return x if len(x) <= LONG else f" {xxhash.xxh3_128_hexdigest(x.encode('utf-8', 'surrogatepass'))}"
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

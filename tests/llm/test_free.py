@@ -182,6 +182,22 @@ def test_terms_with_other_white_space(spark):
     assert all(("bird", 4) in got[i] and ("zebra\u00a0finch\u3000", 4) in got[i] for i in range(6))
 
 
+def test_words_near_spans():
+    """Against slices of the text, with words of any length."""
+    rng = random.Random(8)
+    for _ in range(2000):
+        t = "".join(rng.choice(["a@b.co", "1.2.3.4", "+1 234 567 890", "w" * rng.choice([1, 3, 70, 700]), "Ab.", "(", "\u00a0", " ", " ", "\n"]) for _ in range(rng.randint(0, 40)))
+        spans, want = pii.base_spans(t), set()
+        for s, k, e in spans:
+            for w in [*re.findall(pii.WORD, t[:s])[-8:], *re.findall(pii.WORD, t[e:])[:8]]:
+                if (x := pii.term(w)) and "@" not in w:
+                    want.add((pii.entity(k, t[s:e]), x))
+        assert pii.near(t, spans) == want
+    far = pii.near(f"first {'x' * 600} a@b.co {'y' * 600} last", [(607, 0, 613)])
+    assert {"first", "last", pii.term("x" * 600), pii.term("y" * 600)} == {x for _, x in far}
+    assert len(pii.term("x" * 600)) < 40 and pii.term("x" * 600) != pii.term("x" * 601)
+
+
 def test_pii_on_odd_rows(odd, none):
     got = pii.find(odd.withColumn("base", F.lit("clash"))).collect()
     assert len(got) == odd.count()
