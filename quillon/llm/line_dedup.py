@@ -1,13 +1,13 @@
-"""Line deduplication: suffix array over line ids by prefix doubling, in DataFrame functions only.
+"""Line deduplication: groups of equal runs of lines, by hashes from prefix doubling, in DataFrame functions only.
 
-The suffixes are the places (document, line). Names of prefixes of 1, 2, 4, ... lines come by doubling: the name of
-2m lines is made of the names of the m lines at a place and of the m lines after them. Sorted by these names, suffixes
-with a common prefix stand together; such an interval of the suffix array, at the depth of its longest common prefix, is a repeated run.
+The suffixes are the places (document, line). Names (hashes) of prefixes of 1, 2, 4, ... lines come by doubling: the name of
+2m lines is made of the names of the m lines at a place and of the m lines after them. No suffix array is sorted and no longest
+common prefix is computed: runs of fixed depth, told apart by length and the names of their head and tail, are grouped instead. A group of two or more is a repeated run.
 Lines that occur once in the table end every run, so they leave before the first doubling.
-Of each interval the first place in the order of the table stays; in later ones the run's lines are deleted.
+Of each group the first place in the order of the table stays; in later ones the run's lines are deleted.
 
 A run counts if it has `min_words` words or more. Every such run is a union of shortest runs of that many words
-that start or end at each of its lines, so intervals of these depths suffice (at most `min_words` lines deep).
+that start or end at each of its lines, so runs of these depths suffice (at most `min_words` lines deep).
 
 Defined cases: the order is (doc_id, hash of the text, line), a null doc_id comes last; rows alike in id and text count as one
 row and are returned each, alike; blank lines belong to no run but go with a deleted run around them; null texts stay null, empty ones empty;
