@@ -4,7 +4,7 @@ Audio is resampled to `RATE`, cut into overlapping frames, and each frame's spec
 gives the sums of rectangles. Each of 16 filters compares two areas at each frame; the log ratio falls into one of four ranges, coded by two Gray bits. So a frame has an integer of 32 bits.
 
 Recordings with one fingerprint form a class, and one member stands for it. The integers are the keys of the index, which has all classes. Those that a query shares with a class vote for
-an offset; where `VOTES` or more agree, bits that differ at the best offsets are counted over the frames that overlap, and a share of `ERRORS` or less is a match.
+an offset, runs of equal integers with as many votes as they share frames; wherever `VOTES` or more agree, bits that differ are counted over the frames that overlap, and a share of `ERRORS` or less is a match.
 
 Defined cases: null audio has a null fingerprint and matches nothing; audio shorter than a filter's frames has an empty one and matches nothing; silence has a fingerprint as other sound, but doesn't vote; rows of one id are one recording each;
 an empty table gives an empty table; other columns pass through `fingerprints` unless they are named as its result.
@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 RATE, FRAME, HOP, SPAN = 4000, 1024, 256, 16
-VOTES, ERRORS, OVERLAP, BEST = 2, 0.1, 32, 3
+VOTES, ERRORS, OVERLAP = 2, 0.1, 32
 #: Ranges of a filter's log ratio.
 EDGES = (-0.35, 0.0, 0.35)
 #: What a filter compares: lower and upper half of its pitch classes, first and second half of its frames, opposite quarters, middle and outer frames.
@@ -124,9 +124,11 @@ def silence() -> int:
 
 
 def _keys(df: DataFrame, name: str, place: str) -> DataFrame:
-    """The frames of each class by their integers: of a run of equal ones the first, and none of silence, which tells no recording from another."""
-    own = F.filter(F.transform("fingerprint", lambda x, i: F.struct(i.alias(place), x.alias("key"), F.get("fingerprint", i - 1).alias("before"))), lambda s: (s["key"] != silence()) & ((s[place] == 0) | (s["key"] != s["before"])))
-    return df.select(F.col("class_id").alias(name), F.explode(own).alias("s")).select(name, f"s.{place}", "s.key")
+    """Runs of equal frames of each class by their integers, with their first and last frames; none of silence, which tells no recording from another."""
+    each = F.transform("fingerprint", lambda x, i: F.struct(i.alias("i"), x.alias("key"), F.get("fingerprint", i - 1).alias("before"), F.get("fingerprint", i + 1).alias("after")))
+    starts, ends = F.filter(each, lambda s: s["before"].isNull() | (s["before"] != s["key"])), F.filter(each, lambda s: s["after"].isNull() | (s["after"] != s["key"]))
+    runs = F.zip_with(starts, ends, lambda a, z: F.struct(a["i"].alias(f"{place}1"), z["i"].alias(f"{place}2"), a["key"].alias("key")))
+    return df.select(F.col("class_id").alias(name), F.explode(F.filter(runs, lambda s: s["key"] != silence())).alias("s")).select(name, "s.*")
 
 
 def align(found: DataFrame, is_query: Column) -> DataFrame:
@@ -135,9 +137,10 @@ def align(found: DataFrame, is_query: Column) -> DataFrame:
     asked = found.where(is_query & (F.size("fingerprint") > 0)).select("class_id").distinct()
     queries = reps.join(asked, "class_id", "left_semi")
     votes = _keys(queries, "query_class", "i").join(_keys(reps, "class_id", "j"), "key").where("query_class <> class_id")
-    votes = votes.groupBy("query_class", "class_id", (F.col("i") - F.col("j")).alias("offset")).agg(F.count("*").alias("votes")).where(f"votes >= {VOTES}")
-    best = W.partitionBy("query_class", "class_id").orderBy(F.desc("votes"), "offset")
-    few = votes.withColumn("_r", F.row_number().over(best)).where(f"_r <= {BEST}")
+    # two runs vote with the frames they share where their first frames meet, and where their last ones do
+    votes = votes.withColumn("n", F.least(F.col("i2") - F.col("i1"), F.col("j2") - F.col("j1")) + 1)
+    votes = votes.select("query_class", "class_id", "n", F.explode(F.array_distinct(F.array(F.col("i1") - F.col("j1"), F.col("i2") - F.col("j2")))).alias("offset"))
+    few = votes.groupBy("query_class", "class_id", "offset").agg(F.sum("n").alias("votes")).where(f"votes >= {VOTES}")
     # of two recordings apart by a part of a frame, neighbouring offsets are as good
     few = few.select("query_class", "class_id", F.explode(F.array(*[F.col("offset") + d for d in (-1, 0, 1)])).alias("offset")).distinct()
     both = few.join(queries.select(F.col("class_id").alias("query_class"), F.col("fingerprint").alias("x")), "query_class").join(reps.select("class_id", F.col("fingerprint").alias("y")), "class_id")

@@ -327,3 +327,24 @@ def test_recall_of_alignment(spark):
     found = media.classes(media.fingerprints(spark.createDataFrame(rows, "id long, audio binary")))
     got = {(r.query_class, r.class_id) for r in media.align(found, F.col("id") % 2 == 0).collect()}
     assert len(want) > 40 and len(got & want) >= 0.9 * len(want)
+
+
+def test_held_tones_align(spark):
+    """One tone, held for different times: a single run of one integer."""
+    rows = [(0, 0, [77] * 100), (1, 1, [77] * 130), (2, 2, [-9] * 100)]
+    got = media.align(spark.createDataFrame(rows, "id long, class_id long, fingerprint array<int>"), F.col("id") == 0).collect()
+    assert [(r.query_class, r.class_id, r.n_errors) for r in got] == [(0, 1, 0)]
+
+
+def test_every_offset_with_votes_is_tried(spark):
+    """Two frames agree at the right offset, three at each of four others."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(-(1 << 31), 1 << 31, 300)
+    y = x ^ (1 << rng.integers(0, 31, 300))
+    y[[7, 200]] = x[[7, 200]]
+    for k, o in enumerate((-40, -20, 20, 40)):
+        at = 60 + 10 * k + np.arange(3)
+        y[at] = x[at + o]
+    rows = [(0, 0, x.tolist()), (1, 1, y.tolist())]
+    got = media.align(spark.createDataFrame(rows, "id long, class_id long, fingerprint array<int>"), F.col("id") == 0).collect()
+    assert [(r.query_class, r.class_id, r.offset) for r in got] == [(0, 1, 0)]
