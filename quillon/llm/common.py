@@ -10,6 +10,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +90,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WS + "+"), lambda w: w != "")
 
 
+def portions(b: pa.RecordBatch, at: int, rows: int = 800, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of bounded numbers of rows and of bytes of column at, one row at least."""
+    each = np.nan_to_num(pc.binary_length(b.column(at)).to_numpy(zero_copy_only=False).astype(float))
+    lo = 0
+    while lo < b.num_rows:
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(each[lo : lo + rows]), size)))
+        yield b.slice(lo, min(hi, b.num_rows) - lo)
+        lo = hi
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,10 +16,13 @@ no image and an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +31,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm.common import cut, drop_scratch, scratch_path
+from quillon.llm.common import cut, drop_scratch, portions, scratch_path
 
 MAGIC, VERSION = 0x534E5251, 1
 BITS, LANES, BLOCK = 18, 128, 1 << 15
 #: Ids in an image, about.
 IMAGE = 1 << 20
-#: Words, and other chunks between spaces, of which a worker keeps the ids; those that come later are encoded each time.
-WORDS, CACHE = 1_000_000, 200_000
+#: Words and other chunks between spaces of which a worker keeps the ids; those that come later are encoded each time.
+CACHE = 1_200_000
+#: Characters among which one is looked for that can stand between chunks.
+SYMBOLS = range(0x2600, 0x27C0)
 _HEAD = struct.Struct("<5I4Q2I")
 _LEAST = np.uint64(1 << 31)
 
@@ -181,7 +186,8 @@ class Chunks:
     """Ids of the chunks between spaces. The tokenizer drops white space and joins nothing across it, so a text's ids are those of its chunks.
 
     Chunks of letters, with a full stop or comma behind or not, are looked up by their lower-cased letters: these are one word to the tokenizer, whose
-    last piece is marked as a word's end, so many new words are encoded as one text and cut apart again.
+    last piece is marked as a word's end, so many new words are encoded as one text and cut apart again. Other new chunks are cut apart at a character between them that is one id and that none of them holds.
+    A tokenizer of another kind encodes whole texts.
     """
 
     def __init__(self, path: str, kind: str) -> None:
@@ -189,91 +195,150 @@ class Chunks:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = kind
+        self.kind, self.by_chunk = kind, by_chunk(path)
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
-        self.tail = [b"", self.one("."), self.one(",")]
-
-    def one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, in lower case."""
-        got = list(map(self.words.get, words))
-        new = [w for w, x in zip(words, got, strict=True) if x is None]
-        own = {}
-        for lo in range(0, len(new), 2000):
-            part = new[lo : lo + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-            raw, cuts = ids.astype(self.kind).tobytes(), np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part) and cuts[-1] == len(ids):
-                edges = (cuts * np.dtype(self.kind).itemsize).tolist()
-                own.update(zip(part, [raw[a:z] for a, z in zip([0, *edges[:-1]], edges, strict=True)], strict=True))
-            else:  # a tokenizer that marks no ends
-                own.update((w, self.one(w)) for w in part)
-        if len(self.words) < WORDS:
-            self.words.update(own)
-        return [own[w] if x is None else x for w, x in zip(words, got, strict=True)]
-
-    def _others(self, chunks: list[str]) -> list[bytes]:
-        got = list(map(self.known.get, chunks))
-        new = [c for c, x in zip(chunks, got, strict=True) if x is None]
-        own = {c: np.array(e.ids, self.kind).tobytes() for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        if len(self.known) < CACHE:
-            self.known.update(own)
-        return [own[c] if x is None else x for c, x in zip(chunks, got, strict=True)]
+        self.mark, self.mark_id = self._mark()
+        self.words: dict[str, int] = {}
+        self.others: dict[str, int] = {}
+        #: Ids of all entries, one after the other; where each entry's start, and how many it has.
+        self.flat, self.start, self.count, self.n, self.used = np.empty(1 << 16, kind), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0, 0
+        self.tail = [self._add(np.array([], kind), np.array([0])), self._one("."), self._one(",")]
+
+    def _mark(self) -> tuple[str, int]:
+        """A symbol that is one id by itself, of several the last one of the vocabulary; or none."""
+        found = [("", -1)]
+        for c in map(chr, SYMBOLS) if self.by_chunk else ():
+            ids = self._ids(f"a {c} a")[1:-1].tolist()
+            if len(ids) == 1 and self.ends[ids[0]] and unicodedata.normalize("NFC", c) == c:
+                found.append((c, ids[0]))
+        return max(found, key=lambda x: x[1])
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Number of the first of the entries added."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
+        while self.n + len(sizes) > len(self.start):
+            self.start, self.count = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.count))
+        own = slice(self.n, self.n + len(sizes))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[own], self.count[own] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.n, self.used = self.n + len(sizes), self.used + len(ids)
+        return own.start
+
+    def _one(self, text: str) -> int:
+        ids = self._ids(text)
+        return self._add(ids, np.array([len(ids)]))
+
+    def _entries(self, chunks: list[str], known: dict[str, int], add, keep: bool) -> np.ndarray:
+        got = list(map(known.get, chunks))
+        new = [c for c, k in zip(chunks, got, strict=True) if k is None]
+        if new:
+            at = self.n
+            for lo in range(0, len(new), 2000):
+                add(new[lo : lo + 2000])
+            own = dict(zip(new, range(at, at + len(new)), strict=True))
+            if keep:
+                known.update(own)
+            got = [own[c] if k is None else k for c, k in zip(chunks, got, strict=True)]
+        return np.array(got, np.int64)
+
+    def _add_words(self, words: list[str]) -> None:
+        """Words of letters, in lower case."""
+        ids = self._ids(" ".join(words))
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(words) and cuts[-1] == len(ids):
+            self._add(ids, np.diff(cuts, prepend=0))
+        else:
+            for w in words:
+                self._one(w)
+
+    def _add_others(self, chunks: list[str]) -> None:
+        if self.mark and not any(self.mark in c for c in chunks):
+            ids = self._ids("".join([f"{c} {self.mark} " for c in chunks]))
+            cuts = np.flatnonzero(ids == self.mark_id)
+            if len(cuts) == len(chunks):
+                self._add(ids[ids != self.mark_id], np.diff(cuts, prepend=-1) - 1)
+                return
+        for c in chunks:
+            self._one(c)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, where each text's ids end, and how often each id occurs."""
-        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        texts = pc.fill_null(texts, "")
+        if not self.by_chunk:
+            each = [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            ids = np.concatenate([np.array([], self.kind), *each])
+            return ids, np.cumsum(np.array(list(map(len, each)), np.int64)), np.bincount(ids, minlength=self.size).astype(np.int64)
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         own = split.values.dictionary_encode()
         at, chunks = own.indices.to_numpy(), own.dictionary
         simple = pc.match_substring_regex(chunks, _SIMPLE)
         plain = chunks.filter(simple)
         stems = pc.utf8_lower(pc.utf8_rtrim(plain, ".,")).dictionary_encode()
-        units = self._words(stems.dictionary.to_pylist())
-        n = len(units)
-        units += self._others(chunks.filter(pc.invert(simple)).to_pylist())
-        units += self.tail
+        keep, n, used = self.n < CACHE, self.n, self.used
         # each chunk is a word or something else, and a tail, which may be empty
         mask = simple.to_numpy(zero_copy_only=False)
-        pairs = np.full((len(mask), 2), len(units) - 3)
-        pairs[mask, 0], pairs[~mask, 0] = stems.indices.to_numpy(), np.arange(n, len(units) - 3)
-        pairs[mask, 1] += pc.ends_with(plain, ".").to_numpy(zero_copy_only=False) + 2 * pc.ends_with(plain, ",").to_numpy(zero_copy_only=False)
-        size = np.fromiter(map(len, units), np.int64, len(units)) // np.dtype(self.kind).itemsize
-        flat, ends = _gathered(np.frombuffer(b"".join(units), self.kind), size, pairs.ravel())
+        pairs = np.full((len(mask), 2), self.tail[0])
+        pairs[mask, 0] = self._entries(stems.dictionary.to_pylist(), self.words, self._add_words, keep)[stems.indices.to_numpy()]
+        pairs[~mask, 0] = self._entries(chunks.filter(pc.invert(simple)).to_pylist(), self.others, self._add_others, keep)
+        pairs[mask, 1] = np.array(self.tail)[pc.ends_with(plain, ".").to_numpy(zero_copy_only=False) + 2 * pc.ends_with(plain, ",").to_numpy(zero_copy_only=False)]
+        flat, ends = _gathered(self.flat, self.start, self.count, pairs.ravel())
+        if not keep:
+            self.n, self.used = n, used
         size = np.diff(ends[1::2], prepend=0)
         often = np.bincount(flat, np.repeat(np.bincount(at, minlength=len(size)), size), self.size).astype(np.int64)
-        ids, ends = _gathered(flat, size, at)
+        ids, ends = _gathered(flat, np.cumsum(size) - size, size, at)
         return ids, np.concatenate(([0], ends))[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()], often
 
 
-def _gathered(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces of flat with the given sizes in the order of at, joined, and where each ends."""
+def by_chunk(path: str) -> bool:
+    """Whether the tokenizer lower-cases, drops white space before it looks for pieces, keeps words of letters whole, and marks each word's last piece."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+
+    def steps(part: dict | None, name: str) -> list[dict]:
+        return [] if part is None else part[name] if part["type"] == "Sequence" else [part]
+
+    normal, split, model = steps(spec["normalizer"], "normalizers"), steps(spec["pre_tokenizer"], "pretokenizers"), spec["model"]
+    regex = split[0].get("pattern", {}).get("Regex", "") if split and split[0]["type"] == "Split" else ""
+    return bool(
+        [x["type"] for x in normal] == ["NFC", "Replace", "Lowercase"] and normal[1]["pattern"] == {"Regex": "\\s+"} and normal[1]["content"] == " "
+        and "[\\p{L}]+|" in regex and regex.endswith("[^\\s\\p{L}\\p{N}]+") and split[0]["behavior"] == "Removed" and split[0]["invert"]
+        and [x["type"] for x in split[1:]] == ["ByteLevel"] and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+        and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or set(" \n") & set(t["content"]) for t in spec.get("added_tokens") or [])
+    )
+
+
+def _gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of flat with the given starts and sizes in the order of at, joined, and where each ends."""
     each = size[at]
     ends = np.cumsum(each)
-    return flat[np.repeat((np.cumsum(size) - size)[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)], ends
+    return flat[np.repeat(start[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 _SIMPLE = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
-#: One table of chunks for each worker process; the tasks that it runs share it.
-_CHUNKS: dict[tuple[str, str], Chunks] = {}
+
+
+@cache
+def chunks_of(path: str, kind: str) -> Chunks:
+    """One table of chunks for each worker process; the tasks that it runs share it. (A function of the module, for workers get copies of the globals that inner functions name.)"""
+    return Chunks(path, kind)
 
 
 def _tokens(path: str, end: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path, kind) not in _CHUNKS:
-            _CHUNKS[path, kind] = Chunks(path, kind)
-        chunks = _CHUNKS[path, kind]
+        chunks = chunks_of(path, kind)
         width = np.dtype(kind).itemsize
         count = np.zeros(max(chunks.size, end + 1), np.int64)
         for b in batches:
-            for lo in range(0, b.num_rows, 2000):
-                part = b.slice(lo, 2000)
+            for part in portions(b, 1, b.num_rows, 32_000_000):
                 flat, ends, often = chunks.encode(part.column(1))
                 count[: chunks.size] += often
                 count[end] += len(ends)

@@ -247,16 +247,34 @@ def test_images(n):
             token_store.read_image(bytes(broken), table)
 
 
-def test_chunks_are_the_tokenizers(tmp_path):
+@pytest.mark.parametrize("most", [token_store.CACHE, 5])
+def test_chunks_are_the_tokenizers(monkeypatch, texts, most):
+    """Against a tokenizer read anew, for whole texts; with room for few chunks all come out alike, and again when they are known."""
     import pyarrow as pa
+    from tokenizers import Tokenizer
 
-    chunks, rng = token_store.Chunks(token_store.model_path(), "<u2"), random.Random(5)
-    letters = ["́", "a", "E", "'s", "'", "‍", " ", "　", "\x1c", "É", "İ", "ß", "1", ".", "!", "中", "\U0001f600", "\n", ",", "Σ", "<|endoftext|>", "×"]
-    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
-    ids, ends, often = chunks.encode(pa.array(texts))
-    want = [chunks.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert ids.tolist() == [i for w in want for i in w] and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
-    assert often.tolist() == np.bincount(ids, minlength=chunks.size).tolist()
+    monkeypatch.setattr(token_store, "CACHE", most)
+    path, rng = token_store.model_path(), random.Random(5)
+    plain, chunks = Tokenizer.from_file(path), token_store.Chunks(path, "<u2")
+    assert chunks.by_chunk and chunks.mark
+    letters = ["́", "a", "E", "'s", "'", "‍", " ", "　", "\x1c", "É", "İ", "ß", "1", ".", "!", "中", "😀", "\n", ",", "Σ", "<|endoftext|>", "×", chunks.mark, "J̌", "각"]
+    own = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(1500)] + [t for _, t, *_ in texts] + [None, "", "x" * 5000, "word., Word,. ..."]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in own]
+    for _ in range(2):
+        ids, ends, often = chunks.encode(pa.array(own))
+        assert ids.tolist() == [i for w in want for i in w] and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+        assert often.tolist() == np.bincount(ids, minlength=chunks.size).tolist()
+
+
+def test_a_tokenizer_of_another_kind(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_store, "by_chunk", lambda path: False)
+    path, own = token_store.model_path(), ["a <|endoftext|> b", None, "", "Two words."]
+    ids, ends, often = token_store.Chunks(path, "<u2").encode(pa.array(own))
+    want = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids for t in own]
+    assert ids.tolist() == [i for w in want for i in w] and ends.tolist() == np.cumsum([len(w) for w in want]).tolist() and often.sum() == len(ids)
 
 
 def test_special_strings_as_the_tokenizer_has_them():
