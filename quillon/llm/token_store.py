@@ -38,7 +38,7 @@ BITS, LANES, BLOCK = 18, 128, 1 << 15
 #: Ids in an image, about.
 IMAGE = 1 << 20
 #: Words and other chunks between spaces of which a worker keeps the ids; those that come later are encoded each time.
-CACHE = 1_200_000
+CACHE = 700_000
 #: Characters among which one is looked for that can stand between chunks.
 SYMBOLS = range(0x2600, 0x27C0)
 _HEAD = struct.Struct("<5I4Q2I")
@@ -338,7 +338,7 @@ def _tokens(path: str, end: int, kind: str):
         width = np.dtype(kind).itemsize
         count = np.zeros(max(chunks.size, end + 1), np.int64)
         for b in batches:
-            for part in portions(b, 1, b.num_rows, 32_000_000):
+            for part in portions(b, 1, b.num_rows, 8_000_000):
                 flat, ends, often = chunks.encode(part.column(1))
                 count[: chunks.size] += often
                 count[end] += len(ends)
