@@ -7,6 +7,7 @@ import gc
 import re
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -104,6 +105,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bits of a map of ids, and ids it is used for at most.
+MAP_BITS, MAP_IDS = 1 << 24, 1 << 22
+
+
+def bit_map(ids: DataFrame, column: str) -> bytes:
+    """A map of fixed size with a bit for each id; other ids may share one. It comes as at most MAP_BITS / 64 rows."""
+    at = ids.select((F.crc32(F.col(column).cast("string")) % MAP_BITS).alias("k")).groupBy(F.expr("k div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(k % 64))")).alias("v")).toArrow()
+    out = np.zeros(MAP_BITS // 64, "<i8")
+    out[at.column("w").to_numpy()] = at.column("v").to_numpy()
+    return out.tobytes()
+
+
+def in_map(bits: bytes, value: int) -> bool:
+    k = zlib.crc32(str(value).encode()) % MAP_BITS
+    return bool(bits[k >> 3] >> (k & 7) & 1)
+
+
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """(id, component) of every vertex of the undirected edges; component is the smallest id reachable.
 

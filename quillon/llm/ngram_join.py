@@ -9,13 +9,14 @@ fragments, and sets are compared fragment by fragment:
   that overlap as far as similar sizes can differ.
 * Overlaps. A candidate pair's sets are cut into `PARTS` fragments; the overlap of each is counted by itself, and the counts are summed per pair.
 
-Equal sets form a class, and one member stands for it. In a bucket all members are first compared with the first document of the bucket, and pairs inside one component are
-settled by then. Other pairs of small buckets are compared in a second round, a few of each document before the rest, but for those that signatures rule out. In wide buckets, sets that may be similar must share n-grams in which they
-differ from the first document; the second round compares those that do. So no link between components is missed, and a group of copies costs about as many comparisons as it has members.
+Equal sets form a class, and one member stands for it. Every document is first compared with one or two others: the first document of most of its wide buckets, and of most of its small ones. Buckets whose documents
+lie in one component by then are settled. In small buckets with several components, the pairs of different components are looked at, a few of each document before the rest, but for those that signatures rule out. In wide ones, all documents are
+compared with one, that which most of them have been compared with; sets that may be similar must then share n-grams in which they differ from it, and pairs that do are compared. So no link between components is missed, and a
+group of copies costs about as many comparisons as it has members.
 
 Defined cases: null and empty texts, or texts of white space, have empty sets, which link with nothing; texts shorter than n words have their whole
-sequence as the one n-gram; rows of one doc_id are one document; rows with a null doc_id are returned with a null component; an empty table gives an empty table; other columns
-are ignored.
+sequence as the one n-gram; rows of one doc_id are one document, of which the row with the largest set counts (ties by the set's fingerprints) and all are returned, each with its own n_shingles; rows with a null doc_id are returned with a null component; an empty table gives an empty table; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.llm.common import components, cut, drop_scratch, release
+from quillon.llm.common import MAP_IDS, bit_map, components, cut, drop_scratch, in_map, portions, release
 
 #: Fragments whose overlaps are counted separately.
 PARTS = 8
@@ -145,8 +146,13 @@ def _list(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _often(n: int):
-    """Rows (gram, n): n-grams that many texts of a task hold, and of how many it knows."""
+def _prints(x: np.ndarray) -> tuple[int, int]:
+    """Two fingerprints of a set."""
+    return int(mix(x ^ _ODD[6]).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(x ^ _ODD[7])).view(np.int64)) if len(x) else 0
+
+
+def _scan(n: int):
+    """Rows (doc, size, s1, s2) of the texts' sets, and rows (gram, many): n-grams that many texts of a task hold, and of how many it knows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, count = Hashes(), np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -162,70 +168,109 @@ def _often(n: int):
 
         own, size = [], 0
         for b in batches:
-            for t in b.column(0):
-                own.append(ngrams(t.as_py(), n, hashes))
-                size += len(own[-1])
+            for part in portions(b, 1):
+                sets = [ngrams(t, n, hashes) for t in part.column(1).to_pylist()]
+                s1, s2 = zip(*map(_prints, sets), strict=True)
+                none = pa.nulls(len(sets), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), none, none], list(_SCAN))
+                own += sets
+                size += sum(map(len, sets))
                 if size > PORTION:
                     held, count = add(own)
                     own, size = [], 0
         if own:
             held, count = add(own)
-        yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(count)], ["gram", "n"])
+        none = pa.nulls(len(held), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(held.view(np.int64)), pa.array(count)], list(_SCAN))
 
     return run
 
 
-def frequent(docs: DataFrame, n: int) -> np.ndarray:
+_SCAN = ("doc", "n", "s1", "s2", "gram", "many")
+
+
+def frequent(seen: DataFrame) -> np.ndarray:
     """Sorted: at most FREQUENT n-grams that at least OFTEN documents hold, the most frequent first. They go to the end of the order; which they are changes no result."""
-    found = docs.select("text").mapInArrow(_often(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
-    rows = found.orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toPandas()
-    return np.sort(rows["gram"].to_numpy(np.int64).view(np.uint64))
+    found = seen.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("many").alias("many")).where(F.col("many") >= OFTEN)
+    rows = found.orderBy(F.desc("many"), "gram").limit(FREQUENT).select("gram").toArrow()
+    return np.sort(rows.column("gram").to_numpy().view(np.uint64))
 
 
-def _sets(n: int, pct: int, often):
+def _keys(n: int, pct: int, often, marks, marked: bool):
+    """Rows (doc, s1, s2, keys) of the marked documents, or (doc, keys) of the others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, levels, last = Hashes(), Levels(pct), often.value
+        hashes, levels, last, bits = Hashes(), Levels(pct), often.value, marks.value if marks else None
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                size, s1, s2, keys, sigs = [], [], [], [], []
-                for t in part.column(1):
+            for part in portions(b, 1):
+                docs, keys, prints = [], [], []
+                for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    if d is None or (bits is None or in_map(bits, d)) != marked:
+                        continue
                     x = ngrams(t.as_py(), n, hashes)
-                    size.append(len(x))
-                    s1.append(int(mix(x ^ _ODD[6]).sum(dtype=np.uint64).view(np.int64)))
-                    s2.append(int(np.bitwise_xor.reduce(mix(x ^ _ODD[7])).view(np.int64)) if len(x) else 0)
-                    keys.append(levels.keys(x, last) if len(x) else x)
-                    sigs.append(signature(x))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), _list(keys), _list(sigs)], ["doc", "n", "s1", "s2", "keys", "sig"])
+                    if len(x):
+                        docs.append(d)
+                        keys.append(levels.keys(x, last))
+                        if marked:
+                            prints.append(_prints(x))
+                if docs:
+                    more = [pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)] if marked else []
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *more, _list(keys)], ["doc", *["s1", "s2"][: len(more)], "keys"])
 
     return run
 
 
-def _parts(n: int):
+def _parts(n: int, marks):
+    """Rows (doc, s1, s2, g, n, own) of the marked documents: their n-grams by fragment, and the size of the set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
+        hashes, bits = Hashes(), marks.value if marks else None
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part = b.slice(at, 200)
-                docs, nums, sets = [], [], []
-                for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    x = ngrams(t, n, hashes)
+            for part in portions(b, 1, 200, 1_000_000):
+                rows = [[], [], [], [], []]
+                for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    if d is None or bits is not None and not in_map(bits, d):
+                        continue
+                    x = ngrams(t.as_py(), n, hashes)
                     edges = np.searchsorted(x, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(61))
-                    for g, own in enumerate(np.split(x, edges)):
+                    for c, v in zip(rows, ([d] * PARTS, [_prints(x)] * PARTS, range(PARTS), [len(x)] * PARTS, np.split(x, edges)), strict=True):
+                        c.extend(v)
+                if rows[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), *[pa.array([p[k] for p in rows[1]], pa.int64()) for k in (0, 1)], pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.int64()), _list(rows[4])], list(_PARTS))
+
+    return run
+
+
+_PARTS = {"doc": "long", "s1": "long", "s2": "long", "g": "int", "n": "long", "own": "array<long>"}
+
+
+def _signatures(n: int, marks):
+    """Rows (doc, s1, s2, n, sig) of the marked documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bits = Hashes(), marks.value if marks else None
+        for b in batches:
+            for part in portions(b, 1):
+                docs, sets = [], []
+                for d, t in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    if d is not None and (bits is None or in_map(bits, d)):
                         docs.append(d)
-                        nums.append(g)
-                        sets.append(own)
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(nums, pa.int32()), _list(sets)], ["doc", "g", "own"])
+                        sets.append(ngrams(t.as_py(), n, hashes))
+                if docs:
+                    s1, s2 = zip(*map(_prints, sets), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), _list(list(map(signature, sets)))], ["doc", "s1", "s2", "n", "sig"])
 
     return run
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, lead, doc) of keys with two documents or more; only a key's first document is kept in mind."""
-    key0 = lead0 = None
+    """Rows (key, lead, doc) of keys with two documents or more, from rows sorted by key and doc; only a key's first document is kept in mind."""
+    key0 = lead0 = doc0 = None
     told = False
     for b in batches:
         key, doc = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+        again = np.concatenate(([key0 is not None and (key[0], doc[0]) == (key0, doc0)], (key[1:] == key[:-1]) & (doc[1:] == doc[:-1]))) if len(key) else np.empty(0, bool)
+        key, doc = key[~again], doc[~again]
         if not len(key):
             continue
         new = np.concatenate(([key0 is None or key[0] != key0], key[1:] != key[:-1]))
@@ -237,27 +282,29 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         more = single[group + 1] > 1
         more |= group == -1
         out = [key[more], lead[more], doc[more]]
-        if len(group) and group[0] == -1 and not told:
+        if group[0] == -1 and not told:
             out = [np.concatenate(([v], o)) for v, o in zip((key0, lead0, lead0), out, strict=True)]
             told = True
         if len(starts):
             i = starts[-1]
             key0, lead0, told = key[i], doc[i], bool(more[i])
+        doc0 = doc[-1]
         if len(out[0]):
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], ["key", "lead", "doc"])
 
 
-def _plausible(pairs: DataFrame, sigs: DataFrame, pct: int, *more: str) -> DataFrame:
-    """The pairs (a, b) whose sizes and signatures allow the similarity. A longer signature is folded to the length of the shorter."""
-    both = pairs.join(sigs.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sig").alias("x")), "a").join(sigs.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("y")), "b")
-    both = both.where(100 * F.least("na", "nb") >= pct * F.greatest("na", "nb"))
+def _plausible(pairs: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and then signatures allow the similarity. A longer signature is folded to the length of the shorter."""
+    size = lambda c: sigs.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"))
+    both = pairs.join(size("a"), "a").join(size("b"), "b").where(100 * F.least("na", "nb") >= pct * F.greatest("na", "nb"))
+    both = both.join(sigs.select(F.col("doc").alias("a"), F.col("sig").alias("x")), "a").join(sigs.select(F.col("doc").alias("b"), F.col("sig").alias("y")), "b")
 
     def folded(x: str, y: str) -> Column:
         n = F.size(y)
         return F.when(F.size(x) > n, F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(x))
 
     apart = F.aggregate(F.zip_with(folded("x", "y"), folded("y", "x"), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    return both.where(apart * (100 + pct) <= (F.col("na") + F.col("nb")) * (100 - pct)).select("a", "b", *more)
+    return both.where(apart * (100 + pct) <= (F.col("na") + F.col("nb")) * (100 - pct)).select("a", "b")
 
 
 def _met(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -267,10 +314,11 @@ def _met(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, ["b", "g"])
 
 
-def _scored(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, pct: int) -> DataFrame:
+def _scored(pairs: DataFrame, parts: DataFrame, pct: int) -> DataFrame:
     """(a, b, o, na, nb, linked): partial overlaps by fragment, summed, and whether the pair is similar enough."""
+    size = parts.where("g = 0")
     met = _met(pairs, parts).groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("x", "y")).cast("long")).alias("o"))
-    met = met.join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
+    met = met.join(size.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b")
     return met.withColumn("linked", 100 * F.col("o") >= pct * (F.col("na") + F.col("nb") - F.col("o")))
 
 
@@ -288,7 +336,8 @@ def _rest(scored: DataFrame, comp: DataFrame, parts: DataFrame, pct: int) -> Dat
     placed = placed.join(open_, "a", "left_semi").select("a", "b", "na", "nb", "linked", "cb", (F.col("na") + F.col("nb") - 2 * F.col("o")).alias("d"))
     apart = _met(placed.select("a", "b"), parts).select("a", "b", F.explode(F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).alias("tok"))
     apart = cut(apart, "apart")
-    often = apart.groupBy("a", "tok").agg(F.count("*").alias("c"))
+    # n-grams that no other set of the group has match nothing: they only count, as the first of the order
+    often = apart.groupBy("a", "tok").agg(F.count("*").alias("c")).where("c > 1")
     sets = apart.join(often, ["a", "tok"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("c", "tok"))).alias("toks"))
     sets = placed.join(sets, ["a", "b"], "left").withColumn("toks", F.coalesce("toks", F.array().cast("array<struct<c:bigint,tok:bigint>>")))
     most = F.floor(F.col("nb") * (100 - pct) / pct)  # n-grams in which a similar set differs at most
@@ -299,9 +348,10 @@ def _rest(scored: DataFrame, comp: DataFrame, parts: DataFrame, pct: int) -> Dat
     empty = F.array().cast("array<struct<tok:bigint,i:int>>")
 
     def first(share: Column) -> Column:
-        """The rarest n-grams with their places; those that no other set of the group has match nothing."""
-        own = F.slice("toks", F.lit(1), F.greatest(F.lit(0), F.least(F.col("d"), F.col("d") - F.greatest(share, F.lit(1)) + 1)).cast("int"))
-        return F.transform(F.filter(F.transform(own, lambda t, i: F.struct(t["c"].alias("c"), t["tok"].alias("tok"), i.alias("i"))), lambda t: t["c"] > 1), lambda t: F.struct(t["tok"].alias("tok"), t["i"].alias("i")))
+        """The rarest n-grams with their places; toks has those that other sets of the group have too, behind `alone` others."""
+        alone = (F.col("d") - F.size("toks")).cast("int")
+        own = F.slice("toks", F.lit(1), F.greatest(F.lit(0), F.least(F.col("d"), F.col("d") - F.greatest(share, F.lit(1)) + 1).cast("int") - alone))
+        return F.transform(own, lambda t, i: F.struct(t["tok"].alias("tok"), (i + alone).alias("i")))
 
     small = F.concat(first(share), F.when(F.col("linked") & (share <= 0), F.array(none)).otherwise(empty))
     large = F.concat(first(share_large), F.when(~F.col("linked") & (F.col("d") <= most), F.array(none)).otherwise(empty))
@@ -325,52 +375,120 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.join(a, "a", "left").join(b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
 
 
+def _placed(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """rows (key, doc, other columns) with c, the document's component."""
+    return rows.join(comp.select(F.col("id").alias("doc"), "component"), "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component")
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The keys of buckets with several components."""
+    return placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+
+
+def _most(rows: DataFrame, by: str, what: str) -> DataFrame:
+    """Of each `by` the `what` that most rows have; of several, the least."""
+    return rows.groupBy(by, what).agg(F.count("*").alias("_m")).groupBy(by).agg(F.max_by(what, F.struct("_m", -F.col(what))).alias(what))
+
+
+class _Sets:
+    """The n-gram sets of documents asked for. Their texts are found by a bit map of fixed size, so texts aren't shuffled; if there are too many documents for it, texts are joined."""
+
+    def __init__(self, docs: DataFrame, n: int, reps: DataFrame, twice: bool) -> None:
+        self.docs, self.n, self.reps, self.twice, self.spark = docs, n, reps, twice, docs.sparkSession
+
+    def of(self, ids: DataFrame, made, schema: str, what: str) -> DataFrame:
+        """ids: one column doc."""
+        if ids.count() <= MAP_IDS:
+            out = self.docs.mapInArrow(made(self.n, self.spark.sparkContext.broadcast(bit_map(ids, "doc"))), schema)
+        else:
+            out = self.docs.join(ids, "doc", "left_semi").mapInArrow(made(self.n, None), schema)
+        if self.twice:  # ids with several rows: one row of the text that counts
+            out = out.join(self.reps.select("doc", "s1", "s2"), ["doc", "s1", "s2"], "left_semi").dropDuplicates([c for c in ("doc", "g") if c in out.columns])
+        return cut(out.drop("s1", "s2"), what)
+
+
 def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, pct: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: groups linked by Jaccard similarities of pct / 100 or more of word n-gram sets."""
-    docs = df.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    often = df.sparkSession.sparkContext.broadcast(frequent(docs, n))  # at most 8 * FREQUENT bytes
-    sets = cut(docs.mapInArrow(_sets(n, pct, often), "doc long, n long, s1 long, s2 long, keys array<long>, sig array<long>"), "sets")
-    bare = cut(sets.select("doc", "n", "s1", "s2"), "sizes")
-    known = sets.where("doc IS NOT NULL AND n > 0")
-    classes = cut(bare.where("doc IS NOT NULL AND n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("c")), "classes")
-    copies = bare.where("doc IS NOT NULL AND n > 0").join(classes.where("c > 1"), ["n", "s1", "s2"]).where("doc <> rep").select("doc", "rep")
-    shown = known.join(copies.select("doc"), "doc", "left_anti").select(F.explode("keys").alias("key"), "doc")
+    spark = df.sparkSession
+    docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
+    seen = cut(docs.mapInArrow(_scan(n), "doc long, n long, s1 long, s2 long, gram long, many long"), "sets")
+    often = spark.sparkContext.broadcast(frequent(seen))  # at most 8 * FREQUENT bytes
+    bare = seen.where("gram IS NULL").select("doc", "n", "s1", "s2")
+    # of several rows of an id the largest set counts, ties by its fingerprints
+    each = cut(bare.where("doc IS NOT NULL").groupBy("doc").agg(F.max(F.struct("n", "s1", "s2")).alias("x"), F.count("*").alias("c")).where("x.n > 0").select("doc", "x.*", "c"), "sizes")
+    classes = each.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("k")).where("k > 1")
+    copies = cut(each.join(classes, ["n", "s1", "s2"]).where("doc <> rep").select("doc", "rep"), "copies")
+    reps = each.join(copies.select("doc"), "doc", "left_anti")
+    twice = not each.where("c > 1").isEmpty()
+    marked = cut(copies.select("doc").union(each.where("c > 1").select("doc")).distinct(), "marked")
+    shown, many = None, marked.count()
+    marks = spark.sparkContext.broadcast(bit_map(marked, "doc")) if many <= MAP_IDS else None
+    if many:  # documents that may be copies: only one of each class shows its fragments
+        shown = docs.mapInArrow(_keys(n, pct, often, marks, True), "doc long, s1 long, s2 long, keys array<long>").join(reps.select("doc", "s1", "s2"), ["doc", "s1", "s2"], "left_semi").select(F.explode("keys").alias("key"), "doc")
+    if marks:
+        rest = docs.mapInArrow(_keys(n, pct, often, marks, False), "doc long, keys array<long>").select(F.explode("keys").alias("key"), "doc")
+        shown = shown.union(rest) if shown else rest
     shown = shown.repartition("key").sortWithinPartitions("key", "doc")
     shared = cut(shown.mapInArrow(_stars, "key long, lead long, doc long"), "shared")
-    del shown, known
-    release(df.sparkSession)
+    del shown
+    release(spark)
+    sets = _Sets(docs, n, reps, twice)
+    sigs = sets.of(shared.select("doc").distinct(), _signatures, "doc long, s1 long, s2 long, n long, sig array<long>", "signatures")
     buckets = shared.groupBy("key").agg(F.count("*").alias("c"))
     # of a wide bucket, the document that most wide buckets hold comes first: it is close to most of a group, and most of the group's buckets have it
-    rows = shared.join(buckets.where(F.col("c") > SMALL), "key", "left_semi").select("key", "doc")
-    held = rows.groupBy("doc").agg(F.count("*").alias("m"))
-    leads = rows.join(held, "doc").groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"))
-    wide = cut(rows.join(leads, "key").where("lead <> doc").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "wide")
-    few = shared.join(buckets.where(F.col("c") <= SMALL), "key", "left_semi").select("key", "lead", "doc")
-    pairs = few.select("key", F.col("doc").alias("a"), "lead").join(few.select("key", F.col("doc").alias("b")), "key").where("a < b").groupBy("a", "b").agg(F.max(F.col("lead") == F.col("a")).alias("first"))
-    sigs = cut(sets.select("doc", "n", "sig").join(shared.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "signatures")
-    drop_scratch(sets)
-    pairs = cut(_plausible(pairs, sigs, pct, "first"), "pairs")
-    sizes = sigs.select("doc", "n")
-    first = wide.union(pairs.where("first").select("a", "b")).distinct()
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc")).union(wide.select(F.explode(F.array("a", "b")))).distinct()
-    # a sort-merge join at every size: its shuffle by doc also serves the step that keeps one row of an id
-    met = docs.join(used.hint("merge"), "doc", "left_semi").dropDuplicates(["doc"])
-    parts = cut(met.mapInArrow(_parts(n), "doc long, g int, own array<long>"), "parts")
-    scored = cut(_scored(first, parts, sizes, pct), "scored")
+    wide = cut(shared.join(buckets.where(F.col("c") > SMALL), "key", "left_semi").select("key", "doc"), "wide")
+    few = cut(shared.join(buckets.where(F.col("c") <= SMALL), "key", "left_semi").select("key", "lead", "doc"), "few")
+    held = wide.groupBy("doc").agg(F.count("*").alias("m"))
+    leads = wide.join(held, "doc").groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"))
+    # first each document is compared with one document: the first one of most of its wide buckets, and of most of its small ones
+    pick = cut(_most(wide.join(leads, "key").where("lead <> doc").select("doc", "lead"), "doc", "lead"), "first")
+    near = _plausible(_most(few.where("lead <> doc").select("doc", "lead"), "doc", "lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")), sigs, pct)
+    first = cut(pick.select(F.col("lead").alias("a"), F.col("doc").alias("b")).union(near).distinct(), "pairs")
+    both = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    schema = ", ".join(f"{k} {v}" for k, v in _PARTS.items())
+    asked = cut(both(first), "asked")
+    parts = sets.of(asked, _parts, schema, "parts")
+    scored = cut(_scored(first, parts, pct), "scored")
     links = scored.where("linked").select("a", "b")
     comp = cut(components(links), "comp")
-    open_ = _apart(pairs.where("NOT first").select("a", "b"), comp)
-    rest = _rest(scored.join(wide, ["a", "b"], "left_semi"), comp, parts, pct)
-    second = cut(_plausible(rest, sigs, pct).union(open_).distinct(), "pairs")
+    # small buckets with several components: the pairs of these
+    placed = _placed(few.select("key", "doc"), comp)
+    placed = placed.join(_open(placed), "key", "left_semi")
+    left, right = placed.select("key", F.col("doc").alias("a"), F.col("c").alias("ca")), placed.select("key", F.col("doc").alias("b"), F.col("c").alias("cb"))
+    pairs = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
+    done = scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = cut(_plausible(pairs.join(done, ["a", "b"], "left_anti"), sigs, pct), "pairs")
+    # wide buckets with several components: what all their documents are compared with is the one that most of them have been compared with
+    placed = _placed(wide, comp)
+    placed = cut(placed.join(_open(placed), "key", "left_semi").join(pick, "doc", "left").select("key", "doc", "lead"), "open")
+    refs = _most(placed.where("lead IS NOT NULL").select("key", "lead"), "key", "lead").withColumnRenamed("lead", "a")
+    group = cut(placed.join(refs, "key").where("doc <> a").select("a", F.col("doc").alias("b")).distinct(), "group")
+    extra = cut(group.join(scored.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    new = cut(both(pairs.union(extra)).join(asked, "doc", "left_anti"), "asked")
+    if not new.isEmpty():
+        parts = parts.union(sets.of(new, _parts, schema, "parts"))
+    if not extra.isEmpty():
+        more = cut(_scored(extra, parts, pct), "scored")
+        scored = scored.union(more)
+        links = cut(links.union(more.where("linked").select("a", "b")), "links")
+        comp = cut(components(links), "comp")
+    second = _apart(pairs, comp)
+    if not group.isEmpty():
+        rest = _rest(scored.join(group, ["a", "b"], "left_semi"), comp, parts, pct)
+        second = second.union(_plausible(rest, sigs, pct))
+    second = cut(second.distinct(), "pairs")
     # some pairs of each document first: those that link settle most of the others
     nth = lambda c, o: F.row_number().over(W.partitionBy(c).orderBy(F.xxhash64(o)))
     some = cut(second.withColumns({"i": nth("a", "b"), "j": nth("b", "a")}).where(F.least("i", "j") <= SOME).select("a", "b"), "pairs")
-    links = cut(links.union(_scored(some, parts, sizes, pct).where("linked").select("a", "b")), "links")
-    comp = cut(components(links), "comp")
-    last = cut(_apart(second.join(some, ["a", "b"], "left_anti"), comp), "pairs")
-    links = cut(links.union(_scored(last, parts, sizes, pct).where("linked").select("a", "b")), "links")
-    comp = components(links.union(copies.select(F.col("rep").alias("a"), F.col("doc").alias("b")))).withColumnRenamed("id", "doc")
-    drop_scratch(parts)
+    if not some.isEmpty():
+        links = cut(links.union(_scored(some, parts, pct).where("linked").select("a", "b")), "links")
+        comp = cut(components(links), "comp")
+        last = cut(_apart(second.join(some, ["a", "b"], "left_anti"), comp), "pairs")
+        if not last.isEmpty():
+            links = links.union(_scored(last, parts, pct).where("linked").select("a", "b"))
+    comp = cut(components(links.union(copies.select(F.col("rep").alias("a"), F.col("doc").alias("b")))).withColumnRenamed("id", "doc"), "comp")
+    for table in (shared, parts, wide, few):
+        drop_scratch(table)
     return bare.join(comp, "doc", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
 
 

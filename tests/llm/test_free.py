@@ -80,9 +80,11 @@ def groups(rows, n, pct):
     return {d: (len(sets[d]), root(d)) for d in sets}
 
 
-@pytest.mark.parametrize(("n", "pct", "small", "often"), [(3, 90, 32, 20), (2, 80, 4, 3), (1, 70, 32, 3)])
-def test_ngram_join(spark, monkeypatch, n, pct, small, often):
+@pytest.mark.parametrize(("n", "pct", "small", "often", "room"), [(3, 90, 32, 20, 1 << 22), (2, 80, 4, 3, 1 << 22), (1, 70, 32, 3, 0)])
+def test_ngram_join(spark, monkeypatch, n, pct, small, often, room):
+    """room 0: too many documents for the bit map. Some rows have an id that has another row with a larger set."""
     monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "MAP_IDS", room)
     monkeypatch.setattr(ngram_join, "OFTEN", often)
     rng = random.Random(n)
     words, rows = [f"w{i}" for i in range(3000)], []
@@ -95,8 +97,12 @@ def test_ngram_join(spark, monkeypatch, n, pct, small, often):
                 own[k : k + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 1) or own[k : k + 1]
             base = own if rng.random() < 0.3 else base
             rows.append((rng.randrange(10**9), " ".join(own)))
-    got = ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), n=n, pct=pct)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == groups(rows, n, pct)
+    rows += [(d, t.replace(" ", "\t").upper()) for d, t in rows[::9]]  # the same set again, under the same id or another
+    rows += [(d + 1, t) for d, t in rows[::11]]
+    want = groups(rows, n, pct)
+    less = [(d, " ".join(t.split()[:-2])) for d, t in rows[::7]]
+    got = ngram_join.similar_groups(spark.createDataFrame(rows + less, "doc_id long, text string").repartition(5), n=n, pct=pct).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted([(d, want[d][0], want[d][1]) for d, _ in rows] + [(d, groups([(d, t)], n, pct)[d][0], want[d][1]) for d, t in less])
 
 
 def test_ngram_join_on_odd_rows(odd, none):
