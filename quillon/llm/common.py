@@ -9,13 +9,15 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space between words: space and the characters 9 to 13.
 WS = r"[\x20\x09-\x0D]"
@@ -40,8 +42,8 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-#: Lists of the tables that cut() makes, for those who delete them together.
-_LISTS: list[list[str]] = []
+#: Lists of the tables that cut() makes, for those who delete them together. The first has all that are left; they go when the driver ends.
+_LISTS: list[list[str]] = [[]]
 
 
 @contextmanager
@@ -68,12 +70,26 @@ def delete(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
+    _LISTS[0][:] = [p for p in _LISTS[0] if p not in set(paths)]
+
+
+@atexit.register
+def _delete_the_rest() -> None:
+    """Tables that results were read from until the driver's end."""
+    gateway = SparkContext._gateway
+    if gateway and _LISTS[0]:
+        with suppress(Exception):  # the driver is ending, and a shared folder may be gone before it
+            conf = gateway.jvm.org.apache.hadoop.conf.Configuration()
+            for path in _LISTS[0]:
+                where = gateway.jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(conf).delete(where, True)
 
 
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files of a table made by cut() that no later result reads."""
-    base = shared_dir(df.sparkSession).replace("file:///", "file:/")
-    delete(df.sparkSession, [p for p in {f.rpartition("/")[0] for f in df.inputFiles()} if p.replace("file:///", "file:/").startswith(base)])
+    plain = lambda p: re.sub("^file:/+", "/", p)
+    found = {plain(f).rpartition("/")[0] for f in df.inputFiles()}
+    delete(df.sparkSession, [p for p in _LISTS[0] if plain(p) in found])
 
 
 def release(spark: SparkSession) -> None:
@@ -87,6 +103,34 @@ def keep(**columns: Column) -> Column:
     return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
 
 
+def name(c: str) -> str:
+    """A column's name as functions take it, whatever its characters."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def packed(df: DataFrame, made: list[str], drop: tuple[str, ...] = (), **named: Column) -> tuple[DataFrame, list[str]]:
+    """One column _row with all columns of df but those that are made anew or dropped, and the named ones beside it: so no name of df clashes with another. Also the names in _row."""
+    kept = [c for c in df.columns if c not in made and c not in drop]
+    row = F.struct(*[F.col(name(c)) for c in kept]) if kept else F.struct(F.lit(0).alias("_"))
+    return df.select(row.alias("_row"), *[c.alias(n) for n, c in named.items()]), kept
+
+
+def unpacked(df: DataFrame, kept: list[str], *made: str | Column) -> DataFrame:
+    """packed()'s columns again, and the made ones."""
+    return df.select(*[F.col("_row").getField(c).alias(c) for c in kept], *made)
+
+
+def with_fields(df: DataFrame, row: str, made: str) -> StructType:
+    """The schema of a column of df, and of the columns made."""
+    return StructType([df.schema[row], *StructType.fromDDL(made).fields])
+
+
+def split_join(left: DataFrame, right: DataFrame, on: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """left joined with right by keys of which right knows how many rows of left have them. Keys of more than a thousandth of `total` rows, fewer than 1000, are broadcast, so that none goes to one task as a whole."""
+    hot, rest = F.broadcast(right.where(F.col(count) > total / 1000)), right.where(F.col(count) <= total / 1000)
+    return left.join(hot, on, how).unionByName(left.join(hot, on, "left_anti").join(rest, on, how))
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WS + "+"), lambda w: w != "")
 

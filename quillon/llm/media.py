@@ -7,7 +7,8 @@ Recordings with one fingerprint form a class, and one member stands for it. The
 an offset, runs of equal integers with as many votes as they share frames; wherever `VOTES` or more agree, bits that differ are counted over the frames that overlap, and a share of `ERRORS` or less is a match.
 
 Defined cases: null audio has a null fingerprint and matches nothing; audio shorter than a filter's frames has an empty one and matches nothing; silence has a fingerprint as other sound, but doesn't vote; rows of one id are one recording each;
-an empty table gives an empty table; other columns pass through `fingerprints` unless they are named as its result.
+of offsets
+with the same share of wrong bits the least counts; an empty table gives an empty table; other columns pass through `fingerprints`, whatever their names, unless they are named as its result.
 """
 
 from __future__ import annotations
@@ -20,8 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillon.llm.common import cut, name, portions, split_join, unpacked, with_fields
+from quillon.llm.common import packed as in_rows
+
 RATE, FRAME, HOP, SPAN = 4000, 1024, 256, 16
 VOTES, ERRORS, OVERLAP = 2, 0.1, 32
+#: Tasks to which the runs of a frequent integer are dealt.
+SALT = 32
 #: Ranges of a filter's log ratio.
 EDGES = (-0.35, 0.0, 0.35)
 #: What a filter compares: lower and upper half of its pitch classes, first and second half of its frames, opposite quarters, middle and outer frames.
@@ -90,32 +96,28 @@ def fingerprint(audio: bytes | None, rate: int) -> np.ndarray | None:
     return None if audio is None else packed(chroma(np.frombuffer(audio[: len(audio) // 2 * 2], "<i2"), rate))
 
 
-def _fingerprints(at: int, rate: int | None, fixed: int, rest: list[int], names: list[str]):
+def _fingerprints(fixed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rates = b.column(rate).to_pylist() if rate is not None else [fixed] * b.num_rows
-            got = [fingerprint(x, r or fixed) for x, r in zip(b.column(at).to_pylist(), rates, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in rest), pa.array([None if g is None else g.tolist() for g in got], pa.list_(pa.int32()))], names=names)
+            for part in portions(b, 1, 500, 32_000_000):
+                got = [fingerprint(x, r or fixed) for x, r in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([None if g is None else g.tolist() for g in got], pa.list_(pa.int32()))], names=["_row", "fingerprint"])
 
     return run
 
 
 def fingerprints(df: DataFrame, audio: str = "audio", rate: str | int = RATE, drop_audio: bool = True) -> DataFrame:
     """df with fingerprint array<int>; rate: a column or a number."""
-    df = df.select(*[c for c in df.columns if c != "fingerprint"])
-    rest = [k for k, c in enumerate(df.columns) if not (drop_audio and c == audio)]
-    kept = [df.columns[k] for k in rest]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["fingerprint array<int>"])
-    where = df.columns.index(rate) if isinstance(rate, str) else None
-    return df.mapInArrow(_fingerprints(df.columns.index(audio), where, RATE if where is not None else rate, rest, [*kept, "fingerprint"]), schema)
+    own = F.col(name(rate)) if isinstance(rate, str) else F.lit(None)
+    rows, kept = in_rows(df, ["fingerprint"], (audio,) if drop_audio else (), _audio=F.col(name(audio)), _rate=own.cast("int"))
+    return unpacked(rows.mapInArrow(_fingerprints(RATE if isinstance(rate, str) else rate), with_fields(rows, "_row", "fingerprint array<int>")), kept, "fingerprint")
 
 
 def classes(prints: DataFrame, key: str = "id") -> DataFrame:
     """(id, class_id, fingerprint): class_id is the least id with the same fingerprint."""
-    known = prints.where(F.col(key).isNotNull()).withColumn("_h", F.xxhash64("fingerprint"))
-    least = known.where(F.size("fingerprint") > 0).groupBy("_h", F.size("fingerprint").alias("_n")).agg(F.min(key).alias("class_id"))
-    both = known.withColumn("_n", F.size("fingerprint")).join(least, ["_h", "_n"], "left")
-    return both.select(F.col(key).alias("id"), F.coalesce("class_id", F.col(key)).alias("class_id"), "fingerprint")
+    known = prints.select(F.col(name(key)).alias("id"), "fingerprint").where("id IS NOT NULL").withColumns({"h": F.xxhash64("fingerprint"), "n": F.size("fingerprint")})
+    least = known.where("n > 0").groupBy("h", "n").agg(F.min("id").alias("class_id"), F.count("*").alias("c"))
+    return split_join(known, least, ["h", "n"], "c", known.count()).select("id", "class_id", "fingerprint").unionByName(known.where("n <= 0 OR n IS NULL").select("id", F.col("id").alias("class_id"), "fingerprint"))
 
 
 def silence() -> int:
@@ -136,7 +138,13 @@ def align(found: DataFrame, is_query: Column) -> DataFrame:
     reps = found.where("id = class_id AND size(fingerprint) > 0")
     asked = found.where(is_query & (F.size("fingerprint") > 0)).select("class_id").distinct()
     queries = reps.join(asked, "class_id", "left_semi")
-    votes = _keys(queries, "query_class", "i").join(_keys(reps, "class_id", "j"), "key").where("query_class <> class_id")
+    asked_for, held = _keys(queries, "query_class", "i"), cut(_keys(reps, "class_id", "j"), "keys")
+    # integers of more than a thousandth of all runs, fewer than 1000: their runs are dealt to many tasks, each with all queries' runs of that integer
+    hot = F.broadcast(held.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > held.count() / 1000).select("key", F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("class_id"), F.lit(SALT))).otherwise(0).alias("salt")
+    held = held.join(hot, "key", "left").select("key", "class_id", "j1", "j2", salt)
+    asked_for = asked_for.join(hot, "key", "left").select("key", "query_class", "i1", "i2", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))).alias("salt"))
+    votes = asked_for.join(held.withColumn("salt", F.col("salt").cast("long")), ["key", "salt"]).where("query_class <> class_id")
     # two runs vote with the frames they share where their first frames meet, and where their last ones do
     votes = votes.withColumn("n", F.least(F.col("i2") - F.col("i1"), F.col("j2") - F.col("j1")) + 1)
     votes = votes.select("query_class", "class_id", "n", F.explode(F.array_distinct(F.array(F.col("i1") - F.col("j1"), F.col("i2") - F.col("j2")))).alias("offset"))

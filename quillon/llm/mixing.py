@@ -9,7 +9,7 @@ source's tokens are used up, and of the block in which they end the documents th
 Blocks hold about `BLOCK` documents, so no step orders more rows of a source than a block has, or than it has blocks.
 
 Defined cases: null sources are one source; a null or empty text has no tokens and a source without tokens is taken once; rows
-alike in id, source and text are taken together; an empty table gives an empty table; other columns pass through `mix` unless they are named as one of its results.
+alike in id, source and text are taken together; equal hashes of an order go by id; an empty table gives an empty table; other columns pass through `mix`, whatever their names, unless they are named as one of its results.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WORD, cut
+from quillon.llm.common import WORD, cut, name, packed, unpacked
 
 BLOCK = 4096
 #: The exponent is a multiple of 2 to the power of minus this; each round of the search halves the range `STEP` times.
@@ -68,8 +68,9 @@ def exponent(sources: DataFrame, max_repetition: float | None = None, entropy: f
 
 def plan(rows: DataFrame, max_repetition: float | None = 2.0, entropy: float | None = None, budget: float | None = None, seed: int = 1) -> DataFrame:
     """rows (doc_id, source, tokens, other keys) once for each time a document is taken, with PLAN."""
-    rows = cut(rows, "tokens")
-    keys = rows.columns
+    names = rows.columns
+    keys = ["_k", "doc_id", "source", "tokens"]
+    rows = cut(rows.select(F.struct(*map(name, names)).alias("_k"), "doc_id", "source", "tokens"), "tokens")
     sources = cut(rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")), "sources")
     real = sources.where("tokens > 0")
     alpha = exponent(real, max_repetition, entropy, budget)
@@ -100,23 +101,23 @@ def plan(rows: DataFrame, max_repetition: float | None = 2.0, entropy: float | N
     ranks = ranks.select(F.col("source").alias("_s"), F.col("_block").alias("_b"), F.col("epoch").alias("_e"), F.row_number().over(order).alias("block_rank"))
     taken = taken.join(ranks, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")) & (F.col("epoch") == F.col("_e")))
     inside = W.partitionBy("source", "_block", "epoch").orderBy(_order(seed, F.lit("place"), F.col("epoch"), F.col("doc_id")), "doc_id")
-    return taken.select(*keys, "weight", "epoch", "block_rank", F.row_number().over(inside).alias("place"))
+    return taken.select("_k", "weight", "epoch", "block_rank", F.row_number().over(inside).alias("place")).select("_k.*", *PLAN)
 
 
 def token_rows(df: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, source, th, tokens); tokens are words."""
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(F.col(text)).alias("th"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"))
+    rows = df.select(F.col(name(doc_id)).alias("doc_id"), F.col(name(source)).alias("source"), F.xxhash64(F.col(name(text))).alias("th"), F.coalesce(F.regexp_count(F.col(name(text)), F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"))
     return rows.groupBy("doc_id", "source", "th").agg(F.sum("tokens").alias("tokens"))
 
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """df's rows once for each time they are taken, with PLAN."""
     taken = plan(token_rows(df, text, source, doc_id), **how).select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("th").alias("_t"), *PLAN)
-    rest = [c for c in df.columns if c not in PLAN]
-    same = F.col(doc_id).eqNullSafe(F.col("_d")) & F.col(source).eqNullSafe(F.col("_s")) & (F.xxhash64(F.col(text)) == F.col("_t"))
-    return df.select(*rest).join(taken, same).select(*rest, *PLAN)
+    rows, kept = packed(df, PLAN, _d2=F.col(name(doc_id)), _s2=F.col(name(source)), _t2=F.xxhash64(F.col(name(text))))
+    same = F.col("_d2").eqNullSafe(F.col("_d")) & F.col("_s2").eqNullSafe(F.col("_s")) & (F.col("_t2") == F.col("_t"))
+    return unpacked(rows.join(taken, same), kept, *PLAN)
 
 
 def mixing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: every document stays, and documents of small sources come up to twice."""
-    return mix(docs, max_repetition=2.0).select(docs.columns)
+    return mix(docs, max_repetition=2.0).select(*map(name, docs.columns))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.llm.common import MAP_IDS, bit_map, components, cut, drop_scratch, in_map, portions, release
+from quillon.llm.common import MAP_IDS, bit_map, components, cut, drop_scratch, in_map, name, portions, release, split_join
 
 #: Fragments whose overlaps are counted separately.
 PARTS = 8
@@ -43,7 +43,7 @@ SOME = 2
 #: N-grams at the end of the order, at most, and documents that hold each, at least.
 FREQUENT, OFTEN = 200_000, 20
 #: N-grams of which a task sees at once which are frequent.
-PORTION = 4_000_000
+PORTION = 3_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
@@ -410,14 +410,14 @@ class _Sets:
 def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, pct: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: groups linked by Jaccard similarities of pct / 100 or more of word n-gram sets."""
     spark = df.sparkSession
-    docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
+    docs = df.select(F.col(name(doc_id)).cast("long").alias("doc"), F.col(name(text)).cast("string").alias("text"))
     seen = cut(docs.mapInArrow(_scan(n), "doc long, n long, s1 long, s2 long, gram long, many long"), "sets")
     often = spark.sparkContext.broadcast(frequent(seen))  # at most 8 * FREQUENT bytes
     bare = seen.where("gram IS NULL").select("doc", "n", "s1", "s2")
     # of several rows of an id the largest set counts, ties by its fingerprints
     each = cut(bare.where("doc IS NOT NULL").groupBy("doc").agg(F.max(F.struct("n", "s1", "s2")).alias("x"), F.count("*").alias("c")).where("x.n > 0").select("doc", "x.*", "c"), "sizes")
     classes = each.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("k")).where("k > 1")
-    copies = cut(each.join(classes, ["n", "s1", "s2"]).where("doc <> rep").select("doc", "rep"), "copies")
+    copies = cut(split_join(each, classes, ["n", "s1", "s2"], "k", each.count()).where("doc <> rep").select("doc", "rep"), "copies")
     reps = each.join(copies.select("doc"), "doc", "left_anti")
     twice = not each.where("c > 1").isEmpty()
     marked = cut(copies.select("doc").union(each.where("c > 1").select("doc")).distinct(), "marked")
@@ -496,4 +496,4 @@ def near_copy_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: the document with the smallest doc_id of each group stays."""
     groups = similar_groups(docs, n=5, pct=80)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*map(name, docs.columns))

@@ -49,8 +49,8 @@ bis AS (SELECT -1::BIGINT AS lo, (1::BIGINT << 30) AS hi UNION ALL
     FROM (SELECT *, (lo + hi) // 2 AS mid FROM bis WHERE hi - lo > 1), tot)),
 al AS (SELECT min(hi) / (1::BIGINT << 30) AS a FROM bis),
 z AS (SELECT a, sum(pow(tokens / total, a)) AS z, any_value(top * 1.0) AS top, any_value(total) AS total FROM src, tot, al WHERE tokens > 0 GROUP BY a),
-wt AS (SELECT source, tokens, docs, CASE WHEN tokens > 0 THEN round(pow(tokens / total, a) / z, 9) ELSE 0.0 END AS weight, top * z / pow(top / total, a) AS budget FROM src, z),
-du AS (SELECT *, CASE WHEN tokens > 0 THEN round(weight * budget)::BIGINT ELSE 0 END AS due FROM wt),
+wt AS (SELECT source, tokens, docs, CASE WHEN tokens > 0 THEN pow(tokens / total, a) / z ELSE 0.0 END AS share, round(share, 9) AS weight, top * z / pow(top / total, a) AS budget FROM src, z),
+du AS (SELECT *, CASE WHEN tokens > 0 THEN greatest(round(share * budget)::BIGINT, tokens) ELSE 0 END AS due FROM wt),
 s AS (SELECT source, weight, greatest(1, ceil(docs / 4096))::BIGINT AS n, CASE WHEN tokens > 0 THEN (due // tokens)::INT ELSE 1 END AS f, CASE WHEN tokens > 0 THEN due % tokens ELSE 0 END AS rest FROM du),
 pl AS (SELECT r.*, s.* EXCLUDE (source), ('0x' || substr(md5('1:block:' || doc_id), 1, 8))::BIGINT % n AS block FROM rows_ r JOIN s ON r.source IS NOT DISTINCT FROM s.source),
 bl AS (SELECT source, f, rest, block, sum(tokens) AS t FROM pl WHERE rest > 0 GROUP BY ALL),

@@ -7,8 +7,8 @@ least `GENERALISE` are generalised wherever they occur, and removed from `REMOVE
 Counts cover all documents. Tasks count the terms of their documents and pass on those near entities and, for the others, lower bounds of the frequent ones, which rule
 out common words. What may still disclose goes into a bit map of fixed size. A second scan counts and places the terms it lets through; the exact counts come from a join.
 
-Defined cases: null texts are empty; rows count as documents each; spans of the terms never overlap pattern spans; an empty table gives an empty table; other
-columns pass through `find` unless they are named as a result.
+Defined cases: null texts are empty; rows count as documents each, repeated ones too; spans of the terms never overlap pattern spans; a term that discloses several entities has the largest disclosure; spans with one start come in the order of their kinds; an
+empty table gives an empty table; other columns pass through `find`, whatever their names, unless they are named as a result.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WORD, cut
+from quillon.llm.common import WORD, cut, drop_scratch, name, packed, portions, unpacked, with_fields
 
 WINDOW, SUPPORT, GENERALISE, REMOVE = 8, 3, 0.9, 0.95
 #: Fixed values of the contract: kinds in their order, patterns, and what a match must meet.
@@ -67,7 +68,7 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the patterns, sorted."""
     out = [(s, 0, e) for s, e in emails(t)] if "@" in t else []
     if re.search("[0-9]", t):
-        out += [(m.start(), 1, m.end()) for m in IP.finditer(t) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+        out += [(m.start(), 1, m.end()) for m in IP.finditer(t) if all(len(x) <= 3 and int(x or 0) <= 255 for x in (x.lstrip("0") for x in m[0].split(".")))]
         for m in CARD.finditer(t):
             d = m[0].replace(" ", "").replace("-", "")
             if 12 <= len(d) <= 19 and luhn(d):
@@ -105,7 +106,7 @@ def term(word: str) -> str:
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (e, t, th, n): term t near entity e in a text; an entity alone (t null); and n documents with a frequent term (e null)."""
     often: Counter[str] = Counter()
-    for b in batches:
+    for b in (part for b in batches for part in portions(b, 0, 10_000)):
         e, t, th = [], [], []
         for x in b.column(0).to_pylist():
             x = x or ""
@@ -147,29 +148,30 @@ class Maybe(dict):
         return got
 
 
-def _spans(at: int, rest: list[int], bits, names: list[str]):
+def _spans(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maybe = Maybe(np.frombuffer(bits.value, np.uint8))
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
+            for part in portions(b, 1, 500):
                 base, hits = [], []
-                for x in part.column(at).to_pylist():
+                for x in part.column(1).to_pylist():
                     x = x or ""
                     spans = base_spans(x)
                     own = []
                     if any([maybe[w] for w in set(_WORD.findall(x))]):
+                        starts, ends = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
                         for m in _WORD.finditer(x):
                             if t := maybe[m[0]]:
                                 s = m.start() + len(m[0]) - len(m[0].lstrip(_EDGE))
                                 e = m.end() - len(m[0]) + len(m[0].rstrip(_EDGE))
-                                if not any(s < z and a < e for a, _, z in spans):
+                                before = bisect_left(starts, e)  # spans that start before the word ends
+                                if not before or ends[before - 1] <= s:
                                     own.append({"t": t, "s": s, "e": e})
                     base.append([{"s": s, "k": k, "e": e} for s, k, e in spans])
                     hits.append(own)
                 span = pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())])
                 hit = pa.struct([("t", pa.string()), ("s", pa.int32()), ("e", pa.int32())])
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in rest), pa.array(base, pa.list_(span)), pa.array(hits, pa.list_(hit))], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(base, pa.list_(span)), pa.array(hits, pa.list_(hit))], names=["_row", "base", "hits"])
 
     return run
 
@@ -181,29 +183,27 @@ def _disclosure(both: str, t: str, e: str, n: int) -> str:
 def find(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataFrame:
     """df with base and all_spans: arrays of (s, k, e, d) sorted by start and kind; k is the number in KINDS, d a term's disclosure."""
     spark = df.sparkSession
-    df = df.select(*[c for c in df.columns if c not in ("base", "all_spans")])
-    n = df.count()
-    seen = cut(df.select(F.col(text).cast("string")).mapInArrow(_pairs, "e long, t string, th long, n long"), "pairs")
+    rows, kept = packed(df, ["base", "all_spans"], (text,) if drop_text else (), _text=F.col(name(text)).cast("string"))
+    seen = cut(rows.select("_text").mapInArrow(_pairs, "e long, t string, th long, n long"), "pairs")
+    n = rows.count()
     alone = seen.where("e IS NOT NULL AND t IS NULL").groupBy("e").agg(F.sum("n").alias("ne"))
     both = seen.where("e IS NOT NULL AND t IS NOT NULL").groupBy("e", "t").agg(F.sum("n").alias("nb"), F.count_distinct("th").alias("texts")).where(f"texts >= {SUPPORT}")
     low = seen.where("e IS NULL").groupBy("t").agg(F.sum("n").alias("low"))
     pairs = cut(both.join(alone, "e").join(low, "t", "left").withColumn("nt", F.greatest("nb", F.coalesce("low", F.lit(0)))).where(f"ne < {n} AND {_disclosure('nb', 'nt', 'ne', n)} >= {GENERALISE}").select("e", "t", "nb", "ne"), "pairs")
     # one byte of the map for each group: at most BITS / 8 rows, whatever the number of terms
-    marks = pairs.select((F.crc32("t") % BITS).alias("k")).groupBy(F.expr("k div 8").alias("i")).agg(F.bit_or(F.expr("shiftleft(1, int(k % 8))")).alias("v"))
+    marks = pairs.select((F.crc32("t") % BITS).alias("k")).groupBy(F.expr("k div 8").alias("i")).agg(F.bit_or(F.expr("shiftleft(1, int(k % 8))")).alias("v")).toArrow()
     bits = np.zeros(BITS // 8, np.uint8)
-    for r in marks.toLocalIterator():
-        bits[r["i"]] = r["v"]
-    rest = [k for k, c in enumerate(df.columns) if not (drop_text and c == text)]
-    kept = [df.columns[k] for k in rest]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["base array<struct<s:int,k:int,e:int>>", "hits array<struct<t:string,s:int,e:int>>"])
-    placed = df.mapInArrow(_spans(df.columns.index(text), rest, spark.sparkContext.broadcast(bits.tobytes()), [*kept, "base", "hits"]), schema)
+    bits[marks.column("i").to_numpy()] = marks.column("v").to_numpy()
+    placed = rows.mapInArrow(_spans(spark.sparkContext.broadcast(bits.tobytes())), with_fields(rows, "_row", "base array<struct<s:int,k:int,e:int>>, hits array<struct<t:string,s:int,e:int>>"))
     placed = cut(placed.withColumn("_uid", F.monotonically_increasing_id()), "placed")
     hits = placed.where(F.size("hits") > 0).select("_uid", F.explode("hits").alias("h")).select("_uid", "h.*")
     count = hits.select("_uid", "t").distinct().groupBy("t").agg(F.count("*").alias("nt"))
     known = pairs.join(count, "t").withColumn("d", F.expr(_disclosure("nb", "greatest(nt, nb)", "ne", n))).groupBy("t").agg(F.max("d").alias("d")).where(F.col("d") >= GENERALISE)
     terms = hits.join(known, "t").groupBy("_uid").agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", "d")).alias("_terms"))
     base = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.lit(None).cast("double").alias("d")))
-    return placed.join(terms, "_uid", "left").select(*kept, base.alias("base"), F.sort_array(F.concat(base, F.coalesce("_terms", F.array().cast("array<struct<s:int,k:int,e:int,d:double>>")))).alias("all_spans"))
+    drop_scratch(seen)
+    both = placed.join(terms, "_uid", "left").select("_row", base.alias("_b"), "_terms")
+    return unpacked(both, kept, F.col("_b").alias("base"), F.sort_array(F.concat("_b", F.coalesce("_terms", F.array().cast("array<struct<s:int,k:int,e:int,d:double>>")))).alias("all_spans"))
 
 
 def listed(spans: str):
@@ -212,24 +212,20 @@ def listed(spans: str):
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kind, x["k"]), x["s"], x["e"])), ",")
 
 
-def _redacted(at: int, spans: int, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for t, own in zip(b.column(at).to_pylist(), b.column(spans).to_pylist(), strict=True):
-                parts, done = [], 0
-                for x in own or ():
-                    if x["s"] >= done:
-                        parts += [(t or "")[done : x["s"]], "" if x["d"] is not None and x["d"] >= REMOVE else f"[{KINDS[x['k']].upper()}]"]
-                    done = max(done, x["e"])
-                out.append(None if t is None else "".join([*parts, t[done:]]))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=names)
-
-    return run
+def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in (part for b in batches for part in portions(b, 1)):
+        out = []
+        for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            parts, done = [], 0
+            for x in own or ():
+                if x["s"] >= done:
+                    parts += [(t or "")[done : x["s"]], "" if x["d"] is not None and x["d"] >= REMOVE else f"[{KINDS[x['k']].upper()}]"]
+                done = max(done, x["e"])
+            out.append(None if t is None else "".join([*parts, t[done:]]))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["_row", "sanitised"])
 
 
 def sanitise(df: DataFrame, text: str = "text") -> DataFrame:
     """find()'s rows with sanitised: the text with kinds for pattern spans and weaker terms, and without the strongest terms."""
-    found = find(df.select(*[c for c in df.columns if c != "sanitised"]), text)
-    schema = ", ".join(f"`{c}` {found.schema[c].dataType.simpleString()}" for c in found.columns) + ", sanitised string"
-    return found.mapInArrow(_redacted(found.columns.index(text), found.columns.index("all_spans"), [*found.columns, "sanitised"]), schema)
+    found, kept = packed(find(df, text), ["sanitised"], _text=F.col(name(text)).cast("string"), _all=F.col("all_spans"))
+    return unpacked(found.mapInArrow(_redacted, with_fields(found, "_row", "sanitised string")), kept, "sanitised")

@@ -5,7 +5,7 @@ shrunk towards a beta prior fitted to all hosts by moments, and hosts whose shru
 rejected with all their documents.
 
 Defined cases: a null text counts as an empty one (no words: it fails); a null host is a host of its own;
-repeated rows count each and are all returned; an empty table gives an empty table; other columns of the input pass through
+repeated rows count each and are all returned; verdicts depend on no order, so there are no ties; an empty table gives an empty table; other columns of the input pass through
 `apply_rules` unless their names are those of a result column, which then replaces them.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WS, cut, keep, words
+from quillon.llm.common import WS, cut, keep, name, words
 
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate", "kept"]
 #: Up to so many different repeated windows a text is looked through once for each; beyond, windows are sorted with their places.
@@ -82,9 +82,9 @@ def apply_rules(df: DataFrame, text: str = "text", host: str = "source", max_hos
     rest = [c for c in df.columns if c not in RESULT]
     carried = [c for c in rest if not (drop_text and c == text)]
     # one table holds rows and measures, so that texts are looked through once
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    rows = df.select(F.struct(*[F.col(name(c)) for c in carried]).alias("_row"), F.col(name(text)).alias("_text"))
     part = cut(measures(rows, "_text", ("_row",)), "measures").withColumn("base_failed", base_failed(min_words, max_repeat_pct))
-    host_of = F.col(f"_row.`{host}`")
+    host_of = F.col("_row").getField(host)
     rates = host_rates(part.select(host_of.alias("_h"), (F.col("base_failed") | soft_failed()).alias("_f")), "_h", "_f")
     # as a table its size is known: Spark broadcasts it only if it is small
     rates = cut(rates.select("_host", "host_rate"), "hosts")

@@ -6,10 +6,10 @@ itself: where its least hash of `WORD` bytes is, and that hash. Neighbouring win
 runs instead of windows. In a bucket, runs whose whole text is equal are repeated at once, one stands for all, and runs alone in their bucket leave. The windows of
 the others are sorted by the following digits, of a quarter of the length each; a group leaves as soon as it has one window.
 
-Buckets of more than `WIDE` different runs aren't sorted in one task: their windows are dealt by all digits at once.
+Buckets with more than a thousandth of all runs are dealt by their runs' texts. Buckets of more than `WIDE` different runs aren't sorted in one task: their windows are dealt by all digits at once.
 
 Digits after the first are 64-bit fingerprints of their bytes. Defined cases: null texts are empty; texts shorter than the length lose nothing; rows of one doc_id with the same text
-count as two documents; an empty table gives an empty table; other columns pass through unless they are named as a result.
+count as two documents, as do rows without an id; no ties can arise, for all copies lose their bytes; an empty table gives an empty table; other columns pass through, whatever their names, unless they are named as a result.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import cut
+from quillon.llm.common import MAP_IDS, bit_map, cut, drop_scratch, in_map, name, packed, portions, split_join, unpacked, with_fields
 from quillon.llm.ngram_join import mix
 
 #: Bytes of the substrings whose least hash is the first digit.
@@ -33,6 +33,8 @@ DIGITS = 4
 PORTION = 1 << 20
 #: Different runs in a bucket beyond which its windows are dealt to many tasks.
 WIDE = 20_000
+#: Runs in a bucket, at least, beyond which they are dealt to many tasks from the first pass on.
+HOT = 100_000
 _LOW = np.uint64(PORTION * 2 - 1)
 
 
@@ -89,8 +91,7 @@ def _find(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, whole = Prints(1, PORTION + length + 1), Prints(2, PORTION + length + 1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in portions(batch, 2, 500):
                 cols: list[list[np.ndarray]] = [[] for _ in range(7)]
                 for d, h, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     b = np.frombuffer(_bytes(t), np.uint8)
@@ -105,46 +106,69 @@ def _find(length: int):
     return run
 
 
-_RUN = {"a": "long", "f": "long", "d": "long", "t": "int", "lo": "int", "c": "int", "o": "int"}
-_RUN_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+_RUN = {"a": "long", "f": "long", "d": "long", "t": "long", "lo": "int", "c": "int", "o": "int"}
+_RUN_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 _RUN_SCHEMA = ", ".join(f"{k} {v}" for k, v in _RUN.items())
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of runs sorted by (a, f): all that occur twice (kind 0), and one of each different run of buckets with several (kind 1, or 2 if it occurs twice)."""
-    cols: list[np.ndarray] | None = None
-
-    def told(x: list[np.ndarray]) -> pa.RecordBatch:
-        a, f = x[0], x[1]
-        new_a = np.concatenate(([True], a[1:] != a[:-1]))
-        new = new_a | np.concatenate(([True], f[1:] != f[:-1]))
-        group, bucket = np.cumsum(new) - 1, np.cumsum(new_a) - 1
-        twice = np.bincount(group)[group] > 1
-        several = np.bincount(bucket[new])[bucket] > 1
-        rows = np.concatenate((np.flatnonzero(twice), np.flatnonzero(new & several)))
-        kind = np.concatenate((np.zeros(int(twice.sum()), np.int32), np.where(twice[new & several], 2, 1).astype(np.int32)))
-        return pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(kind)], [*_RUN, "kind"])
-
-    for batch in batches:
-        own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if not len(own[0]):
-            continue
-        cols = own if cols is None else [np.concatenate(x) for x in zip(cols, own, strict=True)]
-        last = int(np.searchsorted(cols[0], cols[0][-1]))
-        if last:
-            yield told([c[:last] for c in cols])
-            cols = [c[last:] for c in cols]
-        if len(cols[0]) > 1 << 18:
-            # a bucket of any size: what is known of a run that occurs often is told, and two rows of it stay in mind
-            x, f = cols, cols[1]
-            new = np.concatenate(([True], f[1:] != f[:-1]))
-            place = np.arange(len(f)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-            more = place > 1
-            if more.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[more]) for c in x] + [pa.array(np.zeros(int(more.sum()), np.int32))], [*_RUN, "kind"])
-                cols = [c[~more] for c in x]
-    if cols is not None and len(cols[0]):
-        yield told(cols)
+def _first_pass(hot: list[int], most: int = 1 << 18):
+    """Of runs sorted by (a, f): all that occur twice (kind 0), and one of each different run of buckets with several (kind 1, or 2 if it occurs twice).
+
+    Hot buckets are dealt to many tasks by f, and count as such with several runs. A task holds at most the rows of a batch and `most` more, whatever the size of a bucket.
+    """
+    known = np.array(sorted(hot), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols: list[np.ndarray] | None = None
+        wide: int | None = None  # a bucket that is known to have several runs
+
+        def told(x: list[np.ndarray]) -> pa.RecordBatch:
+            a, f = x[0], x[1]
+            new_a = np.concatenate(([True], a[1:] != a[:-1]))
+            new = new_a | np.concatenate(([True], f[1:] != f[:-1]))
+            group, bucket = np.cumsum(new) - 1, np.cumsum(new_a) - 1
+            twice = np.bincount(group)[group] > 1
+            several = np.bincount(bucket[new])[bucket] > 1
+            if wide is not None:
+                several |= a == wide
+            if len(known):
+                several |= known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
+            rows = np.concatenate((np.flatnonzero(twice), np.flatnonzero(new & several)))
+            kind = np.concatenate((np.zeros(int(twice.sum()), np.int32), np.where(twice[new & several], 2, 1).astype(np.int32)))
+            return pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(kind)], [*_RUN, "kind"])
+
+        for batch in batches:
+            own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not len(own[0]):
+                continue
+            cols = own if cols is None else [np.concatenate(x) for x in zip(cols, own, strict=True)]
+            last = int(np.searchsorted(cols[0], cols[0][-1]))
+            if last:
+                yield told([c[:last] for c in cols])
+                cols = [c[last:] for c in cols]
+            if len(cols[0]) > most:
+                last = int(np.searchsorted(cols[1], cols[1][-1]))
+                if last:  # several runs, and all of them but the last are complete
+                    wide = int(cols[0][0])
+                    yield told([c[:last] for c in cols])
+                    cols = [c[last:] for c in cols]
+                if len(cols[0]) > 2:  # one run that occurs often: two rows of it stay in mind
+                    yield pa.RecordBatch.from_arrays([pa.array(c[2:]) for c in cols] + [pa.array(np.zeros(len(cols[0]) - 2, np.int32))], [*_RUN, "kind"])
+                    cols = [c[:2] for c in cols]
+        if cols is not None and len(cols[0]):
+            yield told(cols)
+
+    return run
+
+
+def _marked(at: int, bits, marked: bool = True):
+    """The rows whose id may be in the map, or the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([in_map(bits.value, d) == marked for d in batch.column(at).to_pylist()], pa.bool_()))
+
+    return run
 
 
 def _texts(length: int):
@@ -152,8 +176,8 @@ def _texts(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part, out = batch.slice(at, 200), []
+            for part in portions(batch, 2, 200):
+                out = []
                 for d, h, t, found in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     b = _bytes(t)
                     out += [(r["a"], d, h, r["lo"], r["c"], r["o"], r["kind"], b[r["lo"] : r["lo"] + r["c"] + length - 1]) for r in found]
@@ -163,8 +187,8 @@ def _texts(length: int):
     return run
 
 
-_TEXT = {"a": "long", "d": "long", "t": "int", "lo": "int", "c": "int", "o": "int", "kind": "int", "own": "binary"}
-_TEXT_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+_TEXT = {"a": "long", "d": "long", "t": "long", "lo": "int", "c": "int", "o": "int", "kind": "int", "own": "binary"}
+_TEXT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
 _TEXT_SCHEMA = ", ".join(f"{k} {v}" for k, v in _TEXT.items())
 
 
@@ -219,7 +243,7 @@ def _digit_passes(length: int, size: int = 1 << 20):
             r, s = row[live[first]], j[live[first]]
             base = np.array([x[3] for x in rows])[r]
             pick = [rows[k] for k in r]
-            return pa.RecordBatch.from_arrays([pa.array([x[1] for x in pick], pa.int64()), pa.array([x[2] for x in pick], pa.int32()), pa.array((base + s).astype(np.int32)), pa.array((base + j[live[last]] + length).astype(np.int32))], ["d", "t", "s", "e"])
+            return pa.RecordBatch.from_arrays([pa.array([x[1] for x in pick], pa.int64()), pa.array([x[2] for x in pick], pa.int64()), pa.array((base + s).astype(np.int32)), pa.array((base + j[live[last]] + length).astype(np.int32))], ["d", "t", "s", "e"])
 
         held: list[tuple] = []
         total = 0
@@ -250,18 +274,17 @@ def _wide_windows(length: int):
                 half = length // 2
                 x, y = (p.at(sums, at, at + half), p.at(sums, at + half, at + length))
                 d, t, base, kind = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 6))
-                yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (group, x, y)] + [pa.array(d[row]), pa.array(t[row].astype(np.int32)), pa.array((base[row] + j).astype(np.int32)), pa.array(kind[row].astype(np.int32))], ["x", "y", "z", "d", "t", "s", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (group, x, y)] + [pa.array(d[row]), pa.array(t[row]), pa.array((base[row] + j).astype(np.int32)), pa.array(kind[row].astype(np.int32))], ["x", "y", "z", "d", "t", "s", "kind"])
 
     return run
 
 
-def _result(at: int, keep_bytes: bool, names: list[str], rest: list[int], spans_at: int):
+def _result(keep_bytes: bool, spans_at: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in portions(batch, 1, 500):
                 cols: list[list] = [[] for _ in range(5)]
-                for t, spans in zip(part.column(at).to_pylist(), part.column(spans_at).to_pylist(), strict=True):
+                for t, spans in zip(part.column(1).to_pylist(), part.column(spans_at).to_pylist() if spans_at else [()] * part.num_rows, strict=True):
                     b, merged = _bytes(t), []
                     for s, e in sorted((x["s"], x["e"]) for x in spans or ()):
                         if merged and s <= merged[-1][1]:
@@ -270,41 +293,62 @@ def _result(at: int, keep_bytes: bool, names: list[str], rest: list[int], spans_
                             merged.append([s, e])
                     edges = [0, *[x for m in merged for x in m], len(b)]
                     left = b"".join([b[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2)])
-                    for c, x in zip(cols, (len(b), len(b) - len(left), len(merged), hashlib.sha256(left).hexdigest(), left), strict=True):
+                    for c, x in zip(cols, (len(b), len(b) - len(left), len(merged), hashlib.sha256(left).hexdigest(), left if keep_bytes else None), strict=True):
                         c.append(x)
                 made = [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in rest), *made[: 4 + keep_bytes]], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), *made[: 4 + keep_bytes]], names=["_row", *MADE[: 4 + keep_bytes]])
 
     return run
 
 
-def repeated_bytes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 400, wide: int = WIDE) -> DataFrame:
-    """(d, t, s, e): bytes s to e, exclusive, of the text with this id and hash that windows repeated elsewhere cover; they may overlap."""
-    docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("d"), F.hash(F.col(text)).alias("t"), F.col(text).cast("string").alias("text"))
-    found = docs.mapInArrow(_find(length), _RUN_SCHEMA).repartition("a").sortWithinPartitions("a", "f")
-    sifted = cut(found.mapInArrow(_first_pass, f"{_RUN_SCHEMA}, kind int"), "runs")
+MADE = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+_SPAN = "d long, t long, s int, e int"
+
+
+def _key(doc_id: str, text: str) -> dict[str, Column]:
+    """What tells texts apart: the id and a hash of the text; of rows without an id another hash."""
+    t = F.col(name(text)).cast("string")
+    return {"d": F.coalesce(F.col(name(doc_id)).cast("long"), F.xxhash64(F.lit(7), t)), "t": F.xxhash64(t), "text": t}
+
+
+def repeated_bytes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 400, wide: int = WIDE, hot: int = HOT) -> DataFrame:
+    """(d, t, s, e): bytes s to e, exclusive, of the text with this key that windows repeated elsewhere cover; they may overlap."""
+    spark = df.sparkSession
+    docs = df.select(*[c.alias(n) for n, c in _key(doc_id, text).items()])
+    found = cut(docs.mapInArrow(_find(length), _RUN_SCHEMA), "found")
+    # buckets of more than a thousandth of all runs, fewer than 1000, are dealt to many tasks
+    large = [r["a"] for r in found.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > max(hot, found.count() / 1000)).collect()]
+    dealt = found.repartition("a", F.when(F.col("a").isin(large), F.pmod("f", F.lit(64))).otherwise(0)) if large else found.repartition("a")
+    sifted = cut(dealt.sortWithinPartitions("a", "f").mapInArrow(_first_pass(large), f"{_RUN_SCHEMA}, kind int"), "runs")
+    drop_scratch(found)
     spans = sifted.where("kind = 0").select("d", "t", F.col("lo").alias("s"), (F.col("lo") + F.col("c") + length - 1).alias("e"))
     unsure = sifted.where("kind > 0")
-    hot = cut(unsure.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > wide).select("a"), "wide")
-    by_doc = unsure.groupBy("d", "t").agg(F.collect_list(F.struct("a", "lo", "c", "o", "kind")).alias("found"))
+    wide_ones = cut(unsure.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > wide).select("a"), "wide")
+    by_doc = cut(unsure.groupBy("d", "t").agg(F.collect_list(F.struct("a", "lo", "c", "o", "kind")).alias("found")), "unsure")
+    if by_doc.count() <= MAP_IDS:
+        docs = docs.mapInArrow(_marked(0, spark.sparkContext.broadcast(bit_map(by_doc, "d"))), docs.schema)
     texts = docs.join(by_doc, ["d", "t"]).select("d", "t", "text", "found").mapInArrow(_texts(length), _TEXT_SCHEMA)
-    if hot.isEmpty():
-        return spans.union(texts.repartition("a").sortWithinPartitions("a").mapInArrow(_digit_passes(length), "d long, t int, s int, e int"))
+    if wide_ones.isEmpty():
+        return spans.union(texts.repartition("a").sortWithinPartitions("a").mapInArrow(_digit_passes(length), _SPAN))
     texts = cut(texts, "texts")
-    narrow = texts.join(hot, "a", "left_anti").repartition("a").sortWithinPartitions("a")
-    windows = cut(texts.join(hot, "a", "left_semi").mapInArrow(_wide_windows(length), "x long, y long, z long, d long, t int, s int, kind int"), "windows")
-    twice = windows.groupBy("x", "y", "z").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    more = windows.join(twice, ["x", "y", "z"], "left_semi").where("kind = 1").select("d", "t", "s", (F.col("s") + length).alias("e"))
-    return spans.union(narrow.mapInArrow(_digit_passes(length), "d long, t int, s int, e int")).union(more)
-
-
-def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 400, keep_bytes: bool = True, drop_text: bool = False, wide: int = WIDE) -> DataFrame:
-    """df with n_bytes, n_removed, n_spans, kept_sha256 and, unless keep_bytes is false, kept: the bytes that are left of text."""
-    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_bytes]
-    df = df.select(*[c for c in df.columns if c not in made])
-    spans = repeated_bytes(df, text, doc_id, length, wide).distinct().groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
-    both = df.join(spans, (F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)) == F.col("_d")) & (F.hash(F.col(text)) == F.col("_t")), "left").drop("_d", "_t")
-    rest = [k for k, c in enumerate(df.columns) if not (drop_text and c == text)]
-    kept = [df.columns[k] for k in rest]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes])
-    return both.mapInArrow(_result(df.columns.index(text), keep_bytes, [*kept, *made], rest, len(df.columns)), schema)
+    narrow = texts.join(wide_ones, "a", "left_anti").repartition("a").sortWithinPartitions("a")
+    windows = cut(texts.join(wide_ones, "a", "left_semi").mapInArrow(_wide_windows(length), "x long, y long, z long, d long, t long, s int, kind int"), "windows")
+    twice = windows.groupBy("x", "y", "z").agg(F.count("*").alias("n")).where("n > 1")
+    more = split_join(windows, twice, ["x", "y", "z"], "n", windows.count(), "left_semi").where("kind = 1").select("d", "t", "s", (F.col("s") + length).alias("e"))
+    return spans.union(narrow.mapInArrow(_digit_passes(length), _SPAN)).union(more)
+
+
+def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 400, keep_bytes: bool = True, drop_text: bool = False, wide: int = WIDE, hot: int = HOT) -> DataFrame:
+    """df with n_bytes, n_removed, n_spans, kept_sha256 and, unless keep_bytes is false, kept: the bytes that are left of text. Texts without repeats aren't shuffled."""
+    made = list(MADE[: 4 + keep_bytes])
+    spans = cut(repeated_bytes(df, text, doc_id, length, wide, hot).distinct().groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("_spans")), "spans")
+    key = _key(doc_id, text)
+    rows, kept = packed(df, made, (text,) if drop_text else (), _text=key["text"], d=key["d"], t=key["t"])
+    out = with_fields(rows, "_row", "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
+    touched, done = rows, None
+    if spans.count() <= MAP_IDS:
+        bits = df.sparkSession.sparkContext.broadcast(bit_map(spans, "d"))
+        touched = rows.mapInArrow(_marked(2, bits), rows.schema)
+        done = rows.mapInArrow(_marked(2, bits, False), rows.schema).mapInArrow(_result(keep_bytes, None), out)
+    touched = touched.join(spans, ["d", "t"], "left").select("_row", "_text", "_spans").mapInArrow(_result(keep_bytes, 2), out)
+    return unpacked(done.union(touched) if done else touched, kept, *made)

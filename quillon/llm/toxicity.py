@@ -7,7 +7,8 @@ fitted with a penalty. A score is the probability of label 1.
 Fitting takes a bounded sample: `SAMPLE` labelled texts of each class, the first in the order of a hash of their ids, in one task. Scoring covers every text as a whole.
 
 Defined cases: null texts are empty; an empty text has the score of a text without features; labels without a document, and null labels, teach nothing; without labels of both
-classes every score is the share of label 1 among those there are, or 0; repeated labels of a document count once, as the largest; an empty table gives an empty table; other columns pass through unless they are named as a result.
+classes every score is the share of label 1 among those there are, or 0; repeated labels of a document count once, as the largest; repeated rows and texts have the same score, and ties between ids' hashes go to the lesser id; an empty table gives an empty table; other columns pass
+through, whatever their names, unless they are named as a result. The n-grams are of UTF-8 bytes: of letters outside ASCII they see two bytes or more.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.llm.common import name, packed, portions, unpacked, with_fields
+
 SIZES, SLOTS, FEATURES, SAMPLE = (3, 4, 5, 6), 20, 40_000, 1500
 #: Standard errors by which the rates of a feature differ at least.
 LEAST_Z = 3.5
@@ -102,26 +105,26 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.append(pick, -1).astype(np.int32)), pa.array(np.append(w, b))], ["slot", "weight"])
 
 
-def _score(pick: np.ndarray, weights: np.ndarray, intercept: float, at: int, rest: list[int], names: list[str], threshold: float):
+def _score(pick: np.ndarray, weights: np.ndarray, intercept: float, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << SLOTS, -1, np.int32)
         place[pick] = np.arange(len(pick))
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                p = 1 / (1 + np.exp(-np.clip(margins(part.column(at).to_pylist(), pick, weights, intercept, place), -700, 700)))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in rest), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=names)
+            for part in portions(b, 1, 500):
+                p = 1 / (1 + np.exp(-np.clip(margins(part.column(1).to_pylist(), pick, weights, intercept, place), -700, 700)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["_row", "score", "predicted"])
 
     return run
 
 
 def sample(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", size: int = SAMPLE) -> DataFrame:
     """(text, label) of at most `size` labelled documents of each class."""
-    known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_d")).agg(F.max(F.col(label)).cast("long").alias("_y"))
-    known = known.join(docs.select(F.col(doc_id).alias("_d")), "_d", "left_semi")
-    few = [known.where(F.col("_y") == k).orderBy(F.xxhash64("_d"), "_d").limit(size) for k in (0, 1)]
+    rows = docs.select(F.col(name(doc_id)).alias("d"), F.col(name(text)).alias("t"))
+    known = labels.select(F.col(name(doc_id)).alias("d"), F.col(name(label)).alias("y")).where("y IS NOT NULL AND d IS NOT NULL").groupBy("d").agg(F.max("y").cast("long").alias("y"))
+    known = known.join(rows.select("d"), "d", "left_semi")
+    few = [known.where(F.col("y") == k).orderBy(F.xxhash64("d"), "d").limit(size) for k in (0, 1)]
     few = few[0].union(few[1])  # at most 2 * size rows
-    return docs.join(F.broadcast(few), F.col(doc_id) == F.col("_d")).select(F.col(text), F.col("_y"))
+    return rows.join(F.broadcast(few), "d").select("t", "y")
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", size: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
@@ -134,8 +137,5 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text", threshold: float = 0.7, drop_text: bool = False) -> DataFrame:
     """df with score and predicted."""
-    df = df.select(*[c for c in df.columns if c not in ("score", "predicted")])
-    rest = [k for k, c in enumerate(df.columns) if not (drop_text and c == text)]
-    kept = [df.columns[k] for k in rest]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["score double, predicted int"])
-    return df.mapInArrow(_score(*model, df.columns.index(text), rest, [*kept, "score", "predicted"], threshold), schema)
+    rows, kept = packed(df, ["score", "predicted"], (text,) if drop_text else (), _text=F.col(name(text)).cast("string"))
+    return unpacked(rows.mapInArrow(_score(*model, threshold), with_fields(rows, "_row", "score double, predicted int")), kept, "score", "predicted")
