@@ -381,8 +381,8 @@ def _placed(rows: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _open(placed: DataFrame) -> DataFrame:
-    """The keys of buckets with several components."""
-    return placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    """(key, k) of buckets with several components; k: how many documents they have."""
+    return placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k")).where("lo < hi").select("key", "k")
 
 
 def _most(rows: DataFrame, by: str, what: str) -> DataFrame:
@@ -439,9 +439,10 @@ def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     wide = cut(shared.join(buckets.where(F.col("c") > SMALL), "key", "left_semi").select("key", "doc"), "wide")
     few = cut(shared.join(buckets.where(F.col("c") <= SMALL), "key", "left_semi").select("key", "lead", "doc"), "few")
     held = wide.groupBy("doc").agg(F.count("*").alias("m"))
-    leads = wide.join(held, "doc").groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"))
+    leads = wide.join(held, "doc").groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"), F.count("*").alias("k"))
+    in_all = wide.count()
     # first each document is compared with one document: the first one of most of its wide buckets, and of most of its small ones
-    pick = cut(_most(wide.join(leads, "key").where("lead <> doc").select("doc", "lead"), "doc", "lead"), "first")
+    pick = cut(_most(split_join(wide, leads, ["key"], "k", in_all).where("lead <> doc").select("doc", "lead"), "doc", "lead"), "first")
     near = _plausible(_most(few.where("lead <> doc").select("doc", "lead"), "doc", "lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")), sigs, pct)
     first = cut(pick.select(F.col("lead").alias("a"), F.col("doc").alias("b")).union(near).distinct(), "pairs")
     both = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
@@ -460,9 +461,9 @@ def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     pairs = cut(_plausible(pairs.join(done, ["a", "b"], "left_anti"), sigs, pct), "pairs")
     # wide buckets with several components: what all their documents are compared with is the one that most of them have been compared with
     placed = _placed(wide, comp)
-    placed = cut(placed.join(_open(placed), "key", "left_semi").join(pick, "doc", "left").select("key", "doc", "lead"), "open")
-    refs = _most(placed.where("lead IS NOT NULL").select("key", "lead"), "key", "lead").withColumnRenamed("lead", "a")
-    group = cut(placed.join(refs, "key").where("doc <> a").select("a", F.col("doc").alias("b")).distinct(), "group")
+    placed = cut(split_join(placed, _open(placed), ["key"], "k", in_all).join(pick, "doc", "left").select("key", "doc", "lead"), "open")
+    refs = _most(placed.where("lead IS NOT NULL").select("key", "lead"), "key", "lead").withColumnRenamed("lead", "a").join(placed.groupBy("key").agg(F.count("*").alias("k")), "key")
+    group = cut(split_join(placed, refs, ["key"], "k", in_all).where("doc <> a").select("a", F.col("doc").alias("b")).distinct(), "group")
     extra = cut(group.join(scored.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     new = cut(both(pairs.union(extra)).join(asked, "doc", "left_anti"), "asked")
     if not new.isEmpty():
