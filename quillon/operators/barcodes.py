@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-import bisect
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.columns import hamming, masked
+from quillon.operators.ranges import nearest
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, by: list[str] = (), backward: bool = True) -> DataFrame:
     """Every left row with match, the nearest right key at or before (or after) its own, in string order, within the `by` columns.
 
-    Both sides go through one window, so there is one shuffle on `by` and no join; without `by` the keys should be few and distinct.
+    Both sides go through one window, so there is one shuffle on `by` and no join; without `by` the window is cut into ranges of keys.
     """
     rows = left.select(*by, key, F.lit(1).alias("_side"), F.lit(None).cast("string").alias("match")).unionByName(right.select(*by, key, F.lit(0).alias("_side"), F.col(key).alias("match")).distinct())
-    if backward:
+    if not by:
+        rows = nearest(rows, key, "match", "_side", backward)
+    elif backward:
         w = W.partitionBy(*by).orderBy(key, "_side").rowsBetween(W.unboundedPreceding, 0)
         rows = rows.withColumn("match", F.last("match", ignorenulls=True).over(w))
     else:
@@ -43,36 +45,43 @@ def correct_complete(observed: DataFrame, whitelist: DataFrame) -> DataFrame:
 
 
 def neighbour_rounds(observed: list[str], listed: list[str], distance: int = 1) -> dict[str, str]:
-    """Corrections by neighbours in string order alone: first those before, then those after; listed barcodes once matched leave, until no barcode finds one after."""
-    def apart(a: str, b: str) -> int:
-        return sum(x != y for x, y in zip(a, b, strict=True)) if len(a) == len(b) else distance + 1
+    """Corrections by neighbours in string order alone: first those before, then those after; listed barcodes once matched leave, until no barcode finds one after.
 
+    Strings are sorted arrays of bytes, so a round is two binary searches and two comparisons of whole arrays.
+    """
+    pool = np.unique(np.array([x.encode() for x in set(listed)] or [b""], "S"))[0 if listed else 1 :]
+    unknown = np.array(sorted({x.encode() for x in observed} - set(pool.tolist())) or [b""], "S")[0 if set(observed) - set(listed) else 1 :]
+    width = max(pool.dtype.itemsize, unknown.dtype.itemsize)
+    pool, unknown = pool.astype(f"S{width}"), unknown.astype(f"S{width}")
     found: dict[str, str] = {}
-    pool = sorted(set(listed))
-    unknown = sorted(set(observed) - set(pool))
-    while pool and unknown:
-        hits: dict[str, str] = {}
-        for b in unknown:
-            i = bisect.bisect_right(pool, b) - 1
-            if i >= 0 and apart(b, pool[i]) <= distance:
-                hits[b] = pool[i]
-        rest, after = [b for b in unknown if b not in hits], {}
-        for b in rest:
-            i = bisect.bisect_left(pool, b)
-            if i < len(pool) and apart(b, pool[i]) <= distance:
-                after[b] = pool[i]
-        found |= hits | after
-        used = set(hits.values()) | set(after.values())
-        pool = [w for w in pool if w not in used]
-        unknown = [b for b in rest if b not in after]
-        if not after:
+
+    def match(at: np.ndarray) -> np.ndarray:
+        """Which of the unknown have the pool's string at the given place near them."""
+        ok = (at >= 0) & (at < len(pool))
+        a, b = unknown[ok], pool[at[ok]]
+        near = (a.view(np.uint8).reshape(-1, width) != b.view(np.uint8).reshape(-1, width)).sum(1) <= distance
+        ok[ok] = near & (np.char.str_len(a) == np.char.str_len(b))
+        found.update(zip((x.decode() for x in unknown[ok].tolist()), (x.decode() for x in pool[at[ok]].tolist()), strict=True))
+        return ok
+
+    while len(pool) and len(unknown):
+        used = np.zeros(len(pool), bool)
+        at = np.searchsorted(pool, unknown, "right") - 1
+        ok = match(at)
+        used[at[ok]] = True
+        unknown = unknown[~ok]
+        at = np.searchsorted(pool, unknown, "left")
+        ok = match(at) if len(unknown) else np.zeros(0, bool)
+        used[at[ok]] = True
+        pool, unknown = pool[~used], unknown[~ok]
+        if not ok.any():
             break
     return found
 
 
 def correct_compat(observed: DataFrame, whitelist: DataFrame) -> DataFrame:
     """(barcode_position, barcode, corrected) by neighbour_rounds, a task for each position; barcodes are distinct, so at most 5**8 in each."""
-    both = observed.select("barcode_position", "barcode", F.lit(False).alias("listed")).union(whitelist.select("barcode_position", "barcode", F.lit(True))).distinct()
+    both = observed.select("barcode_position", "barcode", F.lit(False).alias("listed")).union(whitelist.select("barcode_position", "barcode", F.lit(True))).where("barcode IS NOT NULL").distinct()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own, listed = pdf.loc[~pdf.listed, "barcode"].tolist(), pdf.loc[pdf.listed, "barcode"].tolist()
@@ -97,6 +106,12 @@ def substitution_rates(pairs: DataFrame, total: DataFrame) -> DataFrame:
     return each.crossJoin(F.broadcast(total)).select("position", F.concat_ws(">", "original_base", "mutated_base").alias("feature_id"), "occurrences", "reads", F.round(F.col("reads") / (F.col("total_reads") * F.col("n")), 9).alias("substitution_frequency"))
 
 
+def marginal_substitutions(rates: DataFrame, total: DataFrame) -> DataFrame:
+    """Of substitution_rates(): corrections over all positions by pair of bases, and their share of all reads. total: one row (total_reads)."""
+    each = rates.groupBy("feature_id").agg(F.sum("reads").alias("total_counts"))
+    return each.crossJoin(F.broadcast(total)).select("feature_id", "total_counts", F.round(F.col("total_counts") / F.col("total_reads"), 9).alias("substitution_frequency"))
+
+
 def base_frequencies(barcodes: DataFrame, c: str = "barcode") -> DataFrame:
     """Counts of A, C, G and T at each place."""
     each = barcodes.select(F.posexplode(F.split(c, "")).alias("position", "base")).where(F.col("base") != "")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillon.operators.ranges import ranked, running
 from quillon.operators.reads import primary
 
 #: Mapping quality of on-target reads; least counts and features, and score of a cell, by library.
@@ -77,6 +78,50 @@ def carryover(amplicon: DataFrame, genome: DataFrame, cells: DataFrame, min_mapq
 # molecules and cells
 
 
+def usable_reads(table: DataFrame, good: list[str], bad: list[str], in_cell: str = "in_cell") -> DataFrame:
+    """One row: reads and fraction of the combinations with all good and no bad flags, in cells and in all; 0 if there are none."""
+    own = table
+    for c in good:
+        own = own.where(F.col(c))
+    for c in bad:
+        own = own.where(~F.col(c))
+    zero = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0))
+    cell = F.col(in_cell)
+    return own.agg(zero("reads", F.lit(True)).alias("total_usable_reads"), F.round(zero("fraction", F.lit(True)), 6).alias("fraction_usable_reads"), zero("reads", cell).alias("total_usable_reads_in_cell"), F.round(zero("fraction", cell), 6).alias("fraction_usable_reads_in_cell"))
+
+
+def pivot_counts(counts: DataFrame, features: list[str], feature: str = "chrom", value: str = "reads") -> DataFrame:
+    """A row for each barcode, a column for each of the given features; those without counts have 0. For few features: keep others long."""
+    return counts.groupBy("barcode").pivot(feature, features).agg(F.sum(value)).na.fill(0, features)
+
+
+def most_frequent(df: DataFrame, c: str, n: int = 1) -> DataFrame:
+    """The n most frequent values, with how often they occur; of several the least."""
+    return df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n")).orderBy(F.desc("n"), c).limit(n)
+
+
+def last_row(df: DataFrame, *keys: str) -> DataFrame:
+    """The row that an ascending sort puts last."""
+    return df.orderBy(*[F.desc(k) for k in keys]).limit(1)
+
+
+def first_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The first n rows in the order of keys, so that a preview doesn't depend on partitions."""
+    return df.orderBy(*keys).limit(n)
+
+
+def gather(df: DataFrame, ranks: list[int], *keys: str) -> DataFrame:
+    """The rows at the given ranks, from 1, in the order of keys; a rank given twice gives its row twice."""
+    at = df.sparkSession.createDataFrame([(r,) for r in ranks], "_at long")
+    placed = ranked(df, "_place", *keys)
+    return placed.join(F.broadcast(at), F.col("_place") == F.col("_at")).drop("_place", "_at")
+
+
+def complete(counts: DataFrame, listed: DataFrame, key: str, value: str) -> DataFrame:
+    """A row for every listed key; those without counts have 0, and counts of other keys go."""
+    return counts.join(listed.select(key).distinct(), key, "right").withColumn(value, F.coalesce(value, F.lit(0)))
+
+
 def umi_counts(reads: DataFrame) -> DataFrame:
     """Distinct molecules by barcode and gene."""
     return reads.groupBy("barcode", F.col("GN").alias("gene")).agg(F.count_distinct("UB").alias("counts"))
@@ -86,31 +131,42 @@ def barcode_metrics(counts: DataFrame, feature: str, value: str) -> DataFrame:
     return counts.groupBy("barcode").agg(F.count_distinct(feature).alias("n_features"), F.sum(value).alias("total_counts"))
 
 
-def otsu(values: np.ndarray, weights: np.ndarray, floor: int) -> int:
-    """Otsu's threshold of log10(value + 1) over 256 bins, from distinct values and how often each occurs."""
-    if not len(values):
+OTSU_BINS = 256
+
+
+def otsu(lo: int | None, hi: int | None, counts: np.ndarray, floor: int) -> int:
+    """Otsu's threshold from the least and the largest value, and how many values there are in each of `OTSU_BINS` bins of log10(value + 1): the first bin with the largest variance between classes."""
+    if lo is None:
         return floor
-    lo, hi = int(values.min()), int(values.max())
     if lo == hi:
         return max(floor, lo)
-    x = np.log10(values + 1.0)
-    count, edges = np.histogram(x, 256, weights=weights)
-    if (count > 0).sum() < 2:
-        return max(floor, int(np.median(np.repeat(values, weights))))
-    centre, total = (edges[:-1] + edges[1:]) / 2, count.sum()
-    below = np.cumsum(count)[:-1]
+    first, last = math.log10(lo + 1), math.log10(hi + 1)
+    centre = first + (last - first) * (np.arange(OTSU_BINS) + 0.5) / OTSU_BINS
+    total = counts.sum()
+    below = np.cumsum(counts)[:-1]
     above = total - below
-    sums = np.cumsum(count * centre)
+    sums = np.cumsum(counts * centre)
     with np.errstate(divide="ignore", invalid="ignore"):
         between = below * above * (sums[:-1] / below - (sums[-1] - sums[:-1]) / above) ** 2
     best = int(np.argmax(np.nan_to_num(between, nan=-1.0)))
     return int(min(max(np.rint(10 ** centre[best] - 1), floor), hi))
 
 
-def otsu_of(df: DataFrame, value: str, floor: int) -> int:
-    """otsu() of a column. Values are counts of reads or features of a barcode, so the table of distinct ones is small whatever the number of barcodes."""
-    rows = df.groupBy(value).agg(F.count("*").alias("n")).toPandas()
-    return otsu(rows[value].to_numpy(np.int64), rows["n"].to_numpy(np.int64), floor)
+def otsu_of(df: DataFrame, **floors: int) -> dict[str, int]:
+    """otsu() of columns, by their floors: one pass for their ends, one for the bins of all."""
+    ends = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in floors for f in (F.min, F.max)]).first()
+    known = {c: (ends[f"min_{c}"], ends[f"max_{c}"]) for c in floors}
+    wide = {c: e for c, e in known.items() if e[0] is not None and e[0] < e[1]}
+    bins = {c: np.zeros(OTSU_BINS) for c in floors}
+    if wide:
+        def place(c: str) -> Column:
+            first, last = (math.log10(x + 1) for x in wide[c])
+            return F.least(F.lit(OTSU_BINS - 1), F.floor((F.log10(F.col(c) + 1) - first) / F.lit((last - first) / OTSU_BINS))).cast("int")
+
+        each = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), place(c).alias("b")) for c in wide])).alias("x"))
+        for r in each.groupBy("x.c", "x.b").agg(F.count("*").alias("n")).collect():  # a row for each bin at most
+            bins[r["c"]][max(r["b"], 0)] = r["n"]
+    return {c: otsu(*known[c], bins[c], f) for c, f in floors.items()}
 
 
 def call_cells(metrics: DataFrame, counts_at: Column | int, features_at: Column | int, min_score: float = MIN_SCORE) -> DataFrame:
@@ -127,7 +183,8 @@ def cells(counts: DataFrame, feature: str = "chrom", value: str = "reads", libra
     """Scores and calls of all barcodes."""
     metrics = barcode_metrics(counts, feature, value)
     floor = FLOORS[library]
-    return call_cells(metrics, otsu_of(metrics, "total_counts", floor[0]), otsu_of(metrics, "n_features", floor[1]))
+    at = otsu_of(metrics, total_counts=floor[0], n_features=floor[1])
+    return call_cells(metrics, at["total_counts"], at["n_features"])
 
 
 def force_cells(metrics: DataFrame, k: int) -> DataFrame:
@@ -143,25 +200,14 @@ def confidence_summary(scores: DataFrame) -> DataFrame:
 
 
 def knee_rank(metrics: DataFrame) -> DataFrame:
-    """Rank of barcodes by counts. Ranks in ranges of counts come from their sizes, so no task sorts all barcodes."""
-    return ranked(metrics, F.desc("total_counts"), F.col("barcode"), "rank")
-
-
-def ranked(df: DataFrame, *order_and_name) -> DataFrame:
-    """df with a rank from 1 over the given order: rows are range-partitioned, ranked in each partition, and moved up by the sizes of those before."""
-    *order, name = order_and_name
-    placed = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    placed = placed.withColumn("_r", F.row_number().over(W.partitionBy("_p").orderBy(*order)))
-    size = placed.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = size.withColumn("_b", F.coalesce(F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # one row a partition
-    return placed.join(F.broadcast(before), "_p").withColumn(name, F.col("_r") + F.col("_b")).drop("_p", "_r", "_b")
+    """Rank of barcodes by counts."""
+    return ranked(metrics, "rank", "total_counts", "barcode", desc=("total_counts",))
 
 
 def cumulative(metrics: DataFrame, share: float = 0.9) -> DataFrame:
     """Barcodes by counts, with running sums, as long as these are below the share of all, rounded down."""
-    line = W.orderBy(F.desc("total_counts"), "barcode").rowsBetween(W.unboundedPreceding, 0)
     total = metrics.agg(F.sum("total_counts").alias("_all"))
-    return metrics.withColumn("cumulative", F.sum("total_counts").over(line)).crossJoin(F.broadcast(total)).where(F.col("cumulative") < F.floor(F.col("_all") * share)).drop("_all")
+    return running(metrics, "cumulative", "total_counts", "total_counts", "barcode", desc=("total_counts",)).crossJoin(F.broadcast(total)).where(F.col("cumulative") < F.floor(F.col("_all") * share)).drop("_all")
 
 
 def memberships(gene_cells: DataFrame, amplicon_cells: DataFrame) -> DataFrame:
@@ -184,9 +230,38 @@ def knee_point(counts: np.ndarray, window: int = 5) -> int | None:
     return lo + int(np.argmax(bend[lo:hi])) + 1
 
 
+def log_bins(df: DataFrame, value: str, n: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in n even bins of log10(value + 1) between its ends, and the bins' centres: n rows come to the driver."""
+    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    first, last = (math.log10((ends[k] or 0) + 1) for k in ("lo", "hi"))
+    counts, width = np.zeros(n), (last - first) / n or 1.0
+    at = F.least(F.lit(n - 1), F.floor((F.log10(F.col(value) + 1) - first) / F.lit(width))).cast("int")
+    for r in df.where(F.col(value).isNotNull()).groupBy(at.alias("b")).agg(F.count("*").alias("n")).collect():
+        counts[max(r["b"], 0)] = r["n"]
+    return counts, first + width * (np.arange(n) + 0.5)
+
+
+def inflection_minimum(counts: np.ndarray, centres: np.ndarray, sigma: float = 2.0, default: float = 100.0) -> float:
+    """The count at the first valley behind the highest bin of a smoothed histogram (or the first valley, or a default if there is none)."""
+    reach = int(4 * sigma + 0.5)
+    bell = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    smooth = np.convolve(np.pad(counts.astype(float), reach, mode="symmetric"), bell / bell.sum(), "valid")
+    low = np.flatnonzero((smooth[1:-1] < smooth[:-2]) & (smooth[1:-1] < smooth[2:])) + 1
+    if not len(low):
+        return default
+    after = low[low > int(np.argmax(smooth))]
+    return float(10 ** centres[after[0] if len(after) else low[0]])
+
+
 # caps and coverage
 
 
+def eligible(merged: DataFrame, filtered: DataFrame, cells: DataFrame) -> DataFrame:
+    """Distinct (chrom, barcode, read_name) of mapped reads that passed, in called cells; semi joins, so repeated names on the right multiply nothing."""
+    own = merged.where("chrom IS NOT NULL").join(filtered.select("read_name"), "read_name", "left_semi").join(cells.select("barcode"), "barcode", "left_semi")
+    return own.select("chrom", "barcode", "read_name").distinct()
+
+
 def keep_list(reads: DataFrame, cap: int, order: Column, by: tuple[str, ...] = ("chrom", "barcode")) -> DataFrame:
     """At most `cap` reads of each group, the first in an order that depends on the read alone."""
     w = W.partitionBy(*by).orderBy(order, "read_name")
@@ -198,6 +273,11 @@ def seeded(seed: int, name: str = "read_name") -> Column:
     return F.xxhash64(F.col(name), F.lit(seed))
 
 
+def apply_keep_list(alignments: DataFrame, keep: DataFrame) -> DataFrame:
+    """Alignments of the reads on the list, all of each read."""
+    return alignments.join(keep.select("read_name"), "read_name", "left_semi")
+
+
 def subsample_stats(eligible: DataFrame, cap: int) -> DataFrame:
     raw = eligible.groupBy("chrom", "barcode").agg(F.count("*").alias("n_reads_raw"))
     return raw.select("chrom", "barcode", "n_reads_raw", F.least("n_reads_raw", F.lit(cap)).alias("n_reads_used"), (F.col("n_reads_raw") > 0).alias("covered"), (F.col("n_reads_raw") > cap).alias("capped"))
@@ -282,6 +362,11 @@ def contig_coverage(reads: DataFrame) -> DataFrame:
     return runs.groupBy("chrom").agg(F.coalesce(F.sum(F.col("n") * F.col("depth")), F.lit(0)).alias("bases"), F.coalesce(F.sum(F.when(F.col("depth") > 0, F.col("n"))), F.lit(0)).alias("covered"))
 
 
+def whole_contigs(contigs: DataFrame) -> DataFrame:
+    """One interval over all of each contig (feature, length)."""
+    return contigs.select(F.col("feature").alias("contig"), F.lit(0).cast("long").alias("start"), F.col("length").cast("long").alias("end"))
+
+
 def flag_statistics(reads: DataFrame) -> DataFrame:
     """Alignments by flag bit."""
     bits = {"paired": 1, "unmapped": 4, "secondary": 256, "duplicates": 1024, "supplementary": 2048}
@@ -300,7 +385,7 @@ def saturation_depths(total: int, n_cells: int) -> list[int]:
 def saturation_curve(reads: DataFrame, depths: list[int], n_cells: int, order: Column, total: int | None = None) -> DataFrame:
     """Median molecules and genes a cell, and saturation, at each depth. Samples are the first reads of one order, so they are nested, of exact size, and all come from one pass.
     With total, the number of reads, the first depth stands for all of them, also those that its product with n_cells leaves over."""
-    at = ranked(reads, order, F.col("read_name"), "_rank")
+    at = ranked(reads.withColumn("_order", order), "_rank", "_order", "read_name").drop("_order")
     size = [d * n_cells for d in depths] if total is None else [total, *[d * n_cells for d in depths[1:]]]
     deep = F.filter(F.array(*[F.struct(F.lit(d).alias("depth"), F.lit(n).alias("n")) for d, n in zip(depths, size, strict=True)]), lambda d: F.col("_rank") <= d["n"])
     rows = at.withColumn("_d", F.explode(deep)).withColumn("depth", F.col("_d.depth")).drop("_d")

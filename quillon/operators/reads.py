@@ -45,7 +45,10 @@ def compose_barcode(reads: DataFrame, parts: tuple[str, ...] = PARTS) -> DataFra
     return reads.select(*kept, F.when(whole, F.concat_ws("_", *parts)).alias("barcode"))
 
 
-def merge_reads(alignments: DataFrame, mapping: DataFrame) -> DataFrame:
+def merge_reads(alignments: DataFrame, mapping: DataFrame, unique: bool = False) -> DataFrame:
+    """Alignments with their read's barcode. unique: a read with two barcodes is an error instead of two rows."""
+    if unique:
+        mapping = assert_unique(mapping, "read_name")
     return alignments.join(mapping, "read_name", "left")
 
 
@@ -55,6 +58,27 @@ def demultiplex(mapping: DataFrame, sheet: DataFrame) -> DataFrame:
     return mapping.withColumn("_a", key).join(sheet.select(F.col("barcode").alias("_a"), "sample_name"), "_a").drop("_a")
 
 
+def take_reads(reads: DataFrame, names: DataFrame, key: str = "read_id") -> DataFrame:
+    """The reads on a list of names, as when a file is dealt to samples."""
+    return reads.join(names.select(F.col(names.columns[0]).alias(key)), key, "left_semi")
+
+
+def trimmed(reads: DataFrame, n: int = 100) -> DataFrame:
+    """Reads cut to their first n bases, and qualities with them."""
+    return reads.withColumns({c: F.substring(c, 1, n) for c in ("sequence", "quality") if c in reads.columns})
+
+
+def combined(left: DataFrame, right: DataFrame, key: str = "sample_name") -> DataFrame:
+    """Every pair of rows of one sample."""
+    return left.join(right, key)
+
+
+def joined_or_empty(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows of either side; values of a sample come as a list, empty where the right side has none."""
+    lists = right.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(value))
+    return left.join(lists, key, "full").withColumn(value, F.coalesce(value, F.array().cast(dict(lists.dtypes)[value])))
+
+
 def sample_index(sheet: DataFrame, plate: DataFrame) -> DataFrame:
     """The sheet's wells (joined by semicolons) with the plate's barcodes; a well that the plate lacks has a null barcode."""
     wells = sheet.select("*", F.explode(F.split("demultiplexing_indices", ";")).alias("_well")).drop("demultiplexing_indices")

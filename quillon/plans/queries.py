@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
 from quillon.operators import barcodes as B
+from quillon.operators import chemistry
 from quillon.operators import counts as K
+from quillon.operators import matrices as X
 from quillon.operators import metrics as M
+from quillon.operators import power as P
 from quillon.operators import reads as R
 from quillon.operators import sequences as S
 from quillon.operators import variants as V
-from quillon.plans.views import table, view, with_views
+from quillon.plans.views import CODE, spark_sql, table, view, with_views
+from quillon.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -213,9 +218,69 @@ def _(s):
     return B.base_frequencies(s.whitelist)
 
 
-@query("plate_occupancy", "SELECT regexp_extract(chrom, '^([A-Z]+)', 1) AS plate_row, regexp_extract(chrom, '([0-9]+)$', 1)::INT AS plate_column, count(*)::BIGINT AS reads FROM reads WHERE chrom IS NOT NULL GROUP BY ALL")
+_PLATE = "SELECT concat(CASE WHEN n_nationkey % 2 = 0 THEN 'A' ELSE 'B' END, n_nationkey // 2) AS well, count(*) AS reads FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"
+
+
+@query("plate_occupancy", f"SELECT regexp_extract(well, '^([A-Z]+)', 1) AS plate_row, regexp_extract(well, '([0-9]+)$', 1)::INT AS plate_column, sum(reads)::BIGINT AS reads FROM ({_PLATE}) GROUP BY ALL")
+def _(s):
+    wells = s.raw("nation").select("n_nationkey", F.concat(F.when(F.col("n_nationkey") % 2 == 0, "A").otherwise("B"), F.floor(F.col("n_nationkey") / 2)).alias("index"))
+    seen = s.raw("customer").join(wells, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("index").agg(F.count("*").alias("reads"))
+    return B.plate_occupancy(seen)
+
+
+@query("marginal_substitution", _PAIRS + ", ex AS (SELECT *, unnest(range(1, 9)) AS position FROM prs WHERE barcode <> corrected) SELECT concat(substr(corrected, position, 1), '>', substr(barcode, position, 1)) AS feature_id, sum(reads)::BIGINT AS total_counts, round(sum(reads) / any_value(total_reads), 9) AS substitution_frequency FROM ex, tot WHERE substr(barcode, position, 1) <> substr(corrected, position, 1) GROUP BY 1")
+def _(s):
+    parts = s.parts
+    seen, total = parts.groupBy(F.col("B").alias("barcode")).agg(F.count("*").alias("reads")), parts.agg(F.count("*").alias("total_reads"))
+    pairs = B.correct_complete(seen, s.whitelist.where("barcode_position = 'B'")).where("corrected IS NOT NULL").join(seen, "barcode")
+    return B.marginal_substitutions(B.substitution_rates(pairs, total), total)
+
+
+@query("asof_whole", "WITH " + _CODES + "SELECT pc.code, sc.code AS match FROM pc ASOF LEFT JOIN sc ON pc.code >= sc.code")
+def _(s):
+    """Without columns to match: ranges of keys instead of one window."""
+    left, right = _codes(s)
+    return B.asof(left.select("code"), right.select("code"), key="code")
+
+
+@query("whitelist_complete", "obs AS (SELECT \"B\" AS barcode, count(*) AS reads FROM parts GROUP BY 1) SELECT w.barcode, coalesce(reads, 0) AS reads FROM obs RIGHT JOIN (SELECT DISTINCT barcode FROM whitelist WHERE barcode_position = 'D') w ON obs.barcode = w.barcode")
+def _(s):
+    return K.complete(s.parts.groupBy(F.col("B").alias("barcode")).agg(F.count("*").alias("reads")), s.whitelist.where("barcode_position = 'D'"), "barcode", "reads")
+
+
+@query("chemistry_layout", "SELECT read_id, upper(substr(sequence, 1, 8)) AS \"D\", upper(substr(sequence, 13, 8)) AS \"C\", upper(substr(sequence, 25, 8)) AS \"B\", upper(substr(sequence, 37, 8)) AS \"A\" FROM sequences")
+def _(s):
+    own = {"c1": {"structure": {"dna": {"pattern": "DDDDDDDDOOOOCCCCCCCCNNNNBBBBBBBBMMMMAAAAAAAA", "mappings": {"barcode": {x: f"Barcode {x}" for x in R.PARTS}, "linker": {x: f"Linker {x}" for x in "ONM"}}}}, "demultiplexing": {"parts": "A"}}}
+    return R.extract_parts(s.sequences, chemistry.layout(chemistry.compiled(own)["c1"], "dna", "barcode"))
+
+
+@query("take_reads", "SELECT read_id, substr(sequence, 1, 100) AS sequence FROM sequences SEMI JOIN (SELECT l_orderkey AS k FROM lineitem WHERE l_quantity > 40) n ON read_id = k")
+def _(s):
+    return R.trimmed(R.take_reads(s.sequences, s.raw("lineitem").where("l_quantity > 40").select("l_orderkey")), 100)
+
+
+@query("position_profile", "b AS (SELECT upper(substr(sequence, i::INT, 1)) AS b, i FROM (SELECT sequence, unnest(range(1, length(sequence) + 1)) AS i FROM sequences)) SELECT i::INT AS position, count(*) AS reads, " + ", ".join(f"count(*) FILTER (b = '{b}') AS \"n_{b}\"" for b in "ACGT") + ", round(count(*) FILTER (b IN ('G', 'C')) / count(*), 6) AS fraction_gc FROM b GROUP BY i")
+def _(s):
+    return S.position_profile(s.sequences)
+
+
+@query("read_cells", "ix AS (SELECT barcode, row_number() OVER (ORDER BY barcode) - 1 AS cell FROM (SELECT DISTINCT barcode FROM umis WHERE \"GN\" <> '-')) SELECT read_name, barcode, cell FROM umis JOIN ix USING (barcode)")
+def _(s):
+    return V.read_cells(s.umis, s.umis.where("GN <> '-'"))
+
+
+@query("combine_by_sample", "SELECT s.n_name AS sample_name, r_name, c FROM nation s JOIN region ON n_regionkey = r_regionkey JOIN (SELECT c_nationkey AS k, count(*) AS c FROM customer GROUP BY 1) ON k = n_nationkey")
 def _(s):
-    return B.plate_occupancy(s.reads.where("chrom IS NOT NULL").withColumn("reads", F.lit(1)), "chrom")
+    left = s.raw("nation").join(s.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("sample_name"), "r_name")
+    right = s.raw("customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("c")).join(s.raw("nation"), F.col("k") == F.col("n_nationkey")).select(F.col("n_name").alias("sample_name"), "c")
+    return R.combined(left, right)
+
+
+@query("join_or_empty", "l AS (SELECT n_name AS k FROM nation WHERE n_regionkey <> 2), r AS (SELECT n_name AS k, list_sort(list(s_suppkey)) AS v FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey < 15 GROUP BY 1) SELECT coalesce(l.k, r.k) AS sample_name, coalesce(len(v), 0)::INT AS n, coalesce(array_to_string(v, ','), '') AS files FROM l FULL JOIN r ON l.k = r.k")
+def _(s):
+    left = s.raw("nation").where("n_regionkey <> 2").select(F.col("n_name").alias("sample_name"))
+    right = s.raw("supplier").join(s.raw("nation").where("n_nationkey < 15"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("sample_name"), "s_suppkey")
+    return R.joined_or_empty(left, right, "sample_name", "s_suppkey").select("sample_name", F.size("s_suppkey").alias("n"), F.array_join("s_suppkey", ",").alias("files"))
 
 
 # ---- counts
@@ -272,9 +337,18 @@ def _(s):
     return K.barcode_metrics(K.amplicon_counts(K.on_target(s.reads)), "chrom", "reads")
 
 
-@query("otsu_cells")
+def _otsu(c: str, floor: int) -> str:
+    """CTEs of the threshold of a column of bm: t_<column> (t)."""
+    return f"""e_{c} AS (SELECT min({c}) AS lo, max({c}) AS hi, log10(min({c}) + 1) AS f, log10(max({c}) + 1) AS l FROM bm),
+b_{c} AS (SELECT i, coalesce(n, 0) AS n, f + (l - f) * (i + 0.5) / 256 AS x FROM e_{c}, (SELECT unnest(range(256)) AS i) LEFT JOIN (SELECT least(255, greatest(0, floor((log10({c} + 1) - f) / ((l - f) / 256))))::BIGINT AS b, count(*) AS n FROM bm, e_{c} WHERE lo < hi GROUP BY 1) ON i = b),
+s_{c} AS (SELECT i, x, sum(n) OVER (ORDER BY i) AS below, sum(n) OVER () AS total, sum(n * x) OVER (ORDER BY i) AS sx, sum(n * x) OVER () AS al FROM b_{c}),
+v_{c} AS (SELECT x, CASE WHEN below > 0 AND below < total THEN below * (total - below) * pow(sx / below - (al - sx) / (total - below), 2) ELSE -1 END AS v, i FROM s_{c} WHERE i < 255),
+t_{c} AS (SELECT CASE WHEN lo = hi THEN greatest({floor}, lo) ELSE least(greatest(round_even(pow(10, (SELECT arg_max(x, (round(v, 9), -i)) FROM v_{c})) - 1, 0), {floor}), hi) END AS t FROM e_{c})"""
+
+
+@query("otsu_cells", ON_TARGET + "," + BM + ", " + _otsu("total_counts", K.FLOORS["DNA"][0]) + ", " + _otsu("n_features", K.FLOORS["DNA"][1]) + ", sc AS (SELECT bm.*, (1 / (1 + exp(-2 * log10((total_counts + 1) / (a.t + 1)))) + 1 / (1 + exp(-2 * log10((n_features + 1) / (b.t + 1))))) / 2 AS x FROM bm, t_total_counts a, t_n_features b) SELECT barcode, n_features, total_counts, round(x, 9) AS confidence_score, x >= 0.7 AS is_cell FROM sc")
 def _(s):
-    return K.cells(K.amplicon_counts(K.on_target(s.reads)))
+    return K.cells(K.amplicon_counts(K.on_target(s.reads))).withColumn("confidence_score", F.round("confidence_score", 9))
 
 
 @query("cell_scores_fixed", ON_TARGET + "," + BM + ", sc AS (SELECT *, (1 / (1 + exp(-2 * log10((total_counts + 1) / 21))) + 1 / (1 + exp(-2 * log10((n_features + 1) / 11)))) / 2 AS x FROM bm) SELECT barcode, n_features, total_counts, round(x, 6) AS confidence_score, x >= 0.55 AS is_cell FROM sc")
@@ -319,9 +393,81 @@ def _(s):
     return K.keep_list(s.reads.where("chrom IS NOT NULL").select("read_name", "chrom", "barcode").distinct(), 10, md5_order("read_name"))
 
 
-@query("keep_list_hash")
+@query("keep_list_hash", "g AS (SELECT chrom, barcode, count(*) AS n FROM (SELECT DISTINCT read_name, chrom, barcode FROM reads WHERE chrom IS NOT NULL) GROUP BY ALL) SELECT chrom, barcode, least(n, 10) AS kept, least(n, 5) AS kept_of_few, least(n, 5) AS few_in_more FROM g")
+def _(s):
+    """The shipped order: how many reads of each group stay, and that a list with a lower cap is part of one with a higher cap."""
+    own = s.reads.where("chrom IS NOT NULL").select("read_name", "chrom", "barcode").distinct()
+    more, few = K.keep_list(own, 10, K.seeded(42)), K.keep_list(own, 5, K.seeded(42)).select("read_name", "chrom", "barcode", F.lit(True).alias("few"))
+    both = more.join(few, ["read_name", "chrom", "barcode"], "full")
+    return both.groupBy("chrom", "barcode").agg(F.count("rank").alias("kept"), F.count("few").alias("kept_of_few"), F.count_if(F.col("few") & F.col("rank").isNotNull()).alias("few_in_more"))
+
+
+_ELIGIBLE = """el AS (SELECT DISTINCT r.chrom, r.barcode, r.read_name FROM reads r SEMI JOIN (SELECT read_name FROM tgt) f ON f.read_name = r.read_name SEMI JOIN (SELECT barcode FROM reads GROUP BY barcode ORDER BY count(*) DESC, barcode LIMIT 20) t ON t.barcode = r.barcode WHERE r.chrom IS NOT NULL),
+kp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chrom, barcode ORDER BY md5(concat(read_name, ':42')), read_name) AS rank FROM el) WHERE rank <= 3) """
+
+
+def _eligible(s: Source) -> DataFrame:
+    top = K.force_cells(s.reads.groupBy("barcode").agg(F.count("*").alias("total_counts")), 20)
+    return K.eligible(s.reads, K.on_target(s.reads), top)
+
+
+@query("eligible_reads", ON_TARGET + ", " + _ELIGIBLE + "SELECT chrom, barcode, read_name FROM el")
 def _(s):
-    return K.keep_list(s.reads.where("chrom IS NOT NULL").select("read_name", "chrom", "barcode").distinct(), 10, K.seeded(42))
+    return _eligible(s)
+
+
+@query("keep_list_applied", ON_TARGET + ", " + _ELIGIBLE + "SELECT r.read_name, r.chrom, r.start, r.barcode FROM reads r SEMI JOIN (SELECT read_name FROM kp) k ON r.read_name = k.read_name")
+def _(s):
+    keep = K.keep_list(_eligible(s), 3, md5_order("read_name"))
+    return K.apply_keep_list(s.reads, keep).select("read_name", "chrom", "start", "barcode")
+
+
+@query("whole_contigs", "SELECT feature AS contig, 0::BIGINT AS start, length(sequence)::BIGINT AS \"end\" FROM contigs")
+def _(s):
+    return K.whole_contigs(s.contigs.select("feature", F.length("sequence").alias("length")))
+
+
+@query("pivot_counts", ON_TARGET + "SELECT barcode, " + ", ".join(f"coalesce(sum(reads) FILTER (chrom = 'A{i}'), 0)::BIGINT AS \"A{i}\"" for i in range(4)) + " FROM cnt GROUP BY barcode")
+def _(s):
+    return K.pivot_counts(K.amplicon_counts(K.on_target(s.reads)), [f"A{i}" for i in range(4)])
+
+
+@query("most_frequent", "SELECT mapping_quality, count(*) AS n FROM reads GROUP BY 1 ORDER BY n DESC, mapping_quality LIMIT 1")
+def _(s):
+    return K.most_frequent(s.reads, "mapping_quality")
+
+
+@query("last_row", "SELECT read_name, barcode, mapping_quality FROM reads ORDER BY mapping_quality DESC, read_name DESC, chrom DESC LIMIT 1")
+def _(s):
+    return K.last_row(s.reads, "mapping_quality", "read_name").select("read_name", "barcode", "mapping_quality")
+
+
+@query("limit_prefix", "SELECT read_name, barcode FROM umis ORDER BY read_name LIMIT 1000")
+def _(s):
+    return K.first_rows(s.umis, 1000, "read_name").select("read_name", "barcode")
+
+
+@query("sample_gather", "SELECT read_name, barcode FROM (SELECT *, row_number() OVER (ORDER BY read_name) AS i FROM umis) JOIN (SELECT unnest([1, 7, 7, 250, 999]) AS k) ON i = k")
+def _(s):
+    return K.gather(s.umis.select("read_name", "barcode"), [1, 7, 7, 250, 999], "read_name")
+
+
+@query("usable_reads", ON_TARGET + "," + _FLAGS + ", al AS (SELECT *, round(reads / sum(reads) OVER (), 6) AS fraction FROM fl), us AS (SELECT * FROM al WHERE is_anchored AND mapped AND NOT high_quality_mapped) SELECT coalesce(sum(reads), 0)::BIGINT AS total_usable_reads, round(coalesce(sum(fraction), 0), 6) AS fraction_usable_reads, coalesce(sum(reads) FILTER (has_barcode), 0)::BIGINT AS total_usable_reads_in_cell, round(coalesce(sum(fraction) FILTER (has_barcode), 0), 6) AS fraction_usable_reads_in_cell FROM us")
+def _(s):
+    return K.usable_reads(K.fractions(K.flag_table(s.reads)), ["is_anchored", "mapped"], ["high_quality_mapped"], "has_barcode")
+
+
+@query("knee_point")
+def _(s):
+    """The sharpest bend of the rank curve of all barcodes; a barcode is one number, and they come to the driver in falling order."""
+    n = [r["total_counts"] for r in K.barcode_metrics(K.amplicon_counts(K.on_target(s.reads)), "chrom", "reads").select("total_counts").orderBy(F.desc("total_counts")).toLocalIterator()]
+    return s.spark.createDataFrame([(K.knee_point(np.array(n)),)], "rank long")
+
+
+@query("inflection_minimum")
+def _(s):
+    found = K.barcode_metrics(K.amplicon_counts(K.on_target(s.reads)), "chrom", "reads")
+    return s.spark.createDataFrame([(K.inflection_minimum(*K.log_bins(found, "total_counts")),)], "threshold double")
 
 
 _STATS = "st AS (SELECT chrom, barcode, count(*) AS n_reads_raw, least(count(*), 20) AS n_reads_used, count(*) > 0 AS covered, count(*) > 20 AS capped FROM reads WHERE chrom IS NOT NULL GROUP BY ALL) "
@@ -394,35 +540,39 @@ def _(s):
     return K.flag_statistics(s.reads)
 
 
-_SAT = GENE + ", rk AS (SELECT *, row_number() OVER (ORDER BY md5(concat(read_name, ':42')), read_name) AS r FROM valid), ds AS (SELECT r.*, d AS depth FROM rk r, (SELECT unnest([2, 5, 10, 20]) AS d) WHERE r <= d * 50), pc AS (SELECT depth, barcode, count(DISTINCT (\"GN\", \"UB\")) AS u, count(DISTINCT \"GN\") AS g FROM ds GROUP BY ALL), md AS (SELECT depth, median(u) AS median_counts_per_cell, median(g) AS median_genes_per_cell FROM pc GROUP BY 1), sa AS (SELECT depth, round(1 - count(DISTINCT (barcode, \"GN\", \"UB\", mapping_quality)) / count(*), 6) AS saturation FROM ds GROUP BY 1) "
+_SAT = GENE + """, n AS (SELECT count(*) AS total, count(DISTINCT barcode) AS cells, count(*) // count(DISTINCT barcode) AS top FROM valid),
+sz AS (SELECT top AS d, total AS size FROM n UNION ALL SELECT d, d * cells FROM n, (SELECT unnest([500, 1000, 2500] || range(10000, 1000000, 5000)) AS d) WHERE d < top),
+few AS (SELECT d, d * cells AS size FROM n, (SELECT unnest([2, 5, 10, 20]) AS d)),
+rk AS (SELECT *, row_number() OVER (ORDER BY md5(concat(read_name, ':42')), read_name) AS r FROM valid) """
 
 
-@query("saturation_curve", _SAT + "SELECT depth, median_counts_per_cell, median_genes_per_cell, saturation FROM md JOIN sa USING (depth)")
-def _(s):
-    return K.saturation_curve(R.valid_rna(s.umis), [2, 5, 10, 20], 50, md5_order("read_name"))
-
+def _curve(sizes: str) -> str:
+    return f""", ds AS (SELECT rk.*, d AS depth FROM rk, {sizes} WHERE r <= size), pc AS (SELECT depth, barcode, count(DISTINCT ("GN", "UB")) AS u, count(DISTINCT "GN") AS g FROM ds GROUP BY ALL),
+md AS (SELECT depth, median(u) AS median_counts_per_cell, median(g) AS median_genes_per_cell FROM pc GROUP BY 1), sa AS (SELECT depth, round(1 - count(DISTINCT (barcode, "GN", "UB", mapping_quality)) / count(*), 6) AS saturation FROM ds GROUP BY 1) """
 
-@query("saturation_at_depth", _SAT + "SELECT max(saturation) FILTER (depth = 5) AS saturation_5, max(saturation) FILTER (depth = 7) AS saturation_7 FROM sa")
-def _(s):
-    return K.saturation_at(K.saturation_curve(R.valid_rna(s.umis), [2, 5, 10, 20], 50, md5_order("read_name")), (5, 7))
 
-
-# the two above are held to the constants of their SQL; these see all reads of all cells
+def _valid_cells(s: Source) -> tuple[DataFrame, DataFrame]:
+    reads = R.valid_rna(s.umis)
+    return reads, reads.select("barcode").distinct()
 
 
-def _saturation_of_all(s: Source) -> DataFrame:
-    reads = R.valid_rna(s.umis)
-    return K.saturation_of(reads, reads.select("barcode").distinct(), md5_order("read_name"))
+@query("saturation_curve", _SAT + _curve("sz") + "SELECT depth::INT AS depth, median_counts_per_cell, median_genes_per_cell, saturation FROM md JOIN sa USING (depth) UNION ALL SELECT 0, 0.0, 0.0, 0.0")
+def _(s):
+    """All reads of all cells, and the depths below their mean; a row of zeros."""
+    return K.saturation_of(*_valid_cells(s), md5_order("read_name"))
 
 
-@query("saturation_curve_all")
+@query("saturation_nested", _SAT + _curve("few") + "SELECT depth::INT AS depth, median_counts_per_cell, median_genes_per_cell, saturation FROM md JOIN sa USING (depth)")
 def _(s):
-    return _saturation_of_all(s)
+    """Given depths, of the table's number of cells."""
+    reads, cells = _valid_cells(s)
+    return K.saturation_curve(reads, [2, 5, 10, 20], cells.count(), md5_order("read_name"))
 
 
-@query("saturation_at_depth_all")
+@query("saturation_at_depth", _SAT + _curve("few") + "SELECT max(saturation) FILTER (depth = 5) AS saturation_5, max(saturation) FILTER (depth = 10000) AS saturation_10000 FROM sa")
 def _(s):
-    return K.saturation_at(_saturation_of_all(s))
+    reads, cells = _valid_cells(s)
+    return K.saturation_at(K.saturation_curve(reads, [2, 5, 10, 20], cells.count(), md5_order("read_name")), (5, 10000))
 
 
 @query("exact_sample", "SELECT read_name, barcode FROM umis ORDER BY md5(concat(read_name, ':42')), read_name LIMIT 200")
@@ -443,6 +593,25 @@ def _(s):
     return V.discovery_floor(s.catalog).select("caller", "chrom", "pos", "ref", "alt", "ad_alt")
 
 
+@query("private_alleles", "SELECT caller, chrom, pos, ref, alt FROM (SELECT *, count(*) OVER (PARTITION BY chrom, pos, ref, alt) AS n FROM (SELECT DISTINCT caller, chrom, pos, ref, alt FROM catalog)) WHERE n = 1")
+def _(s):
+    return V.private_alleles(s.catalog).select("caller", "chrom", "pos", "ref", "alt")
+
+
+@query("caller_summary", "SELECT chrom, pos, ref, alt, min(dp)::BIGINT AS min_dp, floor(median(dp))::INT AS median_dp, max(dp)::BIGINT AS max_dp, min(ad_alt)::BIGINT AS min_ad_alt, floor(median(ad_alt))::INT AS median_ad_alt, max(ad_alt)::BIGINT AS max_ad_alt, round(min(af), 6) AS min_vaf, round(max(af), 6) AS max_vaf, count(*) FILTER (dp > 0) AS n_with_depth FROM catalog GROUP BY ALL")
+def _(s):
+    return V.caller_summary(s.catalog)
+
+
+@query("split_alleles", "SELECT feature AS chrom, pos_local_0based + 1 AS pos, ref, alt, max(r)::BIGINT AS ad_ref, max(n)::BIGINT AS ad_alt FROM (SELECT feature, pos_local_0based, ref, alt, count(*) AS n FROM pileup WHERE alt <> ref GROUP BY ALL) JOIN (SELECT feature, pos_local_0based, ref, count(*) FILTER (alt = ref) AS r FROM pileup GROUP BY ALL) USING (feature, pos_local_0based, ref) GROUP BY ALL")
+def _(s):
+    """Pooled counts as records of several alternatives, a star among them."""
+    n = s.pileup.groupBy("feature", "pos_local_0based", "ref", "alt").agg(F.count("*").alias("n"))
+    site = n.groupBy(F.col("feature").alias("chrom"), (F.col("pos_local_0based") + 1).alias("pos"), "ref").agg(F.coalesce(F.sum(F.when(F.col("alt") == F.col("ref"), F.col("n"))), F.lit(0)).alias("r"), F.sort_array(F.collect_list(F.when(F.col("alt") != F.col("ref"), F.struct("alt", "n")))).alias("x"))
+    lines = site.select("chrom", "pos", "ref", F.concat_ws(",", F.transform("x", lambda v: v["alt"]), F.lit("*")).alias("alts"), F.concat(F.array("r"), F.transform("x", lambda v: v["n"]), F.array(F.lit(3).cast("long"))).alias("ads"))
+    return V.split_alleles(lines)
+
+
 @query("callers_per_allele", "SELECT chrom AS feature, pos - 1 AS pos_local_0based, ref, alt, string_agg(DISTINCT caller, ',' ORDER BY caller) AS callers, count(DISTINCT caller) AS n_callers FROM catalog GROUP BY ALL")
 def _(s):
     return V.callers_per_allele(s.catalog).withColumn("callers", F.array_join("callers", ","))
@@ -651,6 +820,141 @@ def _(s):
     return V.indel_event(own)
 
 
+_CALLS = SIG + ", dl AS (SELECT DISTINCT barcode, feature, pos_local_0based, ref, alt, ref_reads, alt_reads, total_reads FROM lng), " + genotype_sql("dl", "ref_reads", "alt_reads", "0")
+
+
+def _raw_indels(s: Source) -> DataFrame:
+    return V.indel_wide(_long(s), V.indel_called(s.catalog)).withColumn("mean_bq", F.lit(None).cast("double"))
+
+
+@query("merge_indel", _CALLS + ", u AS (SELECT barcode, feature, pos_local_0based, ref, alt, ref_reads, alt_reads, total_reads FROM lng UNION ALL SELECT NULL, feature, pos_local_0based, ref, alt, 0, 0, 0 FROM called ANTI JOIN lng USING (feature, pos_local_0based, ref, alt)) SELECT 's1' AS sample, 'INDEL' AS kind, 'ALT' AS row_type, u.*, gt.gt, gt.filter AS gt_filter, gt.gt IS NOT NULL AS genotyped, NULL::BOOLEAN AS is_no_call FROM u LEFT JOIN gt ON u.barcode = gt.barcode AND u.feature = gt.feature AND u.pos_local_0based = gt.pos_local_0based AND u.ref = gt.ref AND u.alt = gt.alt")
+def _(s):
+    out = V.merge_indel(_raw_indels(s), V.genotype_indel(_long(s)), "s1")
+    return out.select("sample", "kind", "row_type", "barcode", *V.ALLELE, "ref_reads", "alt_reads", "total_reads", "gt", "gt_filter", "genotyped", "is_no_call")
+
+
+@query("merge_without_calls", SIG + "SELECT barcode, feature, pos_local_0based, ref, alt, alt_reads, NULL::VARCHAR AS gt, NULL::DOUBLE AS gq, NULL::VARCHAR AS gt_filter, NULL::DOUBLE AS mean_bq, false AS genotyped FROM (SELECT barcode, feature, pos_local_0based, ref, alt, alt_reads FROM lng UNION ALL SELECT NULL, feature, pos_local_0based, ref, alt, 0 FROM called ANTI JOIN lng USING (feature, pos_local_0based, ref, alt))")
+def _(s):
+    """A sample without genotypes: the same columns, null."""
+    return V.merge_indel(_raw_indels(s), None, "s1").select("barcode", *V.ALLELE, "alt_reads", "gt", "gq", "gt_filter", "mean_bq", "genotyped")
+
+
+@query("merge_snv_without_calls", ALLELES + "SELECT barcode, feature, pos_local_0based, ref, alt, reads AS alt_reads, NULL::VARCHAR AS gt, NULL::DOUBLE AS gq, NULL::VARCHAR AS gt_filter, 'ALT' AS row_type FROM al WHERE alt <> ref")
+def _(s):
+    raw = V.snv_alleles(s.pileup).where("alt <> ref").select("barcode", *V.ALLELE, F.col("reads").alias("alt_reads"), F.lit("").alias("filter"))
+    return V.merge_snv(raw, None).select("barcode", *V.ALLELE, "alt_reads", "gt", "gq", "gt_filter", "row_type")
+
+
+@query("attribution", SIG + ", o AS (SELECT feature, pos_local_0based, ref, alt FROM called), h AS (SELECT DISTINCT feature, pos_local_0based, ref, alt FROM lng WHERE alt_reads > 0) SELECT (SELECT count(*) FROM o) AS called, (SELECT count(*) FROM o SEMI JOIN h USING (feature, pos_local_0based, ref, alt)) AS attributed, (SELECT count(*) FROM o ANTI JOIN h USING (feature, pos_local_0based, ref, alt)) AS dropped")
+def _(s):
+    return V.attribution(s.catalog, _raw_indels(s), ["INS", "DEL"])
+
+
+# ---- matrices
+
+_MEASURED = """sq AS (SELECT feature, unnest(range(1, length(sequence) + 1)) AS pos, sequence FROM contigs), mp AS (SELECT p.* FROM pileup p SEMI JOIN contigs c ON p.feature = c.feature),
+cx AS (SELECT feature, pos, substr(sequence, pos::INT, 1) AS ref_base, row_number() OVER (ORDER BY feature, pos) - 1 AS col FROM sq SEMI JOIN (SELECT DISTINCT feature, pos_local_0based + 1 AS pos FROM mp) m USING (feature, pos)),
+rx AS (SELECT barcode, row_number() OVER (ORDER BY barcode) - 1 AS row FROM (SELECT DISTINCT barcode FROM mp)) """
+_SNV_ENTRIES = _BEST.replace("FROM pileup", "FROM mp").replace("al0 AS", _MEASURED.replace("FROM pileup", "FROM  pileup") + ", al0 AS", 1) + ", co AS (SELECT barcode, feature, pos_local_0based, " + ", ".join(f"coalesce(sum(reads) FILTER (alt = '{b}'), 0)::BIGINT AS \"AD_{b}\"" for b in "ACGT") + """, coalesce(sum(reads) FILTER (alt NOT IN ('A', 'C', 'G', 'T')), 0)::BIGINT AS "AD_N", sum(reads)::BIGINT AS "DP", coalesce(sum(reads) FILTER (alt <> ref), 0)::BIGINT AS nonref FROM al GROUP BY ALL),
+en AS (SELECT co.*, round(nonref / "DP", 6) AS "X", row, col, coalesce((CASE gt.gt WHEN '0/0' THEN 1 WHEN '0/1' THEN 2 WHEN '1/1' THEN 3 END), -1)::TINYINT AS gt_code, gq FROM co JOIN rx USING (barcode) JOIN cx ON co.feature = cx.feature AND co.pos_local_0based + 1 = cx.pos LEFT JOIN gt ON co.barcode = gt.barcode AND co.feature = gt.feature AND co.pos_local_0based = gt.pos_local_0based) """
+
+
+class _Matrix:
+    """The parts of the matrix of single bases of a source."""
+
+    def __init__(self, s: Source) -> None:
+        alleles = V.snv_alleles(s.pileup.join(s.contigs.select("feature"), "feature", "left_semi"))
+        self.axis = V.position_axis(s.contigs, s.catalog.select(F.col("chrom").alias("feature"), "pos"))
+        self.composition = V.base_composition(alleles)
+        self.columns = X.measured_columns(self.axis, self.composition)
+        self.entries = X.snv_entries(self.composition, X.rows_of(self.composition), self.columns, V.genotype_snv(alleles))
+
+
+@query("snv_matrix_entries", _SNV_ENTRIES + "SELECT barcode, feature, pos_local_0based, row, col, \"AD_A\", \"AD_C\", \"AD_G\", \"AD_T\", \"AD_N\", \"DP\", nonref, \"X\", gt_code, round(gq::FLOAT::DOUBLE, 3) AS gq FROM en")
+def _(s):
+    return _Matrix(s).entries.select("barcode", *V.SITE, "row", "col", *X.SNV_LAYERS, "nonref", "X", "gt_code", F.round(F.col("gq").cast("double"), 3).alias("gq"))
+
+
+@query("snv_matrix_obs", _SNV_ENTRIES + "SELECT barcode, sum(\"DP\")::BIGINT AS total_depth, count(*) AS n_sites_covered, round(avg(\"DP\"), 6) AS mean_site_depth, round(median(\"DP\"), 6) AS median_site_depth, count(*) FILTER (nonref > 0) AS n_sites_nonref, round(count(*) FILTER (nonref > 0) / count(*), 6) AS fraction_sites_nonref FROM en WHERE \"DP\" > 0 GROUP BY barcode")
+def _(s):
+    return X.snv_obs(_Matrix(s).entries)
+
+
+@query("snv_matrix_var", _SNV_ENTRIES + f", o AS (SELECT * FROM catalog WHERE {TYPE} = 'SNV'), a AS (SELECT chrom, pos, ref, alt, median(dp) AS dp, median(ad_alt) AS ad FROM o GROUP BY ALL), t AS (SELECT chrom, pos, median(dp) AS d, sum(ad) AS n, arg_min(alt, (-ad, alt)) AS m FROM a GROUP BY ALL), k AS (SELECT chrom, pos, count(DISTINCT caller) AS c FROM o GROUP BY ALL), ce AS (SELECT col, count(*) FILTER (\"DP\" > 0) AS u, count(*) FILTER (nonref > 0) AS v FROM en GROUP BY col) SELECT cx.col, cx.feature, cx.pos, cx.ref_base, tg.pos IS NOT NULL AS is_target, c IS NOT NULL AS is_candidate_variant, coalesce(c, 0) AS n_callers, true AS is_measured, d AS pseudobulk_depth, n AS pseudobulk_nonref_count, CASE WHEN c IS NOT NULL THEN coalesce(round(n / nullif(d, 0), 6), 0.0) END AS pseudobulk_nonref_vaf, m AS pseudobulk_major_nonref, coalesce(u, 0) AS n_cells_covered, coalesce(v, 0) AS n_cells_nonref FROM cx LEFT JOIN t ON t.chrom = cx.feature AND t.pos = cx.pos LEFT JOIN k ON k.chrom = cx.feature AND k.pos = cx.pos LEFT JOIN ce ON ce.col = cx.col LEFT JOIN (SELECT DISTINCT chrom, pos FROM catalog) tg ON tg.chrom = cx.feature AND tg.pos = cx.pos")
+def _(s):
+    m = _Matrix(s)
+    out = X.snv_var(m.columns, s.catalog, m.entries)
+    return out.select("col", "feature", "pos", "ref_base", "is_target", "is_candidate_variant", "n_callers", "is_measured", "pseudobulk_depth", "pseudobulk_nonref_count", "pseudobulk_nonref_vaf", "pseudobulk_major_nonref", "n_cells_covered", "n_cells_nonref")
+
+
+@query("declared_targets", _MEASURED + "SELECT sq.feature, sq.pos, cx.pos IS NOT NULL AS is_measured FROM sq JOIN (SELECT DISTINCT chrom, pos FROM catalog) t ON t.chrom = sq.feature AND t.pos = sq.pos LEFT JOIN cx ON cx.feature = sq.feature AND cx.pos = sq.pos")
+def _(s):
+    m = _Matrix(s)
+    return X.declared_targets(m.axis, m.columns)
+
+
+@query("matrix_triplets", _SNV_ENTRIES + "SELECT layer, row, col, value FROM (UNPIVOT (SELECT row, col, \"AD_A\"::DOUBLE AS \"AD_A\", \"DP\"::DOUBLE AS \"DP\", nonref::DOUBLE AS nonref FROM en) ON \"AD_A\", \"DP\", nonref INTO NAME layer VALUE value) WHERE value <> 0")
+def _(s):
+    return X.triplets(_Matrix(s).entries, "AD_A", "DP", "nonref")
+
+
+@query("matrix_dense", _SNV_ENTRIES + ", g AS (SELECT row, c FROM rx, (SELECT col AS c FROM cx)) SELECT g.row, string_agg(coalesce(gt_code, -1)::INT::VARCHAR, ',' ORDER BY c) AS calls FROM g LEFT JOIN en ON en.row = g.row AND en.col = g.c GROUP BY g.row")
+def _(s):
+    m = _Matrix(s)
+    return X.dense(m.entries, "gt_code", m.columns.count(), X.NO_CALL).select("row", F.array_join(F.transform("values", lambda v: v.cast("int").cast("string")), ",").alias("calls"))
+
+
+_INDEL_ENTRIES = _CALLS + """, ev AS (SELECT feature, pos_local_0based, ref, alt, row_number() OVER (ORDER BY feature, pos_local_0based, ref, alt) - 1 AS col FROM called), ir AS (SELECT barcode, row_number() OVER (ORDER BY barcode) - 1 AS row FROM (SELECT DISTINCT barcode FROM cov)),
+ie AS (SELECT l.barcode, l.feature, l.pos_local_0based, l.ref, l.alt, row, col, l.alt_reads AS "AD", l.total_reads AS "DP", l.ref_reads AS "REF_AD", l.total_reads - l.ref_reads - l.alt_reads AS "OTHER_INDEL", coalesce(round(l.alt_reads / nullif(l.total_reads, 0), 6), 0) AS "X", CASE WHEN l.ref_reads + l.alt_reads > 0 THEN (CASE gt.gt WHEN '0/0' THEN 1 WHEN '0/1' THEN 2 ELSE 3 END) ELSE -1 END::TINYINT AS gt_code, CASE WHEN l.ref_reads + l.alt_reads > 0 THEN gq ELSE 'NaN'::DOUBLE END AS gq
+  FROM (SELECT DISTINCT barcode, feature, pos_local_0based, ref, alt, ref_reads, alt_reads, total_reads FROM lng) l JOIN ev USING (feature, pos_local_0based, ref, alt) JOIN ir USING (barcode) JOIN gt ON l.barcode = gt.barcode AND l.feature = gt.feature AND l.pos_local_0based = gt.pos_local_0based AND l.ref = gt.ref AND l.alt = gt.alt) """
+
+
+class _Indels:
+    def __init__(self, s: Source) -> None:
+        self.signatures, called = V.indel_signatures(s.indel_pileup), V.indel_called(s.catalog)
+        coverage, long = V.indel_coverage(self.signatures), V.indel_alt_long(self.signatures, called)
+        self.columns = X.indel_columns(called)
+        self.entries = X.indel_entries(coverage, X.rows_of(coverage), self.columns, long, V.genotype_indel(long))
+
+
+@query("indel_matrix_entries", _INDEL_ENTRIES + "SELECT * EXCLUDE (gq), CASE WHEN isnan(gq) THEN NULL ELSE round(gq::FLOAT::DOUBLE, 3) END AS gq FROM ie")
+def _(s):
+    gq = F.col("gq").cast("double")
+    return _Indels(s).entries.withColumn("gq", F.when(~F.isnan(gq), F.round(gq, 3)))
+
+
+@query("indel_matrix_obs", _INDEL_ENTRIES + ", d AS (SELECT barcode, sum(total_reads)::BIGINT AS total_depth FROM cov GROUP BY barcode) SELECT barcode, any_value(total_depth) AS total_depth, sum(\"AD\")::BIGINT AS total_indel_support, count(*) FILTER (\"DP\" > 0) AS n_events_covered, round(avg(\"DP\"), 6) AS mean_event_depth, round(median(\"DP\"), 6) AS median_event_depth, count(*) FILTER (\"AD\" > 0) AS n_events_supported, round(count(*) FILTER (\"AD\" > 0) / count(*), 6) AS fraction_events_supported FROM ie JOIN d USING (barcode) GROUP BY barcode")
+def _(s):
+    m = _Indels(s)
+    return X.indel_obs(m.entries, m.signatures)
+
+
+@query("indel_matrix_var", _INDEL_ENTRIES + f", o AS (SELECT chrom AS feature, pos - 1 AS pos_local_0based, ref, alt, median(dp) AS dp, median(ad_alt) AS ad FROM catalog WHERE {TYPE} IN ('INS', 'DEL') GROUP BY ALL), ce AS (SELECT col, count(*) FILTER (\"DP\" > 0) AS u, count(*) FILTER (\"AD\" > 0) AS v FROM ie GROUP BY col) SELECT ev.*, dp AS pseudobulk_depth, ad AS pseudobulk_nonref_count, CASE WHEN dp > 0 THEN round(ad / dp, 6) END AS pseudobulk_nonref_vaf, coalesce(u, 0) AS n_cells_covered, coalesce(v, 0) AS n_cells_indel, CASE WHEN u > 0 THEN v > 0 END AS event_qc_pass, coalesce(u, 0) > 0 AS is_measured, abs(length(alt) - length(ref))::INT AS event_len, concat(feature, ':', pos_local_0based, ':', ref, '>', alt) AS indel_feature FROM ev LEFT JOIN o USING (feature, pos_local_0based, ref, alt) LEFT JOIN ce USING (col)")
+def _(s):
+    m = _Indels(s)
+    out = X.indel_var(m.columns, s.catalog, m.entries)
+    return out.select(*V.ALLELE, "col", "pseudobulk_depth", "pseudobulk_nonref_count", "pseudobulk_nonref_vaf", "n_cells_covered", "n_cells_indel", "event_qc_pass", "is_measured", "event_len", "indel_feature")
+
+
+# ---- reads over sites
+
+_WALK = "w AS (SELECT *, unnest(range(10)) AS i FROM aligned), pb AS (SELECT read_name, feature, start + i AS pos_local_0based, mapping_quality, CASE cigar WHEN '8M' THEN CASE WHEN i < 8 THEN substr(sequence, (i + 1)::INT, 1) END WHEN '3M2D5M' THEN CASE WHEN i < 3 THEN substr(sequence, (i + 1)::INT, 1) WHEN i < 5 THEN '' ELSE substr(sequence, (i - 1)::INT, 1) END ELSE CASE WHEN i < 4 THEN substr(sequence, (i + 1)::INT, 1) WHEN i < 7 THEN substr(sequence, (i + 2)::INT, 1) END END AS b, CASE WHEN cigar = '3M2D5M' AND i = 2 THEN -2 WHEN cigar = '4M1I3M' AND i = 3 THEN 1 ELSE 0 END AS z, CASE WHEN cigar = '4M1I3M' AND i = 3 THEN substr(sequence, 5, 1) ELSE '' END AS ins, cigar FROM w), sp AS (SELECT DISTINCT chrom AS feature, pos - 1 AS pos_local_0based FROM catalog), ps AS (SELECT pb.* FROM pb SEMI JOIN sp USING (feature, pos_local_0based) WHERE b IS NOT NULL), dc AS (SELECT feature, pos_local_0based FROM ps GROUP BY ALL HAVING count(*) >= 20) "
+
+
+def _sites(s: Source) -> tuple[DataFrame, DataFrame]:
+    return s.aligned.withColumn("qualities", F.lit(None).cast("array<int>")), s.catalog.select(F.col("chrom").alias("feature"), (F.col("pos") - 1).alias("pos_local_0based"))
+
+
+@query("pileup_snv", _WALK + "SELECT read_name, feature, pos_local_0based, b AS read_base, NULL::INT AS base_qual, mapping_quality AS map_qual FROM ps SEMI JOIN dc USING (feature, pos_local_0based) WHERE b <> ''")
+def _(s):
+    return files.pileup_snv(*_sites(s), 20)
+
+
+@query("pileup_indel", _WALK + "SELECT read_name, feature, pos_local_0based, mapping_quality AS map_qual, CASE WHEN b <> '' THEN z END::BIGINT AS indel_len, ins AS inserted_seq FROM ps SEMI JOIN dc USING (feature, pos_local_0based)")
+def _(s):
+    return files.pileup_indel(*_sites(s), 20)
+
+
 # ---- merged tables and axes
 
 _MERGE = _BEST + ", raw AS (SELECT barcode, feature, pos_local_0based, ref, alt, reads AS alt_reads, ref_reads, total_reads FROM al WHERE alt <> ref), mg AS (SELECT raw.*, gt.gt, gt.filter AS gt_filter, 'ALT' AS row_type FROM raw LEFT JOIN gt ON raw.barcode = gt.barcode AND raw.feature = gt.feature AND raw.pos_local_0based = gt.pos_local_0based AND raw.ref = gt.ref AND raw.alt = gt.alt UNION ALL SELECT barcode, feature, pos_local_0based, ref, NULL, NULL, ref_reads, total_reads, gt, filter, 'REF' FROM gt WHERE alt IS NULL) "
@@ -690,9 +994,13 @@ def _(s):
     return V.pad_cells(m, V.axis_union(m, s.raw("customer").select(F.col("c_custkey").cast("string").alias("barcode"))))
 
 
-@query("genomic_map", "SELECT feature, chrom, _g0 FROM places")
+@query("genomic_map", "SELECT feature, chrom, _g0::INT AS _g0, CASE WHEN _g0 % 2000 = 0 THEN (_g0 + 5)::INT END AS snp_pos FROM places")
 def _(s):
-    return s.places.select("feature", "chrom", "_g0")
+    """Headers as text; those without a contig or a whole number for the first base have no place."""
+    place = F.when(F.col("_g0") % 2000 == 0, (F.col("_g0") + 5).cast("string")).otherwise("5|x")
+    fasta = s.places.select(F.col("feature").alias("id"), F.create_map(F.lit("chrom"), "chrom", F.lit("g0"), F.col("_g0").cast("string"), F.lit("snp_pos"), place).alias("fields"))
+    odd = s.places.select(F.concat(F.lit("no-"), "feature"), F.create_map(F.lit("chrom"), F.when(F.col("_g0") > 5000, F.col("chrom")), F.lit("g0"), F.when(F.col("_g0") > 5000, "x1").otherwise("7"), F.lit("snp_pos"), F.lit("")))
+    return files.genomic_map(fasta.union(odd))
 
 
 # ---- metrics
@@ -709,21 +1017,32 @@ def _(s):
     return M.pivot(s.metrics.where("modality = 'm0'").withColumn("value", F.round("value", 4)), [f"k{i}" for i in range(6)])
 
 
-@query("metric_report", "SELECT source_id, m.library_type, m.modality, m.metric_key, human_readable_name, report, round(value, 4) AS value, CASE WHEN value < min_warning_threshold THEN 'warn' ELSE 'pass' END AS status FROM metrics m JOIN dictionary d ON m.library_type = d.library_type AND m.modality = d.modality AND m.metric_key = d.metric_key")
+@query("metric_report", "SELECT source_id, m.library_type, m.modality, m.metric_key, human_readable_name, report, round(value, 4) AS value, CASE WHEN coalesce(value < min_failure_threshold, false) OR coalesce(value > max_failure_threshold, false) THEN 'fail' WHEN coalesce(value < min_warning_threshold, false) OR coalesce(value > max_warning_threshold, false) THEN 'warn' ELSE 'pass' END AS status FROM metrics m JOIN dictionary d ON m.library_type = d.library_type AND m.modality = d.modality AND m.metric_key = d.metric_key")
 def _(s):
     out = M.report(s.metrics, s.dictionary)
     return out.select("source_id", "library_type", "modality", "metric_key", "human_readable_name", "report", F.round("value", 4).alias("value"), "status")
 
 
-@query("metric_thresholds", "SELECT status, count(*) AS n FROM (SELECT CASE WHEN value < min_warning_threshold THEN 'warn' ELSE 'pass' END AS status FROM metrics m JOIN dictionary d ON m.library_type = d.library_type AND m.modality = d.modality AND m.metric_key = d.metric_key) GROUP BY 1")
+@query("metric_thresholds", "SELECT status, count(*) AS n FROM (SELECT CASE WHEN coalesce(value < min_failure_threshold, false) OR coalesce(value > max_failure_threshold, false) THEN 'fail' WHEN coalesce(value < min_warning_threshold, false) OR coalesce(value > max_warning_threshold, false) THEN 'warn' ELSE 'pass' END AS status FROM metrics m JOIN dictionary d ON m.library_type = d.library_type AND m.modality = d.modality AND m.metric_key = d.metric_key) GROUP BY 1")
 def _(s):
     return M.report(s.metrics, s.dictionary).groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query("aggregate_metrics", "SELECT source_id, library_type, modality, process_name, metric_key, count(*) AS n FROM (SELECT * FROM metrics UNION ALL SELECT 'all', library_type, modality, process_name, metric_key, value FROM metrics) GROUP BY ALL")
+@query("aggregate_metrics", "SELECT source_id, library_type, modality, process_name, metric_key, round(value, 2)::FLOAT::DOUBLE AS value FROM (SELECT * FROM metrics UNION ALL SELECT 'all', library_type, modality, process_name, metric_key, value FROM metrics)")
 def _(s):
-    both = M.aggregate(s.metrics, s.metrics.withColumn("source_id", F.lit("all")))
-    return both.groupBy(*M.KEYS).agg(F.count("*").alias("n"))
+    own = s.metrics.withColumn("value", F.round("value", 2))
+    return M.aggregate(own, own.withColumn("source_id", F.lit("all"))).withColumn("value", F.col("value").cast("double"))
+
+
+@query("report_sections", "SELECT concat('metrics_', lower(m.library_type), '_', m.modality) AS section, source_id, m.metric_key, round(value, 4) AS value, CASE WHEN format = '{:,.2f}' THEN format('{:.2f}', round(value, 4)) WHEN format = '{:.1f}' THEN format('{:.1f}', round(value, 4)) ELSE format('{:.0f}', round(value, 4)) END AS shown FROM metrics m JOIN dictionary d ON m.library_type = d.library_type AND m.modality = d.modality AND m.metric_key = d.metric_key WHERE customer_facing AND lower(report) IN ('aggregated', 'both')")
+def _(s):
+    out = M.section_rows(s.metrics.withColumn("value", F.round("value", 4)), s.dictionary, "aggregated", False)
+    return out.withColumn("shown", F.regexp_replace("shown", ",", ""))
+
+
+@query("union_relaxed", "SELECT p_size::DOUBLE AS n, p_brand AS b, NULL::BIGINT AS k FROM part UNION ALL SELECT s_acctbal, NULL, s_suppkey FROM supplier UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def _(s):
+    return M.union_relaxed(s.raw("part").select(F.col("p_size").alias("n"), F.col("p_brand").alias("b")), s.raw("supplier").select(F.col("s_acctbal").alias("n"), F.col("s_suppkey").alias("k")), s.raw("nation").select(F.col("n_nationkey").alias("n"), F.col("n_name").alias("b"), F.col("n_regionkey").alias("k"))).select("n", "b", "k")
 
 
 @query("metric_slugs", "SELECT DISTINCT n_name, regexp_replace(regexp_replace(lower(concat(n_name, ' (%) x')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM nation")
@@ -759,6 +1078,42 @@ def _(s):
     return S.repeated(s.raw("customer").select(F.col("c_mktsegment").alias("sample_name"), F.col("c_nationkey").alias("lane")), "sample_name", "lane")
 
 
+_CODE_OF = spark_sql(CODE.format("p_partkey"))
+
+
+@query("reference_problems", """f AS (SELECT concat('A', p_partkey, CASE WHEN p_partkey % 11 = 0 THEN '-x' ELSE '' END) AS id, p_partkey AS k, concat(CASE WHEN p_partkey % 13 = 0 THEN 'acg' ELSE '' END, """ + CODE.format("p_partkey") + """, CASE WHEN p_partkey % 17 = 0 THEN 'XQ' ELSE '' END) AS q FROM part)
+SELECT id, 'error' AS level, 'id' AS rule, id AS detail FROM f WHERE k % 11 = 0 UNION ALL SELECT id, 'warning', 'lowercase', '' FROM f WHERE k % 13 = 0 UNION ALL SELECT id, 'error', 'base', unnest(['Q', 'X']) FROM f WHERE k % 17 = 0
+UNION ALL SELECT id, 'error', 'token', 'odd' FROM f WHERE k % 19 = 0 UNION ALL SELECT id, 'warning', 'key', 'colour' FROM f WHERE k % 23 = 0 UNION ALL SELECT id, 'error', 'amplicon_start', 'x' FROM f WHERE k % 29 = 0 UNION ALL SELECT id, 'error', 'amplicon_end', '-1' FROM f WHERE k = 0
+UNION ALL SELECT id, 'error', 'range', concat(k, '-', k - 1) FROM f WHERE k % 31 = 0 AND k % 29 <> 0 UNION ALL SELECT id, 'error', 'snp_pos', 'z' FROM f WHERE k % 37 = 0 UNION ALL SELECT id, 'error', 'snp_outside', (k + 500)::VARCHAR FROM f WHERE k % 31 <> 0 AND k % 29 <> 0 AND k % 41 = 0
+UNION ALL SELECT id, 'warning', 'g0_after_start', (k + 1)::VARCHAR FROM f WHERE k % 43 = 0 AND k % 29 <> 0 UNION ALL SELECT id, 'error', 'm5', md5(upper(q)) FROM f WHERE k % 47 = 0""")
+def _(s):
+    k = F.col("p_partkey")
+    when = lambda n, a, b="": F.when(k % n == 0, a).otherwise(b)
+    sequence = F.concat(when(13, "acg"), F.expr(_CODE_OF), when(17, "XQ"))
+    start, end = F.when(k % 29 == 0, "x").otherwise(k.cast("string")), F.when(k % 31 == 0, (k - 1).cast("string")).otherwise((k + 100).cast("string"))
+    snp = F.concat_ws("|", F.when(k % 37 == 0, "z"), F.when(k % 41 == 0, (k + 500).cast("string")), F.when((k % 31 != 0) & (k % 29 != 0), (k + 5).cast("string")))
+    fields = F.create_map(F.lit("chrom"), F.lit("c1"), F.lit("amplicon_start"), start, F.lit("amplicon_end"), end, F.lit("g0"), F.when(k % 43 == 0, (k + 1).cast("string")).otherwise("0"), F.lit("snp_pos"), snp, F.lit("m5"), F.when(k % 47 == 0, "0f").otherwise(F.upper(F.md5(F.upper(sequence)))))
+    fields = F.map_concat(fields, F.when(k % 23 == 0, F.create_map(F.lit("colour"), F.lit("red"))).otherwise(F.create_map().cast("map<string,string>")))
+    own = s.raw("part").select(F.concat(F.lit("A"), k, when(11, "-x")).alias("id"), fields.alias("fields"), F.when(k % 19 == 0, F.array(F.lit("odd"))).otherwise(F.array().cast("array<string>")).alias("bad"), sequence.alias("sequence"))
+    return S.reference_problems(own)
+
+
+@query("similarity_warnings", _WORDS + ", p AS (SELECT a.item_id AS ref_1, b.item_id AS ref_2, round(count(*) / least(any_value(x.n), any_value(y.n)), 6) AS s FROM k a JOIN k b ON a.w = b.w AND a.item_id < b.item_id JOIN n x ON x.item_id = a.item_id JOIN n y ON y.item_id = b.item_id GROUP BY ALL) SELECT ref_1 AS id, 'warning' AS level, 'similar' AS rule FROM p WHERE s >= 0.02")
+def _(s):
+    own = s.raw("benchmark").select(F.col("item_id").alias("id"), F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("sequence"))
+    return S.similarity_warnings(S.similarity(own, k=12, both_strands=False, common=3), 0.02).drop("detail")
+
+
+@query("repeated_inputs", "SELECT sample_name, 'repeated input' AS problem FROM (SELECT *, row_number() OVER (PARTITION BY library_type, fastq_1, fastq_2, demultiplexing_indices ORDER BY sample_name) AS i FROM library_sheet) WHERE i > 1 UNION ALL SELECT sample_name, 'wells differ' FROM library_sheet GROUP BY sample_name HAVING count(DISTINCT demultiplexing_indices) > 1")
+def _(s):
+    return files.repeated_inputs(s.library_sheet)
+
+
+@query("well_collisions", "e AS (SELECT sample_name, library_type, fastq_1, fastq_2, unnest(string_split(demultiplexing_indices, ';')) AS well FROM library_sheet), r AS (SELECT *, first(sample_name) OVER (PARTITION BY library_type, fastq_1, fastq_2, well ORDER BY sample_name) AS other, row_number() OVER (PARTITION BY library_type, fastq_1, fastq_2, well ORDER BY sample_name) AS i FROM e) SELECT sample_name, other, well FROM r WHERE i > 1")
+def _(s):
+    return files.well_collisions(s.library_sheet)
+
+
 @query("vcf_records", "SELECT chrom, pos, ref, alt, caller, dp::BIGINT AS dp FROM catalog WHERE dp IS NOT NULL AND dp <> 0")
 def _(s):
     lines = s.catalog.groupBy("chrom", "pos", "ref", "alt").agg(F.sort_array(F.collect_list(F.struct("caller", F.concat(F.col("dp").cast("string"), F.lit(":"), F.col("ad_ref").cast("string"), F.lit(","), F.col("ad_alt").cast("string")).alias("x")))).alias("c"))
@@ -768,6 +1123,13 @@ def _(s):
 
 @query("detection_power")
 def _(s):
-    from quillon.operators import power
+    """All quantities of the report; tests/ hold them against sums written out in Python."""
+    return P.report(V.genotype_snv(V.snv_alleles(s.pileup)), "s1")
+
+
+_N = "d AS (SELECT ref_reads + alt_reads AS n, count(*) AS cells FROM ss GROUP BY 1), kk AS (SELECT n, k, " + _lp(repr(C.EPS)) + " AS l0, " + _lp("0.5") + " AS l1, " + _lp(repr(1 - C.EPS)) + " AS l2, (lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)) AS ch FROM (SELECT n::DOUBLE AS n, unnest(range(n + 1))::DOUBLE AS k FROM d)), pl AS (SELECT n, k, exp(ch + l0 * ln(10)) AS p, round(-10 * (l0 - greatest(l0, l1, l2)), 9) AS a, round(-10 * (l1 - greatest(l0, l1, l2)), 9) AS b, round(-10 * (l2 - greatest(l0, l1, l2)), 9) AS c FROM kk), st AS (SELECT n, p, CASE WHEN n = 0 OR a = 0 THEN 0 WHEN b = 0 THEN 1 ELSE 2 END AS g, CASE WHEN n = 0 THEN 0 ELSE least(99.0, list_sort([a, b, c])[2]) END AS q FROM pl) "
 
-    return power.report(V.genotype_snv(V.snv_alleles(s.pileup)))
+
+@query("callable_by_depth", _BEST.split(", gt0 AS")[0] + ", " + _N + "SELECT d.n::BIGINT AS n, any_value(cells) AS cells, round(coalesce(sum(p) FILTER (g <> 0 AND q >= 30), 0), 6) AS rate, round(coalesce(max(q) FILTER (g = 0), 0), 6) AS hom, round(coalesce(max(q) FILTER (g = 1), 0), 6) AS het FROM d JOIN st ON st.n = d.n GROUP BY d.n")
+def _(s):
+    return P.callable_by_depth(V.genotype_snv(V.snv_alleles(s.pileup)))

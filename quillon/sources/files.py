@@ -1,26 +1,59 @@
 """Readers and writers: FASTQ, FASTA, VCF and BAM as Spark data sources, tables by suffix, sheets, reports.
 
-The data sources read in the executors. A FASTQ, FASTA or VCF file is one partition (gzip can't be split), a BAM file one for each window of its contigs.
-Register them with `register(spark)`; then `spark.read.format("fastq").load(path)` works as any source. Paths may be globs.
+The data sources read in the executors, from local files and from every store that Arrow's file systems know (file, s3, gs, hdfs). A FASTQ, FASTA or VCF file is one partition (gzip can't be split). A BAM file with an
+index beside it (.bai) has one for each window of its contigs, which reads only the blocks that the index names; without an index it is one partition.
+Register them with `register(spark)`; then `spark.read.format("fastq").load(path)` works as any source. The last part of a path may be a glob.
 """
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import gzip
 import io
+import posixpath
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+def _store(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    """File system and path in it."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return arrow_fs.FileSystem.from_uri(path) if "://" in path else (arrow_fs.LocalFileSystem(), path)
+
+
+def _files(path: str) -> list[str]:
+    """The files that a path names: itself, those of a folder, or those that a glob in its last part fits."""
+    head, _, last = path.rpartition("/")
+    prefix = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else ""
+    if any(c in last for c in "*?["):
+        where, own = _store(head or ".")
+        found = [i.path for i in where.get_file_info(arrow_fs.FileSelector(own)) if i.is_file and fnmatch.fnmatch(posixpath.basename(i.path), last)]
+    else:
+        where, own = _store(path)
+        info = where.get_file_info(own)
+        found = [i.path for i in where.get_file_info(arrow_fs.FileSelector(own)) if i.is_file] if info.type == arrow_fs.FileType.Directory else [own] if info.is_file else []
+    if not found:
+        raise FileNotFoundError(path)
+    return [prefix + f for f in sorted(found)]
+
+
+def _raw(path: str):
+    where, own = _store(path)
+    return where.open_input_file(own)
+
+
 def _open(path: str) -> io.TextIOBase:
-    return gzip.open(path, "rt") if path.endswith((".gz", ".bgz")) else open(path)
+    raw = _raw(path)
+    return io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if path.endswith((".gz", ".bgz")) else raw)
 
 
 @dataclass
@@ -33,10 +66,7 @@ class _FileReader(DataSourceReader):
         self.path = path
 
     def partitions(self) -> list[FilePart]:
-        found = sorted(glob.glob(self.path.removeprefix("file://")))
-        if not found:
-            raise FileNotFoundError(self.path)
-        return [FilePart(p) for p in found]
+        return [FilePart(p) for p in _files(self.path)]
 
     def read(self, part: FilePart) -> Iterator[tuple]:
         with _open(part.path) as lines:
@@ -118,13 +148,19 @@ class VcfReader(_FileReader):
 # BAM: blocks of gzip, each with its size in an extra field
 
 
-def _blocks(raw: io.BufferedIOBase) -> Iterator[bytes]:
+def _blocks(raw, at: int | None = None) -> Iterator[bytes]:
+    """Blocks of a file; at: a virtual offset, the place of a block and of a byte in it."""
+    skip = 0
+    if at is not None:
+        raw.seek(at >> 16)
+        skip = at & 0xFFFF
     while head := raw.read(18):
         if len(head) < 18 or head[:4] != b"\x1f\x8b\x08\x04":
             raise ValueError("not a BAM file")
         size = struct.unpack_from("<H", head, 16)[0] + 1
         body = raw.read(size - 18)
-        yield zlib.decompress(body[:-8], -15)
+        yield zlib.decompress(body[:-8], -15)[skip:]
+        skip = 0
 
 
 class _Bytes:
@@ -179,11 +215,13 @@ def bam_header(take) -> list[tuple[str, int]]:
     return out
 
 
-def bam_records(path: str) -> Iterator[tuple]:
-    """(name, chrom, start from 0, end, flags, mapping_quality, cigar, sequence, qualities, tags) of every alignment."""
-    with open(path, "rb") as raw:
+def bam_records(path: str, at: int | None = None) -> Iterator[tuple]:
+    """(name, chrom, start from 0, end, flags, mapping_quality, cigar, sequence, qualities, tags) of every alignment, or of those from a virtual offset on."""
+    with _raw(path) as raw:
         take = _Bytes(_blocks(raw)).take
         contigs = [n for n, _ in bam_header(take)]
+        if at is not None:
+            take = _Bytes(_blocks(raw, at)).take
         while len(size := take(4)) == 4:
             r = take(struct.unpack("<i", size)[0])
             ref, pos, l_name, mapq, _, n_ops, flags, l_seq = struct.unpack_from("<iiBBHHHi", r)
@@ -198,12 +236,32 @@ def bam_records(path: str) -> Iterator[tuple]:
             yield name, contigs[ref] if ref >= 0 else None, pos, pos + span, flags, mapq, "".join(f"{n}{o}" for n, o in ops), seq, None if qual[:1] == b"\xff" else list(qual), _tags(r[at + l_seq :])
 
 
+def bam_index(raw: bytes) -> tuple[list[list[int]], int]:
+    """Of a .bai: each contig's linear index, the virtual offset of the first alignment that reaches each 16384 bases; and where the placed alignments end."""
+    if raw[:4] != b"BAI\1":
+        raise ValueError("not an index of a BAM file")
+    at, out, last = 8, [], 0
+    for _ in range(struct.unpack_from("<i", raw, 4)[0]):
+        bins, at = struct.unpack_from("<i", raw, at)[0], at + 4
+        for _ in range(bins):
+            number, chunks = struct.unpack_from("<Ii", raw, at)
+            for k in range(chunks if number != 37450 else 0):  # that bin holds counts
+                last = max(last, struct.unpack_from("<QQ", raw, at + 8 + 16 * k)[1])
+            at += 8 + 16 * chunks
+        n = struct.unpack_from("<i", raw, at)[0]
+        out.append(list(struct.unpack_from(f"<{n}Q", raw, at + 4)))
+        at += 4 + 8 * n
+    return out, last
+
+
 @dataclass
 class Window(InputPartition):
     path: str
     contig: str | None
     start: int
     end: int
+    offset: int | None
+    whole: bool = False
 
 
 def windows(contigs: list[tuple[str, int]], size: int) -> list[tuple[str | None, int, int]]:
@@ -217,16 +275,57 @@ class BamReader(DataSourceReader):
 
     def partitions(self) -> list[Window]:
         out = []
-        for p in sorted(glob.glob(self.path.removeprefix("file://"))):
-            with open(p, "rb") as raw:
-                out += [Window(p, *w) for w in windows(bam_header(_Bytes(_blocks(raw)).take), self.window)]
+        for p in _files(self.path):
+            if p.endswith(".bai"):
+                continue
+            index = self._index(p)
+            if index is None:
+                out.append(Window(p, None, 0, 0, None, True))
+                continue
+            linear, last = index
+            with _raw(p) as raw:
+                contigs = bam_header(_Bytes(_blocks(raw)).take)
+            of = {n: x for (n, _), x in zip(contigs, linear, strict=False)}
+            for contig, a, z in windows(contigs, self.window):
+                if contig is None:
+                    out.append(Window(p, None, 0, 0, last or None))
+                elif found := [x for x in of.get(contig, [])[a >> 14 : (max(z - 1, a) >> 14) + 1] if x]:
+                    out.append(Window(p, contig, a, z, found[0]))
         return out
 
-    def read(self, part: Window) -> Iterator[tuple]:
-        """Alignments that start in the window, so none is read twice."""
-        for r in bam_records(part.path):
-            if r[1] == part.contig and (part.contig is None or part.start <= r[2] < part.end):
-                yield r
+    @staticmethod
+    def _index(path: str) -> tuple[list[list[int]], int] | None:
+        for own in (f"{path}.bai", path.removesuffix(".bam") + ".bai"):
+            where, name = _store(own)
+            if where.get_file_info(name).is_file:
+                with where.open_input_file(name) as raw:
+                    return bam_index(raw.read())
+        return None
+
+    def read(self, part: Window) -> Iterator[pa.RecordBatch]:
+        """Alignments that start in the window, so none is read twice; the file is sorted, so the window's end ends the reading."""
+        rows = []
+        for r in bam_records(part.path, part.offset):
+            if not part.whole:
+                if part.contig is not None and (r[1] != part.contig or r[2] >= part.end):
+                    break
+                if r[1] != part.contig or part.contig is not None and r[2] < part.start:
+                    continue
+            rows.append(r)
+            if len(rows) == 4096:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
+
+
+_BAM_TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.map_(pa.string(), pa.string())]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = [list(c) for c in zip(*rows, strict=True)]
+    cols[9] = [list(t.items()) for t in cols[9]]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _BAM_TYPES, strict=True)], ["name", "chrom", "start", "end", "flags", "mapping_quality", "cigar", "sequence", "qualities", "tags"])
 
 
 def pileup(start: int, cigar: str, sequence: str, qualities: list[int] | None) -> Iterator[tuple[int, str, int | None, int, str]]:
@@ -253,6 +352,43 @@ def pileup(start: int, cigar: str, sequence: str, qualities: list[int] | None) -
             at += n
 
 
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        cols: list[list] = [[] for _ in _PILED]
+        for name, feature, start, cigar, sequence, qualities, mapq in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for place, base, qual, size, new in pileup(start, cigar or "", sequence or "", qualities):
+                for c, v in zip(cols, (name, feature, place, base, qual, mapq, size if base else None, new), strict=True):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PILED.values(), strict=True)], list(_PILED))
+
+
+_PILED = {"read_name": pa.string(), "feature": pa.string(), "pos_local_0based": pa.int64(), "read_base": pa.string(), "base_qual": pa.int32(), "map_qual": pa.int32(), "indel_len": pa.int64(), "inserted_seq": pa.string()}
+_PILED_SCHEMA = "read_name string, feature string, pos_local_0based long, read_base string, base_qual int, map_qual int, indel_len long, inserted_seq string"
+
+
+def piled(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> DataFrame:
+    """Every read's base at the sites (feature, pos_local_0based) that min_coverage reads or more span, deletions among them; a deleted base is empty and has no indel length.
+
+    Alignments: read_name, feature, start from 0, cigar, sequence, qualities, mapping_quality. Each read's CIGAR is walked once.
+    """
+    own = alignments.select("read_name", "feature", F.col("start").cast("long"), "cigar", "sequence", F.col("qualities").cast("array<int>"), F.col("mapping_quality").cast("int"))
+    out = own.mapInArrow(_walk, _PILED_SCHEMA).join(sites.select("feature", "pos_local_0based").distinct(), ["feature", "pos_local_0based"], "left_semi")
+    if min_coverage > 1:
+        deep = out.groupBy("feature", "pos_local_0based").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_coverage)
+        out = out.join(deep.select("feature", "pos_local_0based"), ["feature", "pos_local_0based"], "left_semi")
+    return out
+
+
+def pileup_snv(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> DataFrame:
+    """(read_name, feature, pos_local_0based, read_base, base_qual, map_qual): bases of reads at the sites, without deleted ones."""
+    return piled(alignments, sites, min_coverage).where("read_base <> ''").drop("indel_len", "inserted_seq")
+
+
+def pileup_indel(alignments: DataFrame, anchors: DataFrame, min_coverage: int = 0) -> DataFrame:
+    """(read_name, feature, pos_local_0based, indel_len, inserted_seq, map_qual): what follows the anchor in each read; null where the anchor itself is deleted."""
+    return piled(alignments, anchors, min_coverage).drop("read_base", "base_qual")
+
+
 FORMATS = {
     "fastq": ("read_id string, sequence string, quality string", FastqReader),
     "fasta": ("id string, fields map<string,string>, bad array<string>, sequence string", FastaReader),
@@ -322,6 +458,9 @@ def enrich(fasta: DataFrame, panel: DataFrame) -> DataFrame:
 # tables and reports
 
 
+TABLES = (".csv", ".csv.gz", ".tsv", ".tsv.gz", ".parquet")
+
+
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A table by its suffix: CSV (also gzipped), TSV or Parquet."""
     if path.endswith(".parquet"):
@@ -336,7 +475,7 @@ def read_all(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The union of the tables among the paths; others are left out."""
     from functools import reduce
 
-    return reduce(lambda a, b: a.unionByName(b), [read_table(spark, p) for p in paths if p.endswith((".csv", ".csv.gz", ".parquet"))])
+    return reduce(lambda a, b: a.unionByName(b), [read_table(spark, p) for p in paths if p.endswith(TABLES)])
 
 
 def write_list(df: DataFrame, path: str) -> None:
@@ -360,5 +499,26 @@ def sheet_problems(sheet: DataFrame) -> DataFrame:
         "fastq_1": ~F.col("fastq_1").rlike(r"\.f(ast)?q\.gz$"), "fastq_2": ~F.col("fastq_2").rlike(r"\.f(ast)?q\.gz$"), "pair": F.col("fastq_1") == F.col("fastq_2"),
         "library_type": ~F.col("library_type").isin("DNA", "RNA"), "force_cells": F.col("force_cells") < 1, "indices": ~F.col("demultiplexing_indices").rlike(r"^[A-H]\d{1,2}(;[A-H]\d{1,2})*$"),
     }
+    if "library_id" in sheet.columns:
+        rules["library_id"] = F.col("library_id").rlike("R[12]")
     own = sheet.select("sample_name", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(n in ("fastq_1", "fastq_2", "library_type"))), n) for n, c in rules.items()]))).alias("problem"))
     return own.union(repeated(sheet, "fastq_1", "fastq_2").join(sheet, ["fastq_1", "fastq_2"]).select("sample_name", F.lit("repeated")))
+
+
+def repeated_inputs(sheet: DataFrame) -> DataFrame:
+    """(sample_name, problem): samples that share library type, files and wells with one before them in the order of names, and samples whose libraries have different wells."""
+    from pyspark.sql import Window as W
+
+    key = ["library_type", "fastq_1", "fastq_2", "demultiplexing_indices"]
+    again = sheet.withColumn("_i", F.row_number().over(W.partitionBy(*key).orderBy("sample_name"))).where("_i > 1").select("sample_name", F.lit("repeated input").alias("problem"))
+    apart = sheet.groupBy("sample_name").agg(F.count_distinct(F.coalesce("demultiplexing_indices", F.lit(""))).alias("_n")).where("_n > 1").select("sample_name", F.lit("wells differ"))
+    return again.union(apart)
+
+
+def well_collisions(sheet: DataFrame) -> DataFrame:
+    """(sample_name, other, well): samples that use a well of the same library and files as another one, which comes before it."""
+    from pyspark.sql import Window as W
+
+    each = sheet.select("sample_name", "library_type", "fastq_1", "fastq_2", F.explode_outer(F.split("demultiplexing_indices", ";")).alias("well"))
+    w = W.partitionBy("library_type", "fastq_1", "fastq_2", "well").orderBy("sample_name")
+    return each.withColumn("other", F.first("sample_name").over(w)).withColumn("_i", F.row_number().over(w)).where("_i > 1").select("sample_name", "other", "well")

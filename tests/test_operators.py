@@ -10,9 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
-from quillon.operators import barcodes, counts, metrics, power, reads, variants
+from quillon.operators import barcodes, chemistry, counts, matrices, metrics, power, ranges, reads, sequences, variants
 from quillon.plans.queries import QUERIES
 from quillon.plans.views import view
+from quillon.sources import tables as tables_module
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,11 +52,33 @@ def test_soft_filter(spark):
     assert [r.f for r in df.select(C.soft_filter("dp", "vaf", "bq", "mq").alias("f")).collect()] == ["PASS", "lowDP", "lowDP;lowVAF", "lowVAF;lowBQ;lowMQ"]
 
 
+def rounds_by_force(observed, listed, distance=1):
+    """The rounds with sorted lists, one string at a time."""
+    apart = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True)) if len(a) == len(b) else 99
+    found, pool = {}, sorted(set(listed))
+    unknown = sorted(set(observed) - set(pool))
+    while pool and unknown:
+        hits = {b: p[-1] for b in unknown if (p := [w for w in pool if w <= b]) and apart(b, p[-1]) <= distance}
+        after = {b: p[0] for b in unknown if b not in hits and (p := [w for w in pool if w >= b]) and apart(b, p[0]) <= distance}
+        found |= hits | after
+        pool = [w for w in pool if w not in {*hits.values(), *after.values()}]
+        unknown = [b for b in unknown if b not in hits and b not in after]
+        if not after:
+            break
+    return found
+
+
 def test_neighbour_rounds():
     listed = ["AAAAAAAA", "CCCCCCCC", "GGGGGGGG", "TTTTTTTT"]
     seen = ["AAAAAAAA", "AAAAAAAC", "ACCCCCCC", "CCCCCCCA", "GGGGGGGT", "TTTTTTTN", "TAAAAAAA", "NNNNNNNN"]
     found = barcodes.neighbour_rounds(seen, listed)
     assert found == {"AAAAAAAC": "AAAAAAAA", "ACCCCCCC": "CCCCCCCC", "CCCCCCCA": "CCCCCCCC", "GGGGGGGT": "GGGGGGGG", "TTTTTTTN": "TTTTTTTT"}
+    rng = random.Random(1)
+    for n in range(60):
+        word = lambda: "".join(rng.choice("ACN") for _ in range(rng.choice([3, 4, 4, 4])))
+        seen, listed = ([word() for _ in range(rng.randint(0, 60))] for _ in range(2))
+        listed = listed[: rng.randint(0, 30)]
+        assert barcodes.neighbour_rounds(seen, listed) == rounds_by_force(seen, listed), n
 
 
 def test_complete_correction(spark):
@@ -82,11 +105,29 @@ def test_compose_needs_all_parts(spark):
     assert [r.barcode for r in reads.compose_barcode(df).collect()] == ["D_C_B_A", None]
 
 
-def test_otsu():
-    assert counts.otsu(np.array([]), np.array([]), 20) == 20
-    assert counts.otsu(np.array([7]), np.array([5]), 20) == 20 and counts.otsu(np.array([70]), np.array([5]), 20) == 70
-    two = counts.otsu(np.array([1, 2, 3, 1000, 1100]), np.array([50, 40, 30, 10, 10]), 1)
-    assert 3 <= two < 1000
+def otsu_by_force(values, floor):
+    """The threshold from every value, with bins counted one by one."""
+    if not values:
+        return floor
+    lo, hi = min(values), max(values)
+    if lo == hi:
+        return max(floor, lo)
+    x = [math.log10(v + 1) for v in values]
+    first, width = min(x), (max(x) - min(x)) / 256
+    at = [min(255, int((v - first) / width)) for v in x]
+    best = (-1.0, 0)
+    for cut in range(255):
+        low, high = ([first + width * (b + 0.5) for b in at if (b <= cut) == side] for side in (True, False))
+        if low and high:
+            best = max(best, (len(low) * len(high) * (sum(low) / len(low) - sum(high) / len(high)) ** 2, -cut))
+    return int(min(max(round(10 ** (first + width * (0.5 - best[1])) - 1), floor), hi))
+
+
+def test_otsu(spark):
+    rng = random.Random(3)
+    for values in ([], [7] * 5, [70] * 5, [1] * 50 + [2] * 40 + [3] * 30 + [1000] * 10 + [1100] * 9, [rng.randint(1, 30) for _ in range(200)] + [rng.randint(300, 4000) for _ in range(60)]):
+        df = spark.createDataFrame([(v, v % 3) for v in values], "a long, b long")
+        assert counts.otsu_of(df, a=20, b=1) == {"a": otsu_by_force(values, 20), "b": otsu_by_force([v % 3 for v in values], 1)}
 
 
 def test_empty_counts(spark):
@@ -130,7 +171,7 @@ def test_saturation_of_all_reads(spark):
 def test_saturation_query_sees_all_reads(spark):
     valid = reads.valid_rna(view(spark, SF, "umis")).select("read_name", "barcode", "GN", "UB").collect()
     top = len(valid) // len({r.barcode for r in valid})
-    assert {r[0]: tuple(r)[1:] for r in QUERIES["saturation_curve_all"](spark, SF).collect()} == saturation_by_force(list(map(tuple, valid)), [top])
+    assert {r[0]: tuple(r)[1:] for r in QUERIES["saturation_curve"](spark, SF).collect()} == saturation_by_force(list(map(tuple, valid)), [top])
 
 
 def test_samples_are_nested(spark):
@@ -145,21 +186,230 @@ def test_ranks(spark):
     assert [g[0] for g in got] == list(range(1, 101)) and [g[1:] for g in got] == sorted(g[1:] for g in got)
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ranks_of_many_rows(spark, adaptive):
+    """More rows than any sample, carried columns, partitions that Spark merges or not: no rank is missing or taken twice."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+        n = 2_000_000
+        df = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(1000)) * F.pmod("id", F.lit(3))).alias("total_counts"), F.md5(F.col("id").cast("string")).alias("barcode"), F.repeat(F.lit("x"), 20).alias("more"))
+        got = counts.knee_rank(df).agg(F.count("*"), F.count_distinct("rank"), F.min("rank"), F.max("rank")).first()
+        assert tuple(got) == (n, n, 1, n)
+        some = counts.knee_rank(df).where("rank <= 200").select("rank", "total_counts", "barcode").collect()
+        want = df.orderBy(F.desc("total_counts"), "barcode").limit(200).collect()
+        assert [(r.total_counts, r.barcode) for r in sorted(some, key=lambda r: r["rank"])] == [(r.total_counts, r.barcode) for r in want]
+        total = df.agg(F.sum("total_counts")).first()[0]
+        sums = counts.cumulative(df.withColumn("total_counts", F.col("total_counts") + 1), 2.0).agg(F.max("cumulative"), F.count("*")).first()
+        assert tuple(sums) == (total + n, n)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_ranges_with_nulls_and_hot_keys(spark):
+    rows = [(None, f"n{i}") for i in range(30)] + [(1, f"k{i:03}") for i in range(400)] + [(i, "z") for i in range(2, 60)]
+    df = spark.createDataFrame(rows, "a long, b string").repartition(7)
+    got = [r for r in sorted(ranges.ranked(df, "i", "a", "b").collect(), key=lambda r: r.i)]
+    assert [r.i for r in got] == list(range(1, len(rows) + 1)) and [(r.a, r.b) for r in got] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    sums = {r.b: r.s for r in ranges.running(df.where("a = 1"), "s", "a", "b").collect()}
+    assert sums == {f"k{i:03}": i + 1 for i in range(400)}
+    assert ranges.ranked(df.limit(0), "i", "a").count() == 0
+
+
+def test_asof_without_columns(spark):
+    rng = random.Random(2)
+    left, right = sorted({f"{rng.randrange(10**6):06}" for _ in range(3000)}), sorted({f"{rng.randrange(10**6):06}" for _ in range(40)})
+    a, b = (spark.createDataFrame([(x,) for x in v], "k string") for v in (left, right))
+    for backward in (True, False):
+        got = {r.k: r.match for r in barcodes.asof(a, b, "k", backward=backward).collect()}
+        near = lambda x: max((y for y in right if y <= x), default=None) if backward else min((y for y in right if y >= x), default=None)  # noqa: B023, E731
+        assert got == {x: near(x) for x in left}
+
+
+def test_knee_and_inflection(spark):
+    curve = np.array([5000 - i for i in range(200)] + [max(1, 50 - i // 40) for i in range(800)])
+    assert abs(counts.knee_point(curve) - 200) < 25 and counts.knee_point(curve[:5]) is None
+    df = spark.createDataFrame([(int(v),) for v in curve], "n long")
+    bins, centres = counts.log_bins(df, "n")
+    assert bins.tolist() == np.histogram(np.log10(curve + 1.0), 100)[0].tolist()
+    assert 50 < counts.inflection_minimum(bins, centres) < 4800 and counts.inflection_minimum(np.arange(100.0), centres) == 100.0
+
+
+def test_similarity_of_common_kmers(spark):
+    """A k-mer in every sequence: the same pairs whatever the blocks."""
+    rows = [(i, "ACGTACGTAC" + "".join(random.Random(i).choice("ACGT") for _ in range(30))) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, sequence string")
+    sets = {i: {min(s[j : j + 8], s[j : j + 8][::-1].translate(str.maketrans("ACGT", "TGCA"))) for j in range(len(s) - 7)} for i, s in rows}
+    want = {(a, b): round(len(sets[a] & sets[b]) / min(len(sets[a]), len(sets[b])), 6) for a, b in itertools.combinations(sets, 2) if sets[a] & sets[b]}
+    for common in (64, 5):
+        assert {(r.ref_1, r.ref_2): r.similarity for r in sequences.similarity(df, 8, common=common).collect()} == want
+
+
+def test_references(spark):
+    fasta = spark.createDataFrame([("A1", {"m5": hashlib.md5(b"ACGT").hexdigest(), "snp_pos": "5|"}, [], "acgt"), ("A1", {}, ["x"], ""), ("b-1", {"amplicon_start": "-3", "zz": "1"}, None, "ACN")], "id string, fields map<string,string>, bad array<string>, sequence string")
+    got = sorted((r.id, r.level, r.rule) for r in sequences.reference_problems(fasta).collect())
+    assert got == sorted([("A1", "warning", "lowercase"), ("A1", "error", "token"), ("A1", "error", "empty"), ("A1", "error", "duplicate"), ("b-1", "error", "id"), ("b-1", "warning", "key"), ("b-1", "error", "amplicon_start")])
+    assert [tuple(r) for r in sequences.reference_problems(fasta.limit(0)).collect()] == [("-", "error", "no records", "")]
+
+
+CHEMISTRY = """
+c1:
+  description: one
+  structure:
+    rna: {pattern: DDDDOOAAAAHHUU, mappings: {barcode: {D: Barcode D, A: Barcode A}, handle: {H: Handle}, UMI: {U: UMI}, linker: {O: Linker}}}
+    dna: {offset: 2, pattern: DDDDOOAAAA, mappings: {barcode: {D: Barcode D, A: Barcode A}, linker: {O: Linker}}}
+  references: {barcode: {path: b.csv}, sample_index: {path: none.csv}}
+  demultiplexing: {parts: A}
+"""
+
+
+def test_chemistry(spark):
+    ref = spark.createDataFrame([("D", "ACGT", "A1"), ("A", "AAAA", "B1")], "symbol string, sequence string, well_coordinate string")
+    found = chemistry.compiled(chemistry.load(CHEMISTRY), lambda path: (500, ref))["c1"]
+    assert chemistry.layout(found, "dna", "barcode") == {"D": (3, 4), "A": (9, 4)} and chemistry.least_length(found, "dna") == 12 and chemistry.least_length(found, "rna") == 14
+    assert found["demultiplexing_strategy"] == {"type": "full", "symbols": ["A"]} and list(found["references"]) == ["barcode"]
+    only = chemistry.load(CHEMISTRY.replace("dna: {offset: 2, pattern: DDDDOOAAAA, mappings: {barcode: {D: Barcode D, A: Barcode A}", "dna: {offset: 2, pattern: DDDDOO, mappings: {barcode: {D: Barcode D}"))
+    assert chemistry.compiled(only)["c1"]["demultiplexing_strategy"]["type"] == "partial" and '"id": "c1"' in chemistry.to_json(chemistry.compiled(only))
+    got = reads.extract_parts(spark.createDataFrame([("r", "ttAAAACCGGGG")], "id string, sequence string"), chemistry.layout(found, "dna", "barcode")).first()
+    assert (got.D, got.A) == ("AAAA", "GGGG")
+    for pattern, why in (("DDOODD", "stretches"), ("DDOOX", "nothing is mapped"), ("DD", "pattern lacks")):
+        with pytest.raises(ValueError, match=why):
+            chemistry.parts_of(pattern, {"barcode": {"D": "d"}, "linker": {"O": "o"}})
+    with pytest.raises(ValueError, match="unknown types"):
+        chemistry.parts_of("D", {"odd": {"D": "d"}})
+    for size, table, why in ((200_000, ref, "bytes"), (5, ref.drop("sequence"), "columns"), (5, ref.where("symbol = 'D'"), "symbols")):
+        with pytest.raises(ValueError, match=why):
+            chemistry.compiled(chemistry.load(CHEMISTRY), lambda path, s=size, t=table: (s, t))
+    with pytest.raises(ValueError, match="pattern is missing"):
+        chemistry.load("c: {structure: {dna: {}}}")
+    with pytest.raises(ValueError, match="aren't mapped"):
+        chemistry.compiled(chemistry.load(CHEMISTRY.replace("parts: A", "parts: Z")))
+
+
+def test_matrix_errors(spark):
+    comp = spark.createDataFrame([("c1", "A1", 0, 3, 1), ("c1", "A1", 9, 2, 0)], "barcode string, feature string, pos_local_0based long, DP long, nonref long")
+    cols = spark.createDataFrame([("A1", 1, 0)], "feature string, pos long, col long")
+    calls = spark.createDataFrame([("c1", "A1", 0, 2, 40.0)], "barcode string, feature string, pos_local_0based long, gt_code byte, gq double")
+    rows = matrices.rows_of(comp)
+    ok = matrices.snv_entries(comp.where("pos_local_0based = 0"), rows, cols, calls).first()
+    assert (ok["row"], ok.col, ok.gt_code, ok.gq) == (0, 0, 2, 40.0)
+    none = matrices.snv_entries(comp.where("pos_local_0based = 0"), rows, cols, calls.limit(0)).first()
+    assert none.gt_code == -1 and math.isnan(none.gq)
+    with pytest.raises(Exception, match="without a reference"):
+        matrices.snv_entries(comp, rows, cols, calls).collect()
+    with pytest.raises(Exception, match="repeated"):
+        matrices.snv_entries(comp.where("pos_local_0based = 0"), rows, cols, calls.union(calls)).collect()
+
+
+def test_reports(spark, tmp_path):
+    dictionary = spark.createDataFrame([("DNA", "barcode", "fraction_x", "X", "d", "Both", True, "0.5", None, None, "0.9", None), ("DNA", "barcode", "n", "N", "d", "single", True, None, None, None, None, None), ("DNA", "gene_expression", "n", "N", "d", "both", False, None, "3", None, None, "{:.1f}")],
+                                       "library_type string, modality string, metric_key string, human_readable_name string, description string, report string, customer_facing boolean, min_warning_threshold string, max_warning_threshold string, min_failure_threshold string, max_failure_threshold string, format string")
+    own = metrics.records(spark, "s1", "DNA", "none", "p", {"fraction_x": 0.25, "n": 1234.0, "other": 1}).unionByName(metrics.records(spark, "s2", "DNA", "gene_expression", "p", {"n": 7.0}))
+    config, tables = metrics.sections(own, dictionary, "aggregated", True)
+    assert config["custom_content"]["order"] == ["metrics_dna_barcode", "metrics_dna_gene_expression"] and config["sp"]["metrics_dna_barcode"] == {"fn": "metrics_dna_barcode.tsv"}
+    head = config["custom_data"]["metrics_dna_barcode"]["headers"]
+    assert list(head) == ["Sample", "fraction_x"] and head["fraction_x"]["format"] == "{:.3f}" and head["fraction_x"]["cond_formatting_rules"] == {"warn": [{"lt": 0.5}], "fail": [{"gt": 0.9}]}
+    assert config["custom_data"]["metrics_dna_gene_expression"]["headers"]["n"]["format"] == "{:.1f}" and config["custom_data"]["metrics_dna_gene_expression"]["section_name"] == "DNA Gene Expression Metrics"
+    assert [tuple(r) for r in tables["metrics_dna_barcode"].collect()] == [("s1", 0.25)]
+    assert metrics.sections(own, dictionary, "single", False)[0]["custom_content"]["order"] == ["metrics_dna_barcode"]
+    shown = {(r.section, r.metric_key): r.shown for r in metrics.section_rows(own, dictionary, "single", True).collect()}
+    assert shown == {("metrics_dna_barcode", "fraction_x"): "0.250", ("metrics_dna_barcode", "n"): "1,234", ("metrics_dna_gene_expression", "n"): "7.0"}
+    with pytest.raises(ValueError):
+        metrics.visible(dictionary, "all", True)
+    tables_module.write_yaml(spark, config, f"file://{tmp_path}/c.yaml")
+    import yaml
+
+    assert yaml.safe_load((tmp_path / "c.yaml").read_text()) == config
+
+
+def test_records(spark, tmp_path):
+    one = metrics.records(spark, "s", "DNA", "m", "p", {"b": 2, "a": 1.5})
+    assert [r.metric_key for r in one.collect()] == ["a", "b"] and metrics.extend(one, one).count() == 4
+    for wrong in (lambda: metrics.records(spark, "s", "XNA", "m", "p", {}), lambda: metrics.extend(one, one.drop("value")), lambda: metrics.status(spark, "s", "DNA", "m", "p", "NO_SUCH", "x"), lambda: metrics.write_records(one, "x", "txt")):
+        with pytest.raises(ValueError):
+            wrong()
+    for wrong in (lambda: metrics.records(spark, "s", "DNA", "m", "p", {"a": "text"}), lambda: metrics.status(spark, "s", "DNA", "m", "p", "NO_CELLS", 5)):
+        with pytest.raises(TypeError):
+            wrong()
+    assert metrics.status(spark, "s", "DNA", "m", "p", "NO_CELLS", "none").first().reason_code == "NO_CELLS"
+    assert not metrics.write_records(one.limit(0), f"{tmp_path}/none") and metrics.write_records(one, f"{tmp_path}/some") and spark.read.parquet(f"{tmp_path}/some").count() == 2
+
+
 def test_metrics(spark):
     assert metrics.records(spark, "s", "DNA", "m", "p", {}).count() == 0
-    with pytest.raises(ValueError):
-        metrics.status(spark, "s", "DNA", "m", "p", "BAD", "")
     both = metrics.records(spark, "s", "DNA", "m", "p", {"a": 1, "b": None})
     assert [r.value for r in metrics.aggregate(both).collect()] == [1.0, None]
 
 
-def test_power():
-    assert abs(sum(power.pmf(30, 0.3)) - 1) < 1e-9 and power.pmf(3, 1.0) == [0, 0, 0, 1]
-    assert power.depth_for(30, "0/0") == 21 and power.depth_for(30, "0/1") == 4
-    assert power.poisson_count(1.0, 0.05) == 4
-    for n, k in itertools.product((3, 20), (0, 1)):
-        gt, gq, pls = power.call(k, n)
-        assert min(pls) == 0 and pls[("0/0", "0/1", "1/1").index(gt)] == 0
+def plain_call(k, n, eps=C.EPS, rho=C.RHO):
+    """Genotype and quality of k of n from the model, term by term."""
+    if not n:
+        return 0, 0.0
+    s = (1 - rho) / rho
+    ln = lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+    ls = [(ln(k + t * s, n - k + (1 - t) * s) - ln(t * s, (1 - t) * s)) / math.log(10) for t in (eps, 0.5, 1 - eps)]
+    pls = [round(-10 * (x - max(ls)), 9) for x in ls]
+    return pls.index(0.0), min(99.0, sorted(pls)[1])
+
+
+def plain_pmf(n, t, rho=C.RHO):
+    s = (1 - rho) / rho
+    ln = lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+    return [math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + ln(k + t * s, n - k + (1 - t) * s) - ln(t * s, (1 - t) * s)) for k in range(n + 1)]
+
+
+def test_power_of_a_depth():
+    assert abs(sum(power.pmf(30, 0.3)) - 1) < 1e-9 and list(power.pmf(3, 1.0)) == [0, 0, 0, 1] and list(power.pmf(2, 0.0)) == [1, 0, 0]
+    assert power.depth_for(30, 0) == 21 and power.depth_for(30, 1) == 4 and power.depth_for(98, 1) is None
+    assert power.poisson_count(1.0, 0.05) == 4 and power.poisson_tail(0, 0.0) == 1.0 and power.poisson_tail(1, 0.0) == 0.0
+    for n in (0, 1, 3, 20, 77, 2500):
+        g, q = power.calls(n)
+        want = [plain_call(k, n) for k in range(n + 1)]
+        assert g.tolist() == [w[0] for w in want] and np.allclose(q, [w[1] for w in want], atol=1e-6)
+        if n:
+            p = plain_pmf(n, C.EPS)
+            assert np.allclose(power.pmf(n, C.EPS), p)
+            assert abs(power.false_carriers(n) - sum(x for x, (s, v) in zip(p, want, strict=True) if s and v >= 30)) < 1e-9
+
+
+def test_power_report(spark):
+    rng = random.Random(6)
+    rows = []
+    for c in range(40):
+        for site in range(12):
+            n = rng.choice([0, 3, 8, 25, 40, 3000])
+            k = sum(rng.random() < (0.5 if site < 6 else 0.001) for _ in range(n)) if n < 3000 else (1500 if site < 6 else 2)
+            if site < 6 and rng.random() < 0.08:
+                k = 0
+            rows.append((f"c{c}", "A1", site, n - k, k, rng.uniform(0, 60), 1 + site % 3))
+    df = spark.createDataFrame(rows, "barcode string, feature string, pos_local_0based long, ref_reads long, alt_reads long, gq double, n_callers int")
+    f = power.compute(df, "s")
+    depth = [r[3] + r[4] for r in rows]
+    rate = {n: power.false_carriers(n) for n in set(depth)}
+    lam = defaultdict(float)
+    for r in rows:
+        lam[r[2]] += rate[r[3] + r[4]]
+    assert (f["n_cells"], f["n_sites"], f["n_observations"], f["depth_max"]) == (40, 12, 480, 3000)
+    assert np.allclose([f["depth_p10"], f["depth_median"], f["depth_p90"]], np.quantile(depth, [0.1, 0.5, 0.9])) and abs(f["depth_mean"] - np.mean(depth)) < 1e-9
+    assert abs(f["expected_false_carriers"] - sum(lam.values())) < 1e-9 and abs(f["false_carriers_per_site_max"] - max(lam.values())) < 1e-12
+    assert abs(f["callable_fraction_het"] - np.mean([max([q for g, q in (plain_call(k, n) for k in range(n + 1)) if g == 1], default=0) >= 30 for n in depth])) < 1e-9
+    few = {k: v for k, v in lam.items() if 1 + k % 3 >= 2}
+    assert f["scoped_n_sites"] == len(few) and abs(f["scoped_expected_false_carriers"] - sum(few.values())) < 1e-9
+    assert f["c_min_observed"] == power.poisson_count(max(lam.values()), 0.05 / 12) and abs(f["observed_pass_fraction"] - np.mean([r[5] >= 30 for r in rows])) < 1e-9
+    pool = {s: sum(r[4] for r in rows if r[2] == s) / max(1, sum(r[3] + r[4] for r in rows if r[2] == s)) for s in range(12)}
+    seen = [r[4] / (r[3] + r[4]) for r in rows if r[3] + r[4] >= 20 and 0.35 <= pool[r[2]] <= 0.65]
+    assert f["ado_measured"] and f["ado_observations"] == len(seen) and abs(f["ado"] - np.mean([v <= 0.1 or v >= 0.9 for v in seen])) < 1e-5
+    assert f["c_true_min"] == max(f["c_true_counting"], f["c_true_bulk"]) and f["binding_constraint"] in (power.BULK, power.NOISE, power.DEPTH, power.DROPOUT, power.COUNTING)
+    assert power.compute(df, "s", ado=1.0)["c_true_bulk"] == math.inf and "inf" in power.text(power.compute(df, "s", ado=1.0))
+    t = {r.quantity: r for r in power.table(spark, f).collect()}
+    assert t["n_cells"].value == 40 and t["binding_constraint"].text == f["binding_constraint"] and t["rho"].provenance == "inherited" and len(t) == len(power.ROWS) + 1
+    assert f["binding_constraint"] in power.text(f)
+    with pytest.raises(ValueError):
+        power.compute(df, gq_calibration="guessed")
+    empty = power.compute(df.limit(0), "none")
+    assert empty["n_cells"] == 0 and empty["ado"] == power.DEFAULT_ADO and power.text(empty)
 
 
 def test_padding(spark):
