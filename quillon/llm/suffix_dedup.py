@@ -6,7 +6,7 @@ itself: where its least hash of `WORD` bytes is, and that hash. Neighbouring win
 runs instead of windows. In a bucket, runs whose whole text is equal are repeated at once, one stands for all, and runs alone in their bucket leave. The windows of
 the others are sorted by the following digits, of a quarter of the length each; a group leaves as soon as it has one window.
 
-Buckets with more than a thousandth of all runs are dealt by their runs' texts. Buckets of more than `WIDE` different runs aren't sorted in one task: their windows are dealt by all digits at once.
+Buckets with more than a thousandth of all runs aren't dealt to a task: their equal runs are counted by Spark's aggregation. Buckets of more than `WIDE` different runs aren't sorted in one task: their windows are dealt by all digits at once.
 
 Digits after the first are 64-bit fingerprints of their bytes. Defined cases: null texts are empty; texts shorter than the length lose nothing; rows of one doc_id with the same text
 count as two documents, as do rows without an id; no ties can arise, for all copies lose their bytes; an empty table gives an empty table; other columns pass through, whatever their names, unless they are named as a result.
@@ -33,7 +33,7 @@ DIGITS = 4
 PORTION = 1 << 20
 #: Different runs in a bucket beyond which its windows are dealt to many tasks.
 WIDE = 20_000
-#: Runs in a bucket, at least, beyond which they are dealt to many tasks from the first pass on.
+#: Runs in a bucket, at least, beyond which it may count as hot.
 HOT = 100_000
 _LOW = np.uint64(PORTION * 2 - 1)
 
@@ -111,12 +111,8 @@ _RUN_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int
 _RUN_SCHEMA = ", ".join(f"{k} {v}" for k, v in _RUN.items())
 
 
-def _first_pass(hot: list[int], most: int = 1 << 18):
-    """Of runs sorted by (a, f): all that occur twice (kind 0), and one of each different run of buckets with several (kind 1, or 2 if it occurs twice).
-
-    Hot buckets are dealt to many tasks by f, and count as such with several runs. A task holds at most the rows of a batch and `most` more, whatever the size of a bucket.
-    """
-    known = np.array(sorted(hot), np.int64)
+def _first_pass(most: int = 1 << 18):
+    """Of runs sorted by (a, f): all that occur twice (kind 0), and one of each different run of buckets with several (kind 1, or 2 if it occurs twice). A task holds at most the rows of a batch and `most` more, whatever the size of a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[np.ndarray] | None = None
@@ -131,8 +127,6 @@ def _first_pass(hot: list[int], most: int = 1 << 18):
             several = np.bincount(bucket[new])[bucket] > 1
             if wide is not None:
                 several |= a == wide
-            if len(known):
-                several |= known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
             rows = np.concatenate((np.flatnonzero(twice), np.flatnonzero(new & several)))
             kind = np.concatenate((np.zeros(int(twice.sum()), np.int32), np.where(twice[new & several], 2, 1).astype(np.int32)))
             return pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in x] + [pa.array(kind)], [*_RUN, "kind"])
@@ -316,10 +310,17 @@ def repeated_bytes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     spark = df.sparkSession
     docs = df.select(*[c.alias(n) for n, c in _key(doc_id, text).items()])
     found = cut(docs.mapInArrow(_find(length), _RUN_SCHEMA), "found")
-    # buckets of more than a thousandth of all runs, fewer than 1000, are dealt to many tasks
-    large = [r["a"] for r in found.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > max(hot, found.count() / 1000)).collect()]
-    dealt = found.repartition("a", F.when(F.col("a").isin(large), F.pmod("f", F.lit(64))).otherwise(0)) if large else found.repartition("a")
-    sifted = cut(dealt.sortWithinPartitions("a", "f").mapInArrow(_first_pass(large), f"{_RUN_SCHEMA}, kind int"), "runs")
+    # buckets of more than a thousandth of all runs, fewer than 1000, count as such with several: their runs are aggregated, not dealt to a task
+    total = found.count()
+    large = [r["a"] for r in found.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > max(hot, total / 1000)).collect()]
+    rest = found.where(~F.col("a").isin(large)) if large else found
+    sifted = rest.repartition("a").sortWithinPartitions("a", "f").mapInArrow(_first_pass(), f"{_RUN_SCHEMA}, kind int")
+    if large:
+        held = found.where(F.col("a").isin(large))
+        groups = held.groupBy("a", "f").agg(F.min(F.struct(*list(_RUN)[2:])).alias("x"), F.count("*").alias("n"))
+        twice = split_join(held, groups.where("n > 1").select("a", "f", "n"), ["a", "f"], "n", total).select(*_RUN, F.lit(0).alias("kind"))
+        sifted = sifted.union(twice).union(groups.select("a", "f", "x.*", F.when(F.col("n") > 1, 2).otherwise(1).alias("kind")))
+    sifted = cut(sifted, "runs")
     drop_scratch(found)
     spans = sifted.where("kind = 0").select("d", "t", F.col("lo").alias("s"), (F.col("lo") + F.col("c") + length - 1).alias("e"))
     unsure = sifted.where("kind > 0")
