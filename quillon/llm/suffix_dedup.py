@@ -30,7 +30,7 @@ WORD = 32
 #: Digits after the first.
 DIGITS = 4
 #: Longer texts are looked at in portions that overlap by a window; a power of two.
-PORTION = 1 << 20
+PORTION = 1 << 18
 #: Different runs in a bucket beyond which its windows are dealt to many tasks.
 WIDE = 20_000
 #: Runs in a bucket, at least, beyond which it may count as hot.
@@ -199,7 +199,7 @@ def _windows(rows: list[tuple], length: int, prints: Prints) -> tuple[np.ndarray
     return row, j, group, starts[row] + j, sums
 
 
-def _digit_passes(length: int, size: int = 1 << 20):
+def _digit_passes(length: int, size: int = 1 << 19):
     """Sorts the windows of the runs of whole buckets by one digit after the other; gives the bytes (d, t, s, e) that repeated windows cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
