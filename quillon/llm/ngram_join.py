@@ -438,8 +438,8 @@ def similar_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     # of a wide bucket, the document that most wide buckets hold comes first: it is close to most of a group, and most of the group's buckets have it
     wide = cut(shared.join(buckets.where(F.col("c") > SMALL), "key", "left_semi").select("key", "doc"), "wide")
     few = cut(shared.join(buckets.where(F.col("c") <= SMALL), "key", "left_semi").select("key", "lead", "doc"), "few")
-    held = wide.groupBy("doc").agg(F.count("*").alias("m"))
-    leads = wide.join(held, "doc").groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"), F.count("*").alias("k"))
+    held = wide.withColumn("m", F.count("*").over(W.partitionBy("doc")))  # as many rows a document as it has fragments
+    leads = held.groupBy("key").agg(F.max_by("doc", F.struct("m", -F.col("doc"))).alias("lead"), F.count("*").alias("k"))
     in_all = wide.count()
     # first each document is compared with one document: the first one of most of its wide buckets, and of most of its small ones
     pick = cut(_most(split_join(wide, leads, ["key"], "k", in_all).where("lead <> doc").select("doc", "lead"), "doc", "lead"), "first")
