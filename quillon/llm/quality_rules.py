@@ -94,4 +94,4 @@ def apply_rules(df: DataFrame, text: str = "text", host: str = "source", max_hos
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: the documents that the rules keep, with their own columns."""
-    return apply_rules(docs.select(F.struct(*docs.columns).alias("doc"), "text", "source"), drop_text=True).where("kept").select("doc.*")
+    return apply_rules(docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("doc"), "text", "source"), drop_text=True).where("kept").select("doc.*")

@@ -2,9 +2,12 @@
 
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from quillon.llm import mixing, pieces
+from tests.llm.test_cases import CLASH
 from tests.llm.test_free import groups
 
 
@@ -79,6 +82,16 @@ def test_odd_rows_pass(spark, odd, none):
         assert now.count() == 0
 
 
+def test_clashing_names_pass_all_stages(spark, docs):
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASH])
+    now = wide
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, now, None)
+        assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == wide.columns
+        now = spark.createDataFrame(out.collect(), out.schema)
+    assert now.count() and all(r[c] == f"{c} {r['doc_id']}" for r in now.collect() for c in CLASH if c in now.columns)
+
+
 def test_registered():
     found = entry.queries()
     assert "pipeline" in found and all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 11))
