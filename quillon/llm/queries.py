@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import line_dedup, media, mixing, ngram_join, pieces, pii, quality_rules, spelling, suffix_dedup, token_store, toxicity
+from quillon.llm import alignment, line_dedup, media, mixing, ngram_join, pieces, pii, quality_rules, spelling, suffix_dedup, token_store, toxicity
 from quillon.llm.common import cut, table
 
 
@@ -71,10 +71,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, alignment.a_path(), alignment.b_path())
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.group_variants(docs, least=5, often=3, slips=97, ratio=2)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op8_media, op9_line_dedup, op10_quality_rules, op12_spelling)}
+    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op8_media, op9_line_dedup, op10_quality_rules, op11_alignment, op12_spelling)}
