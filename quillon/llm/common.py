@@ -38,17 +38,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+#: Lists of the folders that scratch_path() names, for those who delete them together. The first has all that are left; they go when the driver ends.
+_LISTS: list[list[str]] = [[]]
 
 
-#: Lists of the tables that cut() makes, for those who delete them together. The first has all that are left; they go when the driver ends.
-_LISTS: list[list[str]] = [[]]
+def scratch_path(spark: SparkSession, what: str) -> str:
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    for made in _LISTS:
+        made.append(path)
+    return path
 
 
 @contextmanager
 def listing() -> Iterator[list[str]]:
-    """The paths of the tables that cut() makes meanwhile."""
+    """The paths of the folders that scratch_path() names meanwhile, cut()'s tables among them."""
     _LISTS.append([])
     try:
         yield _LISTS[-1]
@@ -59,8 +62,6 @@ def listing() -> Iterator[list[str]]:
 def cut(df: DataFrame, what: str = "cut") -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there and a lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, what)
-    for made in _LISTS:
-        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import alignment, line_dedup, media, mixing, ngram_join, pieces, pii, quality_rules, spelling, suffix_dedup, token_store, toxicity
+from quillon.llm import alignment, line_dedup, media, mixing, ngram_join, pieces, pii, quality_rules, spelling, suffix_dedup, token_store, toxicity, warc
 from quillon.llm.common import cut, table
 
 
@@ -81,5 +81,9 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(docs, least=5, often=3, slips=97, ratio=2)
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op8_media, op9_line_dedup, op10_quality_rules, op11_alignment, op12_spelling)}
+    return {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_pieces, op4_pii, op5_toxicity, op6_token_store, op7_ngram_join, op8_media, op9_line_dedup, op10_quality_rules, op11_alignment, op12_spelling, op13_warc)}
