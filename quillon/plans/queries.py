@@ -15,6 +15,7 @@ from quillon.operators import chemistry
 from quillon.operators import counts as K
 from quillon.operators import matrices as X
 from quillon.operators import metrics as M
+from quillon.operators import pileup
 from quillon.operators import power as P
 from quillon.operators import reads as R
 from quillon.operators import sequences as S
@@ -947,12 +948,12 @@ def _sites(s: Source) -> tuple[DataFrame, DataFrame]:
 
 @query("pileup_snv", _WALK + "SELECT read_name, feature, pos_local_0based, b AS read_base, NULL::INT AS base_qual, mapping_quality AS map_qual FROM ps SEMI JOIN dc USING (feature, pos_local_0based) WHERE b <> ''")
 def _(s):
-    return files.pileup_snv(*_sites(s), 20)
+    return pileup.pileup_snv(*_sites(s), 20)
 
 
 @query("pileup_indel", _WALK + "SELECT read_name, feature, pos_local_0based, mapping_quality AS map_qual, CASE WHEN b <> '' THEN z END::BIGINT AS indel_len, ins AS inserted_seq FROM ps SEMI JOIN dc USING (feature, pos_local_0based)")
 def _(s):
-    return files.pileup_indel(*_sites(s), 20)
+    return pileup.pileup_indel(*_sites(s), 20)
 
 
 # ---- merged tables and axes

@@ -328,67 +328,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _BAM_TYPES, strict=True)], ["name", "chrom", "start", "end", "flags", "mapping_quality", "cigar", "sequence", "qualities", "tags"])
 
 
-def pileup(start: int, cigar: str, sequence: str, qualities: list[int] | None) -> Iterator[tuple[int, str, int | None, int, str]]:
-    """(place, base, quality, signed length of an indel after it, inserted bases) of each aligned base; a deleted base has no base."""
-    import re
-
-    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
-    at, q = start, 0
-    for i, (n, o) in enumerate(ops):
-        if o in "M=X":
-            for k in range(n):
-                size, new = 0, ""
-                if k == n - 1 and i + 1 < len(ops) and ops[i + 1][1] in "ID":
-                    size = ops[i + 1][0] * (1 if ops[i + 1][1] == "I" else -1)
-                    new = sequence[q + n : q + n + size] if size > 0 else ""
-                yield at + k, sequence[q + k], qualities[q + k] if qualities else None, size, new
-            at, q = at + n, q + n
-        elif o in "IS":
-            q += n
-        elif o in "DN":
-            if o == "D":
-                for k in range(n):
-                    yield at + k, "", None, 0, ""
-            at += n
-
-
-def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        cols: list[list] = [[] for _ in _PILED]
-        for name, feature, start, cigar, sequence, qualities, mapq in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            for place, base, qual, size, new in pileup(start, cigar or "", sequence or "", qualities):
-                for c, v in zip(cols, (name, feature, place, base, qual, mapq, size if base else None, new), strict=True):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PILED.values(), strict=True)], list(_PILED))
-
-
-_PILED = {"read_name": pa.string(), "feature": pa.string(), "pos_local_0based": pa.int64(), "read_base": pa.string(), "base_qual": pa.int32(), "map_qual": pa.int32(), "indel_len": pa.int64(), "inserted_seq": pa.string()}
-_PILED_SCHEMA = "read_name string, feature string, pos_local_0based long, read_base string, base_qual int, map_qual int, indel_len long, inserted_seq string"
-
-
-def piled(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> DataFrame:
-    """Every read's base at the sites (feature, pos_local_0based) that min_coverage reads or more span, deletions among them; a deleted base is empty and has no indel length.
-
-    Alignments: read_name, feature, start from 0, cigar, sequence, qualities, mapping_quality. Each read's CIGAR is walked once.
-    """
-    own = alignments.select("read_name", "feature", F.col("start").cast("long"), "cigar", "sequence", F.col("qualities").cast("array<int>"), F.col("mapping_quality").cast("int"))
-    out = own.mapInArrow(_walk, _PILED_SCHEMA).join(sites.select("feature", "pos_local_0based").distinct(), ["feature", "pos_local_0based"], "left_semi")
-    if min_coverage > 1:
-        deep = out.groupBy("feature", "pos_local_0based").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_coverage)
-        out = out.join(deep.select("feature", "pos_local_0based"), ["feature", "pos_local_0based"], "left_semi")
-    return out
-
-
-def pileup_snv(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> DataFrame:
-    """(read_name, feature, pos_local_0based, read_base, base_qual, map_qual): bases of reads at the sites, without deleted ones."""
-    return piled(alignments, sites, min_coverage).where("read_base <> ''").drop("indel_len", "inserted_seq")
-
-
-def pileup_indel(alignments: DataFrame, anchors: DataFrame, min_coverage: int = 0) -> DataFrame:
-    """(read_name, feature, pos_local_0based, indel_len, inserted_seq, map_qual): what follows the anchor in each read; null where the anchor itself is deleted."""
-    return piled(alignments, anchors, min_coverage).drop("read_base", "base_qual")
-
-
 FORMATS = {
     "fastq": ("read_id string, sequence string, quality string", FastqReader),
     "fasta": ("id string, fields map<string,string>, bad array<string>, sequence string", FastaReader),

@@ -108,21 +108,6 @@ def test_globs_folders_and_stores(formats, tmp_path):
         files._files(f"{tmp_path}/none.fa")
 
 
-def test_pileup():
-    assert list(files.pileup(4, "3M2I2M", "ACGTTGA", None)) == [(4, "A", None, 0, ""), (5, "C", None, 0, ""), (6, "G", None, 2, "TT"), (7, "G", None, 0, ""), (8, "A", None, 0, "")]
-    assert list(files.pileup(0, "1M2D1M", "AC", [1, 2])) == [(0, "A", 1, -2, ""), (1, "", None, 0, ""), (2, "", None, 0, ""), (3, "C", 2, 0, "")]
-
-
-def test_pileup_table(formats):
-    rows = [("r1", "A", 4, "3M2I2M", "ACGTTGA", None, 60), ("r2", "A", 5, "1M2D2M", "CTT", [7, 8, 9], 50), ("r3", "A", 6, "1M", "G", [1], 20), ("r4", "B", 6, "1M", "G", [1], 20)]
-    df = formats.createDataFrame(rows, "read_name string, feature string, start long, cigar string, sequence string, qualities array<int>, mapping_quality int")
-    sites = formats.createDataFrame([("A", 6), ("A", 5), ("B", 6)], "feature string, pos_local_0based long")
-    got = sorted(tuple(r) for r in files.pileup_snv(df, sites, 3).select("read_name", "pos_local_0based", "read_base", "base_qual", "map_qual").collect())
-    assert got == [("r1", 6, "G", None, 60), ("r3", 6, "G", 1, 20)]
-    got = sorted((r.read_name, r.pos_local_0based, r.indel_len, r.inserted_seq) for r in files.pileup_indel(df, sites, 2).collect())
-    assert got == [("r1", 5, 0, ""), ("r1", 6, 2, "TT"), ("r2", 5, -2, ""), ("r2", 6, None, ""), ("r3", 6, 0, "")]
-
-
 def test_enrich(formats):
     fasta = formats.createDataFrame([("a", "ACGT"), ("b", "GG")], "id string, sequence string")
     panel = formats.createDataFrame([("a", "chr1", 10, 20)], "name string, chrom string, amplicon_start int, amplicon_end int")
