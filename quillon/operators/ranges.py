@@ -1,74 +1,131 @@
 """Global ranks, running sums and nearest keys without a task that sees all rows.
 
-Rows are dealt to ranges by comparing their keys with bounds, the keys of a bounded number of rows. A range depends on the row alone, so every
-part of a plan deals rows alike, whatever Spark's partitions are; which bounds are drawn changes no result. The rows must come out alike each time they are read.
+Spark's range partitioner deals the sorted rows to ranges by a sample of rows, so a frequent key gets as many ranges as its share: rows of one key are told apart by a hash of all their
+columns. A range is a sorted partition; what it needs of those before it (their rows, sums or last values) is one row for each. The number of ranges grows with the number of rows, which is
+observed while the input is written; a table of up to `ROWS` rows is one range. Input and sorted rows are tables in the shared folder, so each is computed once, and reading them again gives the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, LongType, MapType, StructField, StructType
+
+from quillon.sources.tables import materialise
+
+#: Rows of a range, about.
+ROWS = 250_000
+
+
+def _before() -> WindowSpec:
+    return W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
 
-#: Rows looked at for bounds, and ranges.
-SAMPLE, RANGES = 4096, 64
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """df as a table, and how many rows were written."""
+    seen = Observation()
+    table = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return table, seen.get["n"]
 
-def _struct(keys: tuple[str, ...], desc: tuple[str, ...]) -> Column:
-    return F.struct(*[(-F.col(k) if k in desc else F.col(k)).alias(f"k{i}") for i, k in enumerate(keys)])
 
+def _hashed(kind: DataType) -> bool:
+    """Whether Spark hashes values of the type."""
+    if isinstance(kind, StructType):
+        return all(_hashed(f.dataType) for f in kind.fields)
+    return _hashed(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, MapType)
 
-def _range(df: DataFrame, keys: tuple[str, ...], desc: tuple[str, ...], n: int) -> Column:
-    """Number of the range that a row's key is in."""
-    own = df.select(_struct(keys, desc).alias("k")).distinct()
-    few = own.orderBy(F.xxhash64("k"), "k").limit(SAMPLE).orderBy("k").collect()  # at most SAMPLE rows
-    bounds = [r["k"] for r in few[:: max(1, len(few) // n)][1:]]
-    types = own.schema["k"].dataType
 
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, types.fields, strict=True)])
+def ranged(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """df in n ranges, each a sorted partition, with the range's number as _range."""
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if _hashed(f.dataType)])
+    placed = df.withColumn("_tie", tie).repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    return placed.withColumn("_range", F.spark_partition_id())
 
-    def tree(lo: int, hi: int) -> Column:
-        """Of bounds lo to hi, how many are at most the key; a row meets the logarithm of their number."""
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_struct(keys, desc) < literal(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return tree(0, len(bounds))
+def _order(keys: tuple[str, ...], desc: tuple[str, ...]) -> list[Column]:
+    return [F.col(k).desc() if k in desc else F.col(k).asc() for k in keys]
 
 
-def _line(keys: tuple[str, ...], desc: tuple[str, ...]) -> W:
-    return W.partitionBy("_range").orderBy(*[F.desc(k) if k in desc else F.col(k) for k in keys])
+def _ranges(n: int, rows: int) -> int:
+    return max(1, -(-n // rows))
 
 
-def ranked(df: DataFrame, name: str, *keys: str, desc: tuple[str, ...] = (), n: int = RANGES) -> DataFrame:
-    """df with a rank from 1 in the order of keys (those in desc, numbers, from the largest on): the rank in the row's range, and the sizes of the ranges before."""
-    placed = df.withColumn("_range", _range(df, keys, desc, n))
+def ranked(df: DataFrame, name: str, *keys: str, desc: tuple[str, ...] = (), rows: int = ROWS) -> DataFrame:
+    """df with a rank from 1 in the order of keys (those in desc from the largest on): the place in the row's range, behind the ranges before."""
+    order = _order(keys, desc)
+    table, n = counted(df)
+    if n <= rows:
+        return table.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long"))  # one range
+    placed = materialise(ranged(table, order, _ranges(n, rows)).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     size = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = size.select("_range", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row for each range
-    return placed.withColumn("_in_range", F.row_number().over(_line(keys, desc))).join(F.broadcast(before), "_range").withColumn(name, F.col("_in_range") + F.col("_before")).drop("_range", "_in_range", "_before")
-
-
-def running(df: DataFrame, name: str, value: str, *keys: str, desc: tuple[str, ...] = (), n: int = RANGES) -> DataFrame:
-    """df with the sum of value up to each row in the order of keys."""
-    placed = df.withColumn("_range", _range(df, keys, desc, n))
-    size = placed.groupBy("_range").agg(F.sum(value).alias("_n"))
-    before = size.select("_range", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    upto = F.sum(value).over(_line(keys, desc).rowsBetween(W.unboundedPreceding, 0))
-    return placed.withColumn("_sum", upto).join(F.broadcast(before), "_range").withColumn(name, F.col("_sum") + F.col("_before")).drop("_range", "_sum", "_before")
-
-
-def nearest(rows: DataFrame, key: str, value: str, side: str, backward: bool = True, n: int = RANGES) -> DataFrame:
-    """rows with `value` filled from the last row (or the next one) in the order of (key, side) that has it."""
-    placed = rows.withColumn("_range", _range(rows, (key,), (), n))
-    if backward:
-        own = F.last(value, ignorenulls=True).over(W.partitionBy("_range").orderBy(key, side).rowsBetween(W.unboundedPreceding, 0))
-        ends, other = F.max(value), W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-        carried = F.max("_end").over(other)
-    else:
-        own = F.first(value, ignorenulls=True).over(W.partitionBy("_range").orderBy(F.col(key), F.col(side).desc()).rowsBetween(0, W.unboundedFollowing))
-        ends, other = F.min(value), W.orderBy("_range").rowsBetween(1, W.unboundedFollowing)
-        carried = F.min("_end").over(other)
-    far = placed.groupBy("_range").agg(ends.alias("_end")).select("_range", carried.alias("_far"))  # a row for each range
-    return placed.withColumn(value, own).join(F.broadcast(far), "_range").withColumn(value, F.coalesce(value, "_far")).drop("_range", "_far")
+    before = size.select("_range", F.coalesce(F.sum("_n").over(_before()), F.lit(0)).alias("_before"))  # a row for each range
+    return placed.join(before, "_range").withColumn(name, F.col("_at") + 1 + F.col("_before")).drop("_range", "_at", "_before")
+
+
+def _cumulative(value: str, kind: str):
+    """Adds the running sum of a column over a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upto = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = b.column(value).cast(pa.int64() if kind == "bigint" else pa.float64())
+            sums = pc.fill_null_forward(pc.cumulative_sum(own, start=upto, skip_nulls=True))
+            if upto is not None:
+                sums = pc.fill_null(sums, upto)
+            upto = sums[-1] if sums[-1].is_valid else upto
+            yield b.append_column("_sum", sums)
+
+    return run
+
+
+def running(df: DataFrame, name: str, value: str, *keys: str, desc: tuple[str, ...] = (), rows: int = ROWS) -> DataFrame:
+    """df with the sum of value, a whole number or a double, up to each row in the order of keys; null before the first value."""
+    order, kind = _order(keys, desc), "bigint" if df.schema[value].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") else "double"
+    table, n = counted(df)
+    if n <= rows:
+        return table.withColumn(name, F.sum(value).over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
+    placed = ranged(table, order, _ranges(n, rows))
+    placed = materialise(placed.mapInArrow(_cumulative(value, kind), StructType([*placed.schema.fields, StructField("_sum", LongType() if kind == "bigint" else DoubleType())])))
+    size = placed.groupBy("_range").agg(F.sum(value).cast(kind).alias("_n"))
+    before = size.select("_range", F.sum("_n").over(_before()).alias("_before"))
+    total = F.when(F.col("_sum").isNotNull() | F.col("_before").isNotNull(), F.coalesce("_sum", F.lit(0).cast(kind)) + F.coalesce("_before", F.lit(0).cast(kind)))
+    return placed.join(before, "_range").withColumn(name, total).drop("_range", "_sum", "_before")
+
+
+def _filled(value: str):
+    """Fills a column's nulls from the row before in a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = pc.fill_null_forward(b.column(value))
+            if last is not None:
+                own = pc.fill_null(own, last)
+            last = own[-1] if own[-1].is_valid else last
+            yield b.set_column(b.schema.get_field_index(value), b.schema.field(value), own)
+
+    return run
+
+
+def nearest(rows_: DataFrame, key: str, value: str, side: str, backward: bool = True, rows: int = ROWS) -> DataFrame:
+    """rows_ with `value` filled from the last row (or the next one) in the order of (key, side) that has it."""
+    order = [F.col(key).asc(), F.col(side).asc()] if backward else [F.col(key).desc(), F.col(side).asc()]
+    table, n = counted(rows_)
+    upto = W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    if n <= rows:
+        return table.withColumn(value, F.last(value, ignorenulls=True).over(upto))
+    placed = ranged(table, order, _ranges(n, rows))
+    placed = materialise(placed.mapInArrow(_filled(value), placed.schema))
+    # values stand in the order of keys, so a range's last one is its largest, or its least where the next one counts
+    end = F.max(value) if backward else F.min(value)
+    far = placed.groupBy("_range").agg(end.alias("_end")).select("_range", F.last("_end", ignorenulls=True).over(_before()).alias("_far"))
+    return placed.join(far, "_range").withColumn(value, F.coalesce(value, "_far")).drop("_range", "_far")

@@ -6,7 +6,9 @@ import atexit
 import re
 import tempfile
 import uuid
+from contextlib import suppress
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,30 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Tables in the shared folder that results may still be read from; they go when the driver ends.
+_MADE: list[str] = []
+
+
+def scratch_path(spark: SparkSession, what: str = "table") -> str:
+    """A new place in the shared folder, which is deleted when the driver ends."""
+    _MADE.append(f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+@atexit.register
+def _delete_the_rest() -> None:
+    gateway = SparkContext._gateway
+    if gateway and _MADE:
+        with suppress(Exception):  # the driver is ending, and a shared folder may be gone before it
+            conf = gateway.jvm.org.apache.hadoop.conf.Configuration()
+            for path in _MADE:
+                where = gateway.jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(conf).delete(where, True)
+
+
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
-    """df written as Parquet and read back: what follows reads it as often as it likes and a lost executor recomputes nothing before it."""
-    path = path or f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    """df written as Parquet and read back: what follows reads it as often as it likes and a lost executor recomputes nothing before it. Without a path, the table goes when the driver ends."""
+    path = path or scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

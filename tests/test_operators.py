@@ -218,6 +218,45 @@ def test_ranges_with_nulls_and_hot_keys(spark):
     assert ranges.ranked(df.limit(0), "i", "a").count() == 0
 
 
+def test_many_ranges(spark):
+    """Ranks, sums and nearest keys over many ranges are those of one sorted list."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, 7, 7, 7, rng.randint(-50, 50)]), f"k{i:04}", rng.choice([None, rng.randint(-5, 5)]), rng.random()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "a long, b string, v int, w double").repartition(5)
+    for desc in ((), ("a",)):
+        want = sorted(rows, key=lambda r: ((r[0] is not None, r[0] or 0) if not desc else (r[0] is None, -(r[0] or 0)), r[1]))
+        got = ranges.ranked(df, "i", "a", "b", desc=desc, rows=40)
+        assert got.columns == [*df.columns, "i"] and dict(got.dtypes)["i"] == "bigint"
+        assert [tuple(r) for r in sorted(got.collect(), key=lambda r: r.i)] == [(*r, i) for i, r in enumerate(want, 1)]
+        for value, kind in (("v", "bigint"), ("w", "double")):
+            out = ranges.running(df, "s", value, "a", "b", desc=desc, rows=40)
+            assert dict(out.dtypes)["s"] == kind
+            sums, total, at = {r.b: r.s for r in out.collect()}, None, df.columns.index(value)
+            for r in want:
+                total = total if r[at] is None else (total or 0) + r[at]
+                assert (sums[r[1]] is None) == (total is None) and (total is None or abs(sums[r[1]] - total) < 1e-9)
+    keys = [f"{rng.randint(0, 3)}{rng.randint(0, 400):03}" for _ in range(800)]
+    both = spark.createDataFrame([(k, 1, None) for k in keys] + [(k, 0, k) for k in sorted(set(keys[::7])) if k[0] != "2"], "k string, side int, m string")
+    known = sorted(r.k for r in both.where("side = 0").collect())
+    for backward in (True, False):
+        got = {(r.k, r.m) for r in ranges.nearest(both, "k", "m", "side", backward, rows=30).where("side = 1").collect()}
+        assert got == {(k, max((x for x in known if x <= k), default=None) if backward else min((x for x in known if x >= k), default=None)) for k in keys}
+
+
+def test_ranges_grow_with_the_rows(spark):
+    """Ten times the rows have ten times the ranges, and a key with half the rows has half of them."""
+    seen = []
+    for n in (3000, 30_000):
+        df = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id") % 1000).alias("k"), "id")
+        table, rows = ranges.counted(df)
+        assert rows == n
+        sizes = [r["count"] for r in ranges.ranged(table, [F.col("k")], ranges._ranges(rows, 100)).groupBy("_range").count().collect()]
+        seen.append(len(sizes))
+        assert max(sizes) < 0.05 * n
+    assert seen[1] > 8 * seen[0]
+    assert ranges._ranges(20_000_000, ranges.ROWS) > 64
+
+
 def test_asof_without_columns(spark):
     rng = random.Random(2)
     left, right = sorted({f"{rng.randrange(10**6):06}" for _ in range(3000)}), sorted({f"{rng.randrange(10**6):06}" for _ in range(40)})
