@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ from quillon.operators import reads as R
 from quillon.operators import sequences as S
 from quillon.operators import variants as V
 from quillon.plans.views import CODE, spark_sql, table, view, with_views
-from quillon.sources import files
+from quillon.sources import files, stores
+from quillon.sources.tables import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -913,9 +915,9 @@ ie AS (SELECT l.barcode, l.feature, l.pos_local_0based, l.ref, l.alt, row, col,
 class _Indels:
     def __init__(self, s: Source) -> None:
         self.signatures, called = V.indel_signatures(s.indel_pileup), V.indel_called(s.catalog)
-        coverage, long = V.indel_coverage(self.signatures), V.indel_alt_long(self.signatures, called)
+        self.coverage, long = V.indel_coverage(self.signatures), V.indel_alt_long(self.signatures, called)
         self.columns = X.indel_columns(called)
-        self.entries = X.indel_entries(coverage, X.rows_of(coverage), self.columns, long, V.genotype_indel(long))
+        self.entries = X.indel_entries(self.coverage, X.rows_of(self.coverage), self.columns, long, V.genotype_indel(long))
 
 
 @query("indel_matrix_entries", _INDEL_ENTRIES + "SELECT * EXCLUDE (gq), CASE WHEN isnan(gq) THEN NULL ELSE round(gq::FLOAT::DOUBLE, 3) END AS gq FROM ie")
@@ -937,6 +939,40 @@ def _(s):
     return out.select(*V.ALLELE, "col", "pseudobulk_depth", "pseudobulk_nonref_count", "pseudobulk_nonref_vaf", "n_cells_covered", "n_cells_indel", "event_qc_pass", "is_measured", "event_len", "indel_feature")
 
 
+def _snv_store(m: _Matrix, path: str) -> None:
+    rows, entries = X.rows_of(m.composition), materialise(m.entries)
+    obs = rows.join(X.snv_obs(entries), "barcode", "left")
+    var = m.columns.select("col", F.concat_ws(":", "feature", "pos").alias("site"), "ref_base", "is_target")
+    layers = {x: stores.Layer(x, kind="<i4") for x in X.SNV_LAYERS} | {"GT": stores.Layer("gt_code", X.NO_CALL, "|i1"), "GQ": stores.Layer("gq", X.NO_QUALITY, "<f4")}
+    stores.write(path, entries, obs, var, "X", layers, ("barcode", "site"), {"modality": "snv"})
+
+
+@query("snv_matrix_store", _SNV_ENTRIES + "SELECT layer, row, col, value FROM (UNPIVOT (SELECT row, col, \"X\"::DOUBLE AS \"X\", \"AD_C\"::DOUBLE AS \"layers/AD_C\", \"DP\"::DOUBLE AS \"layers/DP\", nullif(gt_code, -1)::DOUBLE AS \"layers/GT\", CASE WHEN NOT isnan(gq) THEN round(gq::FLOAT::DOUBLE, 3) END AS \"layers/GQ\" FROM en) ON COLUMNS(* EXCLUDE (row, col)) INTO NAME layer VALUE value) WHERE value <> 0 OR layer IN ('layers/GT', 'layers/GQ')")
+def _(s):
+    """The matrix written as a store of chunks, and read back from it."""
+    path = scratch_path(s.spark, "store")
+    _snv_store(_Matrix(s), path)
+    read = lambda node: stores.read(s.spark, path, node).select(F.lit(node).alias("layer"), "row", "col", F.round("value", 3 if node == "layers/GQ" else 6).alias("value"))
+    return reduce(DataFrame.union, [read(n) for n in ("X", "layers/AD_C", "layers/DP", "layers/GT", "layers/GQ")])
+
+
+@query("matrix_modalities", f"WITH s AS (WITH {_SNV_ENTRIES} SELECT barcode, \"DP\" FROM en), i AS (WITH {_INDEL_ENTRIES} SELECT barcode, \"DP\" FROM ie), sb AS (WITH {_SNV_ENTRIES} SELECT barcode FROM rx), ib AS (WITH {_INDEL_ENTRIES} SELECT barcode FROM ir), "
+"u AS (SELECT barcode, row_number() OVER (ORDER BY barcode) - 1 AS row FROM (SELECT barcode FROM sb UNION SELECT barcode FROM ib)) SELECT modality, row, count(*) AS entries, sum(\"DP\")::DOUBLE AS depth FROM (SELECT 'snv' AS modality, * FROM s UNION ALL SELECT 'indel', * FROM i) JOIN u USING (barcode) WHERE \"DP\" <> 0 GROUP BY ALL")
+def _(s):
+    """Stores of both modalities put together: each has the cells of both."""
+    snv, indel, both = (scratch_path(s.spark, "store") for _ in range(3))
+    _snv_store(_Matrix(s), snv)
+    m = _Indels(s)
+    entries = materialise(m.entries)
+    obs = X.rows_of(m.coverage).join(X.indel_obs(entries, m.signatures), "barcode", "left")
+    var = m.columns.select("col", F.concat_ws(":", *V.ALLELE).alias("event"))
+    layers = {x: stores.Layer(x, kind="<i4") for x in X.INDEL_LAYERS} | {"GT": stores.Layer("gt_code", X.NO_CALL, "|i1"), "GQ": stores.Layer("gq", X.NO_QUALITY, "<f4")}
+    stores.write(indel, entries, obs, var, "X", layers, ("barcode", "event"), {"modality": "indel"})
+    stores.merge(s.spark, {"snv": snv, "indel": indel}, both)
+    read = lambda m: stores.read(s.spark, f"{both}/mod/{m}", "layers/DP").groupBy("row").agg(F.count("*").alias("entries"), F.sum("value").alias("depth")).select(F.lit(m).alias("modality"), "row", "entries", "depth")
+    return read("snv").union(read("indel"))
+
+
 # ---- reads over sites
 
 _WALK = "w AS (SELECT *, unnest(range(10)) AS i FROM aligned), pb AS (SELECT read_name, feature, start + i AS pos_local_0based, mapping_quality, CASE cigar WHEN '8M' THEN CASE WHEN i < 8 THEN substr(sequence, (i + 1)::INT, 1) END WHEN '3M2D5M' THEN CASE WHEN i < 3 THEN substr(sequence, (i + 1)::INT, 1) WHEN i < 5 THEN '' ELSE substr(sequence, (i - 1)::INT, 1) END ELSE CASE WHEN i < 4 THEN substr(sequence, (i + 1)::INT, 1) WHEN i < 7 THEN substr(sequence, (i + 2)::INT, 1) END END AS b, CASE WHEN cigar = '3M2D5M' AND i = 2 THEN -2 WHEN cigar = '4M1I3M' AND i = 3 THEN 1 ELSE 0 END AS z, CASE WHEN cigar = '4M1I3M' AND i = 3 THEN substr(sequence, 5, 1) ELSE '' END AS ins, cigar FROM w), sp AS (SELECT DISTINCT chrom AS feature, pos - 1 AS pos_local_0based FROM catalog), ps AS (SELECT pb.* FROM pb SEMI JOIN sp USING (feature, pos_local_0based) WHERE b IS NOT NULL), dc AS (SELECT feature, pos_local_0based FROM ps GROUP BY ALL HAVING count(*) >= 20) "
