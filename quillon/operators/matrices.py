@@ -100,6 +100,14 @@ def triplets(entries: DataFrame, *layers: str) -> DataFrame:
 
 
 def dense(entries: DataFrame, layer: str, n_columns: int, missing: float) -> DataFrame:
-    """(row, values): of each row the values of all columns, those without an entry as `missing`. A row is an array, so no product of rows and columns is built."""
-    held = entries.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("col", F.col(layer).cast("double").alias("v")))).alias("m"))
-    return held.select("row", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_columns - 1).cast("long")), lambda i: F.coalesce(F.element_at("m", i), F.lit(missing))).alias("values"))
+    """(row, values): of each row the values of all columns, those without an entry as `missing`; a row whose col is null has no entry. A row is its sorted entries with the gaps between neighbours filled.
+
+    An entry beyond the columns, or two of one place, are an error.
+    """
+    held = entries.groupBy("row").agg(F.sort_array(F.collect_list(F.when(F.col("col").isNotNull(), F.struct(F.col("col").cast("long").alias("col"), F.col(layer).cast("double").alias("v"))))).alias("e"))
+    gap = lambda n: F.array_repeat(F.lit(missing).cast("double"), n.cast("int"))
+    end = F.lit(n_columns).cast("long")
+    first = F.coalesce(F.get("e", F.lit(0))["col"], end)
+    filled = F.transform("e", lambda x, i: F.concat(F.array(F.coalesce(x["v"], F.lit(missing))), gap(F.coalesce(F.get("e", i + 1)["col"], end) - x["col"] - 1)))
+    out = F.concat(gap(first), F.flatten(filled))
+    return held.select("row", F.when(F.size(out) == n_columns, out).otherwise(F.raise_error(F.lit("entries beyond the columns, or two of one place")).cast("array<double>")).alias("values"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,15 +54,25 @@ def write_records(record: DataFrame, path: str, extension: str = "parquet") -> b
     return True
 
 
+def wider_type(spark: SparkSession, a: str, b: str) -> str:
+    """The type that Spark gives values of both; double for whole numbers with single precision, which would lose digits, and text beside text and for what Spark doesn't bring together."""
+    if a == b or "string" in (a, b):
+        return a if a == b else "string"
+    if "float" in (a, b) and {a, b} & {"int", "bigint"}:
+        return "double"
+    try:
+        return spark.sql(f"SELECT array(CAST(NULL AS {a}), CAST(NULL AS {b})) AS x").schema["x"].dataType.elementType.simpleString()
+    except AnalysisException:
+        return "string"
+
+
 def union_relaxed(*frames: DataFrame) -> DataFrame:
     """All rows by column names, of the widest type of each column; columns that a table lacks are null."""
-    wider = {c: t for f in frames for c, t in f.dtypes}
-    order = ["tinyint", "smallint", "int", "bigint", "float", "double", "string"]
+    wider: dict[str, str] = {}
     for f in frames:
         for c, t in f.dtypes:
-            if t != wider[c]:
-                wider[c] = max(t, wider[c], key=order.index)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select(*[F.col(c).cast(wider[c]).alias(c) for c in f.columns]) for f in frames])
+            wider[c] = wider_type(f.sparkSession, wider.get(c, t), t)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select(*[F.col(f"`{c}`").cast(wider[c]).alias(c) for c in f.columns]) for f in frames])
 
 
 def unpivot(wide: DataFrame, ids: list[str]) -> DataFrame:
@@ -70,9 +81,9 @@ def unpivot(wide: DataFrame, ids: list[str]) -> DataFrame:
     return wide.select(*ids, *[F.col(v).cast("double") for v in values]).unpivot(ids, values, "metric_key", "value").where("value IS NOT NULL")
 
 
-def pivot(long: DataFrame, keys: list[str]) -> DataFrame:
+def pivot(long: DataFrame, keys: list[str], by: tuple[str, ...] = ("source_id",)) -> DataFrame:
     """A column for each key, in the given order."""
-    return long.groupBy("source_id").pivot("metric_key", keys).agg(F.first("value", ignorenulls=True))
+    return long.groupBy(*by).pivot("metric_key", keys).agg(F.first("value", ignorenulls=True))
 
 
 def aggregate(*frames: DataFrame) -> DataFrame:

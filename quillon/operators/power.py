@@ -80,18 +80,31 @@ def false_carriers(n: int, min_gq: float = MIN_GQ, eps: float = EPS, rho: float
 
 
 def poisson_tail(c: int, mean: float) -> float:
-    """Chance of c or more."""
+    """Chance of c or more: terms from c up where they fall, or one less those below c."""
     if c <= 0:
         return 1.0
-    return max(0.0, 1 - sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(c))) if mean > 0 else 0.0
-
-
-def poisson_count(mean: float, alpha: float, most: int = 10_000) -> int:
-    """The least count of 1 or more whose tail is alpha or less."""
-    c = 1
-    while c < most and poisson_tail(c, mean) > alpha:
-        c += 1
-    return c
+    if mean <= 0:
+        return 0.0
+    up = c > mean
+    k = c if up else c - 1
+    term, total = math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)), 0.0
+    while term > 1e-17 * total and k >= 0:
+        total += term
+        term, k = (term * mean / (k + 1), k + 1) if up else (term * k / mean, k - 1)
+    return total if up else max(0.0, 1 - total)
+
+
+def poisson_count(mean: float, alpha: float) -> int:
+    """The least count of 1 or more whose tail is alpha or less, found by doubling and halving."""
+    if alpha <= 0 and mean > 0:
+        raise ValueError("no count has a tail of nothing")
+    lo, hi = 0, 1
+    while poisson_tail(hi, mean) > alpha:
+        lo, hi = hi, 2 * hi
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        lo, hi = (mid, hi) if poisson_tail(mid, mean) > alpha else (lo, mid)
+    return hi
 
 
 def by_depth(depths: DataFrame, min_gq: float = MIN_GQ, eps: float = EPS, rho: float = RHO, het: float = THETA_HET) -> DataFrame:

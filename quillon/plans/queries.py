@@ -201,13 +201,28 @@ def _(s):
 _PAIRS = "obs AS (SELECT \"B\" AS barcode, count(*) AS reads FROM parts GROUP BY 1), wl AS (SELECT DISTINCT barcode FROM whitelist WHERE barcode_position = 'B'), prs AS (SELECT o.barcode, arg_min(w.barcode, (hamming(o.barcode, w.barcode), w.barcode)) AS corrected, any_value(reads) AS reads FROM obs o JOIN wl w ON hamming(o.barcode, w.barcode) <= 1 GROUP BY o.barcode), tot AS (SELECT count(*) AS total_reads FROM parts) "
 
 
-@query("substitution_rates", _PAIRS + ", ex AS (SELECT *, unnest(range(1, 9)) AS position FROM prs WHERE barcode <> corrected) SELECT position::INT AS position, concat(substr(corrected, position, 1), '>', substr(barcode, position, 1)) AS feature_id, count(*) AS occurrences, sum(reads)::BIGINT AS reads, round(sum(reads) / (any_value(total_reads) * 8), 9) AS substitution_frequency FROM ex, tot WHERE substr(barcode, position, 1) <> substr(corrected, position, 1) GROUP BY 1, 2")
+_EVERY = "obs AS (" + " UNION ALL ".join(f"SELECT '{p}' AS part, \"{p}\" AS barcode, count(*) AS reads FROM parts GROUP BY 2" for p in R.PARTS) + """), wl AS (SELECT DISTINCT barcode_position AS part, barcode FROM whitelist),
+prs AS (SELECT o.part, o.barcode, arg_min(w.barcode, (hamming(o.barcode, w.barcode), w.barcode)) AS corrected, any_value(reads) AS reads FROM obs o JOIN wl w ON o.part = w.part AND hamming(o.barcode, w.barcode) <= 1 GROUP BY ALL), tot AS (SELECT count(*) AS total_reads FROM parts),
+ex AS (SELECT *, unnest(range(1, 9)) AS position FROM prs WHERE barcode <> corrected) """
+
+
+def _every_part(s: Source, one: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """one(observed barcodes with reads, listed barcodes) of each part, with the part's letter."""
+    def of(p: str) -> DataFrame:
+        return one(s.parts.groupBy(F.col(p).alias("barcode")).agg(F.count("*").alias("reads")), s.whitelist.where(F.col("barcode_position") == p)).select(F.lit(p).alias("barcode_position"), "*")
+
+    return reduce(DataFrame.union, map(of, R.PARTS))
+
+
+def _rates(s: Source, last: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    total = s.parts.agg(F.count("*").alias("total_reads"))
+    return _every_part(s, lambda seen, listed: last(B.substitution_rates(B.correct_complete(seen, listed).where("corrected IS NOT NULL").join(seen, "barcode"), total), total))
+
+
+@query("substitution_rates", _EVERY + ", sx AS (SELECT * FROM ex WHERE substr(barcode, position, 1) <> substr(corrected, position, 1)) SELECT part AS barcode_position, position::INT AS position, concat(substr(corrected, position, 1), '>', substr(barcode, position, 1)) AS feature_id, count(*) AS occurrences, sum(reads)::BIGINT AS reads, round(sum(reads) / (any_value(total_reads) * 8), 9) AS substitution_frequency FROM sx, tot GROUP BY ALL")
 def _(s):
-    parts = s.parts
-    seen = parts.groupBy(F.col("B").alias("barcode")).agg(F.count("*").alias("reads"))
-    listed = s.whitelist.where("barcode_position = 'B'")
-    pairs = B.correct_complete(seen, listed).where("corrected IS NOT NULL").join(seen, "barcode")
-    return B.substitution_rates(pairs, parts.agg(F.count("*").alias("total_reads")))
+    """Of all four parts of the barcode, each against its own list."""
+    return _rates(s, lambda rates, _: rates)
 
 
 @query("corrected_reads", _PAIRS + "SELECT read_name, coalesce(corrected, \"B\") AS \"B\" FROM parts LEFT JOIN prs ON \"B\" = barcode")
@@ -231,12 +246,9 @@ def _(s):
     return B.plate_occupancy(seen)
 
 
-@query("marginal_substitution", _PAIRS + ", ex AS (SELECT *, unnest(range(1, 9)) AS position FROM prs WHERE barcode <> corrected) SELECT concat(substr(corrected, position, 1), '>', substr(barcode, position, 1)) AS feature_id, sum(reads)::BIGINT AS total_counts, round(sum(reads) / any_value(total_reads), 9) AS substitution_frequency FROM ex, tot WHERE substr(barcode, position, 1) <> substr(corrected, position, 1) GROUP BY 1")
+@query("marginal_substitution", _EVERY + "SELECT part AS barcode_position, concat(substr(corrected, position, 1), '>', substr(barcode, position, 1)) AS feature_id, sum(reads)::BIGINT AS total_counts, round(sum(reads) / any_value(total_reads), 9) AS substitution_frequency FROM ex, tot WHERE substr(barcode, position, 1) <> substr(corrected, position, 1) GROUP BY ALL")
 def _(s):
-    parts = s.parts
-    seen, total = parts.groupBy(F.col("B").alias("barcode")).agg(F.count("*").alias("reads")), parts.agg(F.count("*").alias("total_reads"))
-    pairs = B.correct_complete(seen, s.whitelist.where("barcode_position = 'B'")).where("corrected IS NOT NULL").join(seen, "barcode")
-    return B.marginal_substitutions(B.substitution_rates(pairs, total), total)
+    return _rates(s, B.marginal_substitutions)
 
 
 @query("asof_whole", "WITH " + _CODES + "SELECT pc.code, sc.code AS match FROM pc ASOF LEFT JOIN sc ON pc.code >= sc.code")
@@ -246,9 +258,10 @@ def _(s):
     return B.asof(left.select("code"), right.select("code"), key="code")
 
 
-@query("whitelist_complete", "obs AS (SELECT \"B\" AS barcode, count(*) AS reads FROM parts GROUP BY 1) SELECT w.barcode, coalesce(reads, 0) AS reads FROM obs RIGHT JOIN (SELECT DISTINCT barcode FROM whitelist WHERE barcode_position = 'D') w ON obs.barcode = w.barcode")
+@query("whitelist_complete", _EVERY + "SELECT w.part AS barcode_position, w.barcode, coalesce(reads, 0) AS reads FROM obs RIGHT JOIN wl w ON obs.part = w.part AND obs.barcode = w.barcode")
 def _(s):
-    return K.complete(s.parts.groupBy(F.col("B").alias("barcode")).agg(F.count("*").alias("reads")), s.whitelist.where("barcode_position = 'D'"), "barcode", "reads")
+    """Every listed barcode of every part with its reads."""
+    return _every_part(s, lambda seen, listed: K.complete(seen, listed, "barcode", "reads").select("barcode", "reads"))
 
 
 @query("chemistry_layout", "SELECT read_id, upper(substr(sequence, 1, 8)) AS \"D\", upper(substr(sequence, 13, 8)) AS \"C\", upper(substr(sequence, 25, 8)) AS \"B\", upper(substr(sequence, 37, 8)) AS \"A\" FROM sequences")
@@ -545,7 +558,6 @@ def _(s):
 
 _SAT = GENE + """, n AS (SELECT count(*) AS total, count(DISTINCT barcode) AS cells, count(*) // count(DISTINCT barcode) AS top FROM valid),
 sz AS (SELECT top AS d, total AS size FROM n UNION ALL SELECT d, d * cells FROM n, (SELECT unnest([500, 1000, 2500] || range(10000, 1000000, 5000)) AS d) WHERE d < top),
-few AS (SELECT d, d * cells AS size FROM n, (SELECT unnest([2, 5, 10, 20]) AS d)),
 rk AS (SELECT *, row_number() OVER (ORDER BY md5(concat(read_name, ':42')), read_name) AS r FROM valid) """
 
 
@@ -565,17 +577,20 @@ def _(s):
     return K.saturation_of(*_valid_cells(s), md5_order("read_name"))
 
 
-@query("saturation_nested", _SAT + _curve("few") + "SELECT depth::INT AS depth, median_counts_per_cell, median_genes_per_cell, saturation FROM md JOIN sa USING (depth)")
+_DEEP = _SAT.replace("FROM umis", "FROM deep_umis")
+
+
+@query("saturation_nested", _DEEP + _curve("sz") + "SELECT depth::INT AS depth, median_counts_per_cell, median_genes_per_cell, saturation FROM md JOIN sa USING (depth) UNION ALL SELECT 0, 0.0, 0.0, 0.0")
 def _(s):
-    """Given depths, of the table's number of cells."""
-    reads, cells = _valid_cells(s)
-    return K.saturation_curve(reads, [2, 5, 10, 20], cells.count(), md5_order("read_name"))
+    """Two deep cells: samples of thousands of reads a cell, each within the next."""
+    reads = R.valid_rna(s.deep_umis)
+    return K.saturation_of(reads, reads.select("barcode").distinct(), md5_order("read_name"))
 
 
-@query("saturation_at_depth", _SAT + _curve("few") + "SELECT max(saturation) FILTER (depth = 5) AS saturation_5, max(saturation) FILTER (depth = 10000) AS saturation_10000 FROM sa")
+@query("saturation_at_depth", _DEEP + _curve("sz") + "SELECT max(saturation) FILTER (depth = 10000) AS saturation_10000, max(saturation) FILTER (depth = 20000) AS saturation_20000 FROM sa")
 def _(s):
-    reads, cells = _valid_cells(s)
-    return K.saturation_at(K.saturation_curve(reads, [2, 5, 10, 20], cells.count(), md5_order("read_name")), (5, 10000))
+    reads = R.valid_rna(s.deep_umis)
+    return K.saturation_at(K.saturation_of(reads, reads.select("barcode").distinct(), md5_order("read_name")))
 
 
 @query("exact_sample", "SELECT read_name, barcode FROM umis ORDER BY md5(concat(read_name, ':42')), read_name LIMIT 200")
@@ -1049,9 +1064,9 @@ def _(s):
     return M.unpivot(own, ["source_id"])
 
 
-@query("metrics_pivot", "SELECT source_id, " + ", ".join(f"round(max(value) FILTER (metric_key = 'k{i}' AND modality = 'm0'), 4) AS k{i}" for i in range(6)) + " FROM metrics GROUP BY source_id")
+@query("metrics_pivot", "SELECT source_id, modality, " + ", ".join(f"round(max(value) FILTER (metric_key = 'k{i}'), 4) AS k{i}" for i in range(6)) + " FROM metrics GROUP BY source_id, modality")
 def _(s):
-    return M.pivot(s.metrics.where("modality = 'm0'").withColumn("value", F.round("value", 4)), [f"k{i}" for i in range(6)])
+    return M.pivot(s.metrics.withColumn("value", F.round("value", 4)), [f"k{i}" for i in range(6)], ("source_id", "modality"))
 
 
 @query("metric_report", "SELECT source_id, m.library_type, m.modality, m.metric_key, human_readable_name, report, round(value, 4) AS value, CASE WHEN coalesce(value < min_failure_threshold, false) OR coalesce(value > max_failure_threshold, false) THEN 'fail' WHEN coalesce(value < min_warning_threshold, false) OR coalesce(value > max_warning_threshold, false) THEN 'warn' ELSE 'pass' END AS status FROM metrics m JOIN dictionary d ON m.library_type = d.library_type AND m.modality = d.modality AND m.metric_key = d.metric_key")

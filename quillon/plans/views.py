@@ -22,6 +22,7 @@ VIEWS = {
     "alignments": "SELECT cast(l_orderkey AS VARCHAR) AS read_name, concat('A', l_partkey % 20) AS chrom, l_partkey % 7 AS start, cast(floor(l_quantity) AS INT) AS mapping_quality FROM lineitem",
     "sheet": "SELECT " + CODE.format("n_nationkey") + " AS barcode, n_name AS sample_name FROM nation",
     "umis": "SELECT cast(event_id AS VARCHAR) AS read_name, concat('U', user_id) AS barcode, CASE WHEN event_id % 11 = 0 THEN '-' ELSE event_type END AS \"GN\", cast(event_id % 50 AS VARCHAR) AS \"UB\", CASE WHEN event_id % 4 = 0 THEN 3 ELSE 255 END AS mapping_quality FROM events",
+    "deep_umis": "SELECT concat(l_orderkey, '-', l_linenumber) AS read_name, concat('U', l_suppkey % 2) AS barcode, CASE WHEN l_partkey % 47 = 0 THEN '-' ELSE concat('G', l_partkey % 400) END AS \"GN\", cast(l_orderkey % 90 AS VARCHAR) AS \"UB\", CASE WHEN l_orderkey % 53 = 0 THEN 3 ELSE 255 END AS mapping_quality FROM lineitem",
     "whitelist": "SELECT 'D' AS barcode_position, " + CODE.format("p_partkey") + " AS barcode FROM part UNION ALL SELECT 'C', " + CODE.format("p_partkey + 1") + " FROM part UNION ALL SELECT 'B', " + CODE.format("s_suppkey") + " FROM supplier UNION ALL SELECT 'A', " + CODE.format("s_suppkey") + " FROM supplier",
     "parts": "SELECT concat(l_orderkey, '-', l_linenumber) AS read_name, CASE WHEN l_linenumber % 3 = 0 THEN concat('N', substr(" + CODE.format("l_partkey") + ", 2)) ELSE " + CODE.format("l_partkey") + " END AS \"D\", " + CODE.format("l_partkey + 1") + " AS \"C\", "
     "CASE WHEN l_linenumber % 5 = 0 THEN concat(substr(" + CODE.format("l_suppkey") + ", 1, 7), 'N') ELSE " + CODE.format("l_suppkey") + " END AS \"B\", " + CODE.format("l_suppkey") + " AS \"A\" FROM lineitem",

@@ -456,3 +456,36 @@ def test_padding(spark):
     axis = spark.createDataFrame([("a",), ("z",)], "barcode string")
     z = variants.pad_cells(obs, axis).where("barcode = 'z'").first()
     assert (z.n, z.f, z.b, z.s, z.gt_code) == (0, 0.0, False, "na", -1) and math.isnan(z.gq)
+
+
+def test_poisson_counts_of_any_mean():
+    for mean, alpha in ((0.0, 0.05), (3.5, 1e-9), (20_000.0, 0.05), (3e5, 1e-12)):
+        c = power.poisson_count(mean, alpha)
+        assert power.poisson_tail(c, mean) <= alpha and (c == 1 or power.poisson_tail(c - 1, mean) > alpha)
+    assert power.poisson_count(20_000.0, 0.05) > 20_000 and abs(power.poisson_tail(4, 1.0) - (1 - sum(math.exp(-1) / math.factorial(k) for k in range(4)))) < 1e-15
+    assert abs(power.poisson_tail(2, 50.0) - 1) < 1e-12 and 0 < power.poisson_tail(200, 20.0) < 1e-100
+    with pytest.raises(ValueError, match="nothing"):
+        power.poisson_count(1.0, 0.0)
+
+
+def test_dense_rows(spark):
+    df = spark.createDataFrame([(0, 1, 5.0), (0, 4, 6.0), (1, 0, None), (2, None, None)], "row long, col long, v double")
+    got = {r.row: r["values"] for r in matrices.dense(df, "v", 6, -1.0).collect()}
+    assert got == {0: [-1, 5, -1, -1, 6, -1], 1: [-1] * 6, 2: [-1] * 6}
+    assert {r.row: r["values"] for r in matrices.dense(df.where("col IS NULL"), "v", 0, 0.0).collect()} == {2: []}
+    for bad in (df, df.where("row = 0").union(df.where("col = 1"))):
+        with pytest.raises(Exception, match="beyond the columns"):
+            matrices.dense(bad, "v", 3 if bad is df else 6, 0.0).collect()
+
+
+def test_types_that_hold_both(spark):
+    import datetime
+    from decimal import Decimal
+
+    one = spark.createDataFrame([(1 << 60, datetime.date(2020, 1, 2), True, Decimal("1.50"), 1)], "a long, d date, b boolean, m decimal(5,2), `x.y` int")
+    two = spark.createDataFrame([(0.5, "text", 3, 7, "z")], "a float, d string, b int, m long, `x.y` string")
+    got = metrics.union_relaxed(one, two, spark.createDataFrame([(datetime.datetime(2020, 1, 2),)], "d timestamp"))
+    kinds = dict(got.dtypes)
+    assert (kinds["a"], kinds["d"], kinds["b"], kinds["x.y"]) == ("double", "string", "string", "string") and kinds["m"].startswith("decimal")
+    assert sorted((str(r.a), r.d, r.b, str(r.m)) for r in got.collect())[:2] == [("0.5", "text", "3", "7.00"), ("1.152921504606847e+18", "2020-01-02", "true", "1.50")]
+    assert metrics.wider_type(spark, "date", "timestamp") == "timestamp" and metrics.wider_type(spark, "int", "double") == "double"
