@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.columns import hamming, masked
-from quillon.operators.ranges import nearest
+from quillon.operators.ranges import ROWS, counted, nearest
+from quillon.sources.tables import materialise
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, by: list[str] = (), backward: bool = True) -> DataFrame:
@@ -44,51 +43,45 @@ def correct_complete(observed: DataFrame, whitelist: DataFrame) -> DataFrame:
     return seen.join(near, "barcode", "left")
 
 
-def neighbour_rounds(observed: list[str], listed: list[str], distance: int = 1) -> dict[str, str]:
-    """Corrections by neighbours in string order alone: first those before, then those after; listed barcodes once matched leave, until no barcode finds one after.
-
-    Strings are sorted arrays of bytes, so a round is two binary searches and two comparisons of whole arrays.
-    """
-    pool = np.unique(np.array([x.encode() for x in set(listed)] or [b""], "S"))[0 if listed else 1 :]
-    unknown = np.array(sorted({x.encode() for x in observed} - set(pool.tolist())) or [b""], "S")[0 if set(observed) - set(listed) else 1 :]
-    width = max(pool.dtype.itemsize, unknown.dtype.itemsize)
-    pool, unknown = pool.astype(f"S{width}"), unknown.astype(f"S{width}")
-    found: dict[str, str] = {}
-
-    def match(at: np.ndarray) -> np.ndarray:
-        """Which of the unknown have the pool's string at the given place near them."""
-        ok = (at >= 0) & (at < len(pool))
-        a, b = unknown[ok], pool[at[ok]]
-        near = (a.view(np.uint8).reshape(-1, width) != b.view(np.uint8).reshape(-1, width)).sum(1) <= distance
-        ok[ok] = near & (np.char.str_len(a) == np.char.str_len(b))
-        found.update(zip((x.decode() for x in unknown[ok].tolist()), (x.decode() for x in pool[at[ok]].tolist()), strict=True))
-        return ok
-
-    while len(pool) and len(unknown):
-        used = np.zeros(len(pool), bool)
-        at = np.searchsorted(pool, unknown, "right") - 1
-        ok = match(at)
-        used[at[ok]] = True
-        unknown = unknown[~ok]
-        at = np.searchsorted(pool, unknown, "left")
-        ok = match(at) if len(unknown) else np.zeros(0, bool)
-        used[at[ok]] = True
-        pool, unknown = pool[~used], unknown[~ok]
-        if not ok.any():
-            break
-    return found
+def _sides(rows: DataFrame, n: int) -> DataFrame:
+    """rows (part, barcode, listed) with the nearest listed barcodes of the part in string order, before as back and after as ahead."""
+    known = F.when(F.col("listed"), F.col("barcode"))
+    if n <= ROWS:
+        w = W.partitionBy("part").orderBy("barcode")
+        return rows.withColumns({"back": F.last(known, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)), "ahead": F.first(known, ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing))})
+    # parts lie one after the other in ranges of the whole order; what comes from another part counts as nothing
+    key, own = F.concat_ws("\t", "part", "barcode"), F.concat(F.col("part"), F.lit("\t"))
+    out = rows.withColumn("_key", key).withColumn("back", F.when(F.col("listed"), F.col("_key"))).withColumn("ahead", F.col("back"))
+    out = nearest(nearest(out, "_key", "back", "listed", rows=ROWS), "_key", "ahead", "listed", False, rows=ROWS)
+    theirs = lambda c: F.when(F.startswith(F.col(c), own), F.substr(F.col(c), F.length(own) + 1)).alias(c)
+    return out.select("part", "barcode", "listed", theirs("back"), theirs("ahead"))
 
 
-def correct_compat(observed: DataFrame, whitelist: DataFrame) -> DataFrame:
-    """(barcode_position, barcode, corrected) by neighbour_rounds, a task for each position; barcodes are distinct, so at most 5**8 in each."""
-    both = observed.select("barcode_position", "barcode", F.lit(False).alias("listed")).union(whitelist.select("barcode_position", "barcode", F.lit(True))).where("barcode IS NOT NULL").distinct()
+def correct_compat(observed: DataFrame, whitelist: DataFrame, distance: int = 1) -> DataFrame:
+    """(barcode_position, barcode, corrected) by neighbours in string order alone: first those before, then those after; listed barcodes once matched leave, until no barcode of the part finds one after.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, listed = pdf.loc[~pdf.listed, "barcode"].tolist(), pdf.loc[pdf.listed, "barcode"].tolist()
-        found, known = neighbour_rounds(own, listed), set(listed)
-        return pd.DataFrame({"barcode_position": pdf.barcode_position.iloc[0], "barcode": own, "corrected": [b if b in known else found.get(b) for b in own]})
-
-    return both.groupBy("barcode_position").applyInPandas(run, "barcode_position string, barcode string, corrected string")
+    The state of a round, barcodes that are still unknown and listed ones still in the pool, is a table; a round is two as-of passes over it, and what it found is observed while the next table is written.
+    """
+    listed = whitelist.select(F.col("barcode_position").alias("part"), "barcode").where("barcode IS NOT NULL").distinct().withColumn("listed", F.lit(True))
+    seen = observed.select(F.col("barcode_position").alias("part"), "barcode").where("barcode IS NOT NULL").distinct()
+    start, n = counted(seen.join(listed, ["part", "barcode"], "full").select("part", "barcode", F.coalesce("listed", F.lit(False)).alias("listed")))
+    rows, found = start, None
+    near = lambda c: F.coalesce((F.length(c) == F.length("barcode")) & (hamming("barcode", c) <= distance), F.lit(False))
+    while True:
+        back, ahead = ~F.col("listed") & near("back"), ~F.col("listed") & ~near("back") & near("ahead")
+        told = Observation()
+        made = _sides(rows, n).select("part", "barcode", "listed", F.when(back, F.col("back")).when(ahead, F.col("ahead")).alias("to"), ahead.alias("ahead"))
+        state = materialise(made.observe(told, F.count_if(F.col("ahead")).alias("ahead"), F.count(F.lit(1)).alias("n")))
+        n, more = told.get["n"], told.get["ahead"]
+        own = state.where("to IS NOT NULL").select("part", "barcode", "to")
+        found = own if found is None else found.union(own)
+        if not more:
+            break
+        used = own.select("part", F.col("to").alias("barcode")).distinct().withColumn("listed", F.lit(True))
+        going = state.where("ahead").select("part").distinct()  # the others have ended
+        rows = state.where("to IS NULL").select("part", "barcode", "listed").join(F.broadcast(going), "part", "left_semi").join(used, ["part", "barcode", "listed"], "left_anti")
+    out = seen.join(listed, ["part", "barcode"], "left").join(found, ["part", "barcode"], "left")
+    return out.select(F.col("part").alias("barcode_position"), "barcode", F.when(F.col("listed"), F.col("barcode")).otherwise(F.col("to")).alias("corrected"))
 
 
 def apply_corrections(reads: DataFrame, corrections: DataFrame, part: str) -> DataFrame:

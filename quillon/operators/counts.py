@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.operators.ranges import ranked, running
+from quillon.operators.ranges import ROWS, ranked, running
+from quillon.sources.tables import materialise
 from quillon.operators.reads import primary
 
 #: Mapping quality of on-target reads; least counts and features, and score of a cell, by library.
@@ -218,16 +219,36 @@ def memberships(gene_cells: DataFrame, amplicon_cells: DataFrame) -> DataFrame:
     return both.groupBy(kind.alias("membership")).agg(F.count("*").alias("barcodes"))
 
 
-def knee_point(counts: np.ndarray, window: int = 5) -> int | None:
-    """Rank of the sharpest bend of the log-log rank curve, within its inner 1 to 90 percent; counts in falling order."""
-    if len(counts) < 10:
-        return None
-    x, y = np.log10(np.arange(1, len(counts) + 1)), np.log10(np.asarray(counts, float) + 1)
-    y = np.convolve(np.pad(y, window // 2, mode="edge"), np.ones(window) / window, "valid")[: len(x)]
-    d1 = np.gradient(y, x)
-    bend = np.abs(np.gradient(d1, x)) / (1 + d1**2) ** 1.5
-    lo, hi = int(len(x) * 0.01), int(len(x) * 0.9)
-    return lo + int(np.argmax(bend[lo:hi])) + 1
+#: Ranks that a rank's bend depends on, on each side: two of the smoothing, one of each derivative.
+HALO = 4
+
+
+def knee_point(metrics: DataFrame, value: str = "total_counts", tie: str = "barcode", block: int = ROWS) -> DataFrame:
+    """One row (rank): the sharpest bend of the log-log rank curve, within its inner 1 to 90 percent; null for fewer than 10 rows.
+
+    Ranks lie in blocks, and each block also gets the ranks that its first and last bends depend on, so smoothing and derivatives are windows within blocks.
+    """
+    curve = materialise(ranked(metrics.select(F.col(value).alias("_v"), F.col(tie).alias("_t")), "rank", "_v", "_t", desc=("_v",)).select("rank", "_v"))
+    n = curve.agg(F.max("rank")).first()[0] or 0
+    at = F.col("rank") - 1
+    own = F.floor(at / block)
+    halo = curve.withColumn("_block", F.explode(F.sequence(F.floor(F.greatest(at - HALO, F.lit(0)) / block), F.floor(F.least(at + HALO, F.lit(n - 1)) / block))))
+    w = W.partitionBy("_block").orderBy("rank")
+    near = lambda c, k: F.lag(c, -k).over(w) if k < 0 else F.lead(c, k).over(w)
+    rows = halo.withColumns({"x": F.log10("rank"), "y": F.log10(F.col("_v") + 1)})
+    before, after = F.coalesce(near("y", -1), F.col("y")), F.coalesce(near("y", 1), F.col("y"))  # the curve's ends go on as they are
+    rows = rows.withColumn("s", (F.coalesce(near("y", -2), before) + before + F.col("y") + after + F.coalesce(near("y", 2), after)) / 5)
+
+    def slope(c: str) -> Column:
+        """The derivative by x, from three points of uneven distances, or from two at the ends."""
+        lo, hi = F.col("x") - near("x", -1), near("x", 1) - F.col("x")
+        mid = -hi / (lo * (lo + hi)) * near(c, -1) + (hi - lo) / (lo * hi) * F.col(c) + lo / (hi * (lo + hi)) * near(c, 1)
+        return F.coalesce(mid, (near(c, 1) - F.col(c)) / hi, (F.col(c) - near(c, -1)) / lo)
+
+    rows = rows.withColumn("d", slope("s")).withColumn("dd", slope("d"))
+    bend = F.abs("dd") / F.pow(1 + F.col("d") * F.col("d"), 1.5)
+    inner = rows.where((F.col("_block") == own) & at.between(int(n * 0.01), int(n * 0.9) - 1) & F.lit(n >= 10))
+    return inner.agg(F.max_by("rank", F.struct(bend, -F.col("rank"))).alias("rank"))
 
 
 def log_bins(df: DataFrame, value: str, n: int = 100) -> tuple[np.ndarray, np.ndarray]:

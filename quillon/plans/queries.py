@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -192,8 +191,16 @@ def _(s):
     return B.correct_complete(a.select(F.col("code").alias("barcode")), b.select(F.col("code").alias("barcode")))
 
 
-@query("barcode_correct_compat")
+_ROUNDS = "seen AS (" + " UNION ".join(f"SELECT '{p}' AS part, \"{p}\" AS barcode FROM parts" for p in R.PARTS) + """), listed AS (SELECT DISTINCT barcode_position AS part, barcode FROM whitelist),
+st AS (SELECT 0 AS round, part, barcode, listed, NULL::VARCHAR AS corrected, false AS ahead FROM (SELECT *, true AS listed FROM listed UNION ALL SELECT *, false FROM (SELECT * FROM seen EXCEPT SELECT * FROM listed)) UNION ALL
+  SELECT round + 1, part, barcode, listed, CASE WHEN listed THEN NULL WHEN coalesce(hamming(barcode, b) <= 1, false) THEN b WHEN coalesce(hamming(barcode, a) <= 1, false) THEN a END, NOT listed AND NOT coalesce(hamming(barcode, b) <= 1, false) AND coalesce(hamming(barcode, a) <= 1, false)
+  FROM (SELECT *, last_value(CASE WHEN listed THEN barcode END IGNORE NULLS) OVER (PARTITION BY part ORDER BY barcode ROWS UNBOUNDED PRECEDING) AS b, first_value(CASE WHEN listed THEN barcode END IGNORE NULLS) OVER (PARTITION BY part ORDER BY barcode ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS a
+    FROM (SELECT *, max(ahead::INT) OVER (PARTITION BY part) AS more, listed AND count(corrected) OVER (PARTITION BY part, coalesce(corrected, CASE WHEN listed THEN barcode END)) > 0 AS used FROM st) WHERE (more = 1 OR round = 0) AND corrected IS NULL AND NOT used)) """
+
+
+@query("barcode_correct_compat", "WITH RECURSIVE " + _ROUNDS + "SELECT part AS barcode_position, barcode, CASE WHEN l.part IS NOT NULL THEN barcode ELSE corrected END AS corrected FROM seen LEFT JOIN (SELECT part, barcode, corrected FROM st WHERE corrected IS NOT NULL) f USING (part, barcode) LEFT JOIN listed l USING (part, barcode)")
 def _(s):
+    """Rounds of nearest listed barcodes before and after, over tables."""
     seen = s.parts.select(F.explode(F.array(*[F.struct(F.lit(p).alias("barcode_position"), F.col(p).alias("barcode")) for p in R.PARTS])).alias("x")).select("x.*").distinct()
     return B.correct_compat(seen, s.whitelist)
 
@@ -473,14 +480,23 @@ def _(s):
     return K.usable_reads(K.fractions(K.flag_table(s.reads)), ["is_anchored", "mapped"], ["high_quality_mapped"], "has_barcode")
 
 
-@query("knee_point")
+_SLOPE = "coalesce(-hi / (lo * (lo + hi)) * lag({0}) OVER w + (hi - lo) / (lo * hi) * {0} + lo / (hi * (lo + hi)) * lead({0}) OVER w, (lead({0}) OVER w - {0}) / hi, ({0} - lag({0}) OVER w) / lo)"
+_KNEE = ON_TARGET + """, kc AS (SELECT barcode, sum(reads) AS v FROM cnt GROUP BY barcode), kr AS (SELECT row_number() OVER (ORDER BY v DESC, barcode) AS rank, count(*) OVER () AS n, log10(v + 1) AS y FROM kc), kx AS (SELECT *, log10(rank) AS x FROM kr),
+ks AS (SELECT rank, n, x, x - lag(x) OVER w AS lo, lead(x) OVER w - x AS hi, (coalesce(lag(y, 2) OVER w, lag(y) OVER w, y) + coalesce(lag(y) OVER w, y) + y + coalesce(lead(y) OVER w, y) + coalesce(lead(y, 2) OVER w, lead(y) OVER w, y)) / 5 AS s FROM kx WINDOW w AS (ORDER BY rank)),
+kd AS (SELECT *, """ + _SLOPE.format("s") + " AS d FROM ks WINDOW w AS (ORDER BY rank)), ke AS (SELECT *, " + _SLOPE.format("d") + " AS dd FROM kd WINDOW w AS (ORDER BY rank)) "
+
+
+@query("knee_point", _KNEE + "SELECT arg_max(rank, (abs(dd) / pow(1 + d * d, 1.5), -rank)) AS rank FROM ke WHERE n >= 10 AND rank > floor(n * 0.01) AND rank <= floor(n * 0.9)")
 def _(s):
-    """The sharpest bend of the rank curve of all barcodes; a barcode is one number, and they come to the driver in falling order."""
-    n = [r["total_counts"] for r in K.barcode_metrics(K.amplicon_counts(K.on_target(s.reads)), "chrom", "reads").select("total_counts").orderBy(F.desc("total_counts")).toLocalIterator()]
-    return s.spark.createDataFrame([(K.knee_point(np.array(n)),)], "rank long")
+    """The sharpest bend of the rank curve of all barcodes."""
+    return K.knee_point(K.barcode_metrics(K.amplicon_counts(K.on_target(s.reads)), "chrom", "reads"))
 
 
-@query("inflection_minimum")
+@query("inflection_minimum", ON_TARGET + """, kc AS (SELECT barcode, sum(reads) AS v FROM cnt GROUP BY barcode), e AS (SELECT log10(min(v) + 1) AS lo, log10(max(v) + 1) AS hi, coalesce(nullif((hi - lo) / 100, 0), 1) AS w FROM kc), h AS (SELECT least(99, floor((log10(v + 1) - lo) / w))::INT AS b, count(*) AS n FROM kc, e GROUP BY 1),
+g AS (SELECT i, coalesce(n, 0)::DOUBLE AS c FROM (SELECT unnest(range(100)) AS i) LEFT JOIN h ON i = b), k AS (SELECT unnest(range(-8, 9)) AS d, exp(-0.5 * (d / 2.0) ** 2) AS bell),
+sm AS (SELECT a.i, sum(g.c * bell) AS s FROM (SELECT unnest(range(100)) AS i) a, k JOIN g ON g.i = CASE WHEN a.i + d < 0 THEN -1 - a.i - d WHEN a.i + d > 99 THEN 199 - a.i - d ELSE a.i + d END GROUP BY a.i),
+lows AS (SELECT i, (SELECT arg_max(i, (s, -i)) FROM sm) AS top FROM (SELECT *, lag(s) OVER (ORDER BY i) AS p, lead(s) OVER (ORDER BY i) AS q FROM sm) WHERE s < p AND s < q)
+SELECT CASE WHEN (SELECT count(*) FROM lows) = 0 THEN 100.0 ELSE pow(10, (SELECT lo + w * (coalesce((SELECT min(i) FROM lows WHERE i > top), (SELECT min(i) FROM lows)) + 0.5) FROM e)) END AS threshold""")
 def _(s):
     found = K.barcode_metrics(K.amplicon_counts(K.on_target(s.reads)), "chrom", "reads")
     return s.spark.createDataFrame([(K.inflection_minimum(*K.log_bins(found, "total_counts")),)], "threshold double")

@@ -73,6 +73,7 @@ def _braced(sql: str, used: dict[str, DataFrame]) -> str:
 def with_views(sql: str) -> str:
     """The query after WITH clauses for the views it names; DuckDB computes each only where it is used."""
     names = [n for n in VIEWS if re.search(rf"\b{n}\b", sql)]
-    own = "" if re.match(r"\s*SELECT\b", sql) else re.sub(r"^\s*WITH\b", "", sql)
+    own = "" if re.match(r"\s*SELECT\b", sql) else re.sub(r"^\s*WITH( RECURSIVE)?\b", "", sql)
+    start = "WITH RECURSIVE" if re.match(r"\s*WITH RECURSIVE\b", sql) else "WITH"
     heads = [f"{n} AS ({VIEWS[n]})" for n in names]
-    return f"WITH {', '.join([*heads, own])}" if own else f"WITH {', '.join(heads)} {sql}" if heads else sql
+    return f"{start} {', '.join([*heads, own])}" if own else f"WITH {', '.join(heads)} {sql}" if heads else sql

@@ -68,17 +68,21 @@ def rounds_by_force(observed, listed, distance=1):
     return found
 
 
-def test_neighbour_rounds():
-    listed = ["AAAAAAAA", "CCCCCCCC", "GGGGGGGG", "TTTTTTTT"]
-    seen = ["AAAAAAAA", "AAAAAAAC", "ACCCCCCC", "CCCCCCCA", "GGGGGGGT", "TTTTTTTN", "TAAAAAAA", "NNNNNNNN"]
-    found = barcodes.neighbour_rounds(seen, listed)
-    assert found == {"AAAAAAAC": "AAAAAAAA", "ACCCCCCC": "CCCCCCCC", "CCCCCCCA": "CCCCCCCC", "GGGGGGGT": "GGGGGGGG", "TTTTTTTN": "TTTTTTTT"}
+@pytest.mark.parametrize("rows", [barcodes.ROWS, 50])
+def test_rounds_of_neighbours(spark, rows, monkeypatch):
+    """Each part by itself, in one window or in ranges."""
+    monkeypatch.setattr(barcodes, "ROWS", rows)
     rng = random.Random(1)
-    for n in range(60):
-        word = lambda: "".join(rng.choice("ACN") for _ in range(rng.choice([3, 4, 4, 4])))
-        seen, listed = ([word() for _ in range(rng.randint(0, 60))] for _ in range(2))
-        listed = listed[: rng.randint(0, 30)]
-        assert barcodes.neighbour_rounds(seen, listed) == rounds_by_force(seen, listed), n
+    word = lambda: "".join(rng.choice("ACN") for _ in range(rng.choice([3, 4, 4, 4])))
+    parts = {f"p{n}": ([word() for _ in range(rng.randint(0, 60))], [word() for _ in range(rng.randint(0, 30))]) for n in range(10)}
+    parts["D"] = ["AAAAAAAA", "AAAAAAAC", "ACCCCCCC", "CCCCCCCA", "GGGGGGGT", "TTTTTTTN", "TAAAAAAA", "NNNNNNNN"], ["AAAAAAAA", "CCCCCCCC", "GGGGGGGG", "TTTTTTTT"]
+    schema = "barcode_position string, barcode string"
+    seen, listed = ([(p, b) for p, both in parts.items() for b in both[k]] for k in (0, 1))
+    got = barcodes.correct_compat(spark.createDataFrame([*seen, ("D", None)], schema), spark.createDataFrame([*listed, ("D", None)], schema)).collect()
+    want = {(p, b): b if b in own else rounds_by_force(found, own).get(b) for p, (found, own) in parts.items() for b in found}
+    assert len(got) == len(want) and {(r.barcode_position, r.barcode): r.corrected for r in got} == want
+    assert want["D", "CCCCCCCA"] == "CCCCCCCC" and want["D", "TAAAAAAA"] is None and sum(v is not None and v != k[1] for k, v in want.items()) > 30
+    assert barcodes.correct_compat(spark.createDataFrame([], schema), spark.createDataFrame(listed, schema)).count() == 0
 
 
 def test_complete_correction(spark):
@@ -267,9 +271,30 @@ def test_asof_without_columns(spark):
         assert got == {x: near(x) for x in left}
 
 
+def knee_of_array(counted, window=5):
+    """The sharpest bend of a whole curve."""
+    x, y = np.log10(np.arange(1, len(counted) + 1)), np.log10(np.asarray(counted, float) + 1)
+    y = np.convolve(np.pad(y, window // 2, mode="edge"), np.ones(window) / window, "valid")[: len(x)]
+    d1 = np.gradient(y, x)
+    bend = np.abs(np.gradient(d1, x)) / (1 + d1**2) ** 1.5
+    lo, hi = int(len(x) * 0.01), int(len(x) * 0.9)
+    return lo + int(np.argmax(bend[lo:hi])) + 1
+
+
+def test_knee_over_blocks(spark):
+    """Blocks of any size, down to less than what a bend depends on, give the whole curve's bend."""
+    rng = random.Random(3)
+    for n in (10, 57, 1000):
+        curve = sorted((rng.choice([rng.randint(900, 1100), rng.randint(1, 9)]) for _ in range(n)), reverse=True)
+        df = spark.createDataFrame([(v, f"b{i}") for i, v in enumerate(curve)], "total_counts long, barcode string")
+        for block in (3, 64, counts.ROWS):
+            assert counts.knee_point(df, block=block).first()["rank"] == knee_of_array(curve)
+    assert counts.knee_point(df.limit(9)).first()["rank"] is None and counts.knee_point(df.limit(0)).first()["rank"] is None
+
+
 def test_knee_and_inflection(spark):
     curve = np.array([5000 - i for i in range(200)] + [max(1, 50 - i // 40) for i in range(800)])
-    assert abs(counts.knee_point(curve) - 200) < 25 and counts.knee_point(curve[:5]) is None
+    assert abs(knee_of_array(curve) - 200) < 25
     df = spark.createDataFrame([(int(v),) for v in curve], "n long")
     bins, centres = counts.log_bins(df, "n")
     assert bins.tolist() == np.histogram(np.log10(curve + 1.0), 100)[0].tolist()
