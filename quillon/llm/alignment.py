@@ -25,13 +25,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.common import cut, name, portions
 
-#: Characters and groups of chunks that a task keeps, and transitions, before it starts anew.
-CACHE, STEPS = 20_000_000, 1_000_000
+#: Bytes of chunks that a task keeps, about, and transitions, before it starts anew; chunks of a line that are encoded together.
+CACHE, STEPS, LINE = 50_000_000, 400_000, 500
 SPACE = "▁"
 RESULT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
@@ -44,48 +45,115 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Transducer:
-    """Where two token sequences end together. A state: which side leads (1: the first, -1: the second, 0: none) and the bytes by which it does."""
+    """Where two token sequences end together. A state: which side leads (1: the first, -1: the second, 0: none) and the bytes by which it does.
+
+    States and transitions have numbers. Many pairs of sequences go on step by step together, and a step looks all their transitions up at once; only new ones are made one by one.
+    """
+
+    LONG = 64  # tokens of a sequence from which on it goes by itself
 
     def __init__(self, first: list[bytes], second: list[bytes]) -> None:
-        self.first, self.second, self.known = first, second, {}
-
-    def step(self, lead: int, rest: bytes, token: int) -> tuple[int, bytes]:
-        """The state after the next token of the side behind; lead 2: the bytes differ."""
-        key = lead, rest, token
-        if (to := self.known.get(key)) is None:
-            if len(self.known) >= STEPS:
-                self.known.clear()
+        self.first, self.second, self.width = first, second, max(len(first), len(second), 1)
+        self.clear()
+
+    def clear(self) -> None:
+        self.states, self.number, self.lead = [(0, b"")], {(0, b""): 0}, np.zeros(1, np.int8)
+        self.keys, self.values = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.recent: dict[int, int] = {}
+
+    def step(self, state: int, token: int) -> int:
+        """The state after the next token of the side behind; -1: the bytes differ."""
+        key = state * self.width + token
+        if (to := self.recent.get(key)) is None:
+            lead, rest = self.states[state]
             new = self.second[token] if lead > 0 else self.first[token]
             if rest.startswith(new):
                 left = rest[len(new) :]
-                to = (lead if left else 0), left
+                to = self._number((lead if left else 0), left)
             elif new.startswith(rest):
-                to = (-1 if lead > 0 else 1), new[len(rest) :]
+                to = self._number((-1 if lead > 0 else 1), new[len(rest) :])
             else:
-                to = 2, b""
-            self.known[key] = to
+                to = -1
+            self.recent[key] = to
+        return to
+
+    def _number(self, lead: int, rest: bytes) -> int:
+        if (lead, rest) not in self.number:
+            self.number[lead, rest] = len(self.states)
+            self.states.append((lead, rest))
+        return self.number[lead, rest]
+
+    def steps(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        key = state * self.width + token
+        i = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        known = self.keys[i] == key if len(self.keys) else np.zeros(len(key), bool)
+        to = np.where(known, self.values[i], -1) if len(self.keys) else np.full(len(key), -1)
+        if not known.all():
+            rest, back = np.unique(key[~known], return_inverse=True)
+            to[~known] = np.array([self.step(*divmod(k, self.width)) for k in rest.tolist()])[back]
+            self.lead = np.array([x for x, _ in self.states], np.int8) if len(self.states) > len(self.lead) else self.lead
+            if len(self.recent) > 4096:
+                keys, values = np.concatenate((self.keys, np.fromiter(self.recent, np.int64))), np.concatenate((self.values, np.fromiter(self.recent.values(), np.int64)))
+                self.keys, at = np.unique(keys, return_index=True)
+                self.values = values[at]
+                self.recent.clear()
         return to
 
     def ends(self, a: list[int], b: list[int]) -> list[tuple[int, int]] | None:
         """How many tokens of each side each group's end has behind it; None if the bytes differ."""
-        i = j = lead = 0
-        rest, out = b"", []
+        i = j = state = 0
+        out = []
         while i < len(a) or j < len(b):
-            if lead > 0:
+            if self.states[state][0] > 0:
                 if j == len(b):
                     return None
-                lead, rest = self.step(lead, rest, b[j])
+                state = self.step(state, b[j])
                 j += 1
             else:
                 if i == len(a):
                     return None
-                lead, rest = self.step(lead, rest, a[i])
+                state = self.step(state, a[i])
                 i += 1
-            if lead == 2:
+            if state < 0:
                 return None
-            if not rest:
+            if not state:
                 out.append((i, j))
-        return None if rest else out
+        return None if state else out
+
+    def ends_of(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of sequences one after the other: (pair, end in a, end in b) of each group, in order, and which pairs have the same bytes."""
+        if len(self.keys) + len(self.recent) > STEPS:
+            self.clear()
+        end_a, end_b = np.cumsum(n_a), np.cumsum(n_b)
+        i, j, state, good = end_a - n_a, end_b - n_b, np.zeros(len(n_a), np.int64), np.ones(len(n_a), bool)
+        out, live = [], np.flatnonzero(n_a + n_b < self.LONG)
+        for k in np.flatnonzero(n_a + n_b >= self.LONG).tolist():
+            found = self.ends(a[i[k] : end_a[k]].tolist(), b[j[k] : end_b[k]].tolist())
+            good[k] = found is not None
+            if found:
+                one, two = np.array(found).T
+                out.append((np.full(len(one), k), i[k] + one, j[k] + two))
+        self.lead = np.array([x for x, _ in self.states], np.int8)
+        while True:
+            second = self.lead[state[live]] > 0
+            over = np.where(second, j[live] == end_b[live], i[live] == end_a[live])
+            good[live[over]] = (state[live[over]] == 0) & (j[live[over]] == end_b[live[over]])
+            live, second = live[~over], second[~over]
+            if not len(live):
+                break
+            token = np.empty(len(live), np.int64)
+            token[second], token[~second] = b[j[live[second]]], a[i[live[~second]]]
+            state[live] = self.steps(state[live], token)
+            j[live[second]] += 1
+            i[live[~second]] += 1
+            good[live[state[live] < 0]] = False
+            live = live[state[live] >= 0]
+            shut = live[state[live] == 0]
+            out.append((shut, i[shut], j[shut]))
+        pair, one, two = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
+        keep = good[pair]
+        order = np.lexsort((one[keep], pair[keep]))
+        return pair[keep][order], one[keep][order], two[keep][order], good
 
 
 class Aligner:
@@ -111,6 +179,9 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         second = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.steps, self.base = Transducer(first, second), len(pieces)
+        self.len_a, self.len_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (first, second))
+        self.bytes_a = pa.array(first, pa.binary())
+        self.names_a, self.names_b = (pa.array([str(i) for i in range(len(x))], pa.string()) for x in (first, second))
         before = plain.get("pre_tokenizer") or {}
         self.chunked = (
             (before.get("type"), before.get("use_regex"), before.get("add_prefix_space"), plain.get("normalizer")) == ("ByteLevel", True, False, None)
@@ -136,27 +207,78 @@ class Aligner:
             out[-2:] = [out[-2] + " "]
         return out
 
+    def _first_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the first side, one chunk after the other, and how many each has. Chunks that end in no white space are encoded in a line, and told apart by the bytes of their tokens."""
+        if not self.chunked:
+            ids = [x.ids for x in self.a.encode_batch_fast([f" {c}" for c in chunks], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+        alone = np.array([not c or c[-1].isspace() for c in chunks])
+        size = np.fromiter((len(c.encode()) + 1 for c in chunks), np.int64, len(chunks))
+        n, line = np.zeros(len(chunks), np.int64), []
+        inline = np.flatnonzero(~alone)
+        for lo in range(0, len(inline), LINE):
+            own = inline[lo : lo + LINE]
+            ids = np.array(self.a.encode_batch_fast(["".join([f" {chunks[k]}" for k in own.tolist()])], add_special_tokens=False)[0].ids, np.int64)
+            ends, due = np.cumsum(self.len_a[ids]), np.cumsum(size[own])
+            at = np.searchsorted(ends, due)
+            if at[-1] >= len(ends) or not (ends[at] == due).all():  # bytes are missing: each by itself
+                alone[own] = True
+                continue
+            n[own] = np.diff(at + 1, prepend=0)
+            line.append(ids)
+        rest = np.flatnonzero(alone).tolist()
+        others = [x.ids for x in self.a.encode_batch_fast([f" {chunks[k]}" for k in rest], add_special_tokens=False)]
+        n[rest] = list(map(len, others))
+        out, by_itself = np.empty(int(n.sum()), np.int64), np.repeat(alone, n)
+        out[~by_itself] = np.concatenate(line) if line else 0
+        out[by_itself] = np.fromiter(chain.from_iterable(others), np.int64)
+        return out, n
+
+    def _whole(self, a: np.ndarray, n_a: np.ndarray, chunks: list[str]) -> np.ndarray:
+        """Whether the tokens' bytes are a space and the chunk."""
+        raw = [f" {c}".encode() for c in chunks]
+        want = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(np.concatenate(([0], self.len_a[a])))
+        at = np.concatenate(([0], np.cumsum(n_a)))
+        out = np.diff(ends[at]) == want
+        if out.all():
+            got = self.bytes_a.take(pa.array(a))
+            same = np.frombuffer(got.buffers()[2], np.uint8, int(ends[-1])) == np.frombuffer(b"".join(raw), np.uint8)
+            return np.logical_and.reduceat(same, np.cumsum(want) - want)
+        for k in np.flatnonzero(out).tolist():
+            out[k] = b"".join([self.steps.first[x] for x in a[at[k] : at[k + 1]].tolist()]) == raw[k]
+        return out
+
     def add(self, chunks: list[str]) -> None:
-        firsts = [x.ids for x in self.a.encode_batch_fast([f" {c}" for c in chunks], add_special_tokens=False)]
+        a, n_a = self._first_ids(chunks)
         seconds = self.b.encode(chunks, num_threads=1)
-        of_a, of_b = self.steps.first, self.steps.second
-        n_a, n_b, n_groups, good, links, sizes = [], [], [], [], [], []
-        for c, a, b in zip(chunks, firsts, seconds, strict=True):
-            ends = self.steps.ends(a, b) if b"".join([of_a[i] for i in a]) == f" {c}".encode() else None
-            self.at[c] = len(self.text)
-            parts, i, j = [], 0, 0
-            for k, m in ends or ():
-                parts.append(f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}")
-                links.append(a[k - 1] * self.base + b[m - 1])
-                sizes.append(sum(len(of_b[x]) for x in b[j:m]))
-                i, j = k, m
-            self.text.append(";".join(parts))
-            self.size += len(c) + len(self.text[-1]) + 16 * len(parts)
-            for x, v in ((n_a, len(a)), (n_b, len(b)), (n_groups, len(parts)), (good, ends is not None)):
-                x.append(v)
-        at = len(self.links) + np.cumsum([0, *n_groups[:-1]])
-        for what, new in (("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups), ("good", good), ("start", at), ("links", links), ("bytes", sizes)):
-            setattr(self, what, np.concatenate((getattr(self, what), np.array(new, np.int64))))
+        b, n_b = np.fromiter(chain.from_iterable(seconds), np.int64), np.fromiter(map(len, seconds), np.int64, len(seconds))
+        whole = self._whole(a, n_a, chunks)
+        pair, one, two, good = self.steps.ends_of(a, n_a, b, n_b)
+        keep = whole[pair]
+        pair, one, two, good = pair[keep], one[keep], two[keep], good & whole
+        n_groups = np.bincount(pair, minlength=len(chunks))
+
+        def joined(ids: np.ndarray, n: np.ndarray, end: np.ndarray, names: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+            """Each group's ids as text, and the ids of good chunks with the groups' ends among them."""
+            kept = np.repeat(good, n)
+            ends = np.cumsum(kept)[end - 1] if len(end) else end
+            texts = names.take(pa.array(ids[kept]))
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), texts), ","), ids[kept], ends
+
+        text_a, _, _ = joined(a, n_a, one, self.names_a)
+        text_b, ids_b, ends_b = joined(b, n_b, two, self.names_b)
+        each = pc.binary_join_element_wise(text_a, text_b, "|")
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n_groups))), pa.int32()), each)
+        upto = np.cumsum(self.len_b[ids_b])
+        sizes = np.diff(upto[ends_b - 1], prepend=0) if len(ends_b) else ends_b
+        self.at.update(zip(chunks, range(len(self.text), len(self.text) + len(chunks)), strict=True))
+        self.text += pc.binary_join(lists, ";").to_pylist()
+        self.size += sum(map(len, chunks)) + len(a) * 6 + len(chunks) * 200
+        at = len(self.links) + np.cumsum(n_groups) - n_groups
+        links = a[one - 1] * self.base + b[two - 1] if len(one) else one
+        for what, new in (("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups), ("good", good.astype(np.int64)), ("start", at), ("links", links), ("bytes", sizes)):
+            setattr(self, what, np.concatenate((getattr(self, what), new.astype(np.int64))))
 
     def links_of(self, chunks: np.ndarray) -> np.ndarray:
         """Places in links of the groups of these chunks, one after the other."""
@@ -200,15 +322,16 @@ def _aligned(a_path: str, b_path: str, with_groups: bool):
             total.add(one.links[one.links_of(chunks)], np.repeat(held[chunks], one.n_groups[chunks]))
 
         for b in batches:
-            for part in portions(b, 1):
+            for part in portions(b, 1, 800, 2_000_000):
                 if one.size > CACHE:
                     fold()
                     one.clear()
                     held = np.zeros(0, np.int64)
                 texts = part.column(1).to_pylist()
                 each = [one.split(t) if t else [] for t in texts]
-                if new := list(dict.fromkeys(c for c in chain.from_iterable(each) if c not in one.at)):
-                    one.add(new)
+                new = list(set(chain.from_iterable(each)) - one.at.keys())
+                for lo in range(0, len(new), 20_000):
+                    one.add(new[lo : lo + 20_000])
                 get, rows = one.at.__getitem__, []
                 used, flat = [], []
                 for chunks in each:

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from quillon.llm import alignment
@@ -111,6 +112,16 @@ def test_transducer():
     t = alignment.Transducer([b"ab", b"c", b"abc", b""], [b"a", b"bc", b"abcabc", b"x"])
     assert t.ends([0, 1], [0, 1]) == [(2, 2)] and t.ends([2, 2], [2]) == [(2, 1)] and t.ends([2, 0, 1], [0, 1, 0, 1]) == [(1, 2), (3, 4)]
     assert t.ends([0], [0]) is None and t.ends([0], [3]) is None and t.ends([], [0]) is None and t.ends([], []) == []
+    cases = [([0, 1], [0, 1]), ([2, 2], [2]), ([0], [0]), ([2, 0, 1], [0, 1, 0, 1]), ([0], [3]), ([], [0]), ([], []), ([2] * 40, [2] * 20), ([2] * 200, [0, 1] * 200), ([2] * 99, [2] * 50)]
+    for long in (4, 1000):  # by themselves, or all together
+        t.LONG = long
+        a, b = (np.array([x for c in cases for x in c[k]], np.int64) for k in (0, 1))
+        n_a, n_b = (np.array([len(c[k]) for c in cases]) for k in (0, 1))
+        pair, one, two, good = t.ends_of(a, n_a, b, n_b)
+        want = [t.ends(*c) for c in cases]
+        assert good.tolist() == [w is not None for w in want]
+        off_a, off_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        assert list(zip(pair.tolist(), one.tolist(), two.tolist(), strict=True)) == [(k, i + off_a[k], j + off_b[k]) for k, w in enumerate(want) for i, j in w or ()]
 
 
 def test_odd_rows(odd, none):
