@@ -1,8 +1,9 @@
 """Readers and writers: FASTQ, FASTA, VCF and BAM as Spark data sources, tables by suffix, sheets, reports.
 
-The data sources read in the executors, from local files and from every store that Arrow's file systems know (file, s3, gs, hdfs). A FASTQ, FASTA or VCF file is one partition (gzip can't be split). A BAM file with an
-index beside it (.bai) has one for each window of its contigs, which reads only the blocks that the index names; without an index it is one partition.
-Register them with `register(spark)`; then `spark.read.format("fastq").load(path)` works as any source. The last part of a path may be a glob.
+The data sources read in the executors, from local files and from every store that Arrow's file systems know (file, s3, gs, hdfs). FASTQ files, plain or in blocks (bgzip), and BAM files without an index are
+split by bytes (option split, 64 MB): a range finds its first record by itself. A BAM file with an index beside it (.bai) has a partition for each window of its contigs, which reads only the blocks that the index names.
+FASTA, VCF and plain gzip files are one partition each. Conditions on a BAM's contig and start are pushed down: windows without them aren't read, and alignments without them aren't decoded; option columns names what is decoded.
+Register them with `register(spark)`, which also lets Spark push filters down to sources in Python; then `spark.read.format("fastq").load(path)` works as any source. The last part of a path may be a glob.
 """
 
 from __future__ import annotations
@@ -15,12 +16,18 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+
+from quillon.sources import splits
+
+#: Bytes of a range of a file that can be split.
+SPLIT = 64 << 20
 
 
 def _store(path: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -76,15 +83,38 @@ class _FileReader(DataSourceReader):
         raise NotImplementedError
 
 
-class FastqReader(_FileReader):
-    def rows(self, lines):
-        while head := lines.readline():
-            if not head.strip():
-                continue
-            seq, plus, qual = (lines.readline().rstrip("\r\n") for _ in range(3))
-            if head[0] != "@" or not plus.startswith("+") or len(seq) != len(qual):
-                raise ValueError(f"not a FASTQ record: {head.strip()[:80]}")
-            yield head[1:].split()[0], seq, qual
+@dataclass
+class Range(InputPartition):
+    path: str
+    lo: int
+    hi: int
+    size: int
+    kind: str
+
+
+class FastqReader(DataSourceReader):
+    """Records of byte ranges; a gzip file without blocks is one range."""
+
+    def __init__(self, path: str, split: int = SPLIT) -> None:
+        self.path, self.split = path, split
+
+    def partitions(self) -> list[Range]:
+        out = []
+        for p in _files(self.path):
+            with _raw(p) as raw:
+                size, blocked, packed = raw.size(), splits.is_blocked(raw), p.endswith((".gz", ".bgz"))
+            kind = "blocks" if blocked else "gzip" if packed else "plain"
+            out += [Range(p, lo, hi, size, kind) for lo, hi in ([(0, size)] if kind == "gzip" else splits.ranges(size, self.split))]
+        return out
+
+    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+        with _raw(part.path) as raw:
+            if part.kind == "gzip":
+                found = splits.fastq_records(gzip.GzipFile(fileobj=raw), 0, 1 << 62, 1 << 62, False)
+            else:
+                found = splits.fastq_records(raw, part.lo, part.hi, part.size, part.kind == "blocks")
+            while rows := list(islice(found, 8192)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], ["read_id", "sequence", "quality"])
 
 
 class FastaReader(_FileReader):
@@ -165,9 +195,10 @@ def _blocks(raw, at: int | None = None) -> Iterator[bytes]:
 
 class _Bytes:
     def __init__(self, blocks: Iterator[bytes]) -> None:
-        self.blocks, self.held, self.at = blocks, b"", 0
+        self.blocks, self.held, self.at, self.taken = blocks, b"", 0, 0
 
     def take(self, n: int) -> bytes:
+        self.taken += n
         while len(self.held) - self.at < n:
             nxt = next(self.blocks, None)
             if nxt is None:
@@ -180,6 +211,7 @@ class _Bytes:
 
 
 _BASES, _OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
+_TWO = [a + b for a in _BASES for b in _BASES]
 _TAG = {"A": "c", "c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
@@ -215,25 +247,27 @@ def bam_header(take) -> list[tuple[str, int]]:
     return out
 
 
-def bam_records(path: str, at: int | None = None) -> Iterator[tuple]:
-    """(name, chrom, start from 0, end, flags, mapping_quality, cigar, sequence, qualities, tags) of every alignment, or of those from a virtual offset on."""
-    with _raw(path) as raw:
-        take = _Bytes(_blocks(raw)).take
-        contigs = [n for n, _ in bam_header(take)]
-        if at is not None:
-            take = _Bytes(_blocks(raw, at)).take
-        while len(size := take(4)) == 4:
-            r = take(struct.unpack("<i", size)[0])
-            ref, pos, l_name, mapq, _, n_ops, flags, l_seq = struct.unpack_from("<iiBBHHHi", r)
-            at = 32 + l_name
-            name = r[32 : at - 1].decode()
-            ops = [(x >> 4, _OPS[x & 15]) for x in struct.unpack_from(f"<{n_ops}I", r, at)]
-            at += 4 * n_ops
-            seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in r[at : at + (l_seq + 1) // 2])[:l_seq]
-            at += (l_seq + 1) // 2
-            qual = r[at : at + l_seq]
-            span = sum(n for n, o in ops if o in "MDN=X")
-            yield name, contigs[ref] if ref >= 0 else None, pos, pos + span, flags, mapq, "".join(f"{n}{o}" for n, o in ops), seq, None if qual[:1] == b"\xff" else list(qual), _tags(r[at + l_seq :])
+_BAM = {"name": pa.string(), "chrom": pa.string(), "start": pa.int64(), "end": pa.int64(), "flags": pa.int32(), "mapping_quality": pa.int32(), "cigar": pa.string(), "sequence": pa.string(), "qualities": pa.list_(pa.int32()), "tags": pa.map_(pa.string(), pa.string())}
+
+
+def decoded(r: bytes, contigs: list[str], columns: frozenset[str]) -> dict:
+    """The columns of an alignment; places count from 0."""
+    ref, pos, l_name, mapq, _, n_ops, flags, l_seq = struct.unpack_from("<iiBBHHHi", r)
+    at = 32 + l_name
+    out = {"name": r[32 : at - 1].decode(), "chrom": contigs[ref] if ref >= 0 else None, "start": pos, "flags": flags, "mapping_quality": mapq}
+    if columns & {"end", "cigar"}:
+        ops = [(x >> 4, _OPS[x & 15]) for x in struct.unpack_from(f"<{n_ops}I", r, at)]
+        out |= {"end": pos + sum(n for n, o in ops if o in "MDN=X"), "cigar": "".join(f"{n}{o}" for n, o in ops)}
+    at += 4 * n_ops
+    if "sequence" in columns:
+        out["sequence"] = "".join([_TWO[x] for x in r[at : at + (l_seq + 1) // 2]])[:l_seq]
+    at += (l_seq + 1) // 2
+    if "qualities" in columns:
+        qual = r[at : at + l_seq]
+        out["qualities"] = None if qual[:1] == b"\xff" else list(qual)
+    if "tags" in columns:
+        out["tags"] = list(_tags(r[at + l_seq :]).items())
+    return out
 
 
 def bam_index(raw: bytes) -> tuple[list[list[int]], int]:
@@ -261,7 +295,6 @@ class Window(InputPartition):
     start: int
     end: int
     offset: int | None
-    whole: bool = False
 
 
 def windows(contigs: list[tuple[str, int]], size: int) -> list[tuple[str | None, int, int]]:
@@ -270,17 +303,38 @@ def windows(contigs: list[tuple[str, int]], size: int) -> list[tuple[str | None,
 
 
 class BamReader(DataSourceReader):
-    def __init__(self, path: str, window: int) -> None:
-        self.path, self.window = path, window
-
-    def partitions(self) -> list[Window]:
-        out = []
+    def __init__(self, path: str, window: int = 10_000_000, split: int = SPLIT, columns: str = "") -> None:
+        self.path, self.window, self.split, self.columns = path, window, split, [c for c in _BAM if not columns or c in columns.split(",")]
+        self.contig, self.least, self.below = None, None, None
+
+    def pushFilters(self, filters: list) -> Iterator:  # noqa: N802
+        """A contig and bounds of the start stay with the source."""
+        for f in filters:
+            name, value = getattr(f, "attribute", None), getattr(f, "value", None)
+            if isinstance(f, EqualTo) and name == ("chrom",) and self.contig in (None, value):
+                self.contig = value
+            elif name == ("start",) and isinstance(f, GreaterThan | GreaterThanOrEqual):
+                self.least = max(value + isinstance(f, GreaterThan), value if self.least is None else self.least)
+            elif name == ("start",) and isinstance(f, LessThan | LessThanOrEqual):
+                new = value + isinstance(f, LessThanOrEqual)
+                self.below = new if self.below is None else min(self.below, new)
+            else:
+                yield f
+
+    def _wanted(self, contig: str | None, start: int, end: int) -> bool:
+        """Whether places from start to end, which doesn't count, may have alignments that the conditions let pass."""
+        return (self.contig is None or contig == self.contig) and (self.least is None or end > self.least) and (self.below is None or start < self.below)
+
+    def partitions(self) -> list[Window | Range]:
+        out: list[Window | Range] = []
         for p in _files(self.path):
             if p.endswith(".bai"):
                 continue
             index = self._index(p)
             if index is None:
-                out.append(Window(p, None, 0, 0, None, True))
+                with _raw(p) as raw:
+                    size = raw.size()
+                out += [Range(p, lo, hi, size, "blocks") for lo, hi in splits.ranges(size, self.split)]
                 continue
             linear, last = index
             with _raw(p) as raw:
@@ -288,10 +342,11 @@ class BamReader(DataSourceReader):
             of = {n: x for (n, _), x in zip(contigs, linear, strict=False)}
             for contig, a, z in windows(contigs, self.window):
                 if contig is None:
-                    out.append(Window(p, None, 0, 0, last or None))
-                elif found := [x for x in of.get(contig, [])[a >> 14 : (max(z - 1, a) >> 14) + 1] if x]:
+                    if self._wanted(None, -1, 0):
+                        out.append(Window(p, None, 0, 0, last or None))
+                elif self._wanted(contig, a, z) and (found := [x for x in of.get(contig, [])[a >> 14 : (max(z - 1, a) >> 14) + 1] if x]):
                     out.append(Window(p, contig, a, z, found[0]))
-        return out
+        return out or [Range("", 0, 0, 0, "blocks")]
 
     @staticmethod
     def _index(path: str) -> tuple[list[list[int]], int] | None:
@@ -302,30 +357,43 @@ class BamReader(DataSourceReader):
                     return bam_index(raw.read())
         return None
 
-    def read(self, part: Window) -> Iterator[pa.RecordBatch]:
-        """Alignments that start in the window, so none is read twice; the file is sorted, so the window's end ends the reading."""
-        rows = []
-        for r in bam_records(part.path, part.offset):
-            if not part.whole:
-                if part.contig is not None and (r[1] != part.contig or r[2] >= part.end):
-                    break
-                if r[1] != part.contig or part.contig is not None and r[2] < part.start:
-                    continue
-            rows.append(r)
-            if len(rows) == 4096:
-                yield _batch(rows)
-                rows = []
-        if rows:
-            yield _batch(rows)
-
-
-_BAM_TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.map_(pa.string(), pa.string())]
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = [list(c) for c in zip(*rows, strict=True)]
-    cols[9] = [list(t.items()) for t in cols[9]]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _BAM_TYPES, strict=True)], ["name", "chrom", "start", "end", "flags", "mapping_quality", "cigar", "sequence", "qualities", "tags"])
+    def _raw_records(self, raw, part: Window | Range, contigs: list[tuple[str, int]], header: int) -> Iterator[bytes]:
+        """Alignments that start in the window, so none is read twice; the file is sorted, so the window's end ends the reading. Or the byte range's own ones."""
+        if isinstance(part, Range):
+            yield from splits.alignments(raw, part.lo, part.hi, part.size, header, [n for _, n in contigs])
+            return
+        take, names = _Bytes(_blocks(raw, part.offset)).take, [n for n, _ in contigs]
+        if part.offset is None:
+            take(header)
+        while len(size := take(4)) == 4:
+            r = take(struct.unpack("<i", size)[0])
+            ref, pos = struct.unpack_from("<ii", r)
+            contig = names[ref] if ref >= 0 else None
+            if part.contig is not None and (contig != part.contig or pos >= part.end):
+                break
+            if contig == part.contig and (part.contig is None or pos >= part.start):
+                yield r
+
+    def read(self, part: Window | Range) -> Iterator[pa.RecordBatch]:
+        if not part.path:
+            return
+        with _raw(part.path) as raw:
+            source = _Bytes(_blocks(raw))
+            contigs = bam_header(source.take)
+            names, rows, wanted = [n for n, _ in contigs], [], frozenset(self.columns)
+            for r in self._raw_records(raw, part, contigs, source.taken):
+                ref, pos = struct.unpack_from("<ii", r)
+                if self._wanted(names[ref] if ref >= 0 else None, pos, pos + 1):
+                    rows.append(decoded(r, names, wanted))
+                    if len(rows) == 4096:
+                        yield _batch(rows, self.columns)
+                        rows = []
+            if rows:
+                yield _batch(rows, self.columns)
+
+
+def _batch(rows: list[dict], columns: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], _BAM[c]) for c in columns], columns)
 
 
 FORMATS = {
@@ -333,7 +401,7 @@ FORMATS = {
     "fasta": ("id string, fields map<string,string>, bad array<string>, sequence string", FastaReader),
     "vcf": ("caller string, chrom string, pos long, ref string, alt string, qual double, dp long, ad_ref long, ad_alt long, af double", VcfReader),
 }
-BAM_SCHEMA = "name string, chrom string, start long, `end` long, flags int, mapping_quality int, cigar string, sequence string, qualities array<int>, tags map<string,string>"
+BAM_SCHEMA = {"name": "string", "chrom": "string", "start": "long", "end": "long", "flags": "int", "mapping_quality": "int", "cigar": "string", "sequence": "string", "qualities": "array<int>", "tags": "map<string,string>"}
 
 
 def _source(kind: str) -> type[DataSource]:
@@ -348,7 +416,8 @@ def _source(kind: str) -> type[DataSource]:
             return schema
 
         def reader(self, schema) -> DataSourceReader:
-            return reader(self.options["path"])
+            more = {"split": int(self.options["split"])} if "split" in self.options else {}
+            return reader(self.options["path"], **more)
 
     return Source
 
@@ -359,27 +428,29 @@ class BamSource(DataSource):
         return "bam"
 
     def schema(self) -> str:
-        return BAM_SCHEMA
+        own = self.options.get("columns", "").split(",")
+        return ", ".join(f"`{c}` {t}" for c, t in BAM_SCHEMA.items() if own == [""] or c in own)
 
     def reader(self, schema) -> DataSourceReader:
-        return BamReader(self.options["path"], int(self.options.get("window", 10_000_000)))
+        return BamReader(self.options["path"], int(self.options.get("window", 10_000_000)), int(self.options.get("split", SPLIT)), self.options.get("columns", ""))
 
 
 def register(spark: SparkSession) -> None:
     for kind in FORMATS:
         spark.dataSource.register(_source(kind))
     spark.dataSource.register(BamSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
 def scan_rna(spark: SparkSession, path: str, tags: tuple[str, ...] = ("GN", "UB", "CB")) -> DataFrame:
     """Distinct (tags, mapping_quality, read_name); a missing tag is null."""
-    return spark.read.format("bam").load(path).select(*[F.col("tags")[t].alias(t) for t in tags], "mapping_quality", F.col("name").alias("read_name")).distinct()
+    return spark.read.format("bam").option("columns", "name,mapping_quality,tags").load(path).select(*[F.col("tags")[t].alias(t) for t in tags], "mapping_quality", F.col("name").alias("read_name")).distinct()
 
 
 def scan_dna(spark: SparkSession, path: str) -> DataFrame:
     from quillon.operators.reads import normalise_contigs
 
-    return normalise_contigs(spark.read.format("bam").load(path).drop("sequence", "qualities", "tags"))
+    return normalise_contigs(spark.read.format("bam").option("columns", "name,chrom,start,end,flags,mapping_quality,cigar").load(path))
 
 
 def genomic_map(fasta: DataFrame) -> DataFrame:
