@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillon.operators.quantiles import quantiles
 from quillon.operators.ranges import ROWS, ranked, running
 from quillon.sources.tables import materialise
 from quillon.operators.reads import primary
@@ -195,7 +196,9 @@ def force_cells(metrics: DataFrame, k: int) -> DataFrame:
 
 def confidence_summary(scores: DataFrame) -> DataFrame:
     """Mean and median score of cells and others; a group that is empty has nulls."""
-    both = scores.groupBy("is_cell").agg(F.round(F.avg("confidence_score"), 6).alias("mean_score"), F.round(F.median("confidence_score"), 6).alias("median_score"), F.count("*").alias("barcodes"))
+    scores = materialise(scores.select("is_cell", "confidence_score"))
+    middle = quantiles(scores, ["is_cell"], "confidence_score", {"median_score": 0.5}).withColumn("median_score", F.round("median_score", 6))
+    both = scores.groupBy("is_cell").agg(F.round(F.avg("confidence_score"), 6).alias("mean_score"), F.count("*").alias("barcodes")).join(middle, "is_cell")
     groups = scores.sparkSession.createDataFrame([(True,), (False,)], "is_cell boolean")
     return groups.join(both, "is_cell", "left").withColumn("barcodes", F.coalesce("barcodes", F.lit(0)))
 
@@ -313,11 +316,18 @@ def per_cell_depth(reads: DataFrame) -> DataFrame:
 
 
 def per_amplicon(depth: DataFrame, cap: int) -> DataFrame:
-    return depth.groupBy("chrom").agg(F.count("*").alias("cells"), F.round(F.median("n_reads"), 6).alias("median_reads"), F.max("n_reads").alias("max_reads"), F.round(F.avg((F.col("n_reads") < cap).cast("int")), 6).alias("fraction_below_cap"))
+    """By contig: cells, median and most reads of a cell, and the share of cells below the cap."""
+    depth = materialise(depth)
+    middle = quantiles(depth, ["chrom"], "n_reads", {"median_reads": 0.5}).select(F.col("chrom").alias("_c"), F.round("median_reads", 6).alias("median_reads"))
+    plain = depth.groupBy("chrom").agg(F.count("*").alias("cells"), F.max("n_reads").alias("max_reads"), F.round(F.avg((F.col("n_reads") < cap).cast("int")), 6).alias("fraction_below_cap"))
+    return plain.join(middle, F.col("chrom").eqNullSafe(F.col("_c"))).drop("_c")
 
 
 def depth_quantiles(depth: DataFrame) -> DataFrame:
-    return depth.agg(F.min("n_reads").alias("min_reads"), F.round(F.percentile("n_reads", F.lit(0.5)), 6).alias("p50"), F.round(F.percentile("n_reads", F.lit(0.9)), 6).alias("p90"), F.max("n_reads").alias("max_reads"))
+    """Least, median, nine tenths and most of all groups' reads."""
+    ends = {"min_reads": 0.0, "p50": 0.5, "p90": 0.9, "max_reads": 1.0}
+    found = quantiles(depth, [], "n_reads", ends)
+    return found.select(*[F.round(c, 6).alias(c) if c.startswith("p") else F.col(c).cast("long").alias(c) for c in ends])
 
 
 def cap_sweep(depth: DataFrame, caps: tuple[int, ...] = CAPS) -> DataFrame:
@@ -411,7 +421,8 @@ def saturation_curve(reads: DataFrame, depths: list[int], n_cells: int, order: C
     deep = F.filter(F.array(*[F.struct(F.lit(d).alias("depth"), F.lit(n).alias("n")) for d, n in zip(depths, size, strict=True)]), lambda d: F.col("_rank") <= d["n"])
     rows = at.withColumn("_d", F.explode(deep)).withColumn("depth", F.col("_d.depth")).drop("_d")
     cell = rows.groupBy("depth", "barcode").agg(F.count_distinct("GN", "UB").alias("umis"), F.count_distinct("GN").alias("genes"))
-    cell = cell.groupBy("depth").agg(F.median("umis").alias("median_counts_per_cell"), F.median("genes").alias("median_genes_per_cell"))
+    cell = materialise(cell)
+    cell = quantiles(cell, ["depth"], "umis", {"median_counts_per_cell": 0.5}).join(quantiles(cell, ["depth"], "genes", {"median_genes_per_cell": 0.5}), "depth")
     whole = rows.groupBy("depth").agg(F.count_distinct("barcode", "GN", "UB", "mapping_quality").alias("_d"), F.count("*").alias("_n"))
     return cell.join(whole, "depth").select("depth", "median_counts_per_cell", "median_genes_per_cell", F.round(1 - F.col("_d") / F.col("_n"), 6).alias("saturation"))
 

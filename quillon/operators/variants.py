@@ -7,7 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
+from quillon.operators.quantiles import quantiles
 from quillon.operators.ranges import ranked
+from quillon.sources.tables import materialise
 
 ALLELE = ("feature", "pos_local_0based", "ref", "alt")
 SITE = ("feature", "pos_local_0based")
@@ -46,7 +48,11 @@ def consensus(catalog: DataFrame) -> DataFrame:
 
 def per_caller(catalog: DataFrame, het: tuple[float, float] = (0.05, 0.8)) -> DataFrame:
     band = F.count_if((F.col("af") >= het[0]) & (F.col("af") < het[1])).alias("het_band")
-    return catalog.groupBy("caller").agg(F.count("*").alias("records"), F.round(F.avg("dp"), 6).alias("mean_dp"), F.round(F.median("dp"), 6).alias("median_dp"), F.round(F.avg("af"), 6).alias("mean_vaf"), F.round(F.median("af"), 6).alias("median_vaf"), band, F.count_if(F.col("af") >= het[1]).alias("hom_band"))
+    own = materialise(catalog.select("caller", "dp", "af"))
+    plain = own.groupBy("caller").agg(F.count("*").alias("records"), F.round(F.avg("dp"), 6).alias("mean_dp"), F.round(F.avg("af"), 6).alias("mean_vaf"), band, F.count_if(F.col("af") >= het[1]).alias("hom_band"))
+    for c, name in (("dp", "median_dp"), ("af", "median_vaf")):
+        plain = plain.join(quantiles(own, ["caller"], c, {name: 0.5}).withColumn(name, F.round(name, 6)), "caller")
+    return plain.select("caller", "records", "mean_dp", "median_dp", "mean_vaf", "median_vaf", "het_band", "hom_band")
 
 
 def singletons(catalog: DataFrame) -> DataFrame:
