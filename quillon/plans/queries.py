@@ -15,7 +15,7 @@ from quillon.operators import chemistry
 from quillon.operators import counts as K
 from quillon.operators import matrices as X
 from quillon.operators import metrics as M
-from quillon.operators import pileup
+from quillon.operators import normalise, pileup
 from quillon.operators import power as P
 from quillon.operators import reads as R
 from quillon.operators import sequences as S
@@ -646,6 +646,26 @@ def _(s):
     return V.split_alleles(lines)
 
 
+_REPEATS = """rc AS (SELECT concat('A', p_partkey) AS chrom, concat(""" + CODE.format("p_partkey") + """, repeat('AC', p_size), """ + CODE.format("p_partkey + 1") + """, repeat('G', p_size % 7 + 1), """ + CODE.format("p_partkey + 2") + """) AS sequence FROM {part}),
+rv AS (SELECT l_orderkey * 8 + l_linenumber AS id, chrom, sequence, 4 + l_orderkey % (length(sequence) - 12) AS pos, l_linenumber % 3 AS kind, 1 + l_suppkey % 2 AS n FROM {lineitem} JOIN rc ON chrom = concat('A', l_partkey)),
+ra AS (SELECT id, chrom, pos, CASE WHEN kind = 0 THEN substr(sequence, cast(pos AS INT), cast(1 + n AS INT)) ELSE substr(sequence, cast(pos AS INT), 1) END AS ref,
+  CASE WHEN kind = 0 THEN substr(sequence, cast(pos AS INT), 1) WHEN kind = 1 THEN concat(substr(sequence, cast(pos AS INT), 1), substr(sequence, cast(pos - n + 1 AS INT), cast(n AS INT))) ELSE 'T' END AS alt FROM rv) """
+
+
+@query("left_aligned", "WITH RECURSIVE " + _REPEATS.replace("{", "").replace("}", "") + """, rg AS (SELECT row_number() OVER () AS id, chrom, pos, ref, alt, count(*) AS records FROM ra GROUP BY chrom, pos, ref, alt), tr AS (SELECT id, records, chrom, pos, ref, alt, CASE WHEN length(ref) > 1 THEN substr(ref, 2) ELSE substr(alt, 2) END AS s, length(ref) > 1 AS gone FROM rg WHERE length(ref) <> length(alt)),
+mv AS (SELECT tr.id, tr.records, tr.chrom, tr.pos::BIGINT AS p, s, gone, sequence FROM tr JOIN rc USING (chrom) UNION ALL SELECT id, records, chrom, p - 1, concat(right(s, 1), left(s, length(s)::INT - 1)), gone, sequence FROM mv WHERE p > 0 AND substr(sequence, p::INT, 1) = right(s, 1)),
+ed AS (SELECT id, min(p) AS p FROM mv GROUP BY id), fi AS (SELECT mv.* FROM mv JOIN ed USING (id, p)),
+al AS (SELECT records, chrom, greatest(p, 1) AS pos, CASE WHEN gone THEN CASE WHEN p > 0 THEN concat(substr(sequence, p::INT, 1), s) ELSE concat(s, substr(sequence, length(s)::INT + 1, 1)) END ELSE substr(sequence, greatest(p, 1)::INT, 1) END AS ref,
+  CASE WHEN NOT gone THEN CASE WHEN p > 0 THEN concat(substr(sequence, p::INT, 1), s) ELSE concat(s, substr(sequence, 1, 1)) END ELSE substr(sequence, CASE WHEN p > 0 THEN p ELSE length(s) + 1 END::INT, 1) END AS alt FROM fi
+  UNION ALL SELECT records, chrom, pos, ref, alt FROM rg WHERE length(ref) = length(alt))
+SELECT chrom, pos, ref, alt, sum(records)::BIGINT AS records FROM al GROUP BY ALL""")
+def _(s):
+    """Insertions and deletions in repeats, moved to the left and counted by allele."""
+    own = s.spark.sql(spark_sql("WITH " + _REPEATS + "SELECT id, chrom, pos, ref, alt FROM ra"), part=s.raw("part"), lineitem=s.raw("lineitem"))
+    contigs = s.spark.sql(spark_sql("WITH " + _REPEATS + "SELECT * FROM rc"), part=s.raw("part"), lineitem=s.raw("lineitem"))
+    return normalise.left_aligned(own, contigs).groupBy("chrom", "pos", "ref", "alt").agg(F.count("*").alias("records"))
+
+
 @query("callers_per_allele", "SELECT chrom AS feature, pos - 1 AS pos_local_0based, ref, alt, string_agg(DISTINCT caller, ',' ORDER BY caller) AS callers, count(DISTINCT caller) AS n_callers FROM catalog GROUP BY ALL")
 def _(s):
     return V.callers_per_allele(s.catalog).withColumn("callers", F.array_join("callers", ","))
