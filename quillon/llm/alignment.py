@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from quillon.llm.common import cut, name, portions
 
 #: Bytes of chunks that a task keeps, about, and transitions, before it starts anew; chunks of a line that are encoded together.
-CACHE, STEPS, LINE = 50_000_000, 400_000, 500
+CACHE, STEPS, LINE = 35_000_000, 400_000, 500
 SPACE = "▁"
 RESULT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
@@ -322,7 +322,7 @@ def _aligned(a_path: str, b_path: str, with_groups: bool):
             total.add(one.links[one.links_of(chunks)], np.repeat(held[chunks], one.n_groups[chunks]))
 
         for b in batches:
-            for part in portions(b, 1, 800, 2_000_000):
+            for part in portions(b, 1, 400, 1_000_000):
                 if one.size > CACHE:
                     fold()
                     one.clear()
@@ -330,8 +330,8 @@ def _aligned(a_path: str, b_path: str, with_groups: bool):
                 texts = part.column(1).to_pylist()
                 each = [one.split(t) if t else [] for t in texts]
                 new = list(set(chain.from_iterable(each)) - one.at.keys())
-                for lo in range(0, len(new), 20_000):
-                    one.add(new[lo : lo + 20_000])
+                for lo in range(0, len(new), 10_000):
+                    one.add(new[lo : lo + 10_000])
                 get, rows = one.at.__getitem__, []
                 used, flat = [], []
                 for chunks in each:
@@ -366,13 +366,16 @@ def _looked_up(pair: np.ndarray, n: np.ndarray, best: np.ndarray, kept: int):
     """Rows' links replaced by their number, how many of them are best, and the sum of their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _KEPT.clear()  # the first pass is over
         for b in batches:
-            links = b.column(kept)
-            ends = np.concatenate(([0], np.cumsum(np.nan_to_num(links.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64))))
-            at = np.searchsorted(pair, links.flatten().to_numpy())
-            sums = [np.concatenate(([0], np.cumsum(x[at]))) for x in (best.astype(np.int64), n)] if len(pair) else [np.zeros(1, np.int64)] * 2
-            cols = [np.diff(ends), *(x[ends[1:]] - x[ends[:-1]] for x in sums)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:kept], *map(pa.array, cols)], [*b.schema.names[:kept], "n_links", "n_best", "count_sum"])
+            for lo in range(0, b.num_rows, 500):
+                part = b.slice(lo, 500)
+                links = part.column(kept)
+                ends = np.concatenate(([0], np.cumsum(np.nan_to_num(links.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64))))
+                at = np.searchsorted(pair, links.flatten().to_numpy())
+                sums = [np.concatenate(([0], np.cumsum(x[at]))) for x in (best.astype(np.int64), n)] if len(pair) else [np.zeros(1, np.int64)] * 2
+                cols = [np.diff(ends), *(x[ends[1:]] - x[ends[:-1]] for x in sums)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, cols)], [*part.schema.names[:kept], "n_links", "n_best", "count_sum"])
 
     return run
 
