@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.columns import hamming, masked
 from quillon.operators.ranges import ROWS, counted, nearest
-from quillon.sources.tables import materialise
+from quillon.sources import tables
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, by: list[str] = (), backward: bool = True) -> DataFrame:
@@ -69,10 +69,9 @@ def correct_compat(observed: DataFrame, whitelist: DataFrame, distance: int = 1)
     near = lambda c: F.coalesce((F.length(c) == F.length("barcode")) & (hamming("barcode", c) <= distance), F.lit(False))
     while True:
         back, ahead = ~F.col("listed") & near("back"), ~F.col("listed") & ~near("back") & near("ahead")
-        told = Observation()
         made = _sides(rows, n).select("part", "barcode", "listed", F.when(back, F.col("back")).when(ahead, F.col("ahead")).alias("to"), ahead.alias("ahead"))
-        state = materialise(made.observe(told, F.count_if(F.col("ahead")).alias("ahead"), F.count(F.lit(1)).alias("n")))
-        n, more = told.get["n"], told.get["ahead"]
+        state, told = tables.observed(made, ahead=F.count_if(F.col("ahead")), n=F.count(F.lit(1)))
+        n, more = told["n"], told["ahead"]
         own = state.where("to IS NOT NULL").select("part", "barcode", "to")
         found = own if found is None else found.union(own)
         if not more:

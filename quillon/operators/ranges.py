@@ -11,12 +11,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, LongType, MapType, StructField, StructType
 
-from quillon.sources.tables import materialise
+from quillon.sources.tables import materialise, observed
 
 #: Rows of a range, about.
 ROWS = 250_000
@@ -28,9 +28,8 @@ def _before() -> WindowSpec:
 
 def counted(df: DataFrame) -> tuple[DataFrame, int]:
     """df as a table, and how many rows were written."""
-    seen = Observation()
-    table = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return table, seen.get["n"]
+    table, seen = observed(df, n=F.count(F.lit(1)))
+    return table, seen["n"]
 
 
 def _hashed(kind: DataType) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from quillon.functions import columns as C
 from quillon.operators.quantiles import quantiles
 from quillon.operators.ranges import ranked
-from quillon.sources.tables import materialise
+from quillon.sources.tables import materialise, observed
 
 ALLELE = ("feature", "pos_local_0based", "ref", "alt")
 SITE = ("feature", "pos_local_0based")
@@ -317,13 +319,14 @@ def read_cells(reads: DataFrame, cells: DataFrame) -> DataFrame:
     return assert_unique(reads.select("read_name", "barcode").join(index, "barcode"), "read_name").select("read_name", "barcode", "cell")
 
 
-def reconcile(raw: DataFrame, called: DataFrame, merged: DataFrame) -> DataFrame:
-    """Counts that must agree: raw rows and rows of alleles, and sites called as reference and reference rows."""
-    a = raw.agg(F.count("*").alias("raw_rows"))
-    b = called.agg(F.count_if(F.col("alt").isNull()).alias("reference_calls"))
-    c = merged.agg(F.count_if(F.col("row_type") == "ALT").alias("alt_rows"), F.count_if(F.col("row_type") == "REF").alias("ref_rows"))
-    ok = (F.col("raw_rows") == F.col("alt_rows")) & (F.col("reference_calls") == F.col("ref_rows"))
-    return a.crossJoin(b).crossJoin(c).withColumn("status", F.when(ok, "OK").otherwise("INCONSISTENT_MERGE"))  # three single rows
+def reconciled(raw: DataFrame, called: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame] = merge_snv) -> tuple[DataFrame, dict]:
+    """The merged table, and counts that must agree: raw rows and rows of alleles, and sites called as reference and reference rows. Each is counted while its table is written, so none is read for it."""
+    raw, a = observed(raw, raw_rows=F.count(F.lit(1)))
+    called, b = observed(called, reference_calls=F.count_if(F.col("alt").isNull()))
+    merged, c = observed(merge(raw, called), alt_rows=F.count_if(F.col("row_type") == "ALT"), ref_rows=F.count_if(F.col("row_type") == "REF"))
+    counts = a | b | c
+    ok = counts["raw_rows"] == counts["alt_rows"] and counts["reference_calls"] == counts["ref_rows"]
+    return merged, counts | {"status": "OK" if ok else "INCONSISTENT_MERGE"}
 
 
 # matrices in long form

@@ -19,6 +19,7 @@ from quillon.operators import normalise, pileup
 from quillon.operators import power as P
 from quillon.operators import reads as R
 from quillon.operators import sequences as S
+from quillon.operators import stages
 from quillon.operators import variants as V
 from quillon.plans.views import CODE, spark_sql, table, view, with_views
 from quillon.sources import files, stores
@@ -1062,7 +1063,37 @@ def _(s):
 
 @query("reconcile_merge", _MERGE + "SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM gt WHERE alt IS NULL) AS reference_calls, count(*) FILTER (row_type = 'ALT') AS alt_rows, count(*) FILTER (row_type = 'REF') AS ref_rows, 'OK' AS status FROM mg")
 def _(s):
-    return V.reconcile(*_merged(s))
+    raw, called, _ = _merged(s)
+    counts = V.reconciled(raw, called)[1]
+    return s.spark.createDataFrame([tuple(counts[c] for c in ("raw_rows", "reference_calls", "alt_rows", "ref_rows", "status"))], "raw_rows long, reference_calls long, alt_rows long, ref_rows long, status string")
+
+
+_LIBRARIES = {"all": "true", "unmapped": "chrom IS NULL", "one": "barcode = (SELECT min(barcode) FROM reads)"}
+
+
+def _steps(force: int, plot: bool) -> list[stages.Step]:
+    """From reads to depths of cells: cells are the `force` barcodes with most reads."""
+    cell = "barcode string, n_features long, total_counts long"
+    return [
+        stages.Step("counts", ("reads",), lambda r: K.amplicon_counts(K.on_target(r)), "barcode string, chrom string, reads long", must="reads", reason="INSUFFICIENT_READS", message="no reads"),
+        stages.Step("cells", ("counts",), lambda c: K.barcode_metrics(c, "chrom", "reads").orderBy(F.desc("total_counts"), "barcode").limit(force), cell, must="counts", message="no barcode has reads at its anchors"),
+        stages.Step("depths", ("reads", "cells"), lambda r, c: K.per_cell_depth(r.where("chrom IS NOT NULL").join(c, "barcode", "left_semi")), "chrom string, barcode string, n_reads long", must="cells"),
+        stages.Step("summary", ("depths",), K.depth_quantiles, "min_reads long, p50 double, p90 double, max_reads long", on=plot),
+    ]
+
+
+@query("optional_steps", " UNION ALL ".join(f"SELECT '{n}' AS library, * FROM (WITH r0 AS (SELECT * FROM reads WHERE {w}), " + ON_TARGET.replace("FROM reads", "FROM r0") + f""", bm0 AS (SELECT barcode FROM cnt GROUP BY barcode ORDER BY sum(reads) DESC, barcode LIMIT 40), dp AS (SELECT count(*) AS n FROM (SELECT DISTINCT chrom, barcode FROM r0 SEMI JOIN bm0 USING (barcode) WHERE chrom IS NOT NULL))
+SELECT unnest(['cells', 'counts', 'depths', 'summary']) AS step, unnest([(SELECT count(*) FROM bm0), (SELECT count(*) FROM cnt), (SELECT n FROM dp), {int(n == 'all')}]) AS n_rows, unnest([CASE WHEN (SELECT count(*) FROM cnt) = 0 THEN 'NO_CELLS' END, NULL, NULL, NULL]) AS reason)""" for n, w in _LIBRARIES.items()))
+def _(s):
+    """Libraries with and without cells through the same steps: rows of each step's table and the reason where one ended early."""
+    out = []
+    for name, where in _LIBRARIES.items():
+        reads = s.reads
+        own = materialise(reads.where(where) if "SELECT" not in where else reads.join(reads.agg(F.min("barcode").alias("barcode")), "barcode", "left_semi").select(*reads.columns))
+        made, status = stages.run(s.spark, _steps(40, name == "all"), {"reads": own}, name, "DNA", "amplicon")
+        rows = reduce(DataFrame.union, [made[k].agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("library"), F.lit(k).alias("step"), "n_rows") for k in ("counts", "cells", "depths", "summary")])
+        out.append(rows.join(status.select(F.col("process_name").alias("step"), F.col("reason_code").alias("reason")), "step", "left"))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("position_axis", "b AS (SELECT feature, unnest(range(1, length(sequence) + 1)) AS pos, sequence FROM contigs), t AS (SELECT DISTINCT chrom AS feature, pos FROM catalog) SELECT b.feature, substr(sequence, pos::INT, 1) AS ref_base, b.pos, t.pos IS NOT NULL AS is_target, row_number() OVER (ORDER BY b.feature, b.pos) - 1 AS column_index FROM b LEFT JOIN t USING (feature, pos)")

@@ -9,7 +9,7 @@ import uuid
 from contextlib import suppress
 
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,6 +53,13 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, path: str | None = None, **metrics: Column) -> tuple[DataFrame, dict]:
+    """materialise(), and aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    table = materialise(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), path)
+    return table, seen.get
+
+
 def write_table(df: DataFrame, path: str, *partitions: str) -> None:
     own = df.write.mode("overwrite")
     (own.partitionBy(*partitions) if partitions else own).parquet(path)
