@@ -286,6 +286,19 @@ def test_hot_buckets_are_dealt(spark):
     assert sorted(map(tuple, got.collect()), key=str) == removed(rows, 60)
 
 
+def test_more_documents_than_the_bit_map_takes(spark, monkeypatch):
+    """The joins that stand in for the map of ids give the same spans."""
+    from tests.llm.test_free import removed
+
+    rng = random.Random(21)
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(3)]
+    rows = [(i, "".join(rng.choice("abcdefghij ") for _ in range(50)) + rng.choice([*shared, ""]) + "".join(rng.choice("abcdefghij ") for _ in range(20))) for i in range(60)]
+    rows += [(3, rows[3][1]), (None, rows[4][1]), (None, None), (70, "")]
+    monkeypatch.setattr(suffix_dedup, "MAP_IDS", 0)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=60, keep_bytes=False, drop_text=True, hot=15)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(removed(rows, 60), key=str)
+
+
 def test_helpers(spark):
     left = spark.createDataFrame([(i % 7 if i % 2 else 99, i) for i in range(5000)], "k int, v int")
     right = left.groupBy("k").agg(F.count("*").alias("c")).where("k <> 3")

@@ -94,5 +94,5 @@ def test_clashing_names_pass_all_stages(spark, docs):
 
 def test_registered():
     found = entry.queries()
-    assert "pipeline" in found and all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 11))
+    assert "pipeline" in found and all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 14))
     assert mixing.PLAN == ["weight", "epoch", "block_rank", "place"]
