@@ -90,9 +90,12 @@ def af_concordance(catalog: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.round(F.median(d), 6).alias("median_abs_daf"), F.round(F.max(d), 6).alias("max_abs_daf"), r.alias("pearson_r"))
 
 
-def common_core(catalog: DataFrame, n_callers: int) -> DataFrame:
-    """Alleles that all callers report, with the range of their shares."""
-    return catalog.groupBy("chrom", "pos", "ref", "alt").agg(F.count_distinct("caller").alias("n"), F.round(F.min("af"), 6).alias("min_af"), F.round(F.max("af"), 6).alias("max_af")).where(F.col("n") == n_callers).drop("n")
+def common_core(catalog: DataFrame, callers: list[str]) -> DataFrame:
+    """Alleles that all the callers report, with each one's share, and the least and the largest of them."""
+    own = catalog.where(F.col("caller").isin(callers))
+    shares = [F.max(F.when(F.col("caller") == c, F.round("af", 6))).alias(f"af_{c}") for c in callers]
+    out = own.groupBy("chrom", "pos", "ref", "alt").agg(*shares, F.round(F.min("af"), 6).alias("min_af"), F.round(F.max("af"), 6).alias("max_af"), F.count_distinct("caller").alias("_n"))
+    return out.where(F.col("_n") == len(callers)).drop("_n")
 
 
 def type_counts(catalog: DataFrame) -> DataFrame:
@@ -204,9 +207,11 @@ def indel_called(catalog: DataFrame) -> DataFrame:
 
 
 def indel_alt_long(signatures: DataFrame, called: DataFrame) -> DataFrame:
-    """Each covered cell with each allele called at the anchor; reads of others' alleles count 0. Several alleles of an anchor give several rows."""
+    """Each covered cell with each allele called at the anchor; reads of others' alleles count 0. Several alleles of an anchor give several rows; two rows of one signature are an error."""
+    from quillon.operators.reads import assert_unique
+
     both = indel_coverage(signatures).join(called, list(SITE))
-    seen = signatures.where("indel_len IS NOT NULL").select("barcode", *SITE, "indel_len", "inserted_seq", F.col("reads").alias("alt_reads"), "mean_mq")
+    seen = assert_unique(signatures.where("indel_len IS NOT NULL"), "barcode", *SITE, "indel_len", "inserted_seq").select("barcode", *SITE, "indel_len", "inserted_seq", F.col("reads").alias("alt_reads"), "mean_mq")
     return both.join(seen, ["barcode", *SITE, "indel_len", "inserted_seq"], "left").withColumn("alt_reads", F.coalesce("alt_reads", F.lit(0)))
 
 

@@ -718,9 +718,13 @@ def _(s):
     return V.af_concordance(s.catalog)
 
 
-@query("common_core", "SELECT chrom, pos, ref, alt, round(min(af), 6) AS min_af, round(max(af), 6) AS max_af FROM catalog GROUP BY ALL HAVING count(DISTINCT caller) = 3")
+_CORE = _CALLERS[:3]
+
+
+@query("common_core", "SELECT chrom, pos, ref, alt, " + ", ".join(f"max(round(af, 6)) FILTER (caller = '{c}') AS \"af_{c}\"" for c in _CORE) + ", round(min(af), 6) AS min_af, round(max(af), 6) AS max_af FROM catalog WHERE caller IN (" + ", ".join(f"'{c}'" for c in _CORE) + f") GROUP BY ALL HAVING count(DISTINCT caller) = {len(_CORE)}")
 def _(s):
-    return V.common_core(s.catalog, 3)
+    """A column of shares for each caller, as many as are compared."""
+    return V.common_core(s.catalog, list(_CORE))
 
 
 @query("type_counts", f"SELECT {TYPE} AS type, CASE WHEN {TYPE} = 'SNV' THEN concat(ref, '>', alt) ELSE '' END AS substitution, count(*) AS alleles FROM (SELECT DISTINCT chrom, pos, ref, alt FROM catalog) GROUP BY ALL")

@@ -514,3 +514,11 @@ def test_types_that_hold_both(spark):
     assert (kinds["a"], kinds["d"], kinds["b"], kinds["x.y"]) == ("double", "string", "string", "string") and kinds["m"].startswith("decimal")
     assert sorted((str(r.a), r.d, r.b, str(r.m)) for r in got.collect())[:2] == [("0.5", "text", "3", "7.00"), ("1.152921504606847e+18", "2020-01-02", "true", "1.50")]
     assert metrics.wider_type(spark, "date", "timestamp") == "timestamp" and metrics.wider_type(spark, "int", "double") == "double"
+
+
+def test_repeated_signatures_are_an_error(spark):
+    sig = spark.createDataFrame([("c", "A", 5, 2, "AC", 3, 9, 6, 30.0)] * 2, "barcode string, feature string, pos_local_0based long, indel_len long, inserted_seq string, reads long, total_reads long, ref_reads long, mean_mq double")
+    called = spark.createDataFrame([("A", 5, "G", "GAC", 2, "AC")], "feature string, pos_local_0based long, ref string, alt string, indel_len long, inserted_seq string")
+    assert variants.indel_alt_long(sig.distinct(), called).first()["alt_reads"] == 3
+    with pytest.raises(Exception, match="repeated barcode"):
+        variants.indel_alt_long(sig, called).collect()
