@@ -14,18 +14,10 @@ from quillon.sources import tables
 def asof(left: DataFrame, right: DataFrame, key: str, by: list[str] = (), backward: bool = True) -> DataFrame:
     """Every left row with match, the nearest right key at or before (or after) its own, in string order, within the `by` columns.
 
-    Both sides go through one window, so there is one shuffle on `by` and no join; without `by` the window is cut into ranges of keys.
+    Both sides are one table in the order of `by` and keys, cut into ranges where it is large, so there is no join and no task has a whole group.
     """
     rows = left.select(*by, key, F.lit(1).alias("_side"), F.lit(None).cast("string").alias("match")).unionByName(right.select(*by, key, F.lit(0).alias("_side"), F.col(key).alias("match")).distinct())
-    if not by:
-        rows = nearest(rows, key, "match", "_side", backward)
-    elif backward:
-        w = W.partitionBy(*by).orderBy(key, "_side").rowsBetween(W.unboundedPreceding, 0)
-        rows = rows.withColumn("match", F.last("match", ignorenulls=True).over(w))
-    else:
-        w = W.partitionBy(*by).orderBy(F.col(key), F.col("_side").desc()).rowsBetween(0, W.unboundedFollowing)
-        rows = rows.withColumn("match", F.first("match", ignorenulls=True).over(w))
-    return rows.where("_side = 1").drop("_side")
+    return nearest(rows, key, "match", "_side", backward, by=tuple(by)).where("_side = 1").drop("_side")
 
 
 def neighbours(a: DataFrame, b: DataFrame, left: str, right: str) -> DataFrame:

@@ -3,6 +3,7 @@ import itertools
 import math
 import os
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -247,6 +248,29 @@ def test_many_ranges(spark):
         assert got == {(k, max((x for x in known if x <= k), default=None) if backward else min((x for x in known if x >= k), default=None)) for k in keys}
 
 
+def test_nearest_by_groups(spark, monkeypatch):
+    """Nearest keys of a group, over one range and over many, with empty groups, groups of many ranges and a null group."""
+    rng = random.Random(8)
+    group = lambda: rng.choice(["a", "b", "b", "b", "c", None])
+    left = [(group(), f"{rng.randint(0, 9999):04}") for _ in range(900)] + [("d", "0001"), ("d", "9999")]
+    right = [(g, f"{rng.randint(0, 9999):04}") for g in rng.choices(["a", "b", "b", None], k=60)]
+    a, b = (spark.createDataFrame(x, "g string, k string") for x in (left, right))
+    for backward in (True, False):
+        want = sorted((str(g), k, str(max((x for h, x in right if h == g and x <= k), default=None) if backward else min((x for h, x in right if h == g and x >= k), default=None))) for g, k in left)
+        for rows in (10_000, 50):
+            monkeypatch.setattr(ranges.nearest, "__defaults__", (True, rows, ()))
+            got = barcodes.asof(a, b, "k", ["g"], backward)
+            assert got.columns == ["g", "k", "match"] and sorted((str(r.g), r.k, str(r.match)) for r in got.collect()) == want
+
+
+def test_next_keys_take_one_pass(spark):
+    """Half a minute is more than enough for one group of 200,000 keys; looking ahead anew from each key takes far longer."""
+    own = spark.range(200_000).select(F.lit(0).alias("g"), F.format_string("%06d", "id").alias("k"))
+    start = time.monotonic()
+    got = barcodes.asof(own, own.where("k = '199990'"), "k", ["g"], backward=False)
+    assert got.where("match = '199990'").count() == 199_991 and time.monotonic() - start < 30
+
+
 def test_ranges_grow_with_the_rows(spark):
     """Ten times the rows have ten times the ranges, and a key with half the rows has half of them."""
     seen = []
