@@ -86,6 +86,30 @@ def test_rounds_of_neighbours(spark, rows, monkeypatch):
     assert barcodes.correct_compat(spark.createDataFrame([], schema), spark.createDataFrame(listed, schema)).count() == 0
 
 
+def test_many_rounds(spark):
+    """Each round takes one listed barcode on either side of the unknown ones, so there are hundreds of rounds; a middle one near none ends a chain."""
+    words = ["".join(x) for x in itertools.product("ACGT", repeat=4)]
+    rng = random.Random(4)
+    for gap in (0.0, 0.1):
+        listed = [c + w for c in "GT" for w in words if rng.random() >= gap]
+        seen = ["N" + w for w in words] + [w[:3] + "N" + w[3] for w in words[::3]]
+        schema = "barcode_position string, barcode string"
+        got = barcodes.correct_compat(spark.createDataFrame([("D", x) for x in seen], schema), spark.createDataFrame([("D", x) for x in listed], schema))
+        want = rounds_by_force(seen, listed)
+        assert {r.barcode: r.corrected for r in got.collect()} == {x: want.get(x) for x in seen}
+        assert gap or len(want) > 200
+
+
+def test_neighbours_at_larger_distances(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("AC") for _ in range(rng.choice([1, 2, 5, 6]))) for _ in range(60)]
+    a, b = (spark.createDataFrame([(x,) for x in w], f"{c} string") for c, w in (("a", words[:30]), ("b", words[30:])))
+    for d in (0, 1, 2, 3):
+        want = {(x, y, n) for x in words[:30] for y in words[30:] if len(x) == len(y) and (n := sum(p != q for p, q in zip(x, y, strict=True))) <= d}
+        got = barcodes.neighbours(a, b, "a", "b", distance=d).collect()
+        assert len(got) == len(want) and set(map(tuple, got)) == want
+
+
 def test_complete_correction(spark):
     listed = spark.createDataFrame([(x,) for x in ("AAAAAAAA", "CCCCCCCC")], "barcode string")
     seen = spark.createDataFrame([(x,) for x in ("AAAAAAAA", "CAAAAAAA", "GGAAAAAA", None)], "barcode string")
