@@ -272,6 +272,16 @@ def test_many_ranges(spark):
         assert got == {(k, max((x for x in known if x <= k), default=None) if backward else min((x for x in known if x >= k), default=None)) for k in keys}
 
 
+@pytest.mark.parametrize("name", ["_at", "_range", "_before", "_sum", "_tie"])
+def test_names_of_ranks(spark, name):
+    """A rank or a sum may have any name, also over many ranges."""
+    df = spark.range(300).select("id", F.lit(2).alias("v"))
+    got = ranges.ranked(df, name, "id", rows=50)
+    assert got.columns == ["id", "v", name] and {(r[0], r[2]) for r in got.collect()} == {(i, i + 1) for i in range(300)}
+    got = ranges.running(df, name, "v", "id", rows=50)
+    assert got.columns == ["id", "v", name] and {(r[0], r[2]) for r in got.collect()} == {(i, 2 * i + 2) for i in range(300)}
+
+
 def test_nearest_by_groups(spark, monkeypatch):
     """Nearest keys of a group, over one range and over many, with empty groups, groups of many ranges and a null group."""
     rng = random.Random(8)
