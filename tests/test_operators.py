@@ -282,6 +282,23 @@ def test_names_of_ranks(spark, name):
     assert got.columns == ["id", "v", name] and {(r[0], r[2]) for r in got.collect()} == {(i, 2 * i + 2) for i in range(300)}
 
 
+def test_many_depths(spark):
+    """Counts at each of 400 depths are those of the sample itself, with nulls; rows don't multiply by the depths."""
+    rng = random.Random(12)
+    rows = [(f"r{i:04}", rng.choice("abc"), rng.choice(["g1", "g2", "g3", None]), rng.choice(["u1", "u2", None]), rng.choice([3, 255, None])) for i in range(1200)]
+    df = spark.createDataFrame(rows, "read_name string, barcode string, GN string, UB string, mapping_quality int")
+    got = counts.saturation_curve(df, list(range(1, 401)), 3, F.col("read_name"))
+    got = {r.depth: (r.median_counts_per_cell, r.median_genes_per_cell, r.saturation) for r in got.collect()}
+    for d in range(1, 401):
+        own = rows[: 3 * d]
+        cells = [[r for r in own if r[1] == c] for c in sorted({r[1] for r in own})]
+        molecules = [len({r[2:4] for r in c if None not in r[2:4]}) for c in cells]
+        genes = [len({r[2] for r in c} - {None}) for c in cells]
+        distinct = len({r[1:] for r in own if None not in r[1:]})
+        assert got[d] == (float(np.median(molecules)), float(np.median(genes)), pytest.approx(round(1 - distinct / len(own), 6), abs=1.1e-6))
+    assert len(got) == 400
+
+
 def test_nearest_by_groups(spark, monkeypatch):
     """Nearest keys of a group, over one range and over many, with empty groups, groups of many ranges and a null group."""
     rng = random.Random(8)
