@@ -1,8 +1,8 @@
-"""Bases of reads at sites: an interval join, then all pairs of a batch at once.
+"""Bases of reads at sites: an interval join over the ways that reads lie, and a join of reads with these.
 
-Sites are gathered by bins of their contig, reads are dealt to the bins they span, and each read meets only the sites within it; reads without one go no
-further. A batch's pairs of read and site find their CIGAR operation by one search over running ends of operations, and base and quality by their place in the batch's buffers. So rows
-out are pairs of reads and sites, whatever the reads' length.
+Reads of one contig, start and CIGAR meet the same sites at the same of their bases, so each such way is walked once, and its reads are counted for the sites' coverage. Sites are gathered by bins of their contig,
+ways are dealt to the bins they span, and each meets only the sites within it. A batch's pairs of way and site find their CIGAR operation by one search over running ends of operations. Reads then take
+bases and qualities by place; rows out are pairs of reads and sites, whatever the reads' length.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bases of a bin, and pairs of reads and sites that a batch of results has, about.
+from quillon.sources.tables import materialise
+
+#: Bases of a bin, and pairs of ways and sites that a batch of results has, about.
 BIN, PAIRS = 512, 200_000
 SITE = ["feature", "pos_local_0based"]
-_OUT = {"read_name": pa.string(), "feature": pa.string(), "pos_local_0based": pa.int64(), "read_base": pa.string(), "base_qual": pa.int32(), "map_qual": pa.int32(), "indel_len": pa.int64(), "inserted_seq": pa.string()}
-_SCHEMA = "read_name string, feature string, pos_local_0based long, read_base string, base_qual int, map_qual int, indel_len long, inserted_seq string"
 
 
 def reference_length(cigar: str):
@@ -52,33 +52,21 @@ def operations(cigar: str) -> list[tuple[int, int, str, int, int]]:
     return out
 
 
-def _text_at(text: pa.Array, row: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> pa.Array:
-    """Characters of ASCII texts by row and place, where wanted; null where the text ends before."""
-    text = text.cast(pa.large_string())
-    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-    raw = np.frombuffer(text.buffers()[2] or b"\0", np.uint8)
-    there = wanted & (at >= 0) & (at < (offsets[1:] - offsets[:-1])[row])
-    codes = np.where(there, raw[np.minimum(np.where(there, offsets[row] + at, 0), len(raw) - 1)], 0).astype(np.int16)
-    held = pa.array(np.where(there, codes, -1))
-    kinds = pc.unique(held)
-    return pc.take(pa.array([None if k < 0 else chr(k) for k in kinds.to_pylist()], pa.string()), pc.index_in(held, kinds))
-
-
-def _values_at(values: pa.Array, row: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> pa.Array:
-    """Items of lists by row and place, where wanted; null where the list is null or ends before."""
-    lengths = np.nan_to_num(values.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
-    flat = values.flatten()
-    there = wanted & (at >= 0) & (at < lengths[row])
-    first = np.cumsum(lengths) - lengths
-    return pc.take(flat, pa.array(first[row] + at, pa.int64(), mask=~there)) if len(flat) else pa.nulls(len(row), pa.int32())
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        many = np.cumsum(b.column(4).value_lengths().to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(many, (many[lo - 1] if lo else 0) + PAIRS)))
+            yield _pairs(b.slice(lo, hi - lo))
+            lo = hi
 
 
 def _pairs(b: pa.RecordBatch) -> pa.RecordBatch:
-    names, feature, start, cigar, sequence, qualities, mapq, sites = b.columns
-    counts = sites.value_lengths().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(b.num_rows), counts)
+    feature, start, cigar, reads, sites = b.columns
+    row = np.repeat(np.arange(b.num_rows), sites.value_lengths().to_numpy(zero_copy_only=False))
     place = sites.flatten().to_numpy().astype(np.int64)
-    coded = pc.dictionary_encode(pc.fill_null(cigar, ""))
+    coded = pc.dictionary_encode(cigar)
     ops = [operations(c) for c in coded.dictionary.to_pylist()]
     of = np.repeat(np.arange(len(ops)), [len(x) for x in ops])
     first, base, kind, n, after = (np.array(c) for c in zip(*(o for x in ops for o in x), strict=True))
@@ -89,31 +77,37 @@ def _pairs(b: pa.RecordBatch) -> pa.RecordBatch:
     kind, inside = kind[op], rel - first[op]
     keep = kind != "N"
     row, place, op, kind, inside = row[keep], place[keep], op[keep], kind[keep], inside[keep]
-    gone, query = kind == "D", base[op] + inside
+    gone = kind == "D"
     size = np.where(~gone & (inside == n[op] - 1), after[op], 0)
-    bases = _text_at(sequence, row, query, ~gone)
-    new = [""] * len(row)
-    for i in np.flatnonzero(size > 0).tolist():
-        new[i] = (sequence[int(row[i])].as_py() or "")[query[i] + 1 : query[i] + 1 + size[i]]
     at = pa.array(row)
-    cols = [names.take(at), feature.take(at), pa.array(place), pc.if_else(pa.array(gone), "", bases), _values_at(qualities, row, query, ~gone), mapq.take(at), pa.array(size, pa.int64(), mask=gone), pa.array(new, pa.string())]
-    return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(cols, _OUT.values(), strict=True)], list(_OUT))
+    cols = [feature.take(at), start.take(at), cigar.take(at), reads.take(at), pa.array(place), pa.array(base[op] + inside, pa.int64(), mask=gone), pa.array(size, pa.int64(), mask=gone)]
+    return pa.RecordBatch.from_arrays(cols, ["feature", "start", "cigar", "_reads", "pos_local_0based", "_query", "indel_len"])
 
 
-def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        many = np.cumsum(b.column(7).value_lengths().to_numpy(zero_copy_only=False))
-        lo = 0
-        while lo < b.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(many, (many[lo - 1] if lo else 0) + PAIRS)))
-            yield _pairs(b.slice(lo, hi - lo))
-            lo = hi
+def walked(alignments: DataFrame, sites: DataFrame, size: int = BIN) -> DataFrame:
+    """(feature, start, cigar, _reads, pos_local_0based, _query, indel_len): a row for each way that reads lie and each site that it spans, with the reads that lie so and the base of the read there; null where it is deleted."""
+    lying = alignments.groupBy("feature", F.col("start").cast("long").alias("start"), "cigar").agg(F.count("*").alias("_reads"))
+    met = spanned(lying, sites, size).select("feature", "start", "cigar", "_reads", "sites")
+    return met.mapInArrow(_walked, "feature string, start long, cigar string, _reads long, pos_local_0based long, _query long, indel_len long")
+
+
+def _own(alignments: DataFrame) -> DataFrame:
+    return alignments.select("read_name", "feature", F.col("start").cast("long").alias("start"), "cigar", "sequence", F.col("qualities").cast("array<int>").alias("qualities"), F.col("mapping_quality").cast("int").alias("map_qual"))
+
+
+def _read(own: DataFrame, walks: DataFrame) -> DataFrame:
+    """Reads with the rows of the way they lie: bases, qualities and insertions by place."""
+    query, size = F.col("_query").cast("int"), F.col("indel_len").cast("int")
+    base = F.when(query.isNull(), "").when(query < F.length("sequence"), F.substring("sequence", query + 1, F.lit(1)))
+    new = F.when(size > 0, F.coalesce(F.substring("sequence", query + 2, size), F.lit(""))).otherwise("")
+    met = own.join(walks.drop("_reads"), ["feature", "start", "cigar"])
+    return met.select("read_name", *SITE, base.alias("read_base"), F.get("qualities", query).alias("base_qual"), "map_qual", "indel_len", new.alias("inserted_seq"))
 
 
 def met(alignments: DataFrame, sites: DataFrame, size: int = BIN) -> DataFrame:
     """A row for each read and site that it spans, deletions among them."""
-    own = alignments.select("read_name", "feature", F.col("start").cast("long"), "cigar", "sequence", F.col("qualities").cast("array<int>"), F.col("mapping_quality").cast("int"))
-    return spanned(own, sites, size).select(*own.columns, "sites").mapInArrow(_walked, _SCHEMA)
+    own = _own(alignments)
+    return _read(own, materialise(walked(own, sites, size)))
 
 
 def piled(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> DataFrame:
@@ -121,11 +115,12 @@ def piled(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> Dat
 
     Alignments: read_name, feature, start from 0, cigar, sequence, qualities, mapping_quality. Skipped parts of the reference (N) are not spanned; a base behind the sequence's end is null, as is its quality.
     """
-    out = met(alignments, sites)
+    own = _own(alignments)
+    walks = materialise(walked(own, sites))
     if min_coverage > 1:
-        deep = out.groupBy(*SITE).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_coverage)
-        out = out.join(deep.select(*SITE), SITE, "left_semi")
-    return out
+        deep = walks.groupBy(*SITE).agg(F.sum("_reads").alias("_n")).where(F.col("_n") >= min_coverage)
+        walks = materialise(walks.join(deep.select(*SITE), SITE, "left_semi"))
+    return _read(own, walks)
 
 
 def pileup_snv(alignments: DataFrame, sites: DataFrame, min_coverage: int = 0) -> DataFrame:

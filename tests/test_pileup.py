@@ -60,3 +60,13 @@ def test_coverage_and_short_sequences(spark):
     assert got == [("r1", 5, 0, ""), ("r1", 6, 2, "TT"), ("r2", 5, -2, ""), ("r2", 6, None, ""), ("r3", 6, 0, "")]
     assert sorted((r.read_name, r.read_base, r.base_qual) for r in pileup.pileup_snv(df, sites.where("feature <> 'A'")).collect()) == [("r4", "G", 1), ("r6", "C", None)]
     assert pileup.piled(df, sites.limit(0)).count() == 0 == pileup.piled(df.limit(0), sites).count()
+
+
+def test_ways_are_walked_once(spark):
+    """A thousand reads that lie alike are one way, and each of its sites is one row."""
+    df = spark.range(1000).selectExpr("cast(id AS string) AS read_name", "'A' AS feature", "5 AS start", "'4M1I3M' AS cigar", "'ACGTACGT' AS sequence", "cast(null AS array<int>) AS qualities", "9 AS mapping_quality")
+    sites = spark.createDataFrame([("A", 5), ("A", 8), ("A", 30)], "feature string, pos_local_0based long")
+    assert sorted(tuple(r)[3:] for r in pileup.walked(df, sites).collect()) == [(1000, 5, 0, 0), (1000, 8, 3, 1)]
+    got = pileup.pileup_indel(df, sites, 1000).groupBy("pos_local_0based", "indel_len", "inserted_seq").count()
+    assert sorted(map(tuple, got.collect())) == [(5, 0, "", 1000), (8, 1, "A", 1000)]
+    assert pileup.piled(df, sites, 1001).count() == 0
