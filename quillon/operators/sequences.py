@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from quillon.functions.columns import canonical
 
 
-def kmers(sequences: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
-    """(id, kmer): distinct k-mers, each the smaller of its two strands."""
-    own = sequences.where(F.length("sequence") >= k).select("id", F.explode(F.transform(F.sequence(F.lit(1), F.length("sequence") - k + 1), lambda i: F.substring("sequence", i, F.lit(k)))).alias("kmer"))
+#: Places of a piece of a sequence whose k-mers are made at once, and places of a task, about.
+PIECE, PLACES = 4096, 1 << 20
+
+
+def kmers(sequences: DataFrame, k: int, both_strands: bool = True, places: int = PLACES) -> DataFrame:
+    """(id, kmer): distinct k-mers, each the smaller of its two strands. Sequences are dealt to tasks in pieces before k-mers are made, as many tasks as the number of places needs, so that none has more than its share however few files they come from."""
+    own = sequences.where(F.length("sequence") >= k)
+    n = own.agg(F.sum(F.length("sequence").cast("long") - k + 1)).first()[0] or 0
+    starts = F.sequence(F.lit(1), F.length("sequence") - k + 1, F.lit(PIECE))
+    own = own.select("id", F.explode(F.transform(starts, lambda i: F.substring("sequence", i, F.lit(PIECE + k - 1)))).alias("_s")).repartition(max(1, -(-n // places)))
+    own = own.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.length("_s") - k + 1), lambda i: F.substring("_s", i, F.lit(k)))).alias("kmer"))
     return (own.withColumn("kmer", canonical("kmer")) if both_strands else own).distinct()
 
 

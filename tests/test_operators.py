@@ -299,6 +299,18 @@ def test_many_depths(spark):
     assert len(got) == 400
 
 
+def test_kmers_are_dealt_by_their_number(spark):
+    """k-mers of one file's sequences, one of them long, are made in as many tasks as they need, and are those of the whole sequences."""
+    rng = random.Random(13)
+    seqs = {f"s{i}": "".join(rng.choice("ACGT") for _ in range(n)) for i, n in enumerate([5, 6, 7, 300, sequences.PIECE + 5, sequences.PIECE + 6, 20_000])}
+    df = spark.createDataFrame(list(seqs.items()), "id string, sequence string").coalesce(1)
+    got = sequences.kmers(df, 6, both_strands=False, places=1000)
+    assert {(r.id, r.kmer) for r in got.collect()} == {(i, x[p : p + 6]) for i, x in seqs.items() for p in range(len(x) - 5)}
+    seen = sequences.kmers(df, 6, both_strands=False, places=1000).groupBy("id", "kmer").count().where("count > 1").count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert seen == 0 and "Repartition 29" in plan
+
+
 def test_nearest_by_groups(spark, monkeypatch):
     """Nearest keys of a group, over one range and over many, with empty groups, groups of many ranges and a null group."""
     rng = random.Random(8)
