@@ -24,7 +24,7 @@ def rows_of(entries: DataFrame) -> DataFrame:
 
 
 def measured_columns(axis: DataFrame, composition: DataFrame) -> DataFrame:
-    """The axis' positions that reads reached, numbered anew from 0 as col; pos counts from 1."""
+    """The axis' positions that reads reached, numbered anew from 0 as col; pos counts from 1. The axis may have an index, which isn't used."""
     return ranked(V.measured(axis, composition).drop("column_index"), "_i", "feature", "pos").withColumn("col", F.col("_i") - 1).drop("_i")
 
 
