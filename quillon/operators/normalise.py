@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.operators.ranges import counted
+from quillon.sources.tables import observed
 
 #: Bases of a tile, and bases before it that it also has, which are what a round can pass.
 TILE, REACH = 4096, 64
@@ -41,6 +42,13 @@ def alike(a: Column, b: Column) -> Column:
     return F.when(n == 0, 0).when(end == 0, n).otherwise(end - 1).cast("int")
 
 
+def alike_upto(a: Column, b: Column, most: int) -> Column:
+    """alike() of texts of at most so many characters, by halves: a step for each bit of the number instead of one for each character."""
+    n = F.least(F.length(a), F.length(b))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= n) & (F.substr(a, k + 1, s) == F.substr(b, k + 1, s)), k + s).otherwise(k))
+
+
 def trimmed(variants: DataFrame) -> DataFrame:
     """variants with _p, the place from 0, and _r and _a, the alleles without common ends."""
     tail = alike(F.reverse("ref"), F.reverse("alt"))
@@ -67,12 +75,13 @@ def left_aligned(variants: DataFrame, contigs: DataFrame, size: int = TILE, reac
         k = F.length("_s")
         met = met.withColumn("_l", F.coalesce(F.when(F.col("_p") > 0, F.substr("_bases", F.greatest(F.col("_p") - reach - F.col("_first"), F.lit(0)).cast("int") + 1, F.least(F.lit(reach), F.col("_p")).cast("int"))), F.lit("")))
         turned = F.substr(F.repeat(F.reverse("_s"), F.ceil(F.length("_l") / k).cast("int")), F.lit(1), F.length("_l"))
-        met = met.withColumn("_m", F.when(F.length("_l") == F.least(F.lit(reach), F.col("_p")), alike(F.reverse("_l"), turned)).otherwise(0))
+        met = met.withColumns({"_b": F.reverse("_l"), "_u": turned})
+        met = met.withColumn("_m", F.when(F.length("_l") == F.least(F.lit(reach), F.col("_p")), alike_upto(F.col("_b"), F.col("_u"), reach)).otherwise(0))
         turn = F.col("_m") % k
         moved = F.concat(F.substr("_s", (k - turn + 1).cast("int")), F.substr("_s", F.lit(1), (k - turn).cast("int")))
-        met, _ = counted(met.select(*[c for c in rows.columns if c not in ("_p", "_s")], (F.col("_p") - F.col("_m")).alias("_p"), moved.alias("_s"), ((F.col("_m") == reach) & (F.col("_p") > F.col("_m"))).alias("_on")))
+        met, told = observed(met.select(*[c for c in rows.columns if c not in ("_p", "_s")], (F.col("_p") - F.col("_m")).alias("_p"), moved.alias("_s"), ((F.col("_m") == reach) & (F.col("_p") > F.col("_m"))).alias("_on")), on=F.count_if(F.col("_on")))
         done.append(met.where("NOT _on").drop("_on"))
-        rows, n = counted(met.where("_on").drop("_on"))
+        rows, n = met.where("_on").drop("_on"), told["on"]
     own = list(variants.columns)
     still = every.where(~indel)
     one = F.greatest(F.length("_r"), F.length("_a")) > 0

@@ -1,8 +1,10 @@
 """Left-alignment against one base at a time."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillon.operators import normalise
 
@@ -60,3 +62,11 @@ def test_random_repeats(spark, size, reach):
 def test_repeats_go(spark):
     df = spark.createDataFrame([("x", 1, "A", 5), ("x", 1, "A", 9), ("y", 1, "A", 2)], "caller string, pos long, ref string, ad long")
     assert sorted(map(tuple, normalise.without_repeats(df, ["caller", "pos", "ref"], df["ad"]).collect())) == [("x", 1, "A", 9), ("y", 1, "A", 2)]
+
+
+def test_alike_by_halves(spark):
+    """As many characters as alike() finds, at every length up to the reach."""
+    texts = ["A" * n + t for n in range(0, 63) for t in ("", "C", "CA")] + [""]
+    rows = [(x, y) for x in texts[::5] for y in texts[::7]]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", normalise.alike_upto(F.col("a"), F.col("b"), 64).alias("n")).collect()
+    assert all(r.n == len(os.path.commonprefix([r.a, r.b])) for r in got) and len(got) == len(rows)
