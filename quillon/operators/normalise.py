@@ -24,12 +24,19 @@ TILE, REACH = 4096, 64
 def tiles(contigs: DataFrame, size: int = TILE, reach: int = REACH) -> DataFrame:
     """(_chrom, _tile, _first, _bases) of contigs (chrom, sequence): bases of a tile and `reach` before, and the place of the first of them, from 0."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["_chrom", "_tile", "_first", "_bases"]
+        made, held = [], 0
         for b in batches:
             for chrom, seq in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 seq = seq.as_py() or ""
-                for lo in range(0, max(len(seq), 1), 256 * size):
-                    at = range(lo, min(lo + 256 * size, max(len(seq), 1)), size)
-                    yield pa.RecordBatch.from_pydict({"_chrom": [chrom] * len(at), "_tile": [a // size for a in at], "_first": [max(a - reach, 0) for a in at], "_bases": [seq[max(a - reach, 0) : a + size].upper() for a in at]})
+                for a in range(0, max(len(seq), 1), size):
+                    made.append((chrom, a // size, max(a - reach, 0), seq[max(a - reach, 0) : a + size].upper()))
+                    held += len(made[-1][3]) + 64
+                    if held > 256 * TILE:  # short contigs share a batch
+                        yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*made, strict=True), strict=True)))
+                        made, held = [], 0
+        if made:
+            yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*made, strict=True), strict=True)))
 
     return contigs.select("chrom", "sequence").mapInArrow(cut, "_chrom string, _tile long, _first long, _bases string")
 
