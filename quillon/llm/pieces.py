@@ -3,13 +3,13 @@
 The lattice of a text has an edge for every piece that occurs at a place, with the piece's score. Forward Viterbi gives the best score of every prefix; these
 are exact heuristics for an A-star search from the end of the text, which so pops segmentations in the order of their scores.
 No piece crosses a boundary in front of a run of spaces or at a line break (checked when a model is loaded), so lattices are those of chunks, and
-a text's N best segmentations combine the N best of its N - 1 chunks whose second segmentation costs least. Viterbi runs over all new chunks of a
+a text's N best segmentations combine the N best of its N - 1 chunks whose second segmentation costs least. All N are given whole, as ids, and each of them is decoded and held against the text. Viterbi runs over all new chunks of a
 batch at once; chunks seen before come from a table of bounded size.
 
 Characters without a piece become byte pieces, at a score below every piece's.
 
 Defined cases: null and empty texts have no pieces, score 0 and one segmentation; U+2581 in a text is a space, as in the library; a chunk without spaces may be of any length;
-ties go to the longer last piece, then to the A-star search's order; an empty table gives an empty table; repeated rows come out each, alike;
+ties go to the longer last piece within a chunk, and to changes in earlier chunks within a text; an empty table gives an empty table; repeated rows come out each, alike;
 other columns pass through, whatever their names, unless they are named as a result.
 """
 
@@ -18,8 +18,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import product
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from quillon.llm.common import name, packed, portions, unpacked, with_fields
 SPACE = "▁"
 #: Chunks of which a task keeps the segmentations before it starts anew.
 CACHE = 500_000
-RESULT = "ids array<int>, n_pieces long, score double, scores array<double>, round_trip boolean"
+RESULT = "ids array<int>, n_pieces long, score double, scores array<double>, nbest array<array<int>>, round_trip boolean"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,7 +66,7 @@ class Lattice:
     def clear(self) -> None:
         self.at: dict[str, int] = {}
         self.ids: list[bytes] = []
-        self.best, self.gap = np.empty(0), np.empty(0)
+        self.best, self.gap, self.width = np.empty(0), np.empty(0), np.empty(0, np.int64)
         self.lists: dict[str, list[tuple[float, list[int]]]] = {}
 
     def _hash(self, s: str) -> int:
@@ -99,6 +98,7 @@ class Lattice:
         self.at.update(zip(chunks, range(start, start + len(chunks)), strict=True))
         self.ids += ids
         self.best, self.gap = np.concatenate((self.best, best)), np.concatenate((self.gap, gap))
+        self.width = np.concatenate((self.width, np.fromiter(map(len, ids), np.int64, len(ids))))
 
     def _same_size(self, size: int, own: list[int], chunks: list[str], ids: list[bytes], best: np.ndarray, gap: np.ndarray) -> None:
         n = len(own)
@@ -152,7 +152,7 @@ class Lattice:
         return [self.pieces[s][1]] if s in self.pieces else [self.byte_id[b] for b in s.encode("utf-8", "surrogatepass")]
 
     def search(self, chunk: str) -> list[tuple[float, list[int]]]:
-        """Up to nbest segmentations (score, ids), best first: A-star from the end, with the forward scores as heuristics."""
+        """Up to nbest segmentations (score, ids), best first: A-star from the end, with the forward scores as heuristics. Of equal ones the latest pushed comes first, so that a path is followed to its end before others like it are."""
         if chunk in self.lists:
             return self.lists[chunk]
         n = len(chunk)
@@ -174,8 +174,8 @@ class Lattice:
                     node = node[2]
                 found.append((behind, [x for s in cuts for x in self._ids(s)]))
                 continue
-            for i, s in into[at]:
-                tie += 1
+            for i, s in reversed(into[at]):
+                tie -= 1
                 heapq.heappush(heap, (-(alpha[i] + s + behind), tie, i, s + behind, (i, at, path)))
         if len(self.lists) > CACHE // 10:
             self.lists.clear()
@@ -193,29 +193,50 @@ class Lattice:
         if new:
             self.viterbi(new)
 
-    def encode(self, chunks: list[str]) -> tuple[np.ndarray, float, list[float]]:
-        """ids and score of the best segmentation, and the nbest scores; learn() has seen the chunks."""
+    def segmentations(self, chunks: list[str]) -> list[tuple[float, bytes]]:
+        """Up to nbest segmentations of a text (score, ids as little-endian 32-bit integers), best first; learn() has seen the chunks."""
         if not chunks:
-            return np.empty(0, "<i4"), 0.0, [0.0]
+            return [(0.0, b"")]
         at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-        ids = np.frombuffer(b"".join([self.ids[k] for k in at.tolist()]), "<i4")
-        score = float(self.best[at].sum())
-        gap = self.gap[at]
-        few = min(self.nbest - 1, len(gap))
-        order = np.argpartition(gap, few - 1)[:few] if few and few < len(gap) else np.arange(len(gap))[:few]
-        costs = [0.0]
-        for k in order.tolist():
-            if gap[k] < np.inf:
-                own = self.search(chunks[k])
-                costs = sorted(a + own[0][0] - b for a, (b, _) in product(costs, own))[: self.nbest]
-        return ids, score, [score - c for c in costs]
+        ids = b"".join([self.ids[k] for k in at.tolist()])
+        score, gap, few = float(self.best[at].sum()), self.gap[at], min(self.nbest - 1, len(at))
+        near = np.flatnonzero(gap <= np.partition(gap, few - 1)[few - 1]) if few else np.arange(0)
+        near = near[np.argsort(gap[near], kind="stable")][:few]
+        ways: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]  # what a combination costs more, and the chunks in which it differs
+        for k in near[gap[near] < np.inf].tolist():
+            own = self.others(chunks[k], self.ids[at[k]])
+            ways = sorted((w for c, d in ways for w in ((c, d), *((c + x, d | {k: o}) for x, o in own))), key=lambda w: w[0])[: self.nbest]
+        ends = np.cumsum(self.width[at])
+        out = []
+        for cost, changed in ways:
+            parts, upto = [], 0
+            for k in sorted(changed):
+                parts += [ids[upto : ends[k] - self.width[at[k]]], changed[k]]
+                upto = ends[k]
+            out.append((score - cost, b"".join([*parts, ids[upto:]])))
+        return out
+
+    def others(self, chunk: str, best: bytes) -> list[tuple[float, bytes]]:
+        """Of a chunk's nbest segmentations those but the best: what each costs more, and its ids."""
+        found = [(s, np.array(i, "<i4").tobytes()) for s, i in self.search(chunk)]
+        return [(found[0][0] - s, i) for s, i in found if i != best][: self.nbest - 1]
+
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, float, list[float]]:
+        """ids and score of the best segmentation, and the nbest scores."""
+        found = self.segmentations(chunks)
+        return np.frombuffer(found[0][1], "<i4"), found[0][0], [s for s, _ in found]
 
     def decode(self, ids: np.ndarray) -> str:
         table = self.bytes_of
         return b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass").replace(SPACE, " ")[1:]
 
 
-def _encode(model: str, nbest: int, out: list[str], with_ids: bool):
+def _listed(parts: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+
+
+def _encode(model: str, nbest: int, out: list[str], ids: Callable[[list[bytes]], pa.Array]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model, nbest)
         for b in batches:
@@ -223,31 +244,31 @@ def _encode(model: str, nbest: int, out: list[str], with_ids: bool):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 split = [lattice.chunks(t) for t in texts]
                 lattice.learn(split)
-                ids, score, scores, same, crc = [], [], [], [], []
-                for t, c in zip(texts, split, strict=True):
-                    own, s, more = lattice.encode(c)
-                    ids.append(own)
-                    score.append(s)
-                    scores.append(more)
-                    crc.append(zlib.crc32(own.tobytes()))
-                    same.append(lattice.decode(own) == t.replace(SPACE, " "))
-                if with_ids:
-                    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                    first = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
-                else:
-                    first = pa.array(crc, pa.int64())
-                cols = [part.column(0), first, pa.array(list(map(len, ids)), pa.int64()), pa.array(score, pa.float64()), pa.array(scores, pa.list_(pa.float64())), pa.array(same)]
+                found = [lattice.segmentations(c) for c in split]
+                same = [all(lattice.decode(np.frombuffer(i, "<i4")) == plain for _, i in own) for own, plain in zip(found, (t.replace(SPACE, " ") for t in texts), strict=True)]
+                best = [own[0][1] for own in found]
+                ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+                more = pa.ListArray.from_arrays(ends, ids([i for own in found for _, i in own]))
+                scores = pa.ListArray.from_arrays(ends, pa.array([s for own in found for s, _ in own], pa.float64()))
+                cols = [part.column(0), ids(best), pa.array([len(i) // 4 for i in best], pa.int64()), pa.array([own[0][0] for own in found], pa.float64()), scores, more, pa.array(same)]
                 yield pa.RecordBatch.from_arrays(cols, names=out)
 
     return run
 
 
-def encode(df: DataFrame, model: str, text: str = "text", nbest: int = 4, with_ids: bool = True, drop_text: bool = False) -> DataFrame:
-    """df with ids (or, without ids, ids_crc32), n_pieces, score, scores (of the nbest segmentations) and round_trip."""
-    made = RESULT if with_ids else RESULT.replace("ids array<int>", "ids_crc32 long")
+def encode(df: DataFrame, model: str, text: str = "text", nbest: int = 4, with_ids: bool = True, drop_text: bool = False, as_bytes: bool = False) -> DataFrame:
+    """df with ids and score of the best segmentation, n_pieces, nbest (ids of each of the nbest segmentations, best first), their scores, and round_trip: whether all of them decode to the text.
+
+    as_bytes: ids are little-endian 32-bit integers in a binary. Without ids: ids_crc32 and nbest_crc32 instead, of these bytes.
+    """
+    made, ids = RESULT, _listed
+    if not with_ids:
+        made, ids = made.replace("ids array<int>", "ids_crc32 long").replace("nbest array<array<int>>", "nbest_crc32 array<long>"), lambda parts: pa.array(list(map(zlib.crc32, parts)), pa.int64())
+    elif as_bytes:
+        made, ids = made.replace("array<int>", "binary"), lambda parts: pa.array(parts, pa.binary())
     names = [x.split()[0] for x in made.split(", ")]
     rows, kept = packed(df, names, (text,) if drop_text else (), _text=F.col(name(text)).cast("string"))
-    return unpacked(rows.mapInArrow(_encode(model, nbest, ["_row", *names], with_ids), with_fields(rows, "_row", made)), kept, *names)
+    return unpacked(rows.mapInArrow(_encode(model, nbest, ["_row", *names], ids), with_fields(rows, "_row", made)), kept, *names)
 
 
 def model_path() -> str:
@@ -257,5 +278,5 @@ def model_path() -> str:
 
 
 def pieces_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's last stage: the documents as piece ids, without their texts."""
+    """The pipeline's last stage: the documents as piece ids, those of all nbest segmentations, without their texts."""
     return encode(docs, model_path(), drop_text=True)

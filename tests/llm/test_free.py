@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.llm import media, ngram_join, pieces, pii, suffix_dedup, token_store, toxicity
+from quillon.llm import media, ngram_join, pieces, pii, queries, suffix_dedup, token_store, toxicity
 
 
 # suffix dedup
@@ -147,6 +147,42 @@ def test_pieces_on_odd_rows(odd, none):
     assert next(r for r in got if r.doc_id == 2).ids == [] and pieces.encode(none, pieces.model_path()).count() == 0
 
 
+def test_each_of_the_best_segmentations_is_whole():
+    lattice, rng = pieces.Lattice(pieces.model_path(), 5), random.Random(2)
+    score = {i: s for s, i in lattice.pieces.values()} | {i: 0.0 if 0x80 <= b < 0xC0 else lattice.floor for b, i in lattice.byte_id.items()}
+    for _ in range(150):
+        t = "".join(rng.choice("aeth on.\n一 ") for _ in range(rng.randint(1, 60)))
+        c = lattice.chunks(t)
+        lattice.learn([c])
+        found = [(s, np.frombuffer(i, "<i4")) for s, i in lattice.segmentations(c)]
+        assert [s for s, _ in found] == lattice.encode(c)[2] and len({i.tobytes() for _, i in found}) == len(found)
+        assert found[0][1].tobytes() == lattice.encode(c)[0].tobytes()
+        for s, ids in found:
+            assert lattice.decode(ids) == t
+            assert s == sum(score[i] for i in ids.tolist())
+
+
+def test_search_follows_one_of_many_equal_paths(monkeypatch):
+    lattice, pops = pieces.Lattice(pieces.model_path(), 4), []
+    pop = pieces.heapq.heappop
+    monkeypatch.setattr(pieces.heapq, "heappop", lambda heap: pops.append(1) or pop(heap))
+    chunk = pieces.SPACE + "x" * 300
+    assert len(lattice.search(chunk)) == 4 and len(pops) <= 4 * (len(chunk) + 1)
+
+
+def test_pieces_query_has_all_segmentations(spark, docs, odd, tmp_path):
+    docs.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op3_pieces(spark, str(tmp_path)).collect()
+    whole = pieces.encode(docs.union(odd), pieces.model_path(), nbest=4).collect()
+    packed = lambda ids: zlib.crc32(struct.pack(f"<{len(ids)}i", *ids))
+    want = [(r.doc_id, len(r.ids), packed(r.ids), len(r.nbest), ",".join(str(packed(i)) for i in r.nbest)) for r in whole]
+    assert sorted(((r.doc_id, r.n_pieces, r.ids_crc32, r.n_best, r.nbest_crc32) for r in got), key=str) == sorted(want, key=str)
+    assert all(r.round_trip and r.nbest_scores.count(",") == r.n_best - 1 for r in got)
+    assert all(r.ids == r.nbest[0] and len({tuple(i) for i in r.nbest}) == len(r.scores) for r in whole) and max(r.n_best for r in got) == 4
+    short = pieces.encode(docs.union(odd), pieces.model_path(), with_ids=False).collect()
+    assert sorted(((r.doc_id, r.n_pieces, r.ids_crc32, r.nbest_crc32) for r in short), key=str) == sorted(((d, n, c, [int(x) for x in m.split(",")]) for d, n, c, _, m in want), key=str)
+
+
 # personal data
 
 BASE = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
