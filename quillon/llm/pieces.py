@@ -237,6 +237,16 @@ def _listed(parts: list[bytes]) -> pa.ListArray:
 
 
 def _encode(model: str, nbest: int, out: list[str], ids: Callable[[list[bytes]], pa.Array]):
+    def whole(lattice: Lattice, part: pa.RecordBatch, texts: list[str], split: list[list[str]]) -> pa.RecordBatch:
+        found = [lattice.segmentations(c) for c in split]
+        same = [all(lattice.decode(np.frombuffer(i, "<i4")) == plain for _, i in own) for own, plain in zip(found, (t.replace(SPACE, " ") for t in texts), strict=True)]
+        best = [own[0][1] for own in found]
+        ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+        more = pa.ListArray.from_arrays(ends, ids([i for own in found for _, i in own]))
+        scores = pa.ListArray.from_arrays(ends, pa.array([s for own in found for s, _ in own], pa.float64()))
+        cols = [part.column(0), ids(best), pa.array([len(i) // 4 for i in best], pa.int64()), pa.array([own[0][0] for own in found], pa.float64()), scores, more, pa.array(same)]
+        return pa.RecordBatch.from_arrays(cols, names=out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model, nbest)
         for b in batches:
@@ -244,14 +254,10 @@ def _encode(model: str, nbest: int, out: list[str], ids: Callable[[list[bytes]],
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 split = [lattice.chunks(t) for t in texts]
                 lattice.learn(split)
-                found = [lattice.segmentations(c) for c in split]
-                same = [all(lattice.decode(np.frombuffer(i, "<i4")) == plain for _, i in own) for own, plain in zip(found, (t.replace(SPACE, " ") for t in texts), strict=True)]
-                best = [own[0][1] for own in found]
-                ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
-                more = pa.ListArray.from_arrays(ends, ids([i for own in found for _, i in own]))
-                scores = pa.ListArray.from_arrays(ends, pa.array([s for own in found for s, _ in own], pa.float64()))
-                cols = [part.column(0), ids(best), pa.array([len(i) // 4 for i in best], pa.int64()), pa.array([own[0][0] for own in found], pa.float64()), scores, more, pa.array(same)]
-                yield pa.RecordBatch.from_arrays(cols, names=out)
+                at = 0
+                for few in portions(part, 1, 100, 500_000):  # a row's segmentations are several times its text
+                    own = slice(at, at := at + few.num_rows)
+                    yield whole(lattice, few, texts[own], split[own])
 
     return run
 
