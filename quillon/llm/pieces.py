@@ -4,7 +4,7 @@ The lattice of a text has an edge for every piece that occurs at a place, with t
 are exact heuristics for an A-star search from the end of the text, which so pops segmentations in the order of their scores.
 No piece crosses a boundary in front of a run of spaces or at a line break (checked when a model is loaded), so lattices are those of chunks, and
 a text's N best segmentations combine the N best of its N - 1 chunks whose second segmentation costs least. All N are given whole, as ids, and each of them is decoded and held against the text. Viterbi runs over all new chunks of a
-batch at once; chunks seen before come from a table of bounded size.
+batch at once; chunks seen before come from a table of bounded size. A batch's texts are cut up, their ids put together and all segmentations decoded as arrays.
 
 Characters without a piece become byte pieces, at a score below every piece's.
 
@@ -19,9 +19,11 @@ import heapq
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,7 @@ class Lattice:
                 self.bytes_of[i] = bytes([b])
         for s, (_, i) in self.pieces.items():
             self.bytes_of[i] = s.encode()
+        self.plain_of = pa.array([b.replace(SPACE.encode(), b" ") for b in self.bytes_of], pa.large_binary())
         if any(SPACE in s.lstrip(SPACE) or "\n" in s and len(s) > 1 for s in self.pieces):
             raise ValueError("pieces cross chunks")
         self.longest, self.nbest = max(map(len, self.pieces)), nbest
@@ -59,6 +62,7 @@ class Lattice:
         self.keys, (self.score, self.id) = keys[order], np.array(list(self.pieces.values()))[order].T
         self.seen = np.zeros(1 << 22, bool)
         self.seen[(self.keys >> np.uint64(42)).astype(np.int64)] = True
+        self.first = np.searchsorted(self.keys >> np.uint64(44), np.arange(1 << 20, dtype=np.uint64)).astype(np.int32)
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces have one hash")
         self.clear()
@@ -66,8 +70,9 @@ class Lattice:
     def clear(self) -> None:
         self.at: dict[str, int] = {}
         self.ids: list[bytes] = []
-        self.best, self.gap, self.width = np.empty(0), np.empty(0), np.empty(0, np.int64)
+        self.best, self.gap = np.empty(0), np.empty(0)
         self.lists: dict[str, list[tuple[float, list[int]]]] = {}
+        self.rest: dict[str, list[tuple[float, bytes]]] = {}
 
     def _hash(self, s: str) -> int:
         h = 0
@@ -77,12 +82,16 @@ class Lattice:
 
     def _lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores (minus infinity where there is no piece) and numbers of pieces by hash. A bit map turns most strings down before the search."""
-        score, at = np.full(h.shape, -np.inf), np.zeros(h.shape, np.int64)
-        may = np.nonzero(self.seen[(h >> np.uint64(42)).astype(np.int64)])
-        i = np.minimum(np.searchsorted(self.keys, h[may]), len(self.keys) - 1)
-        hit = self.keys[i] == h[may]
+        score, at = np.full(h.size, -np.inf), np.zeros(h.size, np.int64)
+        may = np.flatnonzero(self.seen[(h >> np.uint64(42)).view(np.int64)])
+        own = h.ravel()[may]
+        i = np.minimum(self.first[(own >> np.uint64(44)).view(np.int64)], len(self.keys) - 1)
+        hit = self.keys[i] == own
+        if len(late := np.flatnonzero(~hit)):  # not the first key with these leading bits
+            i[late] = np.minimum(np.searchsorted(self.keys, own[late]), len(self.keys) - 1)
+            hit[late] = self.keys[i[late]] == own[late]
         score[may], at[may] = np.where(hit, self.score[i], -np.inf), i
-        return score, at
+        return score.reshape(h.shape), at.reshape(h.shape)
 
     def viterbi(self, chunks: list[str]) -> None:
         """Adds chunks to the table: ids and score of the best segmentation, and what the second costs more."""
@@ -98,7 +107,6 @@ class Lattice:
         self.at.update(zip(chunks, range(start, start + len(chunks)), strict=True))
         self.ids += ids
         self.best, self.gap = np.concatenate((self.best, best)), np.concatenate((self.gap, gap))
-        self.width = np.concatenate((self.width, np.fromiter(map(len, ids), np.int64, len(ids))))
 
     def _same_size(self, size: int, own: list[int], chunks: list[str], ids: list[bytes], best: np.ndarray, gap: np.ndarray) -> None:
         n = len(own)
@@ -134,12 +142,12 @@ class Lattice:
             pos = np.where(on, pos - step[rows, pos], 0)
         gap[own] = low
         path = np.stack(back[::-1], 1).astype("<i4")
-        plain = ~(path == -1).any(1)
-        for r, k in enumerate(own):
-            if plain[r]:
-                ids[k] = path[r][path[r] >= 0].tobytes()
-            else:
-                ids[k] = self._with_bytes(chunks[k], step[r])
+        used = path >= 0
+        flat, ends = path[used].tobytes(), (4 * np.cumsum(used.sum(1))).tolist()
+        for k, lo, hi in zip(own, [0, *ends], ends, strict=False):
+            ids[k] = flat[lo:hi]
+        for r in np.flatnonzero((path == -1).any(1)).tolist():
+            ids[own[r]] = self._with_bytes(chunks[own[r]], step[r])
 
     def _with_bytes(self, chunk: str, step: np.ndarray) -> bytes:
         out, j = [], len(chunk)
@@ -186,40 +194,80 @@ class Lattice:
     def chunks(text: str) -> list[str]:
         return re.findall(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+", SPACE + text.replace(" ", SPACE)) if text else []
 
+    @staticmethod
+    def cut_up(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """chunks() of all texts as one array, with plain spaces, and where those of each text begin; the last number is their end."""
+        rows = [f" {t.replace(SPACE, ' ')}".encode() if t else b"" for t in texts]
+        whole, begin = b"".join(rows), np.cumsum([0, *map(len, rows)])
+        codes = np.frombuffer(whole, np.uint8)
+        space, line = codes == 32, codes == 10
+        first = line.copy()
+        first[1:] |= line[:-1] | space[1:] & ~space[:-1]
+        first[begin[:-1][begin[:-1] < begin[1:]]] = True
+        starts = np.flatnonzero(first)
+        at = np.append(starts, len(whole)).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(whole)), np.searchsorted(starts, begin)
+
     def learn(self, texts: list[list[str]]) -> None:
+        self.places(list(dict.fromkeys(c for t in texts for c in t)))
+
+    def places(self, chunks: list[str]) -> np.ndarray:
+        """Where chunks, each given once, are in the table; new ones are added."""
         if len(self.at) > CACHE:
             self.clear()
-        new = list(dict.fromkeys(c for t in texts for c in t if c not in self.at))
-        if new:
-            self.viterbi(new)
+        at = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        if len(new := np.flatnonzero(at < 0)):
+            at[new] = np.arange(len(new)) + len(self.ids)
+            self.viterbi([chunks[k] for k in new.tolist()])
+        return at
+
+    def read(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
+        """segmentations() of each text's chunks."""
+        chunks, begin = self.cut_up(texts)
+        coded = chunks.dictionary_encode()
+        names = pc.replace_substring(coded.dictionary, " ", SPACE).to_numpy(zero_copy_only=False).tolist()
+        known, of = self.places(names), coded.indices.to_numpy()
+        ids = pa.array([self.ids[k] for k in known.tolist()], pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(of) + 1] if len(of) else np.zeros(1, np.int64)
+        data, best, gap = ids.buffers()[2], self.best[known][of], self.gap[known][of]
+        for lo, hi in zip(begin.tolist(), begin[1:].tolist(), strict=False):
+            own = data[ends[lo] : ends[hi]].to_pybytes() if lo < hi else b""
+            yield self._ways(best[lo:hi], gap[lo:hi], own, ends[lo : hi + 1] - ends[lo], lambda k, of=of[lo:hi]: names[of[k]])
 
     def segmentations(self, chunks: list[str]) -> list[tuple[float, bytes]]:
         """Up to nbest segmentations of a text (score, ids as little-endian 32-bit integers), best first; learn() has seen the chunks."""
-        if not chunks:
+        at = np.array([self.at[c] for c in chunks], np.int64)
+        ids = [self.ids[k] for k in at.tolist()]
+        return self._ways(self.best[at], self.gap[at], b"".join(ids), np.cumsum([0, *map(len, ids)]), chunks.__getitem__)
+
+    def _ways(self, best: np.ndarray, gap: np.ndarray, ids: bytes, ends: np.ndarray, chunk: Callable[[int], str]) -> list[tuple[float, bytes]]:
+        """segmentations() from the best ones of the chunks: their scores, what the second costs more, and all their ids, which end at these bytes."""
+        if not len(gap):
             return [(0.0, b"")]
-        at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-        ids = b"".join([self.ids[k] for k in at.tolist()])
-        score, gap, few = float(self.best[at].sum()), self.gap[at], min(self.nbest - 1, len(at))
+        score, few = float(best.sum()), min(self.nbest - 1, len(gap))
         near = np.flatnonzero(gap <= np.partition(gap, few - 1)[few - 1]) if few else np.arange(0)
         near = near[np.argsort(gap[near], kind="stable")][:few]
         ways: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]  # what a combination costs more, and the chunks in which it differs
         for k in near[gap[near] < np.inf].tolist():
-            own = self.others(chunks[k], self.ids[at[k]])
+            own = self.others(chunk(k), ids[ends[k] : ends[k + 1]])
             ways = sorted((w for c, d in ways for w in ((c, d), *((c + x, d | {k: o}) for x, o in own))), key=lambda w: w[0])[: self.nbest]
-        ends = np.cumsum(self.width[at])
         out = []
         for cost, changed in ways:
             parts, upto = [], 0
             for k in sorted(changed):
-                parts += [ids[upto : ends[k] - self.width[at[k]]], changed[k]]
-                upto = ends[k]
+                parts += [ids[upto : ends[k]], changed[k]]
+                upto = ends[k + 1]
             out.append((score - cost, b"".join([*parts, ids[upto:]])))
         return out
 
     def others(self, chunk: str, best: bytes) -> list[tuple[float, bytes]]:
         """Of a chunk's nbest segmentations those but the best: what each costs more, and its ids."""
-        found = [(s, np.array(i, "<i4").tobytes()) for s, i in self.search(chunk)]
-        return [(found[0][0] - s, i) for s, i in found if i != best][: self.nbest - 1]
+        if chunk not in self.rest:
+            found = [(s, np.array(i, "<i4").tobytes()) for s, i in self.search(chunk)]
+            if len(self.rest) > CACHE // 10:
+                self.rest.clear()
+            self.rest[chunk] = [(found[0][0] - s, i) for s, i in found if i != best][: self.nbest - 1]
+        return self.rest[chunk]
 
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, float, list[float]]:
         """ids and score of the best segmentation, and the nbest scores."""
@@ -230,6 +278,18 @@ class Lattice:
         table = self.bytes_of
         return b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass").replace(SPACE, " ")[1:]
 
+    def same(self, texts: list[str], found: list[list[bytes]]) -> list[bool]:
+        """Whether all of a text's segmentations decode to it."""
+        each = [i for own in found for i in own]
+        made = self.plain_of.take(pa.array(np.frombuffer(b"".join(each), "<i4")))
+        ends = np.frombuffer(made.buffers()[1], np.int64)[np.cumsum([0, *map(len, each)]) // 4].tolist() if len(made) else [0] * (len(each) + 1)
+        data, out, k = made.buffers()[2], [], 0
+        for t, own in zip(texts, found, strict=True):
+            want = f" {t.replace(SPACE, ' ')}".encode() if t else b""
+            out.append(all(b - a == len(want) and (a == b or data[a:b].to_pybytes() == want) for a, b in zip(ends[k:], ends[k + 1 : k + 1 + len(own)], strict=False)))
+            k += len(own)
+        return out
+
 
 def _listed(parts: list[bytes]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)]) // 4
@@ -237,9 +297,8 @@ def _listed(parts: list[bytes]) -> pa.ListArray:
 
 
 def _encode(model: str, nbest: int, out: list[str], ids: Callable[[list[bytes]], pa.Array]):
-    def whole(lattice: Lattice, part: pa.RecordBatch, texts: list[str], split: list[list[str]]) -> pa.RecordBatch:
-        found = [lattice.segmentations(c) for c in split]
-        same = [all(lattice.decode(np.frombuffer(i, "<i4")) == plain for _, i in own) for own, plain in zip(found, (t.replace(SPACE, " ") for t in texts), strict=True)]
+    def whole(lattice: Lattice, part: pa.RecordBatch, texts: list[str], found: list[list[tuple[float, bytes]]]) -> pa.RecordBatch:
+        same = lattice.same(texts, [[i for _, i in own] for own in found])
         best = [own[0][1] for own in found]
         ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
         more = pa.ListArray.from_arrays(ends, ids([i for own in found for _, i in own]))
@@ -252,12 +311,10 @@ def _encode(model: str, nbest: int, out: list[str], ids: Callable[[list[bytes]],
         for b in batches:
             for part in portions(b, 1):
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                split = [lattice.chunks(t) for t in texts]
-                lattice.learn(split)
-                at = 0
+                found, at = lattice.read(texts), 0
                 for few in portions(part, 1, 100, 500_000):  # a row's segmentations are several times its text
-                    own = slice(at, at := at + few.num_rows)
-                    yield whole(lattice, few, texts[own], split[own])
+                    own = texts[at : (at := at + few.num_rows)]
+                    yield whole(lattice, few, own, list(islice(found, len(own))))
 
     return run
 

@@ -4,10 +4,12 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +172,41 @@ def test_search_follows_one_of_many_equal_paths(monkeypatch):
     assert len(lattice.search(chunk)) == 4 and len(pops) <= 4 * (len(chunk) + 1)
 
 
+def test_a_batch_of_texts_is_segmented_as_each_alone():
+    lattice, rng = pieces.Lattice(pieces.model_path(), 4), random.Random(3)
+    texts = ["", " ", "\n", "\u2581", "a", " a  b \n\n c\n ", "a \u2581b", "一\U0001f600\x00"] + ["".join(rng.choice("aeth on.\né一\U0001f600\u2581\u00a0 ") for _ in range(rng.randint(1, 80))) for _ in range(300)]
+    chunks, begin = lattice.cut_up(texts)
+    split = [[c.replace(" ", pieces.SPACE) for c in chunks.to_pylist()[lo:hi]] for lo, hi in zip(begin, begin[1:], strict=False)]
+    assert split == [lattice.chunks(t) for t in texts]
+    found = list(lattice.read(texts))
+    alone = pieces.Lattice(pieces.model_path(), 4)
+    alone.learn(split)
+    assert found == [alone.segmentations(c) for c in split] and list(lattice.read([])) == [] and list(lattice.read([""])) == [[(0.0, b"")]]
+    ids = [[i for _, i in own] for own in found]
+    assert all(lattice.same(texts, ids)) and lattice.same([], []) == [] and lattice.same(["", "a"], [[b""], [b""]]) == [True, False]
+    for k, own in enumerate(ids):  # one wrong segmentation of one text shows there only
+        if own[-1]:
+            wrong = ids[:k] + [[*own[:-1], own[-1][4:]]] + ids[k + 1 :]
+            assert [i for i, x in enumerate(lattice.same(texts, wrong)) if not x] == [k]
+
+
+def test_known_chunks_cost_little():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aethonsi") for _ in range(6)) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], names=["_row", "_text"])
+    encoded = pieces._encode(pieces.model_path(), 4, [str(k) for k in range(7)], lambda parts: pa.array(parts, pa.binary()))
+
+    def cost(f, *args):
+        start = time.process_time()
+        return list(f(*args)) and time.process_time() - start
+
+    once = min(cost(encoded, iter([batch])) for _ in range(3))
+    more = min(cost(encoded, iter([batch] * 4)) for _ in range(3))
+    cut = min(cost(map, pieces.Lattice.chunks, texts) for _ in range(3))
+    assert (more - once) / 3 < 3 * cut
+
+
 def test_pieces_query_has_all_segmentations(spark, docs, odd, tmp_path):
     docs.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
     got = queries.op3_pieces(spark, str(tmp_path)).collect()
