@@ -6,17 +6,18 @@ import random
 import time
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
 from quillon.operators import barcodes, chemistry, counts, matrices, metrics, power, ranges, reads, sequences, variants
-from quillon.plans.queries import QUERIES
+from quillon.plans.queries import QUERIES, SQL
 from quillon.plans.views import view
 from quillon.sources import tables as tables_module
 
-SF = "/root/testdata/sf0.001"
+SF, SF_MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 #: Reads of both alleles, error, call, quality, likelihoods, log odds: computed from the model with math.lgamma.
 GOLDEN = [
@@ -203,6 +204,36 @@ def test_saturation_query_sees_all_reads(spark):
     assert {r[0]: tuple(r)[1:] for r in QUERIES["saturation_curve"](spark, SF).collect()} == saturation_by_force(list(map(tuple, valid)), [top])
 
 
+def test_reads_of_one_name(spark):
+    """Reads that share their name are sampled in the same order however they lie, by barcode, gene and molecule."""
+    rows = sorted(("r", "c", f"g{i % 7}", f"u{min(i, 400)}") for i in range(600))
+    want = saturation_by_force(rows, [600, 500])
+    for own in (rows, rows[::-1]):
+        df = spark.createDataFrame(own, "read_name string, barcode string, GN string, UB string").withColumn("mapping_quality", F.lit(255)).coalesce(1)
+        assert {r[0]: tuple(r)[1:] for r in counts.saturation_of(df, df.select("barcode").distinct(), F.md5("read_name")).collect()} == want
+
+
+def test_saturation_rounds_as_sql(spark):
+    """333 of 640 reads bring no molecule: 0.5203125, where SQL rounds down, as it does after the product with 10^6."""
+    df = spark.range(640).select(F.format_string("r%04d", "id").alias("read_name"), F.lit("c").alias("barcode"), F.lit("g").alias("GN"), F.concat(F.lit("u"), F.col("id") % 307).alias("UB"), F.lit(255).alias("mapping_quality"))
+    assert counts.saturation_curve(df, [640], 1, F.col("read_name")).first().saturation == duckdb.sql("SELECT round(1 - 307 / 640, 6)").fetchall()[0][0]
+
+
+def test_samples_below():
+    assert counts.saturation_depths(1_730_000, 1, 1_000_000)[:3] == [1_730_000, 995_000, 990_000] and counts.saturation_depths(12_000, 1, 1_000_000) == counts.saturation_depths(12_000, 1)
+    assert counts.saturation_depths(1_730_000, 1)[1] == 1_725_000
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_MORE), reason="no test tables")
+def test_nested_samples_as_sql(spark):
+    """saturation_nested has its SQL's rows once the order of reads that share a name, which the SQL leaves open, is set."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{SF_MORE}/lineitem.parquet')")
+    sql = SQL["saturation_nested"].replace("read_name) AS r", 'read_name, barcode, "GN", "UB", mapping_quality) AS r')
+    assert sql != SQL["saturation_nested"]
+    assert sorted(map(tuple, QUERIES["saturation_nested"](spark, SF_MORE).collect())) == sorted(con.execute(sql).fetchall())
+
+
 def test_samples_are_nested(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("read_name"))
     few, many = ({r.read_name for r in counts.exact_sample(df, n, counts.seeded(1), "read_name").collect()} for n in (50, 200))
