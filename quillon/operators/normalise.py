@@ -1,8 +1,8 @@
 """Variants in their leftmost, shortest form.
 
 An insertion or deletion of a repeat's unit is the same change wherever in the repeat it is written. The changed bases turn and move left while the base before them is their last one. The reference lies in tiles that
-overlap to the left, and a variant meets the tile with the base before it, so no task needs a whole contig; in one round a variant moves as far as the overlap reaches, and those that could move on take part in the
-next round, with the tile they have come to.
+overlap to the left, and a variant meets the tile with the base before it, so no task needs a whole contig; in one round a variant moves as far as the overlap reaches, or four times as far where the tile has that, and
+those that could move on take part in the next round, with the tile they have come to. All variants are read and joined once, and each further round has only those that move on.
 """
 
 from __future__ import annotations
@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from quillon.operators.ranges import counted
-from quillon.sources.tables import observed
+from quillon.sources.tables import materialise, observed
 
 #: Bases of a tile, and bases before it that it also has, which are what a round can pass.
 TILE, REACH = 4096, 64
@@ -41,21 +43,22 @@ def tiles(contigs: DataFrame, size: int = TILE, reach: int = REACH) -> DataFrame
     return contigs.select("chrom", "sequence").mapInArrow(cut, "_chrom string, _tile long, _first long, _bases string")
 
 
-def alike(a: Column, b: Column) -> Column:
-    """How many characters of two texts are alike from the beginning."""
-    n = F.least(F.length(a), F.length(b))
-    same = F.zip_with(F.split(F.substr(a, F.lit(1), n), ""), F.split(F.substr(b, F.lit(1), n), ""), lambda x, y: x == y)
-    end = F.array_position(same, False)
-    return F.when(n == 0, 0).when(end == 0, n).otherwise(end - 1).cast("int")
-
-
 def alike_upto(a: Column, b: Column, most: int) -> Column:
-    """alike() of texts of at most so many characters, by halves: a step for each bit of the number instead of one for each character."""
+    """How many characters of two texts of at most so many are alike from the beginning, by halves: a step for each bit of the number instead of one for each character."""
     n = F.least(F.length(a), F.length(b))
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
     return F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= n) & (F.substr(a, k + 1, s) == F.substr(b, k + 1, s)), k + s).otherwise(k))
 
 
+def alike(a: Column, b: Column) -> Column:
+    """How many characters of two texts are alike from the beginning. Where one has a single character, as alleles mostly do, that is one comparison."""
+    n = F.least(F.length(a), F.length(b))
+    same = F.zip_with(F.split(F.substr(a, F.lit(1), n), ""), F.split(F.substr(b, F.lit(1), n), ""), lambda x, y: x == y)
+    end = F.array_position(same, False)
+    one = (F.substr(a, F.lit(1), F.lit(1)) == F.substr(b, F.lit(1), F.lit(1))).cast("int")
+    return F.when(n == 0, 0).when(n == 1, one).when(n < 64, alike_upto(a, b, 63)).when(end == 0, n).otherwise(end - 1).cast("int")
+
+
 def trimmed(variants: DataFrame) -> DataFrame:
     """variants with _p, the place from 0, and _r and _a, the alleles without common ends."""
     tail = alike(F.reverse("ref"), F.reverse("alt"))
@@ -70,40 +73,73 @@ def _placed(rows: DataFrame, held: DataFrame, place: Column, size: int) -> DataF
     return rows.withColumn("_t", F.floor(place / size)).join(held, (F.col("chrom") == F.col("_chrom")) & (F.col("_t") == F.col("_tile")), "left").drop("_chrom", "_tile", "_t")
 
 
+def _characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All characters of texts as numbers, and where each text begins among them, and the last one ends."""
+    if pc.all(pc.string_is_ascii(texts)).as_py() is not False:
+        texts = texts.cast(pa.large_string())
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        return np.frombuffer(texts.buffers()[2] or b"", np.uint8), at
+    return np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy())])
+
+
+@F.arrow_udf(IntegerType())
+def passed(left: pa.Array, unit: pa.Array) -> pa.Array:
+    """How many characters at the end of a text are those of a unit that repeats up to that end."""
+    (text, at), (turn, of) = _characters(left), _characters(unit)
+    k = np.diff(of)
+    n = np.where(k > 0, np.diff(at), 0)
+    m, on, step = np.zeros(len(n), np.int64), np.flatnonzero(n), 4
+    while len(on):
+        i = m[on, None] + np.arange(step)
+        same = text[at[on + 1, None] - 1 - np.minimum(i, n[on, None] - 1)] == turn[of[on + 1, None] - 1 - i % k[on, None]]
+        same &= i < n[on, None]
+        far = np.where(same.all(1), step, same.argmin(1))
+        m[on] += far
+        on, step = on[far == step], min(2 * step, 64)
+    return pa.array(m, pa.int32())
+
+
+def _round(rows: DataFrame, held: DataFrame, own: list[str], size: int, most: int) -> DataFrame:
+    """rows (own columns, _p, _s, _gone) moved by up to `most` bases: own columns in the new form, or as they were with _p and _s where there is more to do. A null _s stays."""
+    k, gone = F.length("_s"), F.col("_gone")
+    behind = F.when(gone, k).otherwise(0).cast("long")  # the base that counts at a contig's beginning
+    place = F.when(F.col("_s").isNull(), F.lit(0)).when(F.col("_p") > 0, F.col("_p") - 1).otherwise(behind)
+    met = _placed(rows, held, place, size)
+    upto = F.col("_p") - F.col("_first")
+    there = F.col("_s").isNotNull() & (F.col("_p") > 0) & (upto <= F.length("_bases"))
+    n = F.least(F.lit(most), upto).cast("int")
+    met = met.withColumn("_l", F.when(there, F.substr("_bases", (upto - n + 1).cast("int"), n)).otherwise(""))
+    met = met.withColumn("_m", passed("_l", F.coalesce("_s", F.lit(""))))
+    met = met.select(*own, "_gone", "_l", "_m", "_p", "_s", (F.col("_p") - F.col("_m")).alias("_to"), (F.col("_m") % k).alias("_turn"), F.when(behind >= F.col("_first"), F.substr("_bases", (behind - F.col("_first") + 1).cast("int"), F.lit(1))).alias("_end"))
+    moved = F.concat(F.substr("_s", k - F.col("_turn") + 1), F.substr("_s", F.lit(1), k - F.col("_turn")))
+    left = F.substr("_l", F.length("_l") - F.col("_m"), F.lit(1))
+    far = F.when(F.col("_to") > 0, (F.col("_m") > 0) & (F.col("_m") == F.length("_l"))).otherwise((F.col("_p") > 0) & (F.coalesce(F.length("_end"), F.lit(0)) == 0))
+    base = F.when(F.col("_to") == 0, F.col("_end")).when(F.col("_m") < F.length("_l"), left)
+    met = met.select(*own, "_gone", "_to", moved.alias("_s"), base.alias("_base"), F.coalesce(far, F.lit(False)).alias("_on"))
+    long = F.when(F.col("_to") > 0, F.concat("_base", "_s")).otherwise(F.concat("_s", "_base"))
+    kind = rows.schema["pos"].dataType
+    made = {"pos": F.greatest(F.col("_to"), F.lit(1)).cast(kind), "ref": F.when(gone, long).otherwise(F.col("_base")), "alt": F.when(gone, F.col("_base")).otherwise(long)}
+    known = ~F.col("_on") & F.coalesce(F.length("_base") == 1, F.lit(False))
+    on = lambda c: F.when(F.col("_on"), F.col(c))
+    return met.select(*[F.when(known, made[c]).otherwise(F.col(c)).alias(c) if c in made else F.col(c) for c in own], on("_to").alias("_p"), on("_s").alias("_s"), on("_gone").alias("_gone"))
+
+
 def left_aligned(variants: DataFrame, contigs: DataFrame, size: int = TILE, reach: int = REACH) -> DataFrame:
     """variants (chrom, pos from 1, ref, alt, other columns) in their leftmost, shortest form. A change before a contig's first base has the base behind it; variants whose contig or place the reference lacks, and those that change nothing, stay as they are."""
-    held, _ = counted(tiles(contigs, size, reach))
-    every = trimmed(variants)
-    indel = (F.length("_r") == 0) != (F.length("_a") == 0)
-    rows, n = counted(every.where(indel).withColumn("_s", F.concat("_r", "_a")))
-    done = []
+    held = materialise(tiles(contigs, size, reach))
+    own, every = list(variants.columns), trimmed(variants)
+    r, a = F.length("_r"), F.length("_a")
+    indel = F.coalesce((r == 0) != (a == 0), F.lit(False)) & F.col("pos").isNotNull()
+    other = ~indel & (F.greatest(r, a) > 0) & F.col("pos").isNotNull()
+    plain = {"pos": (F.col("_p") + 1).cast(variants.schema["pos"].dataType), "ref": F.col("_r"), "alt": F.col("_a")}
+    rows = every.select(*[F.when(other, plain[c]).otherwise(F.col(c)).alias(c) if c in plain else F.col(c) for c in own], F.when(indel, F.col("_p").cast("long")).alias("_p"), F.when(indel, F.concat("_r", "_a")).alias("_s"), (r > 0).alias("_gone"))
+    done, n = [], 1
     while n:
-        met = _placed(rows, held, F.greatest(F.col("_p") - 1, F.lit(0)), size)
-        k = F.length("_s")
-        met = met.withColumn("_l", F.coalesce(F.when(F.col("_p") > 0, F.substr("_bases", F.greatest(F.col("_p") - reach - F.col("_first"), F.lit(0)).cast("int") + 1, F.least(F.lit(reach), F.col("_p")).cast("int"))), F.lit("")))
-        turned = F.substr(F.repeat(F.reverse("_s"), F.ceil(F.length("_l") / k).cast("int")), F.lit(1), F.length("_l"))
-        met = met.withColumns({"_b": F.reverse("_l"), "_u": turned})
-        met = met.withColumn("_m", F.when(F.length("_l") == F.least(F.lit(reach), F.col("_p")), alike_upto(F.col("_b"), F.col("_u"), reach)).otherwise(0))
-        turn = F.col("_m") % k
-        moved = F.concat(F.substr("_s", (k - turn + 1).cast("int")), F.substr("_s", F.lit(1), (k - turn).cast("int")))
-        met, told = observed(met.select(*[c for c in rows.columns if c not in ("_p", "_s")], (F.col("_p") - F.col("_m")).alias("_p"), moved.alias("_s"), ((F.col("_m") == reach) & (F.col("_p") > F.col("_m"))).alias("_on")), on=F.count_if(F.col("_on")))
-        done.append(met.where("NOT _on").drop("_on"))
-        rows, n = met.where("_on").drop("_on"), told["on"]
-    own = list(variants.columns)
-    still = every.where(~indel)
-    one = F.greatest(F.length("_r"), F.length("_a")) > 0
-    plain = still.select(*[F.when(one, F.col("_p") + 1).otherwise(F.col("pos")).cast(variants.schema["pos"].dataType).alias(c) if c == "pos" else F.when(one, F.col({"ref": "_r", "alt": "_a"}[c])).otherwise(F.col(c)).alias(c) if c in ("ref", "alt") else F.col(c) for c in own])
-    if not done:
-        return plain
-    gone = F.length("_r") > 0
-    at = F.when(F.col("_p") > 0, F.col("_p") - 1).when(gone, F.length("_s").cast("long")).otherwise(F.lit(0).cast("long"))
-    met = _placed(reduce(DataFrame.unionByName, done), held, at, size)
-    base = F.substr("_bases", (at - F.col("_first")).cast("int") + 1, F.lit(1))
-    known = F.coalesce(F.length(base) == 1, F.lit(False))
-    long = F.when(F.col("_p") > 0, F.concat(base, "_s")).otherwise(F.concat("_s", base))
-    made = {"pos": F.greatest(F.col("_p"), F.lit(1)).cast(variants.schema["pos"].dataType), "ref": F.when(gone, long).otherwise(base), "alt": F.when(gone, base).otherwise(long)}
-    shifted = met.select(*[F.when(known, made[c]).otherwise(F.col(c)).alias(c) if c in made else F.col(c) for c in own])
-    return plain.unionByName(shifted)
+        met, told = observed(_round(rows, held, own, size, 4 * reach), on=F.count("_s"))
+        n = told["on"]
+        done.append((met.where("_s IS NULL") if n else met).select(*own))
+        rows = met.where("_s IS NOT NULL")
+    return reduce(DataFrame.unionByName, done)
 
 
 def without_repeats(variants: DataFrame, keys: list[str], best: Column) -> DataFrame:

@@ -70,3 +70,34 @@ def test_alike_by_halves(spark):
     rows = [(x, y) for x in texts[::5] for y in texts[::7]]
     got = spark.createDataFrame(rows, "a string, b string").select("a", "b", normalise.alike_upto(F.col("a"), F.col("b"), 64).alias("n")).collect()
     assert all(r.n == len(os.path.commonprefix([r.a, r.b])) for r in got) and len(got) == len(rows)
+
+
+def test_one_round_for_short_contigs(spark, monkeypatch):
+    """A repeat of 120 bases is passed in the one round that all variants take, and they are read once."""
+    rounds, seen = [], normalise.observed
+    monkeypatch.setattr(normalise, "observed", lambda df, *a, **m: rounds.append(1) or seen(df, *a, **m))
+    seq = "GT" + "AC" * 60 + "T"
+    rows = [(i, "c", 2 + i, seq[1 + i], seq[1 + i] + seq[2 + i : 4 + i]) for i in range(118)] + [(500, "c", 1, "G", "T"), (501, "c", 100, seq[99:102], seq[99])]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "id long, chrom string, pos long, ref string, alt string").mapInArrow(counted, "id long, chrom string, pos long, ref string, alt string")
+    got = {r.id: (r.pos, r.ref, r.alt) for r in normalise.left_aligned(df, spark.createDataFrame([("c", seq)], "chrom string, sequence string")).collect()}
+    assert got == {k: leftmost(seq, p, r, a) for k, _, p, r, a in rows}
+    assert len(rounds) == 1 and read.value == len(rows)
+
+
+def test_ends_and_gaps(spark):
+    """Deletions at a contig's beginning that are longer than a tile, of a whole contig, behind the contig's end, and rows with nulls, which stay."""
+    seq = "AC" * 20 + "G"
+    rows = [(0, "c", 1, seq[:31], "A"), (1, "c", 3, seq[2:33], "A"), (2, "c", 41, "G", "GT"), (3, "c", 42, "GA", "G"), (4, "c", 43, "GA", "G"), (5, "c", 1, seq + "T", "T")]
+    rows += [(6, "c", 5, None, "A"), (7, "c", None, "AC", "A"), (8, None, 5, "AC", "A"), (9, "c", 5, "A", None), (10, "c", 6, "", "CA"), (11, "c", 3, "ACAC", "ATAC"), (12, "n", 8, "CGC", "C")]
+    df = spark.createDataFrame(rows, "id long, chrom string, pos long, ref string, alt string")
+    contigs = spark.createDataFrame([("c", seq), ("n", "\u00c4" * 3 + "CGCGCGCG")], "chrom string, sequence string")
+    got = {r.id: (r.pos, r.ref, r.alt) for r in normalise.left_aligned(df, contigs, 16, 3).collect()}
+    want = {k: (p, r, a) for k, _, p, r, a in rows} | {k: leftmost(seq, *rows[k][2:]) for k in (0, 1, 2, 10, 11)} | {12: (3, "\u00c4CG", "\u00c4")}  # the base before the first one is no ASCII character
+    assert got == want
