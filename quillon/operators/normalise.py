@@ -29,6 +29,11 @@ def tiles(contigs: DataFrame, size: int = TILE, reach: int = REACH) -> DataFrame
         names = ["_chrom", "_tile", "_first", "_bases"]
         made, held = [], 0
         for b in batches:
+            bases = pc.fill_null(b.column(1), "")
+            if pc.all(pc.less_equal(pc.utf8_length(bases), size)).as_py() and pc.all(pc.string_is_ascii(bases)).as_py():  # one tile each
+                none = pa.array(np.zeros(b.num_rows, np.int64))
+                yield pa.RecordBatch.from_arrays([b.column(0), none, none, pc.ascii_upper(bases)], names)
+                continue
             for chrom, seq in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 seq = seq.as_py() or ""
                 for a in range(0, max(len(seq), 1), size):
@@ -51,19 +56,23 @@ def alike_upto(a: Column, b: Column, most: int) -> Column:
 
 
 def alike(a: Column, b: Column) -> Column:
-    """How many characters of two texts are alike from the beginning. Where one has a single character, as alleles mostly do, that is one comparison."""
+    """How many characters of two texts are alike from the beginning."""
     n = F.least(F.length(a), F.length(b))
     same = F.zip_with(F.split(F.substr(a, F.lit(1), n), ""), F.split(F.substr(b, F.lit(1), n), ""), lambda x, y: x == y)
     end = F.array_position(same, False)
-    one = (F.substr(a, F.lit(1), F.lit(1)) == F.substr(b, F.lit(1), F.lit(1))).cast("int")
-    return F.when(n == 0, 0).when(n == 1, one).when(n < 64, alike_upto(a, b, 63)).when(end == 0, n).otherwise(end - 1).cast("int")
+    return F.when(n == 0, 0).when(n < 64, alike_upto(a, b, 63)).when(end == 0, n).otherwise(end - 1).cast("int")
 
 
 def trimmed(variants: DataFrame) -> DataFrame:
-    """variants with _p, the place from 0, and _r and _a, the alleles without common ends."""
-    tail = alike(F.reverse("ref"), F.reverse("alt"))
+    """variants with _p, the place from 0, and _r and _a, the alleles without common ends. Where an allele has a single base, as most have, an end is one comparison."""
+    def common(r: Column, a: Column, end: int, more: Column) -> Column:
+        n = F.least(F.length(r), F.length(a))
+        one = F.substr(r, F.lit(end), F.lit(1)) == F.substr(a, F.lit(end), F.lit(1))
+        return F.when(n == 0, 0).when(~one, 0).when(n == 1, 1).otherwise(more)
+
+    tail = common(F.col("ref"), F.col("alt"), -1, alike(F.reverse("ref"), F.reverse("alt")))
     cut = lambda c: F.substr(F.col(c), F.lit(1), F.length(c) - F.col("_n"))
-    out = variants.withColumn("_n", tail).withColumns({"_r": cut("ref"), "_a": cut("alt")}).withColumn("_n", alike(F.col("_r"), F.col("_a")))
+    out = variants.withColumn("_n", tail).withColumns({"_r": cut("ref"), "_a": cut("alt")}).withColumn("_n", common(F.col("_r"), F.col("_a"), 1, alike(F.col("_r"), F.col("_a"))))
     rest = lambda c: F.substr(F.col(c), F.col("_n") + 1)
     return out.withColumns({"_p": F.col("pos") - 1 + F.col("_n"), "_r": rest("_r"), "_a": rest("_a")}).drop("_n")
 
@@ -108,13 +117,15 @@ def _round(rows: DataFrame, held: DataFrame, own: list[str], size: int, most: in
     upto = F.col("_p") - F.col("_first")
     there = F.col("_s").isNotNull() & (F.col("_p") > 0) & (upto <= F.length("_bases"))
     n = F.least(F.lit(most), upto).cast("int")
-    met = met.withColumn("_l", F.when(there, F.substr("_bases", (upto - n + 1).cast("int"), n)).otherwise(""))
-    met = met.withColumn("_m", passed("_l", F.coalesce("_s", F.lit(""))))
-    met = met.select(*own, "_gone", "_l", "_m", "_p", "_s", (F.col("_p") - F.col("_m")).alias("_to"), (F.col("_m") % k).alias("_turn"), F.when(behind >= F.col("_first"), F.substr("_bases", (behind - F.col("_first") + 1).cast("int"), F.lit(1))).alias("_end"))
+    left = F.when(there, F.substr("_bases", (upto - n + 1).cast("int"), n)).otherwise("")
+    end = F.when(behind >= F.col("_first"), F.substr("_bases", (behind - F.col("_first") + 1).cast("int"), F.lit(1)))
+    met = met.select(*own, "_gone", "_p", "_s", left.alias("_l"), end.alias("_end"))  # a tile goes no further than this
+    moves = F.substr("_l", F.lit(-1)) == F.substr("_s", F.lit(-1))
+    met = met.withColumn("_m", passed(F.when(moves, F.col("_l")).otherwise(""), F.when(moves, F.col("_s")).otherwise("")))
+    met = met.withColumns({"_to": F.col("_p") - F.col("_m"), "_turn": F.col("_m") % k})
     moved = F.concat(F.substr("_s", k - F.col("_turn") + 1), F.substr("_s", F.lit(1), k - F.col("_turn")))
-    left = F.substr("_l", F.length("_l") - F.col("_m"), F.lit(1))
     far = F.when(F.col("_to") > 0, (F.col("_m") > 0) & (F.col("_m") == F.length("_l"))).otherwise((F.col("_p") > 0) & (F.coalesce(F.length("_end"), F.lit(0)) == 0))
-    base = F.when(F.col("_to") == 0, F.col("_end")).when(F.col("_m") < F.length("_l"), left)
+    base = F.when(F.col("_to") == 0, F.col("_end")).when(F.col("_m") < F.length("_l"), F.substr("_l", F.length("_l") - F.col("_m"), F.lit(1)))
     met = met.select(*own, "_gone", "_to", moved.alias("_s"), base.alias("_base"), F.coalesce(far, F.lit(False)).alias("_on"))
     long = F.when(F.col("_to") > 0, F.concat("_base", "_s")).otherwise(F.concat("_s", "_base"))
     kind = rows.schema["pos"].dataType

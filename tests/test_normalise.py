@@ -1,5 +1,6 @@
 """Left-alignment against one base at a time."""
 
+import itertools
 import os
 import random
 
@@ -101,3 +102,16 @@ def test_ends_and_gaps(spark):
     got = {r.id: (r.pos, r.ref, r.alt) for r in normalise.left_aligned(df, contigs, 16, 3).collect()}
     want = {k: (p, r, a) for k, _, p, r, a in rows} | {k: leftmost(seq, *rows[k][2:]) for k in (0, 1, 2, 10, 11)} | {12: (3, "\u00c4CG", "\u00c4")}  # the base before the first one is no ASCII character
     assert got == want
+
+
+def test_trimmed_at_every_length(spark):
+    """Common ends of alleles of one base, of some and of more than 64."""
+    rng = random.Random(8)
+    rows = [(1, x + "A" * n + y, x + "A" * m + z) for n, m in itertools.product((0, 1, 2, 31, 63, 64, 65, 130), repeat=2) for x, y, z in (("", "", ""), ("C", "G", "T"), ("CT" * rng.randint(1, 40), "G", "G"))]
+    got = normalise.trimmed(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, pos long, ref string, alt string")).collect()
+    for r in got:
+        _, ref, alt = rows[r.id]
+        n = len(os.path.commonprefix([ref[::-1], alt[::-1]]))
+        ref, alt = ref[: len(ref) - n], alt[: len(alt) - n]
+        n = len(os.path.commonprefix([ref, alt]))
+        assert (r._p, r._r, r._a) == (n, ref[n:], alt[n:])
